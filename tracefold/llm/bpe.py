@@ -33,7 +33,13 @@ WHITE = "\t-\r \x85\xa0  -     　"
 #: The pattern of the byte-level pre-tokenizer (fixed value of the file format).
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Fragments after which a task starts a new memo; it keeps the one before as well, and forgets what neither has met.
-MEMO_FRAGMENTS = 400_000
+MEMO_FRAGMENTS = 250_000
+#: Characters of text whose new fragments are encoded side by side.
+GROUP_CHARS = 1 << 20
+#: Bytes of a run above which it is merged by itself.
+LONG_RUN = 256
+#: An odd factor that spreads pairs over the slots of the table (2**64 over the golden ratio).
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
 #: Characters of the longest fragment that is remembered.
 MEMO_CHARS = 64
 #: Bytes of the largest tokenizer file that is sent to the tasks.
@@ -71,11 +77,12 @@ class ForcedBoundaryBPE:
 
         alphabet = byte_alphabet()
         self.byte_of = {c: b for b, c in enumerate(alphabet)}
-        self.base = [vocab[c] for c in alphabet]
-        self.base_end = [vocab[c + self.end] for c in alphabet]
+        self.base = np.array([vocab[c] for c in alphabet], np.int64)
+        self.base_end = np.array([vocab[c + self.end] for c in alphabet], np.int64)
         pairs = [x.split(" ") if isinstance(x, str) else x for x in model["merges"]]
         self.rank_of = {(vocab[a], vocab[b]): rank for rank, (a, b) in enumerate(pairs)}
-        self.made = [vocab[a + b] for a, b in pairs]
+        self.made = np.array([*(vocab[a + b] for a, b in pairs), -1], np.int64)[:-1]
+        self._rank_table([(vocab[a], vocab[b]) for a, b in pairs])
         #: joined[a, b]: the bytes a, b stand side by side inside some token.
         self.joined = np.zeros((256, 256), bool)
         self.token_bytes: list[bytes] = [b""] * (max([*vocab.values(), *self.special.values()]) + 1)
@@ -87,7 +94,6 @@ class ForcedBoundaryBPE:
             self.joined[at[:-1], at[1:]] = True
         for token, i in self.special.items():
             self.token_bytes[i] = token.encode()
-        self.joined_flat = self.joined.tobytes()
         self.memo: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -112,35 +118,68 @@ class ForcedBoundaryBPE:
         else:
             raise ValueError(f"unknown pre-tokenizer: {spec}")
 
-    def forced(self, own: bytes) -> list[bytes]:
-        """The runs of own between the pairs that no token holds."""
-        joined = self.joined_flat
-        cuts = [i for i in range(1, len(own)) if not joined[own[i - 1] << 8 | own[i]]]
-        if not cuts:
-            return [own]
-        return [own[i:j] for i, j in zip([0, *cuts], [*cuts, len(own)], strict=True)]
-
-    def merged(self, own: bytes, last: bool) -> list[int]:
-        """The ids of one run; last: it ends its word."""
-        ids = [self.base[b] for b in own]
-        if last:
-            ids[-1] = self.base_end[own[-1]]
-        if len(ids) > 64:
-            return self._merged_long(ids)
-        rank_of, made, none = self.rank_of, self.made, len(self.made)
-        ranks = [rank_of.get(x, none) for x in zip(ids, ids[1:], strict=False)]
-        while ranks and (rank := min(ranks)) < none:
-            i = ranks.index(rank)
-            ids[i : i + 2] = [made[rank]]
-            del ranks[i]
-            if i:
-                ranks[i - 1] = rank_of.get((ids[i - 1], ids[i]), none)
-            if i < len(ranks):
-                ranks[i] = rank_of.get((ids[i], ids[i + 1]), none)
-        return ids
+    def _rank_table(self, pairs: list[tuple[int, int]]) -> None:
+        """An open hash table of the pairs, as arrays; probes: slots to look at until any pair is found."""
+        rank = {}
+        for k, (a, b) in enumerate(pairs):
+            rank[a << 32 | b] = k
+        size = 1 << max(4, (4 * len(rank)).bit_length())
+        self.slot_shift = np.uint64(64 - (size.bit_length() - 1))
+        self.slots, self.slot_rank, self.probes = np.full(size + 64, -1, np.int64), np.full(size + 64, len(pairs), np.int64), 1
+        home = (np.array(list(rank), np.uint64) * SPREAD >> self.slot_shift).tolist()
+        for (key, k), at in zip(rank.items(), home, strict=True):
+            n = 0
+            while self.slots[at + n] >= 0:
+                n += 1
+            self.slots[at + n], self.slot_rank[at + n] = key, k
+            self.probes = max(self.probes, n + 1)
+        self.slots, self.slot_rank = (np.concatenate([x, np.full(self.probes, x[-1], x.dtype)]) for x in (self.slots, self.slot_rank))
+
+    def ranks(self, key: np.ndarray) -> np.ndarray:
+        """The rank of each pair (first id << 32 | second id); the number of merges where there is none."""
+        at = (key.view(np.uint64) * SPREAD >> self.slot_shift).view(np.int64)
+        held = self.slots[at]
+        out = np.where(held == key, self.slot_rank[at], len(self.made))
+        rest = np.flatnonzero((held != key) & (held >= 0))
+        for n in range(1, self.probes):
+            if not len(rest):
+                break
+            held = self.slots[at[rest] + n]
+            hit = held == key[rest]
+            out[rest[hit]] = self.slot_rank[at[rest[hit]] + n]
+            rest = rest[~hit & (held >= 0)]
+        return out
+
+    def merged(self, ids: np.ndarray, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids after all merges, run by run, and for each the place of its first symbol. run: ascending numbers.
+
+        All runs advance together: each round applies in every run the leftmost
+        of its pairs of lowest rank; runs without a pair leave.
+        """
+        none, at = len(self.made), np.arange(len(ids))
+        done_ids, done_at = [], []
+        while len(ids):
+            rank = np.full(len(ids), none, np.int64)
+            side = np.flatnonzero(run[1:] == run[:-1])
+            rank[side] = self.ranks(ids[side] << 32 | ids[side + 1])
+            starts = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
+            sizes = np.diff(np.append(starts, len(ids)))
+            least = np.minimum.reduceat(rank, starts)
+            over = np.repeat(least == none, sizes)
+            done_ids.append(ids[over])
+            done_at.append(at[over])
+            best = np.flatnonzero((rank == np.repeat(least, sizes)) & ~over)
+            best = best[np.concatenate([[True], run[best][1:] != run[best][:-1]])] if len(best) else best
+            ids[best] = self.made[rank[best]]
+            stays = ~over
+            stays[best + 1] = False
+            ids, run, at = ids[stays], run[stays], at[stays]
+        all_at = np.concatenate(done_at) if done_at else at
+        order = np.argsort(all_at, kind="stable")
+        return (np.concatenate(done_ids)[order] if done_ids else ids), all_at[order]
 
     def _merged_long(self, ids: list[int]) -> list[int]:
-        """The same over linked symbols and a heap of ranks, in n log n steps."""
+        """One run over linked symbols and a heap of ranks, in n log n steps."""
         n, rank_of, made = len(ids), self.rank_of, self.made
         after, before = [*range(1, n), -1], [*range(-1, n - 1)]
         heap = [(rank, i) for i in range(n - 1) if (rank := rank_of.get((ids[i], ids[i + 1]))) is not None]
@@ -150,7 +189,7 @@ class ForcedBoundaryBPE:
             j = after[i]
             if ids[i] < 0 or j < 0 or rank_of.get((ids[i], ids[j])) != rank:
                 continue
-            ids[i], ids[j] = made[rank], -1
+            ids[i], ids[j] = int(made[rank]), -1
             k, h = after[j], before[i]
             after[i] = k
             if k >= 0:
@@ -161,39 +200,73 @@ class ForcedBoundaryBPE:
                 heapq.heappush(heap, (rank, h))
         return [x for x in ids if x >= 0]
 
-    def _fragment(self, text: str) -> bytes:
-        if (out := self.old.get(text)) is not None:
-            self.memo[text] = out
-            return out
-        plain = text
-        if self.nfc:
-            plain = unicodedata.normalize("NFC", plain)
-        if self.lower:
-            plain = plain.lower() if plain.isascii() else "".join(map(str.lower, plain))
-        ids: list[int] = []
-        for word in self.pattern.findall(plain):
-            runs = self.forced(word.encode())
-            for k, run in enumerate(runs):
-                ids += self.merged(run, bool(self.end) and k == len(runs) - 1)
-        out = struct.pack(f"<{len(ids)}I", *ids)
-        if len(text) <= MEMO_CHARS:
-            if len(self.memo) >= MEMO_FRAGMENTS:
-                self.old, self.memo = self.memo, {}
-            self.memo[text] = out
-        return out
-
-    def _plain(self, text: str) -> list[bytes]:
-        memo, fragment = self.memo, self._fragment
-        return [fragment(x) if (y := memo.get(x)) is None else y for x in self.fragments.findall(text)]
+    def fragments_encoded(self, fragments: list[str]) -> list[bytes]:
+        """The ids of each fragment: the tokenizer's own words in it, cut at forced pairs, all merged side by side."""
+        words, owner = [], []
+        for k, text in enumerate(fragments):
+            if self.nfc and not text.isascii():
+                text = unicodedata.normalize("NFC", text)
+            if self.lower:
+                text = text.replace("Σ", "σ").lower()  # letter by letter, without the rule for a final sigma
+            found = self.pattern.findall(text)
+            words += found
+            owner += [k] * len(found)
+        bodies = [w.encode() for w in words]
+        own = np.frombuffer(b"".join(bodies), np.uint8).astype(np.int64)
+        sizes = np.fromiter(map(len, bodies), np.int64, len(bodies))
+        word = np.repeat(np.arange(len(bodies)), sizes)
+        ids = self.base[own]
+        ends = np.cumsum(sizes) - 1
+        if self.end:
+            ids[ends] = self.base_end[own[ends]]
+        cuts = np.concatenate([[True], (word[1:] != word[:-1]) | ~self.joined[own[:-1], own[1:]]]) if len(own) else np.zeros(0, bool)
+        run = np.cumsum(cuts)
+        lengths = np.bincount(run) if len(run) else run
+        long = lengths[run] > LONG_RUN if len(run) else cuts
+        out, at = self.merged(ids[~long], run[~long])
+        at = np.flatnonzero(~long)[at]
+        for r in np.unique(run[long]).tolist():
+            first = int(np.searchsorted(run, r))
+            more = self._merged_long(ids[first : first + int(lengths[r])].tolist())
+            out, at = np.concatenate([out, more]), np.concatenate([at, np.full(len(more), first)])
+        if long.any():
+            order = np.argsort(at, kind="stable")
+            out, at = out[order], at[order]
+        counts = np.bincount(np.array(owner, np.int64)[word[at]], minlength=len(fragments)) if len(at) else np.zeros(len(fragments), np.int64)
+        data, edges = out.astype("<u4").tobytes(), (np.concatenate([[0], np.cumsum(counts)]) * 4).tolist()
+        return [data[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+
+    def encode_many(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text, as little-endian unsigned 32-bit integers; null counts as empty."""
+        out: list[bytes] = []
+        group, n = [], 0
+        for text in texts:
+            group.append(text or "")
+            n += len(group[-1])
+            if n >= GROUP_CHARS:
+                out += self._group(group)
+                group, n = [], 0
+        return out + self._group(group)
 
     def encode(self, text: str) -> bytes:
-        """The ids of text, as little-endian unsigned 32-bit integers."""
-        if self._special is None or not any(x in text for x in self.special):
-            return b"".join(self._plain(text))
-        out: list[bytes] = []
-        for k, part in enumerate(self._special.split(text)):
-            out += [np.array([self.special[part]], "<u4").tobytes()] if k % 2 else self._plain(part)
-        return b"".join(out)
+        return self._group([text])[0]
+
+    def _group(self, texts: list[str]) -> list[bytes]:
+        parts = [self._special.split(x) if self._special and any(y in x for y in self.special) else [x] for x in texts]
+        cut = [[self.fragments.findall(y) if k % 2 == 0 else y for k, y in enumerate(own)] for own in parts]
+        missing = {x for own in cut for found in own[::2] for x in found}.difference(self.memo)
+        known = [x for x in missing if x in self.old]
+        self.memo.update(zip(known, map(self.old.__getitem__, known), strict=True))
+        fresh = list(missing.difference(known))
+        self.memo.update(zip(fresh, self.fragments_encoded(fresh), strict=True))
+        get = self.memo.__getitem__
+        out = [b"".join([b"".join(map(get, x)) if k % 2 == 0 else struct.pack("<I", self.special[x]) for k, x in enumerate(own)]) for own in cut]
+        for x in fresh:
+            if len(x) > MEMO_CHARS:
+                del self.memo[x]
+        if len(self.memo) > MEMO_FRAGMENTS:
+            self.old, self.memo = self.memo, {}
+        return out
 
     def decode(self, ids: bytes) -> str:
         """The text of ids; bytes that aren't UTF-8 become U+FFFD."""
@@ -238,7 +311,7 @@ def encode(df: DataFrame, tokenizer: Tokenizer, text: str = "text", ids: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer.get()
         for batch in batches:
-            yield replaced(batch, ids, pa.array([bpe.encode(x) if x else b"" for x in batch.column(text).to_pylist()], pa.binary()))
+            yield replaced(batch, ids, pa.array(bpe.encode_many(batch.column(text).to_pylist()), pa.binary()))
 
     return df.mapInArrow(run, schema)
 

@@ -51,8 +51,8 @@ def tokenized(docs: DataFrame, tokenizer: Tokenizer, end_id: int) -> DataFrame:
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             local, n, ids = [], [], []
-            for text in batch.column("text").to_pylist():
-                own = (bpe.encode(text) if text else b"") + end
+            for own in bpe.encode_many(batch.column("text").to_pylist()):
+                own += end
                 local.append(at)
                 n.append(len(own) // 4)
                 at += n[-1]

@@ -80,8 +80,8 @@ def write_tokens(docs: DataFrame, tokenizer: Tokenizer, end_id: int, path: str,
         for batch in batches:
             rows: list[tuple] = []
             flat: list[np.ndarray] = []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                own = np.append(np.frombuffer(bpe.encode(text) if text else b"", "<u4"), end_id).astype(np.int32)
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), bpe.encode_many(batch.column("text").to_pylist()), strict=True):
+                own = np.append(np.frombuffer(ids, "<u4"), end_id).astype(np.int32)
                 for k, i in enumerate(range(0, len(own), CHUNK)):
                     rows.append((doc, part, at, k, len(own)))
                     flat.append(own[i : i + CHUNK])
