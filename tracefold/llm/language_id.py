@@ -62,6 +62,7 @@ def sequences(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     letters = np.add.reduceat((c != 0).astype(np.int64), starts)
     for k in range(pad):
         stays[starts + k] = True
+    stays[starts + sizes - 1] |= letters == 0  # each text has a sequence
     n = np.add.reduceat(stays.astype(np.int64), starts)
     c = c[stays]
     first = np.concatenate([[0], np.cumsum(n)[:-1]])
