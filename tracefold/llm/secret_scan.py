@@ -166,6 +166,9 @@ def redacted(docs: DataFrame, text: str = "text", mark: str = "[REDACTED]", scop
 
     rest = lambda s: F.concat(F.array_join(s["out"], ""), F.substring(F.col(text), s["at"] + 1, F.length(F.col(text))))
     clean = F.aggregate("__found", F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")), step, rest)
-    body = F.when(F.col("__found").isNull(), F.col(text)).otherwise(clean)
-    new = {text: body} | ({"n_chars": F.when(F.col("__found").isNull(), F.col("n_chars")).otherwise(F.length(body).cast(docs.schema["n_chars"].dataType))} if "n_chars" in docs.columns else {})
+    # Under a name of its own first: in one select, `text` inside the lambdas could also mean the new column.
+    joined = joined.withColumn("__clean", F.when(F.col("__found").isNull(), F.col(text)).otherwise(clean))
+    new = {text: F.col("__clean")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(F.col("__found").isNull(), F.col("n_chars")).otherwise(F.length("__clean").cast(docs.schema["n_chars"].dataType))
     return joined.select(*(new[c].alias(c) if c in new else F.col(c) for c in docs.columns))
