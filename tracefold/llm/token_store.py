@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bpe import Tokenizer
+from .common import cut
 from .packing import T_ARROW, prefix_totals
 
 CHUNK = 4096
@@ -119,7 +120,7 @@ def token_digests(tokens: DataFrame) -> DataFrame:
             crc = [zlib.crc32(flat[i:j].tobytes()) for i, j in zip(at[:-1], at[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "start", "n_tokens", "chunk")), pa.array(crc, pa.int64()), pa.array(np.diff(at) * 4, pa.int64())], names=fields.names)
 
-    parts = tokens.select("doc_id", "start", "n_tokens", "chunk", "ids").mapInArrow(run, fields)
+    parts = cut(tokens.select("doc_id", "start", "n_tokens", "chunk", "ids").mapInArrow(run, fields), "token-digests")
     one = parts.where(F.col("n_tokens") <= CHUNK).select("doc_id", "start", "n_tokens", F.col("crc").alias("ids_crc32"))
     joined = F.udf(combined, "long")
     more = parts.where(F.col("n_tokens") > CHUNK).groupBy("doc_id", "start", "n_tokens").agg(F.sort_array(F.collect_list(F.struct("chunk", "crc", "bytes"))).alias("chunks"))
