@@ -32,8 +32,12 @@ from pyspark.sql import types as T
 WHITE = "\t-\r \x85\xa0  -     　"
 #: The pattern of the byte-level pre-tokenizer (fixed value of the file format).
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: White space for Python but not for Unicode.
+OTHER_SPACE = re.compile("[\x1c-\x1f]")
+#: Marks that are words by themselves after letters, in either pattern.
+MARKS = tuple(".,;:!?")
 #: Fragments after which a task starts a new memo; it keeps the one before as well, and forgets what neither has met.
-MEMO_FRAGMENTS = 250_000
+MEMO_FRAGMENTS = 400_000
 #: Characters of text whose new fragments are encoded side by side.
 GROUP_CHARS = 1 << 20
 #: Bytes of a run above which it is merged by itself.
@@ -112,9 +116,11 @@ class ForcedBoundaryBPE:
         if len(kinds) == 1 and kinds[0]["type"] == "ByteLevel" and kinds[0]["use_regex"] and not kinds[0]["add_prefix_space"]:
             self.pattern = regex.compile(BYTE_LEVEL_PATTERN)
             self.fragments = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
+            self.simple = re.compile(r"\s*\S+|\s+").findall
         elif len(kinds) == 2 and kinds[0]["type"] == "Split" and kinds[0]["invert"] and kinds[0]["behavior"] == "Removed" and kinds[1]["type"] == "ByteLevel" and not kinds[1]["use_regex"]:
             self.pattern = regex.compile(kinds[0]["pattern"]["Regex"])
             self.fragments = re.compile(f"[^{WHITE}]+")  # what the pattern doesn't match is removed, white space above all
+            self.simple = str.split
         else:
             raise ValueError(f"unknown pre-tokenizer: {spec}")
 
@@ -200,6 +206,19 @@ class ForcedBoundaryBPE:
                 heapq.heappush(heap, (rank, h))
         return [x for x in ids if x >= 0]
 
+    def split(self, text: str) -> list[str]:
+        """The tokenizer's own words in a fragment; letters with one mark after them need no pattern."""
+        body = text[1:] if text[0] == " " else text
+        if body.isalpha():
+            return [text]
+        if body[-1:] in MARKS and body[:-1].isalpha():
+            return [text[:-1], text[-1]]
+        return self.pattern.findall(text)
+
+    def found(self, text: str) -> list[str]:
+        """The fragments of a text. Python's own idea of white space has four characters more than Unicode's."""
+        return self.fragments.findall(text) if OTHER_SPACE.search(text) else self.simple(text)
+
     def fragments_encoded(self, fragments: list[str]) -> list[bytes]:
         """The ids of each fragment: the tokenizer's own words in it, cut at forced pairs, all merged side by side."""
         words, owner = [], []
@@ -208,7 +227,7 @@ class ForcedBoundaryBPE:
                 text = unicodedata.normalize("NFC", text)
             if self.lower:
                 text = text.replace("Σ", "σ").lower()  # letter by letter, without the rule for a final sigma
-            found = self.pattern.findall(text)
+            found = self.split(text)
             words += found
             owner += [k] * len(found)
         bodies = [w.encode() for w in words]
@@ -253,7 +272,7 @@ class ForcedBoundaryBPE:
 
     def _group(self, texts: list[str]) -> list[bytes]:
         parts = [self._special.split(x) if self._special and any(y in x for y in self.special) else [x] for x in texts]
-        cut = [[self.fragments.findall(y) if k % 2 == 0 else y for k, y in enumerate(own)] for own in parts]
+        cut = [[self.found(y) if k % 2 == 0 else y for k, y in enumerate(own)] for own in parts]
         missing = {x for own in cut for found in own[::2] for x in found}.difference(self.memo)
         known = [x for x in missing if x in self.old]
         self.memo.update(zip(known, map(self.old.__getitem__, known), strict=True))
