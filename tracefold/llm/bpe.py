@@ -28,6 +28,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from .common import slices
+
 #: Unicode White_Space, as a class for re.
 WHITE = "\t-\r \x85\xa0  -     　"
 #: The pattern of the byte-level pre-tokenizer (fixed value of the file format).
@@ -329,7 +331,7 @@ def encode(df: DataFrame, tokenizer: Tokenizer, text: str = "text", ids: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer.get()
-        for batch in batches:
+        for batch in slices(batches):
             yield replaced(batch, ids, pa.array(bpe.encode_many(batch.column(text).to_pylist()), pa.binary()))
 
     return df.mapInArrow(run, schema)
@@ -341,7 +343,7 @@ def decode(df: DataFrame, tokenizer: Tokenizer, ids: str = "ids", text: str = "d
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer.get()
-        for batch in batches:
+        for batch in slices(batches):
             yield replaced(batch, text, pa.array([bpe.decode(x) if x else "" for x in batch.column(ids).to_pylist()], pa.string()))
 
     return df.mapInArrow(run, schema)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, slices
 
 ORDER = 4
 #: Labelled documents of each language that are learned from, about.
@@ -34,7 +34,7 @@ ACCEPTED = 0.995
 #: Values that are tried for the sharpness of the score.
 SHARPNESS = (1.0, 2.0, 5.0, 10.0, 20.0, 50.0, 100.0, 200.0)
 #: Characters that are scored at once.
-CHARS = 1 << 18
+CHARS = 1 << 16
 #: Any odd number maps 64-bit keys one to one; this one (2**64 over the golden ratio) spreads them.
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 UNKNOWN = "und"
@@ -175,7 +175,7 @@ def learn(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Models:
     picked = cut(labelled.where(place < share).select("lang", "text", (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(CALIBRATES)) == 0).alias("calibrates")), "language-sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts: dict[str, list[str]] = {}
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 texts.setdefault(lang, []).append(text)
@@ -192,7 +192,7 @@ def learn(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Models:
     sent = labelled.sparkSession.sparkContext.broadcast(models)
 
     def calibrate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             own = [sent.value.langs.index(x) if x in sent.value.langs else -1 for x in batch.column("lang").to_pylist()]
             h, letters = scored(sent.value, batch.column("text").to_pylist())
             ok = (letters > 0) & (np.array(own, np.int64) >= 0)
@@ -247,7 +247,7 @@ def identify(docs: DataFrame, models: Models) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
-        for batch in batches:
+        for batch in slices(batches):
             h, letters = scored(m, batch.column("text").to_pylist())
             best, any_ = h.argmin(axis=1), letters > 0
             score = np.where(any_, posterior(h, m.sharpness).max(axis=1, initial=0), 0.0)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bpe import Tokenizer
-from .common import cut
+from .common import cut, slices
 
 WINDOW = 4096
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_tokens long"
@@ -49,7 +49,7 @@ def tokenized(docs: DataFrame, tokenizer: Tokenizer, end_id: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, part, at = tokenizer.get(), TaskContext.get().partitionId(), 0
         end = np.array([end_id], "<u4").tobytes()
-        for batch in batches:
+        for batch in slices(batches):
             local, n, ids = [], [], []
             for own in bpe.encode_many(batch.column("text").to_pylist()):
                 own += end
@@ -91,7 +91,7 @@ def pack(docs: DataFrame, tokenizer: Tokenizer, end_id: int, window: int = WINDO
     fields = T.StructType([docs.schema["doc_id"], *fields.fields[1:]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out: list[tuple] = []
             for doc, at, ids in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "at", "ids")), strict=True):
                 own, start = widened(ids), 0

@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import slices
+
 #: Rows of the sample that orders the rules, about; the verdict does not depend on it.
 SAMPLE_ROWS = 1000
 #: Characters that count as symbols (fixed values).
@@ -103,7 +105,7 @@ def cascade_order(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows:
     picked = docs.select("text").sample(False, share, seed=7) if share < 1 else docs.select("text")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             spent, hits = [0.0] * len(rules), [0] * len(rules)
             for text in batch.column(0).to_pylist():
                 for k, rule in enumerate(rules):
@@ -130,7 +132,7 @@ def quality(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int =
     ordered = cascade_order(docs, rules, sample_rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for text in batch.column("text").to_pylist():
                 x = Text(text)
@@ -153,7 +155,7 @@ def filtered(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int
     ordered = cascade_order(docs, rules, sample_rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             yield batch.filter(pa.array([accepted(Text(x), ordered) for x in batch.column("text").to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

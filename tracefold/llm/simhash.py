@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded, cut
+from .common import bounded, cut, slices
 
 SHINGLE = 3
 DISTANCE = 3
@@ -64,7 +64,7 @@ def fingerprints(docs: DataFrame, text: str = "text", width: int = SHINGLE) -> D
     """doc_id and fp (the fingerprint as a signed long) of each row of docs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             own = np.array([fingerprint(x, width) for x in batch.column(1).to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own)], names=["doc_id", "fp"])
 

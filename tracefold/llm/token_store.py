@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bpe import Tokenizer
-from .common import cut
+from .common import cut, slices
 from .packing import T_ARROW, prefix_totals
 
 CHUNK = 4096
@@ -78,7 +78,7 @@ def write_tokens(docs: DataFrame, tokenizer: Tokenizer, end_id: int, path: str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, part, at = tokenizer.get(), TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in slices(batches):
             rows: list[tuple] = []
             flat: list[np.ndarray] = []
             for doc, ids in zip(batch.column("doc_id").to_pylist(), bpe.encode_many(batch.column("text").to_pylist()), strict=True):
@@ -114,7 +114,7 @@ def token_digests(tokens: DataFrame) -> DataFrame:
     fields = T.StructType([tokens.schema["doc_id"], *T._parse_datatype_string("start long, n_tokens long, chunk int, crc long, bytes long")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             ids = batch.column("ids")
             flat, at = ids.flatten().to_numpy(zero_copy_only=False).astype("<u4"), np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False))])
             crc = [zlib.crc32(flat[i:j].tobytes()) for i, j in zip(at[:-1], at[1:], strict=True)]
