@@ -153,7 +153,7 @@ def format_span(ms: Column) -> Column:
 def human_bytes(n: Column) -> Column:
     """A number of bytes with a unit, in powers of 1024."""
     units = F.array(*map(F.lit, ("B", "KB", "MB", "GB", "TB", "PB", "EB")))
-    at = F.when(n == 0, 0).otherwise(F.floor(F.log(F.lit(1024.0), F.abs(n).cast("double")) + 1e-12).cast("int"))
+    at = F.when(n == 0, 0).otherwise(F.floor(F.log2(F.abs(n).cast("double")) / 10 + 1e-12).cast("int"))
     return F.concat(F.round(n / F.pow(F.lit(1024.0), at), 1).cast("string"), F.get(units, at))
 
 

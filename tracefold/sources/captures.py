@@ -140,7 +140,7 @@ class CaptureReader(DataSourceReader):
             with open(partition.path, "rb") as f:
                 data = f.read()
             h = header_of(data, name)
-        except (OSError, struct.error):
+        except (OSError, struct.error, IndexError):
             return  # unreadable files are passed over
         rows: list[tuple] = []
         for number, (ts, direction, opcode, conn, body) in enumerate(frames_of(data, h)):

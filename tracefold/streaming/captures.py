@@ -100,9 +100,9 @@ def stream_session_state(events: DataFrame, session: str, value: str) -> DataFra
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         rows = pd.concat(list(batches)).sort_values("number")
-        filled = rows[value].ffill()
+        filled = rows[value].astype("object").ffill()
         if state.exists and state.get[0] is not None:
-            filled = filled.fillna(state.get[0])
+            filled = filled.where(filled.notna(), state.get[0])
         last = filled.iloc[-1]
         state.update((None if pd.isna(last) else last,))
         yield rows.assign(**{f"current_{value}": filled})[[session, "number", value, f"current_{value}"]]
