@@ -76,6 +76,29 @@ def op10_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secrets(documents(spark, sf_dir)).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
 
 
+WORD = "[a-z0-9][a-z0-9.-]*[a-z0-9]|[a-z0-9]"
+LICENCE_SQL = rf"""
+    WITH f AS (SELECT doc_id, text, CASE WHEN doc_id % 5 = 0 THEN source ELSE source || '/' || doc_id // 500 END AS folder, source FROM documents),
+    l AS (SELECT doc_id, line FROM (SELECT doc_id, unnest(regexp_split_to_array(text, '\r?\n')) AS line FROM f) WHERE contains(lower(line), 'licen')),
+    k AS (SELECT line, count(*) AS lines FROM l GROUP BY 1),
+    t AS (SELECT line, lines, term, count(*) AS tf FROM (SELECT line, lines, unnest(regexp_extract_all(lower(line), '{WORD}')) AS term FROM k) GROUP BY 1, 2, 3),
+    m AS (SELECT licence, term, count(*) AS n FROM (SELECT licence, unnest(regexp_extract_all(lower(notice), '{WORD}')) AS term
+        FROM (VALUES {", ".join(f"('{a}', '{b}')" for a, b in license_scan.TEMPLATES)}) AS v(licence, notice)) GROUP BY 1, 2),
+    tot AS (SELECT coalesce(sum(lines), 0) AS n FROM k),
+    df AS (SELECT term, sum(lines) AS df FROM t GROUP BY 1),
+    idf AS (SELECT v.term, ln((tot.n + 1.0) / (coalesce(df, 0) + 1.0)) + 1 AS idf FROM (SELECT DISTINCT term FROM m) v CROSS JOIN tot LEFT JOIN df ON v.term = df.term),
+    w AS (SELECT line, t.term, tf * coalesce(idf, ln(tot.n + 1.0) + 1) AS w FROM t CROSS JOIN tot LEFT JOIN idf ON t.term = idf.term),
+    x AS (SELECT licence, m.term, n * idf AS x FROM m JOIN idf ON m.term = idf.term),
+    c AS (SELECT w.line, x.licence, round(sum(w * x) / any_value(a.norm) / any_value(b.norm), 6) AS cosine FROM w JOIN x ON w.term = x.term
+        JOIN (SELECT line, sqrt(sum(w * w)) AS norm FROM w GROUP BY 1) a ON a.line = w.line JOIN (SELECT licence, sqrt(sum(x * x)) AS norm FROM x GROUP BY 1) b ON b.licence = x.licence GROUP BY 1, 2),
+    o AS (SELECT doc_id, arg_min(licence, struct_pack(a := -cosine, b := licence)) AS licence, max(cosine) AS cosine FROM l JOIN c ON l.line = c.line WHERE cosine >= {license_scan.SIMILAR} GROUP BY 1),
+    p AS (SELECT f.doc_id, folder || '/' || f.doc_id AS path, folder, source, o.licence, o.cosine, len(regexp_split_to_array(trim(text), '\s+')) <= 60 AS short FROM f LEFT JOIN o ON f.doc_id = o.doc_id),
+    s AS (SELECT folder, arg_min(struct_pack(l := licence, c := cosine, d := doc_id), struct_pack(a := -cosine, b := path)) AS s FROM p WHERE short AND licence IS NOT NULL GROUP BY 1),
+    u AS (SELECT p.*, CASE WHEN p.licence IS NULL THEN coalesce(near.s, far.s) END AS up FROM p LEFT JOIN s near ON near.folder = p.folder LEFT JOIN s far ON far.folder = p.source)
+    SELECT doc_id, path, coalesce(licence, up.l) AS licence, coalesce(cosine, up.c) AS cosine, CASE WHEN licence IS NOT NULL THEN 'own' WHEN up IS NOT NULL THEN 'inherited' END AS origin,
+        CASE WHEN licence IS NOT NULL THEN doc_id ELSE up.d END AS licence_doc_id FROM u
+"""
+
 QUERIES = {f.__name__: f for f in (op1_bpe, op2_packing, op3_exact_dedup, op4_simhash, op5_token_orc, op6_license_scan, op7_quality, op8_language_id, op9_hilbert_shards, op10_secret_links)}
 
 ORACLE_SQL = {
@@ -102,4 +125,5 @@ ORACLE_SQL = {
             NOT base_failed AND 10 * n_symbols <= n_words AND 2 * n_dup_lines <= lines AND word_chars BETWEEN 2 * n_words AND 15 * n_words AND 2 * upper_chars <= word_chars AS kept
         FROM b
     """,
+    "op6_license_scan": LICENCE_SQL,
 }
