@@ -22,6 +22,7 @@ from ..operators import dedupe as D
 from ..operators import filters as L
 from ..operators import joins as J
 from ..operators import windows as W
+from ..sources.scratch import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -471,7 +472,7 @@ def line_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def number_spawns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events numbered in time order, by ranges and sums of ranges."""
     e = events(spark, sf_dir).withColumn("guid", F.col("capture_id"))
-    return W.number_spawns(e, "CGUID").select(F.col("number").alias("event_id"), "spawn_id")
+    return W.number_spawns(e, "CGUID", scratch_path(spark, "numbers")).select(F.col("number").alias("event_id"), "spawn_id")
 
 
 @query("SELECT l_orderkey, l_linenumber, CAST((row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber) - 1) // 250 AS INTEGER) AS batch FROM lineitem")
@@ -613,8 +614,6 @@ def discount_by_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT user_id AS capture_id, CASE event_type WHEN 'click' THEN 'success' WHEN 'purchase' THEN 'with_errors' WHEN 'error' THEN 'not_parsed' ELSE 'no_structure' END AS outcome, count(*) AS n FROM events WHERE event_type <> 'view' GROUP BY 1, 2")
 def stream_parse_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events read as a file stream to its end, in complete mode; the result of the last trigger."""
-    import tempfile
-
     from ..streaming.captures import stream_parse_stats as stats
 
     path = f"{sf_dir}/events.parquet"
@@ -622,9 +621,8 @@ def stream_parse_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(f"{sf_dir}/events.parquet*")
     rows = source.select(F.col("user_id").alias("capture_id"), F.col("event_type").alias("kind"))
     name = f"stats_{abs(hash(sf_dir)) % 10**8}_{next(COUNTER)}"
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-")
     totals = stats(rows.withColumn("status", outcome()).withColumn("write_to_file", F.lit(True)))
-    stream = totals.writeStream.outputMode("complete").format("memory").queryName(name).option("checkpointLocation", f"{root}/{name}").trigger(availableNow=True).start()
+    stream = totals.writeStream.outputMode("complete").format("memory").queryName(name).option("checkpointLocation", scratch_path(spark, name)).trigger(availableNow=True).start()
     stream.awaitTermination()
     return spark.table(name)
 
