@@ -100,13 +100,15 @@ def stream_session_state(events: DataFrame, session: str, value: str) -> DataFra
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         rows = pd.concat(list(batches)).sort_values("number")
-        filled = rows[value].astype("object").ffill()
-        if state.exists and state.get[0] is not None:
-            filled = filled.where(filled.notna(), state.get[0])
-        last = filled.iloc[-1]
-        state.update((None if pd.isna(last) else last,))
-        yield rows.assign(**{f"current_{value}": filled})[[session, "number", value, f"current_{value}"]]
-
+        current, out = (state.get[0] if state.exists else None), []
+        for v in rows[value]:
+            if not pd.isna(v):
+                current = int(v) if whole else v  # a column with nulls comes as floats
+            out.append(current)
+        state.update((current,))
+        yield rows.assign(**{f"current_{value}": pd.Series(out, index=rows.index, dtype="Int64" if whole else object)})[[session, "number", value, f"current_{value}"]]
+
+    whole = kinds[value] in ("tinyint", "smallint", "int", "bigint")
     return events.select(session, "number", value).groupBy(session).applyInPandasWithState(step, f"{session} {kinds[session]}, number long, {value} {kinds[value]}, current_{value} {kinds[value]}", f"last {kinds[value]}", "append", GroupStateTimeout.NoTimeout)
 
 
