@@ -47,10 +47,12 @@ def cut(df: DataFrame, name: str) -> DataFrame:
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
-    """The batches in slices of rows rows, so that few of their texts are Python objects at once."""
+    """The batches in slices of rows rows, so that few of their texts are Python objects at once; Arrow gives back what it no longer needs."""
     for batch in batches:
         for k in range(0, batch.num_rows, rows):
             yield batch.slice(k, rows)
+        del batch
+        pa.default_memory_pool().release_unused()
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
