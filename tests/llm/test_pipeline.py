@@ -65,3 +65,13 @@ def test_stages_take_clashing_columns_and_empty_tables(spark, docs):
     for _, stage in corpus_pipeline.STAGES:
         stage(spark, df, None).collect()
         stage(spark, df.limit(0), None).collect()
+
+
+def test_the_row_that_was_judged_stays(spark, docs):
+    long_, alone, near = " ".join(f"w{k}" for k in range(30)), "a text of its own", " ".join(f"v{k}" for k in range(40))
+    df = docs([(1, long_), (None, long_), (None, alone), (2, near), (7, near.upper() + " "), (7, "unlike any")])
+    exact = corpus_pipeline.exact_copies(spark, df, None)
+    assert exact.columns == df.columns
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in exact.collect()) == sorted([(0, alone), (1, long_), (2, near), (7, near.upper() + " "), (7, "unlike any")])
+    nearly = corpus_pipeline.near_copies(spark, df, None)
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in nearly.collect()) == sorted([(0, alone), (1, long_), (2, near), (7, "unlike any")])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -64,6 +64,19 @@ def bounded(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
+def keep_rows(docs: DataFrame, judge: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """The rows of docs that judge(docs, row) keeps, with docs' own columns.
+
+    docs is written once with an id for each row; judge gets it with the name of
+    that column and returns it with `kept`. So each verdict meets the row it was
+    made for, whatever its doc_id is and however often that occurs.
+    """
+    row = "__row"
+    numbered = cut(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    dropped = cut(judge(numbered, row).where(~F.col("kept")).select(row), "dropped")
+    return numbered.join(bounded(dropped), row, "left_anti").select(*docs.columns)
+
+
 def keep(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
     """The rows of docs that verdicts (doc_id, kept; one row per row of docs) keeps, with docs' own columns.
 

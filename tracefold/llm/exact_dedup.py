@@ -76,7 +76,7 @@ def index(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return cut(placed.repartitionByRange("bucket", "key").sortWithinPartitions("bucket", "key"), "dedup-index")
 
 
-def exact_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", capacity: int = CAPACITY, hashed: object = F.xxhash64) -> DataFrame:
+def exact_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", capacity: int = CAPACITY, hashed: object = F.xxhash64, row: str | None = None) -> DataFrame:
     """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when their normalised bytes are. Of equal texts one row
@@ -87,11 +87,14 @@ def exact_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", capac
     are ignored.
 
     hashed: the 64-bit hash of the key; tests pass a weak one to force chains.
+    row: a column of docs with an id for each row, in the order of the files; the
+    verdicts have it as well.
     """
     plain = normalised(F.col(text))
-    rows = docs.select(F.col(key).alias("doc_id"), F.length(F.coalesce(F.col(text), F.lit(""))).alias("n"), plain.alias("plain"))
-    rows = rows.select("doc_id", "n", hashed("plain").alias("key"), F.octet_length("plain").alias("length"), F.sha2("plain", 256).alias("text_sha256"))
-    rows = cut(rows.withColumn("row", F.monotonically_increasing_id()), "dedup-rows")
+    given = F.monotonically_increasing_id() if row is None else F.col(row)
+    rows = docs.select(given.alias("row"), F.col(key).alias("doc_id"), F.length(F.coalesce(F.col(text), F.lit(""))).alias("n"), plain.alias("plain"))
+    rows = rows.select("row", "doc_id", "n", hashed("plain").alias("key"), F.octet_length("plain").alias("length"), F.sha2("plain", 256).alias("text_sha256"))
+    rows = cut(rows, "dedup-rows")
     chains = index(rows, capacity).where("members > 1").select("bucket", "key", "length")
 
     members = docs.select(plain.alias("plain")).select("plain", hashed("plain").alias("key"), F.octet_length("plain").alias("length"))
@@ -109,4 +112,5 @@ def exact_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", capac
         F.coalesce("group_size", F.lit(1)).alias("group_size"),
         (alone | (F.col("row") == F.col("best_row"))).alias("kept"),
         "text_sha256",
+        *([] if row is None else [F.col("row").alias(row)]),
     )

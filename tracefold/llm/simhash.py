@@ -60,15 +60,16 @@ def fingerprint(text: str | None, width: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(count * 2 > n).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, text: str = "text", width: int = SHINGLE) -> DataFrame:
-    """doc_id and fp (the fingerprint as a signed long) of each row of docs."""
+def fingerprints(docs: DataFrame, text: str = "text", width: int = SHINGLE, row: str | None = None) -> DataFrame:
+    """doc_id and fp (the fingerprint as a signed long) of each row of docs, and `row` from the column of that name given."""
+    more = [] if row is None else [T.StructField("row", T.LongType())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             own = np.array([fingerprint(x, width) for x in batch.column(1).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own), *batch.columns[2:]], names=["doc_id", "fp", *(f.name for f in more)])
 
-    return docs.select("doc_id", text).mapInArrow(run, T.StructType([docs.schema["doc_id"], T.StructField("fp", T.LongType())]))
+    return docs.select("doc_id", text, *([] if row is None else [row])).mapInArrow(run, T.StructType([docs.schema["doc_id"], T.StructField("fp", T.LongType()), *more]))
 
 
 def gray_rank(fp: np.ndarray) -> np.ndarray:
@@ -224,7 +225,7 @@ def components(edges: DataFrame) -> DataFrame:
     return found if found is not None else edges.toDF("node", "root")
 
 
-def near_groups(docs: DataFrame, text: str = "text", width: int = SHINGLE, distance: int = DISTANCE, group_rows: int = GROUP_ROWS) -> DataFrame:
+def near_groups(docs: DataFrame, text: str = "text", width: int = SHINGLE, distance: int = DISTANCE, group_rows: int = GROUP_ROWS, row: str | None = None) -> DataFrame:
     """One row per row of docs: doc_id, fingerprint (16 lowercase hex digits), component_id, kept.
 
     component_id is the smallest doc_id that links lead to, its own included
@@ -233,8 +234,12 @@ def near_groups(docs: DataFrame, text: str = "text", width: int = SHINGLE, dista
     have fingerprint zero and link like any other; a text with fewer words than
     width is one shingle. Repeated rows and ties are members like any other. An
     empty table gives no rows. Other columns of docs are ignored.
+
+    row: a column of docs with an id (long) for each row, in the order of the
+    files; the verdicts have it as well.
     """
-    rows = cut(fingerprints(docs.select("doc_id", text), text, width).withColumn("row", F.monotonically_increasing_id()), "simhash-rows")
+    rows = fingerprints(docs, text, width, row)
+    rows = cut(rows if row is not None else rows.withColumn("row", F.monotonically_increasing_id()), "simhash-rows")
     first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
     fps = cut(rows.groupBy("fp").agg(F.min(first).alias("first")), "simhash-fps")
     roots = components(near_edges(fps, distance, group_rows)).toDF("fp", "root")
@@ -246,4 +251,5 @@ def near_groups(docs: DataFrame, text: str = "text", width: int = SHINGLE, dista
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.col("head.doc_id").alias("component_id"),
         (F.col("row") == F.col("head.row")).alias("kept"),
+        *([] if row is None else [F.col("row").alias(row)]),
     )
