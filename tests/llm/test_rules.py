@@ -227,3 +227,13 @@ def test_licences_and_inheritance(spark):
     for path, text in (("a/LICENSE", files[0][1]), ("a/b/c/y.py", "licensed under the apache license version 2.0")):
         assert got[path]["cosine"] == pytest.approx(want[text][1], abs=1e-6)
     assert license_scan.scanned(df.limit(0)).count() == 0
+
+
+def test_licence_files_with_endings_and_in_the_root_speak_for_what_is_below(spark):
+    mit, gpl = "Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3."
+    files = [("LICENSE", mit), ("b.py", "x"), ("src/a.py", None), ("LICENSE/c.py", "x"), ("p/LICENSE.md", gpl), ("p/q/d.py", "x"), ("r/COPYING.LESSER", gpl), ("r/e.py", ""), ("s/licenses.txt", gpl), ("s/f.py", "x")]
+    got = {r["path"]: (r["licence"], r["origin"], r["licence_path"]) for r in license_scan.scanned(spark.createDataFrame(files, "path string, text string")).collect()}
+    assert {p: g for p, g in got.items() if g[1] != "own"} == {
+        "b.py": ("MIT", "inherited", "LICENSE"), "src/a.py": ("MIT", "inherited", "LICENSE"), "LICENSE/c.py": ("MIT", "inherited", "LICENSE"),
+        "p/q/d.py": ("GPL-3.0", "inherited", "p/LICENSE.md"), "r/e.py": ("GPL-3.0", "inherited", "r/COPYING.LESSER"), "s/f.py": ("MIT", "inherited", "LICENSE"),
+    }

@@ -35,7 +35,7 @@ HINT = "licen"
 #: Least cosine of a match.
 SIMILAR = 0.75
 #: Names of files that speak for their directory.
-LICENCE_FILE = r"(?i)^(licen[cs]e|copying|notice)(\\..*)?$"
+LICENCE_FILE = r"(?i)^(licen[cs]e|copying|notice)(\..*)?$"
 
 
 def words(line: Column) -> Column:
@@ -75,6 +75,7 @@ def scanned(files: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES
     """One row per path of files (path, text): path, licence, cosine, origin ('own', 'inherited' or null), licence_path.
 
     licence_file: which rows are licence files; by default their name says so.
+    A licence file in the root speaks for all paths without a nearer one.
     Of several licence files in a directory the most similar counts, then the
     first path. A null or empty text has no licence of its own; a null path
     gives no row, and rows that share a path are one file with all their lines.
@@ -84,14 +85,18 @@ def scanned(files: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES
     own = cut(detected(files.select("path", "text").where("path is not null"), templates, similar), "licence-own")
     marks = files.where("path is not null").select("path", is_file.alias("speaks")).groupBy("path").agg(F.bool_or("speaks").alias("speaks"))
     marked = cut(marks.join(bounded(own), "path", "left"), "licence-paths")
-    above = F.expr("transform(sequence(1, greatest(size(split(path, '/')) - 1, 1)), k -> struct(k as depth, substring_index(path, '/', k) as folder))")
-    folder = F.expr("substring_index(path, '/', greatest(size(split(path, '/')) - 1, 1))")
+    above = F.expr("transform(filter(sequence(0, size(split(path, '/')) - 1), k -> k > 0), k -> struct(k as depth, substring_index(path, '/', k) as folder))")
+    folder = F.expr("substring_index(path, '/', size(split(path, '/')) - 1)")
     speak = marked.where("speaks and licence is not null").select(folder.alias("folder"), F.struct((-F.col("cosine")).alias("less"), "path", "licence", "cosine").alias("s")).groupBy("folder").agg(F.min("s").alias("s"))
+    speak = cut(speak, "licence-folders")
+    root = speak.where("folder = ''").select(F.col("s").alias("root"))  # one row at most
     bare = marked.where("licence is null").select("path", F.inline(above))
-    near = bare.join(bounded(cut(speak, "licence-folders")), "folder").groupBy("path").agg(F.max_by("s", "depth").alias("s"))
-    near = near.select("path", F.col("s.licence").alias("up"), F.col("s.cosine").alias("up_cosine"), F.col("s.path").alias("up_path"))
+    near = bare.join(bounded(speak), "folder").groupBy("path").agg(F.max_by("s", "depth").alias("s"))
+    s = F.coalesce("s", "root")
+    up = marked.join(near, "path", "left").join(F.broadcast(root), F.lit(True), "left")
+    up = up.select(*marked.columns, s["licence"].alias("up"), s["cosine"].alias("up_cosine"), s["path"].alias("up_path"))
     owned = F.col("licence").isNotNull()
-    return marked.join(near, "path", "left").select(
+    return up.select(
         "path",
         F.coalesce("licence", "up").alias("licence"),
         F.coalesce("cosine", "up_cosine").alias("cosine"),
