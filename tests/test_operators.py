@@ -291,3 +291,14 @@ def test_order_and_dedupe(spark):
     lines = df(spark, "c int, k int, start int, text int, stop int, extra int", (1, 1, 0, 1, 100, 2), (1, 2, 10, 2, 100, 0), (1, 3, 30, 3, 100, 5))
     known = df(spark, "text int", (2,))
     assert {r["k"]: r["duration"] for r in W.line_durations(lines, known, ["c"], "k", "start", "text", "stop", "extra").collect()} == {1: 28, 3: 65}
+
+
+def test_percentiles_of_a_hot_mover_are_exact_and_spread(spark):
+    n = 1_000_001  # above the size at which percentiles were approximate once
+    v = F.col("id")
+    p = spark.range(n + 3).select(F.when(v < n, 1).otherwise(2).alias("capture_id"), F.lit("g").alias("guid"), v.alias("segment_id"), F.lit(1).alias("segment_points"), (F.when(v < n, (v * 7919) % n) * 1.0).alias("x"), F.lit(3.0).alias("y"), v.cast("double").alias("z"), F.lit(T0).alias("ts"))
+    tied = A.exact_percentiles(p.where("capture_id = 2").unionByName(p.limit(4)), ["capture_id"], 0.25, {"z": "q"})
+    assert {r["capture_id"]: r["q"] for r in tied.collect()}[2] == n + 0.5
+    got = {r["capture_id"]: r for r in A.movement_summary(p).collect()}
+    assert (got[1]["median_x"], got[1]["median_y"], got[1]["median_z"], got[1]["points"], got[1]["exact"]) == (500000.0, 3.0, 500000.0, n, True)
+    assert (got[2]["median_x"], got[2]["median_z"], got[2]["radius"], got[2]["radius_robust"]) == (None, n + 1.0, None, None)

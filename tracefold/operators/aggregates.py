@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import scratch_path
 from .dedupe import first_of
-
-#: Members of a group above which percentiles are approximate.
-EXACT_ROWS = 1_000_000
+from .joins import small
+from .windows import global_number
 
 OUTCOMES = ("success", "with_errors", "not_parsed", "no_structure")
 
@@ -31,29 +31,50 @@ def stats_line(stats: DataFrame) -> DataFrame:
     return stats.withColumn("line", F.concat(F.format_string("%d packets: ", F.col("calculated_total")), F.concat_ws(", ", *parts)))
 
 
-def movement_summary(points: DataFrame, key: list[str] = ("capture_id", "guid"), exact_rows: int = EXACT_ROWS) -> DataFrame:
+def exact_percentiles(df: DataFrame, key: list[str], p: float, values: dict[str, str]) -> DataFrame:
+    """Per key: the interpolated percentile p of each column of values (column: name of its result), nulls left out.
+
+    The values of all keys are numbered in one order dealt by ranges, so a hot
+    key is spread over tasks; the two middle places of each key are picked by a
+    join. A key without values has no row. Results are those of F.percentile.
+    """
+    key = list(key)
+    each = F.array(*(F.struct(F.lit(out).alias("__of"), F.col(c).cast("double").alias("__v")) for c, out in values.items()))
+    rows = df.select(*key, F.inline(each)).where("__v is not null").withColumn("__tie", F.monotonically_increasing_id())  # equal values need not stay together
+    numbered = global_number(rows, [*key, "__of", "__v", "__tie"], "__n", scratch_path(df.sparkSession, "percentiles"))
+    place = (F.count("*") - 1) * F.lit(float(p))
+    places = numbered.groupBy(*key, "__of").agg(F.min("__n").alias("__first"), place.alias("__at"))
+    wanted = places.select("*", F.explode(F.array_distinct(F.array(F.col("__first") + F.floor("__at"), F.col("__first") + F.ceil("__at")))).alias("__n"))
+    picked = numbered.select("__n", "__v").join(small(wanted), "__n").groupBy(*key, "__of", "__at").agg(F.min("__v").alias("__low"), F.max("__v").alias("__high"))
+    between = (F.ceil("__at") - F.col("__at")) * F.col("__low") + (F.col("__at") - F.floor("__at")) * F.col("__high")
+    result = F.when(F.col("__low") == F.col("__high"), F.col("__low")).otherwise(between)
+    return picked.groupBy(*key).agg(*(F.max(F.when(F.col("__of") == out, result)).alias(out) for out in values.values()))
+
+
+def movement_summary(points: DataFrame, key: list[str] = ("capture_id", "guid")) -> DataFrame:
     """Per mover: points, segments, multi-point segments, median centre, largest and robust (99 %) distance from it, first and last time.
 
-    Two passes: the centre, then the distances. Percentiles are exact where no
-    group has more than exact_rows points, else approximate; `exact` says which.
-    points: key, segment_id, segment_points, x, y, z, ts.
+    Two passes: the centre, then the distances. Percentiles are exact at every
+    size, and `exact` is always true. points: key, segment_id, segment_points, x, y, z, ts.
     """
     key = list(key)
-    most = points.groupBy(*key).count().agg(F.max("count")).first()[0] or 0
-    exact = most <= exact_rows
-    pick = (lambda c, p: F.percentile(c, p)) if exact else (lambda c, p: F.percentile_approx(c, p, 10000))
     centre = points.groupBy(*key).agg(
         F.count("*").alias("points"),
         F.count_distinct("segment_id").alias("segments"),
         F.count_distinct(F.when(F.col("segment_points") > 1, F.col("segment_id"))).alias("multi_point_segments"),
-        *(pick(c, 0.5).alias(f"median_{c}") for c in "xyz"),
         F.min("ts").alias("first_seen"),
         F.max("ts").alias("last_seen"),
     )
+    medians = exact_percentiles(points, key, 0.5, {c: f"median_{c}" for c in "xyz"})
+    path = scratch_path(points.sparkSession, "centres")
+    centre = centre.join(medians, key, "left").select(*key, "points", "segments", "multi_point_segments", *(f"median_{c}" for c in "xyz"), "first_seen", "last_seen")
+    centre.write.parquet(path)
+    centre = points.sparkSession.read.schema(centre.schema).parquet(path)
     d = F.sqrt(sum(((F.col(c) - F.col(f"median_{c}")) * (F.col(c) - F.col(f"median_{c}")) for c in "yz"), (F.col("x") - F.col("median_x")) * (F.col("x") - F.col("median_x"))))
     far = points.select(*key, "x", "y", "z").join(centre.select(*key, *(f"median_{c}" for c in "xyz")), key).withColumn("d", d)
-    radii = far.groupBy(*key).agg(F.max("d").alias("radius"), pick("d", 0.99).alias("radius_robust"))
-    return centre.join(radii, key).withColumn("exact", F.lit(exact))
+    radii = far.groupBy(*key).agg(F.max("d").alias("radius"))
+    robust = exact_percentiles(far, key, 0.99, {"d": "radius_robust"})
+    return centre.join(radii, key).join(robust, key, "left").withColumn("exact", F.lit(True))
 
 
 def movement_kind(summary: DataFrame) -> DataFrame:
