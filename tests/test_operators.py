@@ -302,3 +302,11 @@ def test_percentiles_of_a_hot_mover_are_exact_and_spread(spark):
     got = {r["capture_id"]: r for r in A.movement_summary(p).collect()}
     assert (got[1]["median_x"], got[1]["median_y"], got[1]["median_z"], got[1]["points"], got[1]["exact"]) == (500000.0, 3.0, 500000.0, n, True)
     assert (got[2]["median_x"], got[2]["median_z"], got[2]["radius"], got[2]["radius_robust"]) == (None, n + 1.0, None, None)
+
+
+def test_known_rows_match_on_whichever_fields_have_values(spark):
+    schema = "a int, b int, c int"
+    known = df(spark, schema, (1, 2, 3), (None, 5, 6))
+    rows = df(spark, schema, (None, 2, 3), (None, 2, None), (None, None, 6), (None, 3, None), (4, None, 6), (1, None, 3), (None, None, None), (1, 2, 4))
+    assert sorted((tuple(r) for r in D.dedupe_exact_fields(rows, known, ["a", "b", "c"]).collect()), key=repr) == [(1, 2, 4), (4, None, 6), (None, 3, None)]
+    assert D.dedupe_exact_fields(rows, known.limit(0), ["a", "b", "c"]).count() == 8

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import itertools
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,8 +40,10 @@ def dedupe_pk(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
 
 def dedupe_exact_fields(df: DataFrame, known: DataFrame, fields: list[str]) -> DataFrame:
     """The rows of df that known does not contain: a known row matches if it equals all fields that df's row has values in."""
-    cond = functools.reduce(lambda a, b: a & b, [df[f].isNull() | df[f].eqNullSafe(known[f]) for f in fields])
-    return df.join(known, cond & df[fields[0]].eqNullSafe(known[fields[0]]), "left_anti")
+    given = itertools.product((True, False), repeat=len(fields))  # each known row as it looks with the fields of such a row only
+    seen = F.array(*(F.struct(*((F.col(f) if own else F.lit(None).cast(known.schema[f].dataType)).alias(f"__{f}") for f, own in zip(fields, row, strict=True))) for row in given))
+    looks = known.select(F.inline(seen)).distinct()
+    return df.join(looks, functools.reduce(lambda a, b: a & b, [F.col(f).eqNullSafe(F.col(f"__{f}")) for f in fields]), "left_anti")
 
 
 def dedupe_spatial(df: DataFrame, order: list[str], position: tuple[str, ...] = ("x", "y", "z"), same: tuple[str, ...] = ("entry", "map", "create_type")) -> DataFrame:
