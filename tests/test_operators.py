@@ -12,6 +12,7 @@ from tracefold.operators import dedupe as D
 from tracefold.operators import filters as L
 from tracefold.operators import joins as J
 from tracefold.operators import windows as W
+from tracefold.plans import bindings
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -310,3 +311,9 @@ def test_known_rows_match_on_whichever_fields_have_values(spark):
     rows = df(spark, schema, (None, 2, 3), (None, 2, None), (None, None, 6), (None, 3, None), (4, None, 6), (1, None, 3), (None, None, None), (1, 2, 4))
     assert sorted((tuple(r) for r in D.dedupe_exact_fields(rows, known, ["a", "b", "c"]).collect()), key=repr) == [(1, 2, 4), (4, None, 6), (None, 3, None)]
     assert D.dedupe_exact_fields(rows, known.limit(0), ["a", "b", "c"]).count() == 8
+
+
+def test_event_filter_takes_even_suppliers_of_any_size(spark, tmp_path):
+    lines = [(1, 1000, "N", "O"), (2, 10**9, "R", "F"), (3, 1001, "N", "O"), (4, 1001, "R", "O"), (5, 4, "A", "F"), (6, 2005, "A", "F"), (7, 998, "N", "O"), (7, 1003, "R", "F")]
+    df(spark, "l_orderkey long, l_suppkey long, l_returnflag string, l_linestatus string", *lines).write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert sorted(r[0] for r in bindings.filter_event_by_guids(spark, str(tmp_path)).collect()) == [1, 2, 4, 6]
