@@ -5,7 +5,7 @@ import struct
 
 from pyspark.sql import functions as F
 
-from tracefold.plans import registry
+from tracefold.plans import queries, registry
 from tracefold.sources import captures as S
 from tracefold.sources import tables as K
 from tracefold.streaming import captures as R
@@ -181,3 +181,18 @@ def test_registry(spark):
     made, failed = r.produce({"spawns": spark.range(3)})
     assert set(made) == {"creature"} and set(failed) == {"broken"}
     assert r.process(df(spark, "kind string", ("chat",), ("move",)))["chat"][0].count() == 1
+
+
+def test_new_captures_are_numbered_over_several_tasks(spark):
+    schema = "id long, file_hash string, ingested_at_utc timestamp"
+    new = spark.range(2000).select(F.lit(None).cast("long").alias("id"), F.format_string("h%05d", "id").alias("file_hash"), F.lit(at(1)).alias("ingested_at_utc"))
+    out = K.upserted_captures(df(spark, schema, (7, "a", at(0))), new)
+    assert sorted((r["file_hash"], r["id"]) for r in out.collect()) == [("a", 7)] + [(f"h{k:05d}", 8 + k) for k in range(2000)]
+    assert "Window [row_number" not in out._jdf.queryExecution().toString()
+
+
+def test_stream_stats_are_a_table_in_the_shared_folder(spark, tmp_path):
+    df(spark, "user_id long, event_type string", (1, "click"), (1, "click"), (1, "view"), (2, "error")).write.parquet(f"{tmp_path}/events.parquet")
+    out = queries.stream_parse_stats(spark, str(tmp_path))
+    assert sorted(tuple(r) for r in out.collect()) == [(1, "success", 2), (2, "not_parsed", 1)]
+    assert all("/tracefold/stats-" in f for f in out.inputFiles()) and out.inputFiles()

@@ -6,7 +6,6 @@ event_type the kind. Snapshots to compare are derived from the tables by rule.
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Callable
 
 from pyspark.sql import Column as SparkColumn
@@ -620,11 +619,10 @@ def stream_parse_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = spark.read.parquet(path).schema
     source = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(f"{sf_dir}/events.parquet*")
     rows = source.select(F.col("user_id").alias("capture_id"), F.col("event_type").alias("kind"))
-    name = f"stats_{abs(hash(sf_dir)) % 10**8}_{next(COUNTER)}"
     totals = stats(rows.withColumn("status", outcome()).withColumn("write_to_file", F.lit(True)))
-    stream = totals.writeStream.outputMode("complete").format("memory").queryName(name).option("checkpointLocation", scratch_path(spark, name)).trigger(availableNow=True).start()
+    out = scratch_path(spark, "stats")
+    store = lambda df, _=None: df.write.mode("overwrite").parquet(out)
+    store(spark.createDataFrame([], totals.schema))  # what is read where no trigger had rows
+    stream = totals.writeStream.outputMode("complete").foreachBatch(store).option("checkpointLocation", scratch_path(spark, "stats-state")).trigger(availableNow=True).start()
     stream.awaitTermination()
-    return spark.table(name)
-
-
-COUNTER = itertools.count()
+    return spark.read.schema(totals.schema).parquet(out)

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import functools
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.specs import TableSpec, visible
 from ..operators.changes import VALID, latest_records
 from ..operators.joins import small
+from ..operators.windows import global_number
+from .scratch import scratch_path
 
 
 def read_reference(table: DataFrame, spec: TableSpec, keys: DataFrame | None = None, version: int = 1, locale: str | None = None) -> DataFrame:
@@ -93,14 +95,14 @@ def upserted_captures(old: DataFrame, new: DataFrame) -> DataFrame:
     """The captures table after an upsert by file_hash: new values win, an existing id stays, new hashes get ids after the largest one.
 
     old and new: id (null in new), file_hash, ingested_at_utc and the same other
-    columns. A capture is one row, so numbering the new ones is a small sort.
+    columns. The new captures are numbered in ranges, not in one task.
     """
     top = old.agg(F.coalesce(F.max("id"), F.lit(0)).alias("top"))
     last = new.groupBy("file_hash").agg(F.max_by(F.struct(*new.columns), "ingested_at_utc").alias("n")).select("n.*")
     ids = old.select("file_hash", F.col("id").alias("old_id"))
     joined = last.drop("id").join(ids, "file_hash", "left")
-    fresh = joined.where("old_id is null").withColumn("k", F.row_number().over(Window.orderBy("ingested_at_utc", "file_hash"))).crossJoin(F.broadcast(top))
-    numbered = fresh.withColumn("id", F.col("top") + F.col("k"))
+    fresh = global_number(joined.where("old_id is null"), ["ingested_at_utc", "file_hash"], "k", scratch_path(old.sparkSession, "new-captures")).crossJoin(F.broadcast(top))
+    numbered = fresh.withColumn("id", F.col("top") + F.col("k") + 1)
     known = joined.where("old_id is not null").withColumn("id", F.col("old_id"))
     untouched = old.join(last.select("file_hash"), "file_hash", "left_anti")
     return untouched.select(*old.columns).unionByName(known.select(*old.columns)).unionByName(numbered.select(*old.columns))
