@@ -4,6 +4,7 @@ import re
 import zlib
 
 import numpy as np
+import public_tokenizers
 from tokenizers import Tokenizer as Library
 
 import corpus_pipeline
@@ -50,7 +51,7 @@ def test_pipeline(spark):
         df = cut(stage(spark, df, sf), "stage")
         assert df.columns == docs.columns
     assert {r["doc_id"]: r["text"] for r in df.collect()} == want
-    lib = Library.from_file(f"{queries.TOKENIZERS}/{queries.WORD_BPE}")
+    lib = Library.from_file(str(public_tokenizers.path(queries.WORD_BPE)))
     ids = {i: [*lib.encode(t, add_special_tokens=False).ids, queries.END_ID] for i, t in want.items()}
     pieces = corpus_pipeline.run(spark, sf).collect()
     assert sum(p["length"] for p in pieces) == sum(map(len, ids.values()))

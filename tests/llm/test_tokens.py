@@ -5,24 +5,25 @@ import random
 import zlib
 
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer as Library
 
 from tracefold.llm import bpe, packing, token_store
 from tracefold.llm.common import scratch_path
-from tracefold.llm.queries import BYTE_BPE, END_ID, TOKENIZERS, WORD_BPE, tokenizer
+from tracefold.llm.queries import BYTE_BPE, END_ID, WORD_BPE, tokenizer
 
 ODD = "abcXYZ  \n\t'sdtrellm0123459!?.,<|endoftext|>é́ÉßΣσ ς  　\x1c\x85日本語👍İKẞ٣½ŉ"
 
 
 def library(name):
-    return Library.from_file(f"{TOKENIZERS}/{name}")
+    return Library.from_file(str(public_tokenizers.path(name)))
 
 
 @pytest.mark.parametrize("name", [BYTE_BPE, WORD_BPE])
 def test_encoder_equals_library(name, texts):
-    own = bpe.ForcedBoundaryBPE(open(f"{TOKENIZERS}/{name}", encoding="utf-8").read())
+    own = bpe.ForcedBoundaryBPE(open(public_tokenizers.path(name), encoding="utf-8").read())
     lib, rng = library(name), random.Random(1)
     odd = ["".join(rng.choice(ODD) for _ in range(rng.randrange(60))) for _ in range(3000)]
     odd += ["a<|endoftext|>b<|startoftext|> c", "  <|endoftext|>  x", "it's IT'S !'s", "a" * 5000, "日" * 2000, "\n\n  \n x"]
@@ -37,7 +38,7 @@ def test_encoder_equals_library(name, texts):
 
 
 def test_forced_pairs_never_lie_inside_a_token():
-    own = bpe.ForcedBoundaryBPE(open(f"{TOKENIZERS}/{BYTE_BPE}", encoding="utf-8").read())
+    own = bpe.ForcedBoundaryBPE(open(public_tokenizers.path(BYTE_BPE), encoding="utf-8").read())
     for token in own.token_bytes[:50256]:
         at = np.frombuffer(token, np.uint8)
         assert own.joined[at[:-1], at[1:]].all()
@@ -45,8 +46,8 @@ def test_forced_pairs_never_lie_inside_a_token():
 
 def test_small_memo_gives_the_same(monkeypatch, texts):
     monkeypatch.setattr(bpe, "MEMO_FRAGMENTS", 5)
-    monkeypatch.setattr(bpe, "GROUP_CHARS", 100)
-    own = bpe.ForcedBoundaryBPE(open(f"{TOKENIZERS}/{WORD_BPE}", encoding="utf-8").read())
+    monkeypatch.setattr(bpe, "GROUP_BYTES", 100)
+    own = bpe.ForcedBoundaryBPE(open(public_tokenizers.path(WORD_BPE), encoding="utf-8").read())
     lib = library(WORD_BPE)
     for text, ids in zip(texts * 2, own.encode_many(texts * 2), strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == lib.encode(text or "", add_special_tokens=False).ids
@@ -128,6 +129,28 @@ def test_token_store_chunks_long_documents(spark, docs):
     assert row["ids_crc32"] == zlib.crc32(want) and row["start"] == 1
 
 
+def test_one_id_skips_strides(spark, docs):
+    path = scratch_path(spark, "t")
+    token_store.write_tokens(docs([(k, "a few words") for k in range(9000)]), tokenizer(spark, WORD_BPE), END_ID, path, 2)
+    one = spark.read.orc(path).where("doc_id = 4321").select("doc_id", "ids")
+    assert len(one.collect()) == 1
+    scan = one._jdf.queryExecution().executedPlan()
+    while scan.children().size():
+        scan = scan.children().head()
+    assert 0 < scan.metrics().apply("numOutputRows").value() <= 1000  # one stride of the 9,000 rows
+
+
+def test_a_repeated_id_is_spread(spark, docs):
+    path = scratch_path(spark, "t")
+    token_store.write_tokens(docs([(None if k % 3 else 7, f"{k} words") for k in range(3000)]), tokenizer(spark, WORD_BPE), END_ID, path, 4)
+    tokens = token_store.read_tokens(spark, path)
+    parts = [r["n"] for r in spark.read.orc(path).groupBy("part").agg(F.count("*").alias("n")).collect()]
+    assert len(parts) == 4 and max(parts) < 1500
+    rows = sorted(token_store.token_digests(tokens).collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in rows] == [None] * 2000 + [7] * 1000
+    assert all(x["start"] + x["n_tokens"] == y["start"] for x, y in zip(rows, rows[1:], strict=False))
+
+
 def test_token_store_of_nothing(spark, docs):
     path = scratch_path(spark, "t")
     token_store.write_tokens(docs([]), tokenizer(spark, WORD_BPE), END_ID, path)
@@ -137,7 +160,7 @@ def test_token_store_of_nothing(spark, docs):
 def test_checksums_combine():
     rng = random.Random(2)
     parts = [rng.randbytes(rng.randrange(50)) for _ in range(6)]
-    assert token_store.combined([(k, zlib.crc32(p), len(p)) for k, p in enumerate(parts)]) == zlib.crc32(b"".join(parts))
+    assert token_store.combined([{"chunk": k, "crc": zlib.crc32(p), "bytes": len(p)} for k, p in enumerate(parts)]) == zlib.crc32(b"".join(parts))
 
 
 def test_query_digests(spark, texts):

@@ -3,9 +3,9 @@
 A pair of adjacent bytes that occurs inside no token of the vocabulary can
 never be joined by a merge, so the text may be cut there and the fragments
 encoded on their own; the ids of the whole are the ids of the fragments in
-order. Texts repeat their fragments, so each task keeps the ids of the
-fragments it has met (a bounded memo) and a text costs one scan and one lookup
-a fragment.
+order. Texts repeat their fragments, so a group of texts is cut in one go over
+its bytes, Arrow numbers the distinct fragments, and only those are looked up in
+the task's bounded memo or encoded; the ids of the texts are gathered by number.
 
 Two levels of cuts are used. Between a character that isn't white space and one
 that is, no pre-tokenizer looks back and none joins the two, so these cuts hold
@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -36,18 +37,26 @@ WHITE = "\t-\r \x85\xa0  -     　"
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: White space for Python but not for Unicode.
 OTHER_SPACE = re.compile("[\x1c-\x1f]")
+#: Texts with any of these are cut one by one: white space beyond ASCII, or what Python counts as such.
+RARE_SPACE = "[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 #: Marks that are words by themselves after letters, in either pattern.
-MARKS = tuple(".,;:!?")
-#: Fragments after which a task starts a new memo; it keeps the one before as well, and forgets what neither has met.
-MEMO_FRAGMENTS = 250_000
-#: Characters of text whose new fragments are encoded side by side.
-GROUP_CHARS = 1 << 20
+MARKS = b".,;:!?"
+#: For each byte, whether it is white space of ASCII, one of its letters, one of MARKS.
+WHITE_BYTE = np.isin(np.arange(256), [*range(9, 14), 32])
+LETTER_BYTE = np.isin(np.arange(256), [*range(65, 91), *range(97, 123)])
+MARK_BYTE = np.isin(np.arange(256), [*MARKS])
+#: The first byte of the letters U+00C0 to U+00FF in UTF-8, and which second bytes are letters (all but the signs of times and division).
+LATIN, LATIN_LETTER = 0xC3, np.isin(np.arange(256), [x for x in range(0x80, 0xC0) if x not in (0x97, 0xB7)])
+#: Fragments after which a task starts a new memo.
+MEMO_FRAGMENTS = 100_000
+#: Bytes of text that are cut together, and whose new fragments are encoded side by side.
+GROUP_BYTES = 1 << 20
 #: Bytes of a run above which it is merged by itself.
 LONG_RUN = 256
 #: An odd factor that spreads pairs over the slots of the table (2**64 over the golden ratio).
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
-#: Characters of the longest fragment that is remembered.
-MEMO_CHARS = 64
+#: Bytes of the longest fragment that is remembered.
+MEMO_BYTES = 64
 #: Bytes of the largest tokenizer file that is sent to the tasks.
 MAX_TOKENIZER_BYTES = 64 << 20
 
@@ -78,6 +87,7 @@ class ForcedBoundaryBPE:
             if x["lstrip"] or x["rstrip"] or x["single_word"] or x["normalized"]:
                 raise ValueError("added tokens with strip, word or normalisation rules are not supported")
         self._special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
+        self._odd = "|".join([RARE_SPACE, *(re.sub(r"([^\w\s])", r"\\\1", x) for x in self.special)])
         self._normalizers(spec.get("normalizer"))
         self._pattern(spec["pre_tokenizer"])
 
@@ -100,8 +110,9 @@ class ForcedBoundaryBPE:
             self.joined[at[:-1], at[1:]] = True
         for token, i in self.special.items():
             self.token_bytes[i] = token.encode()
-        self.memo: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.token_sizes = np.fromiter(map(len, self.token_bytes), np.int64, len(self.token_bytes))
+        self.token_data = np.frombuffer(b"".join(self.token_bytes), np.uint8)
+        self._forget()
 
     def _normalizers(self, spec: dict | None) -> None:
         self.nfc = self.lower = self.drops_white = False
@@ -119,10 +130,12 @@ class ForcedBoundaryBPE:
             self.pattern = regex.compile(BYTE_LEVEL_PATTERN)
             self.fragments = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
             self.simple = re.compile(r"\s*\S+|\s+").findall
+            self.bare = False
         elif len(kinds) == 2 and kinds[0]["type"] == "Split" and kinds[0]["invert"] and kinds[0]["behavior"] == "Removed" and kinds[1]["type"] == "ByteLevel" and not kinds[1]["use_regex"]:
             self.pattern = regex.compile(kinds[0]["pattern"]["Regex"])
             self.fragments = re.compile(f"[^{WHITE}]+")  # what the pattern doesn't match is removed, white space above all
             self.simple = str.split
+            self.bare = True
         else:
             raise ValueError(f"unknown pre-tokenizer: {spec}")
 
@@ -166,22 +179,30 @@ class ForcedBoundaryBPE:
         """
         none, at = len(self.made), np.arange(len(ids))
         done_ids, done_at = [], []
+        rank = np.full(len(ids), none, np.int64)  # of each symbol with the one after it
+        side = np.flatnonzero(run[1:] == run[:-1])
+        rank[side] = self.ranks(ids[side] << 32 | ids[side + 1])
         while len(ids):
-            rank = np.full(len(ids), none, np.int64)
-            side = np.flatnonzero(run[1:] == run[:-1])
-            rank[side] = self.ranks(ids[side] << 32 | ids[side + 1])
             starts = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
             sizes = np.diff(np.append(starts, len(ids)))
             least = np.minimum.reduceat(rank, starts)
-            over = np.repeat(least == none, sizes)
+            ends = least == none
+            stays = np.repeat(~ends, sizes)
+            over = ~stays
             done_ids.append(ids[over])
             done_at.append(at[over])
-            best = np.flatnonzero((rank == np.repeat(least, sizes)) & ~over)
-            best = best[np.concatenate([[True], run[best][1:] != run[best][:-1]])] if len(best) else best
+            best = np.flatnonzero((rank == np.repeat(least, sizes)) & stays)
+            best = best[np.concatenate([best[:1] >= 0, run[best[1:]] != run[best[:-1]]])]
             ids[best] = self.made[rank[best]]
-            stays = ~over
             stays[best + 1] = False
-            ids, run, at = ids[stays], run[stays], at[stays]
+            moved = np.cumsum(stays)[best] - 1
+            ids, run, at, rank = ids[stays], run[stays], at[stays], rank[stays]
+            near = np.concatenate([moved, moved - 1])  # the pairs that the merges changed
+            near = near[near >= 0]
+            rank[near] = none
+            near = near[near < len(ids) - 1]
+            near = near[run[near] == run[near + 1]]
+            rank[near] = self.ranks(ids[near] << 32 | ids[near + 1])
         all_at = np.concatenate(done_at) if done_at else at
         order = np.argsort(all_at, kind="stable")
         return (np.concatenate(done_ids)[order] if done_ids else ids), all_at[order]
@@ -208,90 +229,180 @@ class ForcedBoundaryBPE:
                 heapq.heappush(heap, (rank, h))
         return [x for x in ids if x >= 0]
 
-    def split(self, text: str) -> list[str]:
-        """The tokenizer's own words in a fragment; letters with one mark after them need no pattern."""
-        body = text[1:] if text[0] == " " else text
-        if body.isalpha():
-            return [text]
-        if body[-1:] in MARKS and body[:-1].isalpha():
-            return [text[:-1], text[-1]]
-        return self.pattern.findall(text)
-
     def found(self, text: str) -> list[str]:
         """The fragments of a text. Python's own idea of white space has four characters more than Unicode's."""
         return self.fragments.findall(text) if OTHER_SPACE.search(text) else self.simple(text)
 
-    def fragments_encoded(self, fragments: list[str]) -> list[bytes]:
-        """The ids of each fragment: the tokenizer's own words in it, cut at forced pairs, all merged side by side."""
-        words, owner = [], []
-        for k, text in enumerate(fragments):
-            if self.nfc and not text.isascii():
-                text = unicodedata.normalize("NFC", text)
-            if self.lower:
-                text = text.replace("Σ", "σ").lower()  # letter by letter, without the rule for a final sigma
-            found = self.split(text)
-            words += found
-            owner += [k] * len(found)
-        bodies = [w.encode() for w in words]
-        own = np.frombuffer(b"".join(bodies), np.uint8).astype(np.int64)
-        sizes = np.fromiter(map(len, bodies), np.int64, len(bodies))
-        word = np.repeat(np.arange(len(bodies)), sizes)
+    def fragments_encoded(self, fragments: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all fragments one after the other, and how many each has: the tokenizer's own words, cut at forced pairs, merged side by side."""
+        data, ends = bytes_of(fragments)
+        letters = LETTER_BYTE[data]
+        second = np.concatenate([[False], data[:-1] == LATIN]) & LATIN_LETTER[data]
+        letters |= second
+        letters[:-1] |= second[1:]
+        plain = self.plain(data, ends, letters)
+        owner = np.repeat(np.arange(len(fragments)), np.diff(ends))
+        used = plain[owner]
+        if self.bare:
+            used &= ~WHITE_BYTE[data]
+        own, owner, mark = data[used].astype(np.int64), owner[used], MARK_BYTE[data[used]]
+        if self.lower:
+            own += 32 * ((own >= 65) & (own <= 90) | second[used] & (own < 0x9F))
+        first = np.concatenate([own[:1] >= 0, (owner[1:] != owner[:-1]) | mark[1:]])  # a mark is a word
+        parts = [(own, np.cumsum(first), owner)]
+        rest = np.flatnonzero(~plain)
+        if len(rest):
+            words, at = [], []
+            for k, text in zip(rest.tolist(), fragments.take(pa.array(rest)).to_pylist(), strict=True):
+                if self.nfc and not text.isascii():
+                    text = unicodedata.normalize("NFC", text)
+                if self.lower:
+                    text = text.replace("Σ", "σ").lower()  # letter by letter, without the rule for a final sigma
+                split = self.pattern.findall(text)
+                words += split
+                at += [k] * len(split)
+            bodies = [w.encode() for w in words]
+            word = np.repeat(np.arange(len(bodies)), np.fromiter(map(len, bodies), np.int64, len(bodies)))
+            parts.append((np.frombuffer(b"".join(bodies), np.uint8).astype(np.int64), word, np.array(at, np.int64)[word]))
+        made = [(ids, owner[at]) for own, word, owner in parts for ids, at in [self.words_encoded(own, word)]]
+        ids, owner = (np.concatenate(x) for x in zip(*made, strict=True))
+        return ids[np.argsort(owner, kind="stable")].astype("<u4"), np.bincount(owner, minlength=len(fragments))
+
+    def plain(self, data: np.ndarray, ends: np.ndarray, letters: np.ndarray) -> np.ndarray:
+        """Which fragments are letters up to U+00FF, perhaps with white space before and one of MARKS after: either pattern splits these alike."""
+        if not len(data):
+            return np.zeros(len(ends) - 1, bool)
+        sizes = np.diff(ends)
+        some = sizes > 0
+        total = lambda mask: np.diff(np.concatenate([[0], np.cumsum(mask)])[ends])
+        n = total(letters)
+        ahead = total(WHITE_BYTE[data]) if self.bare else some & (data[np.minimum(ends[:-1], len(data) - 1)] == 32)
+        return some & (n > 0) & (n + ahead + (some & MARK_BYTE[data[ends[1:] - 1]]) == sizes)
+
+    def words_encoded(self, own: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words (bytes own, each with the ascending number of its word) and for each id the place of its first byte."""
+        if not len(own):
+            return own, own
         ids = self.base[own]
-        ends = np.cumsum(sizes) - 1
         if self.end:
+            ends = np.flatnonzero(np.concatenate([word[1:] != word[:-1], [True]]))
             ids[ends] = self.base_end[own[ends]]
-        cuts = np.concatenate([[True], (word[1:] != word[:-1]) | ~self.joined[own[:-1], own[1:]]]) if len(own) else np.zeros(0, bool)
-        run = np.cumsum(cuts)
-        lengths = np.bincount(run) if len(run) else run
-        long = lengths[run] > LONG_RUN if len(run) else cuts
+        run = np.cumsum(np.concatenate([[True], (word[1:] != word[:-1]) | ~self.joined[own[:-1], own[1:]]]))
+        long = np.bincount(run)[run] > LONG_RUN
         out, at = self.merged(ids[~long], run[~long])
         at = np.flatnonzero(~long)[at]
-        for r in np.unique(run[long]).tolist():
-            first = int(np.searchsorted(run, r))
-            more = self._merged_long(ids[first : first + int(lengths[r])].tolist())
-            out, at = np.concatenate([out, more]), np.concatenate([at, np.full(len(more), first)])
         if long.any():
+            for r in np.unique(run[long]).tolist():
+                begin, end = np.searchsorted(run, [r, r + 1]).tolist()
+                more = self._merged_long(ids[begin:end].tolist())
+                out, at = np.concatenate([out, more]), np.concatenate([at, np.full(len(more), begin)])
             order = np.argsort(at, kind="stable")
             out, at = out[order], at[order]
-        counts = np.bincount(np.array(owner, np.int64)[word[at]], minlength=len(fragments)) if len(at) else np.zeros(len(fragments), np.int64)
-        data, edges = out.astype("<u4").tobytes(), (np.concatenate([[0], np.cumsum(counts)]) * 4).tolist()
-        return [data[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        return out, at
+
+    def encode_array(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other (unsigned 32-bit), and how many each text has; null counts as empty."""
+        texts = texts.cast(pa.string()).fill_null("")
+        sizes = np.diff(bytes_of(texts)[1])
+        odd = pc.match_substring_regex(texts, self._odd).to_numpy(zero_copy_only=False)
+        group = (np.cumsum(sizes, dtype=np.int64) - sizes) // GROUP_BYTES * 2 + odd  # texts cut one by one stand apart
+        edges = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1], [True]])).tolist() if len(texts) else [0]
+        parts = [(self._one_by_one if odd[i] else self._together)(texts.slice(i, j - i)) for i, j in zip(edges[:-1], edges[1:], strict=True)]
+        ids, counts = zip(*parts, strict=True) if parts else ((), ())
+        return np.concatenate([*ids, np.zeros(0, np.uint32)]).astype("<u4", copy=False), np.concatenate([*counts, np.zeros(0, np.int64)]).astype(np.int64)
+
+    def _together(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """encode_array() of texts without special tokens or rare white space: a fragment is white space and what follows it."""
+        data, bounds = bytes_of(texts)
+        if not len(data):
+            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
+        white = WHITE_BYTE[data]
+        begins = np.empty(len(data), bool)
+        begins[0] = True
+        np.greater(white[1:], white[:-1], out=begins[1:])
+        begins[bounds[:-1][bounds[:-1] < bounds[1:]]] = True
+        starts = np.flatnonzero(begins).astype(np.int32)
+        found = pa.StringArray.from_buffers(len(starts), pa.py_buffer(np.append(starts, np.int32(len(data)))), pa.py_buffer(data)).dictionary_encode()
+        ids, sizes = self._gathered(found)
+        return ids, np.diff(np.concatenate([[0], np.cumsum(sizes)])[np.searchsorted(starts, bounds)])
+
+    def _one_by_one(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """encode_array() of any texts."""
+        out, counts = [], []
+        for text in texts.to_pylist():
+            parts = self._special.split(text) if self._special else [text]
+            own = [np.array([self.special[x]]) if k % 2 else self._gathered(pa.array(self.found(x), pa.string()).dictionary_encode())[0] for k, x in enumerate(parts)]
+            out += own
+            counts.append(sum(map(len, own)))
+        return np.concatenate(out), np.array(counts, np.int64)
+
+    def _gathered(self, fragments: pa.DictionaryArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all fragments in order, and how many each has. What the memo lacks is encoded; what occurs twice enters it."""
+        distinct, number = fragments.dictionary, fragments.indices.to_numpy(zero_copy_only=False)
+        at = pc.index_in(distinct, value_set=self.memo).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        missing = np.flatnonzero(at < 0)
+        fresh = distinct.take(pa.array(missing))
+        made, n = self.fragments_encoded(fresh)
+        at[missing] = np.arange(len(self.memo_sizes), len(self.memo_sizes) + len(missing))
+        ids, held = np.concatenate([self.memo_ids, made]), np.concatenate([self.memo_sizes, n])
+        starts = np.cumsum(held) - held
+        use = at[number]
+        sizes = held[use]
+        place = np.repeat(starts[use] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+        stays = (np.bincount(number, minlength=len(distinct))[missing] > 1) & (np.diff(bytes_of(fresh)[1]) <= MEMO_BYTES)
+        if len(self.memo) + stays.sum() > MEMO_FRAGMENTS:
+            self._forget()
+        self.memo = pa.concat_arrays([self.memo, fresh.filter(pa.array(stays))])
+        self.memo_ids, self.memo_sizes = np.concatenate([self.memo_ids, made[np.repeat(stays, n)]]), np.concatenate([self.memo_sizes, n[stays]])
+        return ids[place], sizes
+
+    def _forget(self) -> None:
+        self.memo, self.memo_ids, self.memo_sizes = pa.array([], pa.string()), np.zeros(0, "<u4"), np.zeros(0, np.int64)
 
     def encode_many(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text, as little-endian unsigned 32-bit integers; null counts as empty."""
-        out: list[bytes] = []
-        group, n = [], 0
-        for text in texts:
-            group.append(text or "")
-            n += len(group[-1])
-            if n >= GROUP_CHARS:
-                out += self._group(group)
-                group, n = [], 0
-        return out + self._group(group)
+        """The ids of each text, as little-endian unsigned 32-bit integers."""
+        ids, counts = self.encode_array(pa.array(texts, pa.string()))
+        return pieces(ids, counts)
 
     def encode(self, text: str) -> bytes:
-        return self._group([text])[0]
-
-    def _group(self, texts: list[str]) -> list[bytes]:
-        parts = [self._special.split(x) if self._special and any(y in x for y in self.special) else [x] for x in texts]
-        cut = [[self.found(y) if k % 2 == 0 else y for k, y in enumerate(own)] for own in parts]
-        missing = set().union(*(found for own in cut for found in own[::2])).difference(self.memo)
-        known = [x for x in missing if x in self.old]
-        self.memo.update(zip(known, map(self.old.__getitem__, known), strict=True))
-        fresh = list(missing.difference(known))
-        self.memo.update(zip(fresh, self.fragments_encoded(fresh), strict=True))
-        get = self.memo.__getitem__
-        out = [b"".join([b"".join(map(get, x)) if k % 2 == 0 else struct.pack("<I", self.special[x]) for k, x in enumerate(own)]) for own in cut]
-        for x in fresh:
-            if len(x) > MEMO_CHARS:
-                del self.memo[x]
-        if len(self.memo) > MEMO_FRAGMENTS:
-            self.old, self.memo = self.memo, {}
-        return out
+        return self.encode_many([text])[0]
+
+    def decode_array(self, ids: np.ndarray, counts: np.ndarray) -> list[str]:
+        """The text of each part of ids; bytes that aren't UTF-8 become U+FFFD."""
+        sizes = self.token_sizes[ids]
+        upto = np.concatenate([[0], np.cumsum(sizes)])
+        data = self.token_data[np.repeat((np.cumsum(self.token_sizes) - self.token_sizes)[ids] - upto[:-1], sizes) + np.arange(upto[-1])]
+        texts, ends = data.tobytes(), upto[np.cumsum(counts)].tolist()
+        return [texts[i:j].decode("utf-8", "replace") for i, j in zip([0, *ends], ends, strict=False)]
 
     def decode(self, ids: bytes) -> str:
-        """The text of ids; bytes that aren't UTF-8 become U+FFFD."""
-        return b"".join(map(self.token_bytes.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
+        own = np.frombuffer(ids, "<u4")
+        return self.decode_array(own, np.array([len(own)]))[0]
+
+
+def bytes_of(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts (without nulls) one after the other, and where each begins and the last one ends."""
+    if not len(texts):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int32)
+    ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    return np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]], ends - ends[0]
+
+
+def closed(ids: np.ndarray, counts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same with end_id after each text."""
+    return np.insert(ids, np.cumsum(counts), end_id), counts + 1
+
+
+def pieces(ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+    """The bytes of each text's part of ids."""
+    data, ends = memoryview(np.ascontiguousarray(ids)).cast("B"), (np.cumsum(counts) * ids.itemsize).tolist()
+    return [bytes(data[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
+
+
+def as_binary(ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """A binary value for each text: its part of ids."""
+    ends = np.concatenate([[0], np.cumsum(counts) * ids.itemsize])
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(ids))]).cast(pa.binary())
 
 
 _loaded: dict[str, ForcedBoundaryBPE] = {}
@@ -332,7 +443,7 @@ def encode(df: DataFrame, tokenizer: Tokenizer, text: str = "text", ids: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer.get()
         for batch in slices(batches):
-            yield replaced(batch, ids, pa.array(bpe.encode_many(batch.column(text).to_pylist()), pa.binary()))
+            yield replaced(batch, ids, as_binary(*bpe.encode_array(batch.column(text))))
 
     return df.mapInArrow(run, schema)
 
@@ -344,6 +455,7 @@ def decode(df: DataFrame, tokenizer: Tokenizer, ids: str = "ids", text: str = "d
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer.get()
         for batch in slices(batches):
-            yield replaced(batch, text, pa.array([bpe.decode(x) if x else "" for x in batch.column(ids).to_pylist()], pa.string()))
+            own, ends = bytes_of(batch.column(ids).fill_null(b""))
+            yield replaced(batch, text, pa.array(bpe.decode_array(np.frombuffer(own.tobytes(), "<u4"), np.diff(ends) // 4), pa.string()))
 
     return df.mapInArrow(run, schema)

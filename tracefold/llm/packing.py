@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .bpe import Tokenizer
+from .bpe import Tokenizer, as_binary, closed
 from .common import cut, slices
 
 WINDOW = 4096
@@ -44,32 +44,19 @@ def prefix_totals(table: DataFrame, part: str, n: str) -> DataFrame:
 
 
 def tokenized(docs: DataFrame, tokenizer: Tokenizer, end_id: int) -> DataFrame:
-    """Columns doc_id, part, local (ids before it in its partition), n, ids (binary, 16 bits an id where the vocabulary allows it)."""
+    """Columns doc_id, part, local (ids before it in its partition), n, width (bytes of an id: 2 where the vocabulary allows it, else 4), ids (binary)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, part, at = tokenizer.get(), TaskContext.get().partitionId(), 0
-        end = np.array([end_id], "<u4").tobytes()
+        width = 2 if max(end_id, len(bpe.token_bytes) - 1) < 65536 else 4
         for batch in slices(batches):
-            local, n, ids = [], [], []
-            for own in bpe.encode_many(batch.column("text").to_pylist()):
-                own += end
-                local.append(at)
-                n.append(len(own) // 4)
-                at += n[-1]
-                ids.append(narrow(own))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([part] * len(n), pa.int32()), pa.array(local, pa.int64()), pa.array(n, pa.int64()), pa.array(ids, pa.binary())], names=["doc_id", "part", "local", "n", "ids"])
+            ids, n = closed(*bpe.encode_array(batch.column("text")), end_id)
+            k, local = len(n), at + np.cumsum(n) - n
+            at += len(ids)
+            columns = [batch.column("doc_id"), pa.repeat(pa.scalar(part, pa.int32()), k), pa.array(local), pa.array(n), pa.repeat(pa.scalar(width, pa.int8()), k), as_binary(ids.astype(f"<u{width}"), n)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "part", "local", "n", "width", "ids"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, T.StructType([docs.schema["doc_id"], *T._parse_datatype_string("part int, local long, n long, ids binary")]))
-
-
-def narrow(ids: bytes) -> bytes:
-    """A leading byte for the width (2 or 4), then the ids."""
-    at = np.frombuffer(ids, "<u4")
-    return b"\2" + at.astype("<u2").tobytes() if not len(at) or at.max() < 65536 else b"\4" + ids
-
-
-def widened(ids: bytes) -> np.ndarray:
-    return np.frombuffer(ids, f"<u{ids[0]}", offset=1).astype("<u4")
+    return docs.select("doc_id", "text").mapInArrow(run, T.StructType([docs.schema["doc_id"], *T._parse_datatype_string("part int, local long, n long, width byte, ids binary")]))
 
 
 def pack(docs: DataFrame, tokenizer: Tokenizer, end_id: int, window: int = WINDOW, with_ids: bool = False) -> DataFrame:
@@ -93,8 +80,8 @@ def pack(docs: DataFrame, tokenizer: Tokenizer, end_id: int, window: int = WINDO
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             out: list[tuple] = []
-            for doc, at, ids in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "at", "ids")), strict=True):
-                own, start = widened(ids), 0
+            for doc, at, width, ids in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "at", "width", "ids")), strict=True):
+                own, start = np.frombuffer(ids, f"<u{width}").astype("<u4"), 0
                 while start < len(own):
                     sequence, offset = divmod(at + start, window)
                     piece = own[start : start + window - offset].tobytes()
@@ -105,9 +92,7 @@ def pack(docs: DataFrame, tokenizer: Tokenizer, end_id: int, window: int = WINDO
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=False)], schema=pa.schema(list(zip(fields.names, kinds, strict=False))))
 
     kinds = [T_ARROW[f.dataType.typeName()] for f in fields]
-    return table.join(F.broadcast(bases), "part").select("doc_id", (F.col("base") + F.col("local")).alias("at"), "ids").mapInArrow(run, fields)
+    return table.join(F.broadcast(bases), "part").select("doc_id", (F.col("base") + F.col("local")).alias("at"), "width", "ids").mapInArrow(run, fields)
 
 
 T_ARROW = {"long": pa.int64(), "integer": pa.int32(), "short": pa.int16(), "byte": pa.int8(), "string": pa.string(), "binary": pa.binary()}
-
-

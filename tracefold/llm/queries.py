@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, exact_dedup, language_id, license_scan, packing, quality, secret_scan, sharding, simhash, token_store
 from .common import documents, scratch_path
 
-#: Where the vocabulary files are; a parameter of the queries.
-TOKENIZERS = "/opt/tokenizers"
+#: Vocabulary files of the queries.
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 END_ID = 2
 
 
-def tokenizer(spark: SparkSession, name: str, folder: str = TOKENIZERS) -> bpe.Tokenizer:
-    return bpe.Tokenizer(spark, f"{folder}/{name}")
+def tokenizer(spark: SparkSession, name: str) -> bpe.Tokenizer:
+    return bpe.Tokenizer(spark, str(public_tokenizers.path(name)))
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,15 +18,16 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .bpe import Tokenizer
+from .bpe import Tokenizer, closed
 from .common import cut, slices
-from .packing import T_ARROW, prefix_totals
+from .packing import prefix_totals
 
 CHUNK = 4096
 ORC = {"orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "orc.create.index": "true", "orc.row.index.stride": "1000", "orc.stripe.size": str(32 << 20), "compression": "zstd"}
@@ -58,44 +59,43 @@ def shift_of(n: int) -> int:
 
 
 def combined(chunks: list) -> int:
-    """The CRC-32 of a whole from (place, CRC-32, bytes) of its parts in order."""
+    """The CRC-32 of a whole from {chunk, crc, bytes} of its parts in order."""
     crc = 0
-    for _, own, n in chunks:
-        crc = times(crc, shift_of(n)) ^ own
+    for x in chunks:
+        crc = times(crc, shift_of(x["bytes"])) ^ x["crc"]
     return crc
 
 
 def write_tokens(docs: DataFrame, tokenizer: Tokenizer, end_id: int, path: str, partitions: int | None = None) -> None:
     """Writes the ids of docs (doc_id, text), each followed by end_id, in ascending doc_id order.
 
-    Texts are dealt by ranges of doc_id and sorted in their range, then encoded
+    Texts are dealt by ranges of doc_id and of the place in the input, so that an
+    id with a third of all rows is spread, sorted in their range and encoded
     where they lie; files in name order are in doc_id order. Null ids come
     first. Null and empty texts are the end id alone. Rows with the same doc_id
-    are all kept, side by side.
+    are all kept, side by side in the order of the input. Other columns of docs
+    are ignored; an empty table gives no rows.
     """
     fields = T.StructType([docs.schema["doc_id"], *T._parse_datatype_string("part int, local long, chunk int, n_tokens long, ids array<int>")])
-    kind = T_ARROW[docs.schema["doc_id"].dataType.typeName()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, part, at = tokenizer.get(), TaskContext.get().partitionId(), 0
         for batch in slices(batches):
-            rows: list[tuple] = []
-            flat: list[np.ndarray] = []
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), bpe.encode_many(batch.column("text").to_pylist()), strict=True):
-                own = np.append(np.frombuffer(ids, "<u4"), end_id).astype(np.int32)
-                for k, i in enumerate(range(0, len(own), CHUNK)):
-                    rows.append((doc, part, at, k, len(own)))
-                    flat.append(own[i : i + CHUNK])
-                at += len(own)
-            if rows:
-                offsets = np.cumsum([0, *map(len, flat)]).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(flat)))
-                columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (kind, pa.int32(), pa.int64(), pa.int32(), pa.int64()), strict=True)]
-                yield pa.RecordBatch.from_arrays([*columns, ids], names=fields.names)
-
-    ranged = docs.select("doc_id", "text")
-    ranged = ranged.repartitionByRange(partitions, "doc_id") if partitions else ranged.repartitionByRange("doc_id")
-    ranged.sortWithinPartitions("doc_id").mapInArrow(run, fields).write.options(**ORC).orc(path)
+            ids, n = closed(*bpe.encode_array(batch.column("text")), end_id)
+            chunks = -(-n // CHUNK)
+            row = np.repeat(np.arange(len(n)), chunks)
+            chunk = np.arange(len(row)) - np.repeat(np.cumsum(chunks) - chunks, chunks)
+            start = (np.cumsum(n) - n)[row] + chunk * CHUNK
+            ends = pa.array(np.append(start, len(ids)).astype(np.int32))
+            local = at + (np.cumsum(n) - n)[row]
+            at += len(ids)
+            columns = [batch.column("doc_id").take(pa.array(row)), pa.repeat(pa.scalar(part, pa.int32()), len(row)), pa.array(local), pa.array(chunk.astype(np.int32)), pa.array(n[row])]
+            yield pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(ends, pa.array(ids.astype(np.int32)))], names=fields.names)
+
+    ranged = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
+    by = ["doc_id", "row"]
+    ranged = ranged.repartitionByRange(partitions, *by) if partitions else ranged.repartitionByRange(*by)
+    ranged.sortWithinPartitions(*by).select("doc_id", "text").mapInArrow(run, fields).write.options(**ORC).orc(path)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
@@ -120,8 +120,11 @@ def token_digests(tokens: DataFrame) -> DataFrame:
             crc = [zlib.crc32(flat[i:j].tobytes()) for i, j in zip(at[:-1], at[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "start", "n_tokens", "chunk")), pa.array(crc, pa.int64()), pa.array(np.diff(at) * 4, pa.int64())], names=fields.names)
 
+    @F.pandas_udf(T.LongType())
+    def joined_crc(chunks: pd.Series) -> pd.Series:
+        return chunks.map(combined)
+
     parts = cut(tokens.select("doc_id", "start", "n_tokens", "chunk", "ids").mapInArrow(run, fields), "token-digests")
     one = parts.where(F.col("n_tokens") <= CHUNK).select("doc_id", "start", "n_tokens", F.col("crc").alias("ids_crc32"))
-    joined = F.udf(combined, "long")
     more = parts.where(F.col("n_tokens") > CHUNK).groupBy("doc_id", "start", "n_tokens").agg(F.sort_array(F.collect_list(F.struct("chunk", "crc", "bytes"))).alias("chunks"))
-    return one.unionByName(more.select("doc_id", "start", "n_tokens", joined("chunks").alias("ids_crc32")))
+    return one.unionByName(more.select("doc_id", "start", "n_tokens", joined_crc("chunks").alias("ids_crc32")))
