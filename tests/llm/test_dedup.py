@@ -162,3 +162,71 @@ def test_hot_group_of_near_copies_stays_linear(spark, docs):
         rows.append((k, " ".join(words)))
     df = simhash.fingerprints(docs(rows))
     assert simhash.near_edges(df.select("fp").distinct(), 3, 64).count() < 300 * 4 * 6
+
+
+def jaccard_components(rows, similar=0.8, width=5):
+    """Of (row, text): the component of each row by Jaccard similarity of shingle sets, over all pairs that share a shingle."""
+    sets, by = [], {}
+    for k, (_, t) in enumerate(rows):
+        w = re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().lower())
+        sets.append({b" ".join(w[i : i + width]) for i in range(max(1, len(w) - width + 1))} if w else {b""})
+        for x in sets[-1]:
+            by.setdefault(x, []).append(k)
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, own in enumerate(sets):
+        shared = {}
+        for x in own:
+            for b in by[x]:
+                if b < a:
+                    shared[b] = shared.get(b, 0) + 1
+        for b, n in shared.items():
+            if n >= similar * (len(own) + len(sets[b]) - n):
+                root[max(find(a), find(b))] = min(find(a), find(b))
+    return [find(k) for k in range(len(rows))]
+
+
+def edited(words, share, rng):
+    return [rng.choice("pqrstuvw") + str(rng.randrange(10**6)) if rng.random() < share else w for w in words]
+
+
+def test_similar_texts_are_found_whatever_their_fingerprints(spark, docs):
+    rng = random.Random(8)
+    rows = []
+    for _ in range(150):
+        words = [f"w{rng.randrange(3000)}" for _ in range(rng.randrange(60, 400))]
+        rows += [(len(rows) + k, " ".join(edited(words, share, rng))) for k, share in enumerate((0, 0.005, 0.01, 0.02, 0.06))]
+    rows += [(None, rows[0][1]), (len(rows), None), (len(rows) + 1, ""), (len(rows) + 2, "three short words")]
+    want = jaccard_components(rows)
+    got = simhash.near_groups(docs(rows), width=5, similar=0.8).collect()
+    assert len(got) == len(rows)
+    by_id = {r["doc_id"]: r["component_id"] for r in got}
+    pairs = [(rows[k][0], rows[want[k]][0]) for k in range(len(rows)) if rows[k][0] is not None and want[k] != k]
+    assert len(pairs) > 300
+    assert sum(by_id[a] == by_id[b] for a, b in pairs) >= 0.97 * len(pairs)
+    component = dict(zip((i for i, _ in rows), want, strict=True))
+    assert all(component[i] == component[c] for i, c in by_id.items() if i is not None)  # nothing else is linked
+
+
+def test_hot_bands_are_dealt_again(spark):
+    rng = np.random.default_rng(3)
+    fp = np.unique(rng.integers(0, 2**62, dtype=np.uint64) ^ (np.uint64(1) << rng.integers(0, 64, 900, dtype=np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, 900, dtype=np.uint64)))
+    dealt = spark.createDataFrame([(int(x.view(np.int64)), 0, 7) for x in fp], "fp long, way long, block long")
+    for group_rows in (100_000, 64):
+        found = simhash.components(simhash.band_edges(dealt, 0.8, group_rows)).collect()
+        assert len(found) == len(fp) and len({r["root"] for r in found}) == 1
+
+
+@pytest.mark.parametrize("distance", [3, 18])
+def test_groups_in_one_tree_stay_apart(distance):
+    rng = np.random.default_rng(5)
+    group = np.sort(rng.integers(0, 60, 500))
+    fp = clustered(500, 4, 6, 6)
+    group = group[: len(fp)]
+    i, j = simhash.links(fp, distance, group=group)
+    assert set(zip(i.tolist(), j.tolist(), strict=True)) == {(a, b) for a, b in brute_links(fp, distance) if group[a] == group[b]}

@@ -11,7 +11,7 @@ import corpus_pipeline
 from tracefold.llm import quality, queries
 from tracefold.llm.common import cut
 
-from .test_dedup import slow_fingerprint
+from .test_dedup import jaccard_components
 from .test_rules import brute_linked
 
 
@@ -23,13 +23,7 @@ def brute(rows):
         if k not in best or (-len(t), i) < (-len(best[k][1]), best[k][0]):
             best[k] = (i, t)
     rows = sorted(best.values())
-    fp = [slow_fingerprint(t) for _, t in rows]
-    root = list(range(len(rows)))
-    for a in range(len(rows)):
-        for b in range(a):
-            if (fp[a] ^ fp[b]).bit_count() <= 3 and root[a] != root[b]:
-                low, high = sorted((root[a], root[b]))
-                root = [low if r == high else r for r in root]
+    root = jaccard_components(rows)
     rows = [r for k, r in enumerate(rows) if root[k] == k]
     out = {}
     for i, t in rows:

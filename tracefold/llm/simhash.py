@@ -1,18 +1,29 @@
 """Near-deduplication: SimHash fingerprints joined through a Gray-order hierarchical index.
 
-Fingerprints are reduced to their distinct values. Two of them within `distance`
-bits agree on at least one of distance + 1 blocks, so each is dealt to the groups
-of its blocks. In a group the fingerprints lie in Gray order, in which
-neighbours differ little; runs of them become the nodes of a tree, where a node
-keeps the bit pattern that all below it share, less what its parent has already.
-The group is joined with itself from the root down: differences add up level by
-level, and a pair of nodes is dropped with all below it as soon as the sum passes
-the distance. Of the links found in a group only a spanning forest leaves the
-task, so a dense group costs as many rows as it has members.
-
-A group of more than `group_rows` members is not handed to one task: its members
-agree on the block, so those within `distance` agree on a block of the rest too,
-and they are dealt again by the blocks of the remaining bits.
+Fingerprints are reduced to their distinct values and dealt to groups in which
+those that may be near each other meet. The rows are dealt by ranges and sorted
+by group and Gray rank, an order in which neighbours differ little; runs of
+neighbours become the nodes of a tree, where a node keeps the bit pattern that
+all below it share, less what its parent has already. Each run of groups is
+joined with itself from the root down: differences add up level by level, and a
+pair of nodes is dropped with all below it as soon as the sum passes the distance
+or the two hold no group in common. Of the links found only a spanning forest
+leaves the task, so a dense group costs as many rows as it has members.
+
+Two ways of dealing:
+
+- by blocks, for a small distance: two fingerprints within `distance` bits agree
+  on at least one of distance + 1 blocks, so no link is lost. A group is the Gray
+  rank of a block's bits. Groups of more than `group_rows` members are dealt
+  again by the blocks of their remaining bits, which loses nothing either.
+- by bands, for a similarity of shingle sets (`similar`): at a Jaccard similarity
+  of 0.8 about 15 % of the bits differ, which no few blocks survive. So more
+  independent fingerprint bits are made, and pairs meet that agree on all of one
+  band of them. A band has about as many bits as the number of rows has, so that
+  unlike texts seldom meet, and there are as many bands as bring RECALL of the
+  pairs at the similarity itself together, more of those above. The tree drops
+  what differs in more than `distance` bits, and the links that it leaves are
+  held against the shingle sets themselves.
 
 Components come from the forests' edges by rounds of hanging each fingerprint on
 its least neighbour and doubling the pointers, written to the shared folder.
@@ -21,12 +32,13 @@ its least neighbour and doubling the pointers, written to the shared folder.
 from __future__ import annotations
 
 import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,36 +52,87 @@ GROUP_ROWS = 2048
 LAST_BITS = 11
 #: Members of a leaf, and children of a node, of the index.
 FAN = 16
+#: Rows whose tree is built at once, at least; a run ends where a group ends.
+RUN = 1 << 12
+#: Pairs of nodes whose children are compared at once.
+PAIRS = 1 << 11
 #: Shingles that are hashed at once.
-HASHED = 1 << 16
-
-
-def fingerprint(text: str | None, width: int = SHINGLE) -> int:
-    """The 64-bit SimHash of a text: words in ASCII lower case, shingles of width words, XXH64 with seed 42."""
+HASHED = 1 << 14
+#: 64-bit words of fingerprint bits that bands are drawn from.
+WORDS = 8
+#: Share of the pairs at the similarity itself that meet in some band.
+RECALL = 0.98
+#: Standard deviations above the bits that pairs at the similarity differ in, at which the tree drops a pair.
+SPARE = 3.5
+#: Odd factors that make more words of one hash (2**64 over the golden ratio, and a prime of XXH64).
+FACTORS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
+
+
+def shingles(text: str | None, width: int) -> Iterator[np.ndarray]:
+    """XXH64 (seed 42) of the shingles of a text, repeats included, HASHED at a time: words in ASCII lower case, width of them each."""
     words = (text or "").encode().lower().split()  # bytes.split: at [\\x20\\x09-\\x0D]+
     if not words:
-        return 0
+        return
     joined, n = b" ".join(words), max(1, len(words) - width + 1)
     starts = np.zeros(len(words) + 1, np.int64)
     np.cumsum([len(w) + 1 for w in words], out=starts[1:])
-    first, last = starts[:n].tolist(), (starts[min(width, len(words)) :][:n] - 1).tolist()
-    count, digest = np.zeros(64, np.int64), xxhash.xxh64_intdigest
+    first, last, digest = starts[:n].tolist(), (starts[min(width, len(words)) :][:n] - 1).tolist(), xxhash.xxh64_intdigest
     for k in range(0, n, HASHED):
-        h = np.array([digest(joined[i:j], 42) for i, j in zip(first[k : k + HASHED], last[k : k + HASHED], strict=True)], ">u8")
-        count += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(count * 2 > n).tobytes(), "big")
+        yield np.array([digest(joined[i:j], 42) for i, j in zip(first[k : k + HASHED], last[k : k + HASHED], strict=True)], np.uint64)
+
+
+def counted(h: np.ndarray) -> np.ndarray:
+    """How many of the hashes (rows x words) have each bit set, highest bit of the first word first."""
+    bits = np.unpackbits(np.ascontiguousarray(h).astype(">u8").view(np.uint8).reshape(len(h), -1), axis=1).view(np.uint64)
+    return sum(np.add.reduce(bits[k : k + 255], axis=0).view(np.uint8).astype(np.int64) for k in range(0, len(h), 255))  # eight counts side by side in a word
+
+
+def sketch(text: str | None, width: int = SHINGLE, words: int = 1) -> np.ndarray:
+    """64 * words SimHash bits of a text, as words; the first is made of the hashes themselves. Without a word all are zero."""
+    count, n = 0, 0
+    for h in shingles(text, width):
+        own = [h]
+        for k in range(1, words):
+            x = (h ^ np.uint64(k)) * FACTORS[0]
+            own.append((x ^ x >> np.uint64(29)) * FACTORS[1])
+            own[-1] ^= own[-1] >> np.uint64(32)
+        count, n = count + counted(np.stack(own, axis=1)), n + len(h)
+    if not n:
+        return np.zeros(words, np.uint64)
+    return np.packbits(count * 2 > n).view(">u8").astype(np.uint64)
+
+
+def fingerprint(text: str | None, width: int = SHINGLE) -> int:
+    """The 64-bit SimHash of a text."""
+    return int(sketch(text, width)[0])
+
 
+@functools.cache
+def band_bits(bits: int, bands: int, words: int) -> np.ndarray:
+    """The places of each band's bits among 64 * words, the same for every call; all places are used about equally often."""
+    rng, out = np.random.default_rng(42), []
+    for _ in range(bands):
+        out.append(rng.choice(64 * words, bits, replace=False))
+    return np.array(out)
 
-def fingerprints(docs: DataFrame, text: str = "text", width: int = SHINGLE, row: str | None = None) -> DataFrame:
-    """doc_id and fp (the fingerprint as a signed long) of each row of docs, and `row` from the column of that name given."""
+
+def fingerprints(docs: DataFrame, text: str = "text", width: int = SHINGLE, row: str | None = None, bits: int = 0, bands: int = 0) -> DataFrame:
+    """doc_id and fp (the fingerprint as a signed long) of each row of docs, `row` from the column of that name given, and with bands their keys (array)."""
     more = [] if row is None else [T.StructField("row", T.LongType())]
+    keyed = [T.StructField("keys", T.ArrayType(T.LongType()))] if bands else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        where, weigh = (band_bits(bits, bands, WORDS), np.uint64(1) << np.arange(bits, dtype=np.uint64)) if bands else (None, None)
         for batch in slices(batches):
-            own = np.array([fingerprint(x, width) for x in batch.column(1).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own), *batch.columns[2:]], names=["doc_id", "fp", *(f.name for f in more)])
+            own = np.array([sketch(x, width, WORDS if bands else 1) for x in batch.column(1).to_pylist()], np.uint64).reshape(batch.num_rows, -1)
+            columns = [batch.column(0), pa.array(own[:, 0].view(np.int64)), *batch.columns[2:]]
+            if bands:
+                flat = np.unpackbits(own.astype(">u8").view(np.uint8).reshape(len(own), -1), axis=1)
+                key = (flat[:, where].astype(np.uint64) * weigh).sum(axis=2, dtype=np.uint64) | np.arange(bands, dtype=np.uint64) << np.uint64(bits)
+                columns.append(pa.ListArray.from_arrays(pa.array(np.arange(len(own) + 1, dtype=np.int32) * bands), pa.array(key.ravel().view(np.int64))))
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fp", *(f.name for f in more + keyed)])
 
-    return docs.select("doc_id", text, *([] if row is None else [row])).mapInArrow(run, T.StructType([docs.schema["doc_id"], T.StructField("fp", T.LongType()), *more]))
+    return docs.select("doc_id", text, *([] if row is None else [row])).mapInArrow(run, T.StructType([docs.schema["doc_id"], T.StructField("fp", T.LongType()), *more, *keyed]))
 
 
 def gray_rank(fp: np.ndarray) -> np.ndarray:
@@ -80,35 +143,47 @@ def gray_rank(fp: np.ndarray) -> np.ndarray:
     return rank
 
 
-def links(fp: np.ndarray, distance: int = DISTANCE, fan: int = FAN) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs (i, j), i < j, of the distinct fingerprints fp that differ in distance bits or fewer."""
-    order = np.argsort(gray_rank(fp), kind="stable")
-    leaves = fp[order]
-    ones, shared = [leaves], [np.full(len(leaves), ~np.uint64(0))]
-    while len(ones[-1]) > 1:  # upward: what the members of each run have in common
-        v, m = ones[-1], shared[-1]
+def gray(fp: Column) -> Column:
+    """gray_rank() of a column of signed longs."""
+    for k in (1, 2, 4, 8, 16, 32):
+        fp = fp.bitwiseXOR(F.shiftrightunsigned(fp, k))
+    return fp
+
+
+def links(fp: np.ndarray, distance: int = DISTANCE, fan: int = FAN, group: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs (i, j), i < j, of the fingerprints fp that differ in distance bits or fewer and lie in one group.
+
+    group: ascending numbers; the fingerprints of a group are distinct. Without it all are one group.
+    """
+    group = np.zeros(len(fp), np.int64) if group is None else group
+    if len(fp) < 2:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    order = np.lexsort((gray_rank(fp), group))
+    levels = [(fp[order], np.full(len(fp), ~np.uint64(0)), group[order], group[order])]
+    while len(levels[-1][0]) > 1:  # upward: what the members of each run have in common, and which groups it spans
+        v, m, low, high = levels[-1]
         at = np.arange(0, len(v), fan)
         both = np.bitwise_and.reduceat(m, at) & ~(np.bitwise_or.reduceat(v, at) ^ np.bitwise_and.reduceat(v, at))
-        ones.append(np.bitwise_and.reduceat(v, at) & both)
-        shared.append(both)
+        levels.append((np.bitwise_and.reduceat(v, at) & both, both, low[at], np.maximum.reduceat(high, at)))
     i, j, sum_ = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(1, np.int64)
-    for level in range(len(ones) - 2, -1, -1):  # downward: children of the pairs that are left
-        width, v, m, up = len(ones[level]), ones[level], shared[level], shared[level + 1]
-        step = np.arange(fan)
+    step = np.arange(fan)
+    for level in range(len(levels) - 2, -1, -1):  # downward: children of the pairs that are left
+        v, m, low, high = levels[level]
+        up = levels[level + 1][1]
         found = []
-        for k in range(0, len(i), 1 << 14):
-            a = (i[k : k + (1 << 14), None, None] * fan + step[None, :, None]).repeat(fan, 2).ravel()
-            b = (j[k : k + (1 << 14), None, None] * fan + step[None, None, :]).repeat(fan, 1).ravel()
-            s = sum_[k : k + (1 << 14)].repeat(fan * fan)
-            ok = (a < width) & (b < width) & ((a < b) if level == 0 else (a <= b))
+        for k in range(0, len(i), PAIRS):
+            a = (i[k : k + PAIRS, None, None] * fan + step[None, :, None]).repeat(fan, 2).ravel()
+            b = (j[k : k + PAIRS, None, None] * fan + step[None, None, :]).repeat(fan, 1).ravel()
+            s = sum_[k : k + PAIRS].repeat(fan * fan)
+            ok = (a < len(v)) & (b < len(v)) & ((a < b) if level == 0 else (a <= b))
+            a, b, s = a[ok], b[ok], s[ok]
+            ok = low[b] <= high[a]  # as a comes first
             a, b, s = a[ok], b[ok], s[ok]
             known = up[a // fan] & up[b // fan]  # counted above already
             s = s + np.bitwise_count((v[a] ^ v[b]) & m[a] & m[b] & ~known)
             ok = s <= distance
             found.append((a[ok], b[ok], s[ok]))
-        i, j, sum_ = (np.concatenate(x) for x in zip(*found, strict=True))
-    if len(fp) < 2:
-        return i[:0], j[:0]
+        i, j, sum_ = (np.concatenate([*x, np.zeros(0, np.int64)]).astype(np.int64) for x in zip(*found, strict=True)) if found else (i[:0], j[:0], sum_[:0])
     a, b = order[i], order[j]
     return np.minimum(a, b), np.maximum(a, b)
 
@@ -131,34 +206,30 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return rest, root[rest]
 
 
-def edges_of(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.RecordBatch]:
-    """Rows (block, fp) that come group by group, as edges (a, b) of each group's forest."""
-    left = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+def edges_of(batches: Iterator[pa.RecordBatch], distance: int, all_of: int = 0) -> Iterator[pa.RecordBatch]:
+    """Rows (way, block, fp) that come group by group (way and block), as edges (a, b) of each group's forest; all links of groups of all_of members at most."""
+    left = tuple(np.zeros(0, np.int64) for _ in range(3))
     for batch in ended(batches):
-        if batch is not None:
-            fp, key = (np.concatenate([x, y]) for x, y in zip(left, (batch.column("fp").to_numpy().view(np.uint64), batch.column("block").to_numpy()), strict=True))
-        else:
-            fp, key = left
-        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-        ends = np.append(starts[1:], len(key)) if len(key) else starts
-        if batch is not None and len(starts):  # the last group may go on
-            left = fp[starts[-1] :], key[starts[-1] :]
-            starts, ends = starts[:-1], ends[:-1]
+        own = left if batch is None else tuple(np.concatenate([x, batch.column(c).to_numpy().astype(np.int64)]) for x, c in zip(left, ("way", "block", "fp"), strict=True))
+        way, block, fp = own
+        changes = np.concatenate([way[:1] == way[:1], (way[1:] != way[:-1]) | (block[1:] != block[:-1])])
+        starts = np.flatnonzero(changes)
+        done = len(fp) if batch is None else int(starts[-1]) if len(starts) else 0  # the last group may go on
+        if batch is not None and done < RUN:
+            left = own
+            continue
+        left = tuple(x[done:] for x in own)
         a, b = [], []
-        sizes = ends - starts
-        for n in range(2, FAN + 1):  # groups of one leaf: all of a size at once
-            own = starts[sizes == n]
-            for x in range(n):
-                for y in range(x + 1, n):
-                    p, q = fp[own + x], fp[own + y]
-                    near = np.bitwise_count(p ^ q) <= distance
-                    a.append(q[near])
-                    b.append(p[near])
-        for s, e in zip(starts[sizes > FAN].tolist(), ends[sizes > FAN].tolist(), strict=True):
-            own = fp[s:e]
-            x, y = forest(e - s, *links(own, distance))
-            a.append(own[x])
-            b.append(own[y])
+        cuts = starts[np.searchsorted(starts, np.arange(0, done, RUN))].tolist() if done else []
+        for s, e in zip(cuts, [*cuts[1:], done], strict=False):
+            if s == e:
+                continue
+            keys, group = fp[s:e].view(np.uint64), np.cumsum(changes[s:e])
+            x, y = links(keys, distance, group=group)
+            small = np.bincount(group)[group[x]] <= all_of
+            p, q = forest(e - s, x[~small], y[~small])
+            a += [keys[x[small]], keys[p]]
+            b += [keys[y[small]], keys[q]]
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*c, np.zeros(0, np.uint64)]).view(np.int64)) for c in (a, b)], names=["a", "b"])
 
 
@@ -179,23 +250,88 @@ def signed(x: int) -> int:
 
 def near_edges(fps: DataFrame, distance: int = DISTANCE, group_rows: int = GROUP_ROWS) -> DataFrame:
     """Edges (a, b) that connect the distinct fingerprints fps (fp) exactly as all links within distance do."""
-    n, free, level = distance + 1, [(1 << 64) - 1], 0
-    rows, out = fps.select("fp", F.lit(0).alias("path"), F.lit(0).cast("long").alias("block")), []
+    n, free, must, level = distance + 1, [(1 << 64) - 1], [0], 0
+    rows, out = fps.select("fp", F.lit(0).alias("path")), []
     while True:
-        masks = [b for f in free for b in blocks_of(f, n)]
+        must = [m | b for m, f in zip(must, free, strict=True) for b in blocks_of(f, n)]
         free = [f & ~b for f in free for b in blocks_of(f, n)]
-        block = [F.get(F.array(*(F.lit(signed(m)) for m in masks[k::n])), "path") for k in range(n)]
-        ways = [F.struct((F.col("path") * n + k).alias("path"), F.xxhash64("block", F.lit(level * n + k), F.col("fp").bitwiseAND(block[k])).alias("block")) for k in range(n)]
-        dealt = rows.select("fp", F.inline(F.array(*ways)))
+        agree = F.array(*(F.lit(signed(m)) for m in must))
+        ways = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda k: F.col("path") * n + k)
+        dealt = rows.select("fp", F.explode(ways).alias("way")).withColumn("block", gray(F.col("fp").bitwiseAND(F.get(agree, "way"))))
         last = max(f.bit_count() for f in free) <= LAST_BITS
-        hot = None if last else cut(dealt.groupBy("block").agg(F.count("*").alias("n")).where(F.col("n") > group_rows).select("block"), "simhash-hot")
+        hot = None if last else cut(dealt.groupBy("way", "block").agg(F.count("*").alias("n")).where(F.col("n") > group_rows).select("way", "block"), "simhash-hot")
         full = hot is not None and hot.limit(1).count() > 0
-        cold = dealt.join(bounded(hot), "block", "left_anti") if full else dealt
-        grouped = cold.select("block", "fp").repartition("block").sortWithinPartitions("block")
-        out.append(cut(grouped.mapInArrow(lambda it: edges_of(it, distance), "a long, b long"), "simhash-edges"))
+        cold = dealt.join(bounded(hot), ["way", "block"], "left_anti") if full else dealt
+        out.append(tree_edges(cold, distance))
         if not full:
             return functools.reduce(DataFrame.unionAll, out)
-        rows, level = cut(dealt.join(bounded(hot), "block", "left_semi").select("fp", "path", "block"), "simhash-again"), level + 1
+        rows, level = cut(dealt.join(bounded(hot), ["way", "block"], "left_semi").select("fp", F.col("way").alias("path")), "simhash-again"), level + 1
+
+
+def tree_edges(dealt: DataFrame, distance: int, all_of: int = 0) -> DataFrame:
+    """Edges of the groups (way, block) of dealt (way, block, fp): ranges of the order by group and Gray rank, a tree over each run."""
+    ordered = dealt.select("way", "block", "fp").repartitionByRange("way", "block").sortWithinPartitions("way", "block", gray(F.col("fp")))
+    return cut(ordered.mapInArrow(lambda it: edges_of(it, distance, all_of), "a long, b long"), "simhash-edges")
+
+
+def differing(similar: float) -> float:
+    """The share of SimHash bits that two equally long shingle sets of Jaccard similarity similar differ in."""
+    return math.acos(2 * similar / (1 + similar)) / math.pi
+
+
+def bands_for(rows: int, similar: float) -> tuple[int, int]:
+    """Bits of a band, about those of the number of rows, and how many bands bring RECALL of the pairs at the similarity together."""
+    bits = max(8, math.ceil(math.log2(max(2, rows))))
+    return bits, math.ceil(math.log(1 - RECALL) / math.log(1 - (1 - differing(similar)) ** bits))
+
+
+def band_edges(dealt: DataFrame, similar: float, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """Edges (a, b) of fingerprints that meet in a band's group: dealt (way, block, fp).
+
+    A group of more than group_rows members is dealt again by eight more bits, in
+    as many ways as keep the number of meetings of a pair at the similarity; after
+    all 64 bits a group has one member.
+    """
+    p, out = differing(similar), []
+    distance, ways = int(64 * p + SPARE * math.sqrt(64 * p * (1 - p))), math.ceil((1 - p) ** -8)
+    dealt = cut(dealt, "simhash-bands")
+    for level in range(9):
+        hot = cut(dealt.groupBy("way", "block").agg(F.count("*").alias("n")).where(F.col("n") > group_rows).select("way", "block"), "simhash-hot")
+        full = hot.limit(1).count() > 0
+        out.append(tree_edges(dealt.join(bounded(hot), ["way", "block"], "left_anti") if full else dealt, distance, FAN))
+        if not full:
+            break
+        masks = F.array(*(F.lit(signed(sum(1 << int(k) for k in np.random.default_rng(r).permutation(64)[8 * level : 8 * level + 8]))) for r in range(ways)))
+        again = dealt.join(bounded(hot), ["way", "block"], "left_semi").select("way", "block", "fp", F.posexplode(masks).alias("k", "mask"))
+        dealt = cut(again.select((F.col("way") * ways + F.col("k")).alias("way"), F.xxhash64("block", F.col("fp").bitwiseAND(F.col("mask"))).alias("block"), "fp"), "simhash-again")
+    return functools.reduce(DataFrame.unionAll, out)
+
+
+def similar_edges(edges: DataFrame, heads: DataFrame, texts: DataFrame, width: int, similar: float) -> DataFrame:
+    """The edges (a, b) whose shingle sets have a Jaccard similarity of similar or more. heads: (fp, row), one for each fp; texts: (row, text).
+
+    Only the texts that some edge ends in are read again.
+    """
+    edges = cut(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a != b").distinct(), "simhash-pairs")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            own = [np.unique(np.concatenate([*shingles(x, width), np.zeros(0, np.uint64)])).tobytes() for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.binary())], names=["fp", "shingles"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            ok = []
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                x, y = (np.frombuffer(z.as_buffer(), np.uint64) for z in (x, y))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                ok.append(both >= similar * (len(x) + len(y) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    ends = cut(edges.select(F.explode(F.array("a", "b")).alias("fp")).distinct().join(heads, "fp"), "simhash-ends")
+    own = cut(texts.join(bounded(ends), "row").select("fp", "text").mapInArrow(sets, "fp long, shingles binary"), "simhash-sets")
+    joined = edges.join(own.toDF("a", "x"), "a").join(own.toDF("b", "y"), "b").select("a", "b", "x", "y")
+    return cut(joined.mapInArrow(compare, "a long, b long"), "simhash-similar")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -225,7 +361,7 @@ def components(edges: DataFrame) -> DataFrame:
     return found if found is not None else edges.toDF("node", "root")
 
 
-def near_groups(docs: DataFrame, text: str = "text", width: int = SHINGLE, distance: int = DISTANCE, group_rows: int = GROUP_ROWS, row: str | None = None) -> DataFrame:
+def near_groups(docs: DataFrame, text: str = "text", width: int = SHINGLE, distance: int = DISTANCE, group_rows: int = GROUP_ROWS, row: str | None = None, similar: float | None = None) -> DataFrame:
     """One row per row of docs: doc_id, fingerprint (16 lowercase hex digits), component_id, kept.
 
     component_id is the smallest doc_id that links lead to, its own included
@@ -235,14 +371,33 @@ def near_groups(docs: DataFrame, text: str = "text", width: int = SHINGLE, dista
     width is one shingle. Repeated rows and ties are members like any other. An
     empty table gives no rows. Other columns of docs are ignored.
 
+    Without similar, fingerprints link at distance bits or fewer, all such links.
+    With it, texts link whose sets of shingles have at least that Jaccard
+    similarity, held against the texts themselves: first those within distance
+    bits, then, between one text of each group so far, those that meet in a band
+    (at least RECALL of them). Texts of one fingerprint are linked unseen.
+
     row: a column of docs with an id (long) for each row, in the order of the
     files; the verdicts have it as well.
     """
-    rows = fingerprints(docs, text, width, row)
-    rows = cut(rows if row is not None else rows.withColumn("row", F.monotonically_increasing_id()), "simhash-rows")
+    if similar is not None and row is None:
+        docs = cut(docs.select("doc_id", F.col(text).alias(text), F.monotonically_increasing_id().alias("__row")), "simhash-docs")
+    given = row or ("__row" if similar is not None else None)
+    bits, bands = (0, 0) if similar is None else bands_for(docs.count(), similar)
+    rows = fingerprints(docs, text, width, given, bits, bands)
+    rows = cut(rows if given is not None else rows.withColumn("row", F.monotonically_increasing_id()), "simhash-rows")
     first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
     fps = cut(rows.groupBy("fp").agg(F.min(first).alias("first")), "simhash-fps")
-    roots = components(near_edges(fps, distance, group_rows)).toDF("fp", "root")
+    edges = near_edges(fps, distance, group_rows)
+    if similar is not None:
+        heads = fps.select("fp", F.col("first.row").alias("row"))
+        texts = docs.select(F.col(given).alias("row"), F.col(text).alias("text"))
+        edges = similar_edges(edges, heads, texts, width, similar)
+        inner = components(edges).where("node != root").select(F.col("node").alias("fp"))
+        alone = heads.join(bounded(cut(inner, "simhash-inner")), "fp", "left_anti")
+        keyed = rows.select("row", "keys").join(alone, "row").select("fp", F.posexplode("keys").alias("way", "block")).withColumn("way", F.col("way").cast("long"))
+        edges = edges.unionByName(similar_edges(band_edges(keyed, similar, group_rows), heads, texts, width, similar))
+    roots = components(edges).toDF("fp", "root")
     linked = fps.join(roots, "fp")
     linked = linked.join(linked.groupBy("root").agg(F.min("first").alias("least")), "root").select("fp", "least")
     heads = cut(fps.join(bounded(cut(linked, "simhash-linked")), "fp", "left").select("fp", F.coalesce("least", "first").alias("head")), "simhash-heads")
