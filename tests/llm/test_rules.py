@@ -189,22 +189,39 @@ def test_native_plans_have_no_python(spark, docs):
     assert "Python" not in plan and "Arrow" not in plan
 
 
-def brute_cosines(lines, templates):
-    words = lambda s: re.findall(r"[a-z0-9][a-z0-9.-]*[a-z0-9]|[a-z0-9]", s.lower())
-    vocabulary = {w for _, t in templates for w in words(t)}
-    n = len(lines)
-    idf = lambda w: math.log((n + 1) / (sum(w in words(x) for x in lines) + 1)) + 1 if w in vocabulary else math.log(n + 1) + 1
-    vector = lambda s: {w: c * idf(w) for w, c in Counter(words(s)).items()}
-    out = {}
-    for x in set(lines):
-        v = vector(x)
+def licence_words(s):
+    return [w for w in (x.strip(".-") for x in re.split("[^a-z0-9.-]+", s.lower())) if w]
+
+
+def brute_licences(texts, templates=license_scan.TEMPLATES, similar=license_scan.SIMILAR):
+    """The best (licence, cosine) of each text over all windows, without any prefilter."""
+    df = Counter(w for t in texts for w in set(licence_words(t or "")))
+    idf = lambda w: math.log((len(texts) + 1) / (df[w] + 1)) + 1
+    vector = lambda ws: {w: c * idf(w) for w, c in Counter(ws).items()}
+    models = [(name, v, math.hypot(*v.values())) for name, v in ((name, vector(licence_words(t))) for name, t in templates)]
+    out = []
+    for t in texts:
+        lines = [licence_words(x) for x in (t or "").split("\n")]
+        units = {tuple(w for x in lines for w in x)}
+        for size in license_scan.WINDOWS:
+            for b in range(0, len(lines), max(1, size // 4)):
+                units.add(tuple(w for x in lines[b : b + size] for w in x))
         best = None
-        for name, t in sorted(templates):
-            m = vector(t)
-            c = sum(v.get(w, 0) * m[w] for w in m) / (math.hypot(*v.values()) * math.hypot(*m.values()))
-            if best is None or round(c, 6) > best[1]:
-                best = (name, round(c, 6))
-        out[x] = best
+        for u in units - {()}:
+            v = vector(u)
+            norm = math.hypot(*v.values())
+            for name, m, length in models:
+                c = round(sum(v.get(w, 0) * x for w, x in m.items()) / norm / length, 6)
+                if c >= similar and (best is None or (-c, name) < (-best[1], best[0])):
+                    best = (name, c)
+        out.append(best)
+    return out
+
+
+def scan(spark, files):
+    df = spark.createDataFrame([(k, p, t) for k, (p, t) in enumerate(files)], "id long, path string, text string").withColumn("licence", F.lit("clash")).withColumn("row", F.lit("r")).withColumn("name", F.lit(1))
+    out = {r["id"]: r for r in license_scan.scanned(df, key="id").collect()}
+    assert len(out) == len(files)
     return out
 
 
@@ -212,21 +229,68 @@ def test_licences_and_inheritance(spark):
     files = [
         ("a/LICENSE", "Released under the MIT License."), ("a/b/x.py", "code"), ("a/b/COPYING", "This work is licensed under the GNU General Public License, version 3."),
         ("a/b/c/y.py", "text\nlicensed under the apache license version 2.0\nmore"), ("a/b/c/z.py", None), ("a/w.py", "licence of no kind at all, my friend, just words"),
-        ("q/r.py", ""), ("root.py", "x"), (None, "Released under the MIT License."), ("a/b/x.py", "second part"),
+        ("q/r.py", ""), ("root.py", "x"), (None, "Released under the MIT License."), ("a/b/x.py", "second part"), (None, None), ("a/LICENSE", "Released under the MIT License."),
     ]
-    df = spark.createDataFrame(files, "path string, text string").withColumn("licence", F.lit("clash")).withColumn("line", F.lit(1))
-    got = {r["path"]: r for r in license_scan.scanned(df).collect()}
-    assert len(got) == 8
-    assert {p: (r["licence"], r["origin"], r["licence_path"]) for p, r in got.items()} == {
-        "a/LICENSE": ("MIT", "own", "a/LICENSE"), "a/b/x.py": ("GPL-3.0", "inherited", "a/b/COPYING"), "a/b/COPYING": ("GPL-3.0", "own", "a/b/COPYING"),
-        "a/b/c/y.py": ("Apache-2.0", "own", "a/b/c/y.py"), "a/b/c/z.py": ("GPL-3.0", "inherited", "a/b/COPYING"), "a/w.py": ("MIT", "inherited", "a/LICENSE"),
-        "q/r.py": (None, None, None), "root.py": (None, None, None),
-    }
-    lines = [x for _, t in files if _ and t for x in t.split("\n") if "licen" in x.lower()]
-    want = brute_cosines(lines, license_scan.TEMPLATES)
-    for path, text in (("a/LICENSE", files[0][1]), ("a/b/c/y.py", "licensed under the apache license version 2.0")):
-        assert got[path]["cosine"] == pytest.approx(want[text][1], abs=1e-6)
-    assert license_scan.scanned(df.limit(0)).count() == 0
+    got = scan(spark, files)
+    assert [(got[k]["licence"], got[k]["origin"], got[k]["licence_path"], got[k]["licence_key"]) for k in range(len(files))] == [
+        ("MIT", "own", "a/LICENSE", 0), ("GPL-3.0", "inherited", "a/b/COPYING", 2), ("GPL-3.0", "own", "a/b/COPYING", 2), ("Apache-2.0", "own", "a/b/c/y.py", 3),
+        ("GPL-3.0", "inherited", "a/b/COPYING", 2), ("MIT", "inherited", "a/LICENSE", 0), (None,) * 4, (None,) * 4, ("MIT", "own", None, 8),
+        ("GPL-3.0", "inherited", "a/b/COPYING", 2), (None,) * 4, ("MIT", "own", "a/LICENSE", 11),
+    ]
+    for k, want in enumerate(brute_licences([t for _, t in files])):
+        assert (want is None) == (got[k]["origin"] != "own")
+        assert want is None or (got[k]["licence"], got[k]["cosine"]) == (want[0], pytest.approx(want[1], abs=2e-6))
+    empty = spark.createDataFrame([], "path string, text string")
+    assert license_scan.scanned(empty).count() == 0
+
+
+WRAPPED = """/*
+ * Copyright (c) 2011 Some Body
+ *
+ * Licensed under the Apache License, Version 2.0 (the "License");
+ * you may not use this file except in compliance with the License.
+ * You may obtain a copy of the License at
+ *
+ *     http://www.apache.org/licenses/LICENSE-2.0
+ *
+ * Unless required by applicable law or agreed to in writing, software
+ * distributed under the License is distributed on an "AS IS" BASIS,
+ * WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+ * See the License for the specific language governing permissions and
+ * limitations under the License.
+ */
+int main() { return 0; }
+"""
+
+
+def wrapped(text, width, mark="# "):
+    out, line = [], mark
+    for w in text.split():
+        if len(line) + len(w) > width:
+            out.append(line)
+            line = mark
+        line += w + " "
+    return "\n".join([*out, line])
+
+
+def test_headers_texts_and_tags_of_common_licences(spark):
+    full = {name: max((t for n, t in license_scan.TEMPLATES if n == name), key=len) for name in ("MIT", "BSD-2-Clause", "BSD-3-Clause", "ISC", "GPL-3.0", "AGPL-3.0", "LGPL-3.0", "MPL-2.0", "Unlicense")}
+    code = "\n".join(f"x{k} = compute(y{k}, z{k})" for k in range(40))
+    cases = [("Apache-2.0", WRAPPED), ("MIT", "MIT License\n\nCopyright (c) 2020 Any One\n\n" + wrapped(full["MIT"], 76, "")), ("MIT", code + "\n// SPDX-License-Identifier: MIT\n" + code), ("GPL-2.0", "# SPDX-License-Identifier: GPL-2.0-or-later\nx = 1"),
+             ("GPL-3.0", "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Everyone is permitted to copy\n"), ("MIT", "The MIT License (MIT)"), ("Apache-2.0", "Apache License")]
+    cases += [(name, code + "\n\n" + wrapped(text, 60) + "\n\n" + code) for name, text in full.items()]
+    cases += [(None, code), (None, "A licence to print money, as the saying goes."), (None, "permission notice " * 30)]
+    got = scan(spark, [(f"f/{k}.py", t) for k, (_, t) in enumerate(cases)])
+    assert [got[k]["licence"] for k in range(len(cases))] == [name for name, _ in cases]
+    for k, want in enumerate(brute_licences([t for _, t in cases])):
+        assert want is None or got[k]["cosine"] == pytest.approx(want[1], abs=2e-6)
+
+
+def test_a_line_of_megabytes_and_a_hot_text(spark):
+    line = "var a=1;license=" + "".join(f"function f{k}(){{return {k}}};" for k in range(150_000))
+    assert len(line) > 4_000_000
+    got = scan(spark, [("m/min.js", line), *[(f"m/{k}.py", "Released under the MIT License.") for k in range(300)]])
+    assert got[0]["licence"] is None and all(got[k]["licence"] == "MIT" for k in range(1, 301))
 
 
 def test_licence_files_with_endings_and_in_the_root_speak_for_what_is_below(spark):

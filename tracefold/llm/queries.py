@@ -46,14 +46,13 @@ def op5_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents as a tree of files: source/id, and for ids not divisible by 5 source/(id div 500)/id.
 
-    A document of 60 words or fewer that names a licence is its folder's licence file.
+    Of either, the ids that leave 0 or 1 divided by 5 are called LICENSE.id, so they speak for their folder if they have a licence.
     """
     docs = documents(spark, sf_dir)
     folder = F.when(F.col("doc_id") % 5 == 0, F.col("source")).otherwise(F.concat_ws("/", "source", F.floor(F.col("doc_id") / 500)))
-    files = docs.select(F.concat_ws("/", folder, F.col("doc_id").cast("string")).alias("path"), "text", (F.size(F.split(F.trim("text"), r"\s+")) <= 60).alias("short"))
-    found = license_scan.scanned(files, licence_file=F.col("short"))
-    own_id = lambda c: F.substring_index(c, "/", -1).cast("long")
-    return found.select(own_id("path").alias("doc_id"), "path", "licence", "cosine", "origin", own_id("licence_path").alias("licence_doc_id"))
+    name = F.concat(F.when(F.col("doc_id") % 5 < 2, "LICENSE.").otherwise(""), F.col("doc_id").cast("string"))
+    files = docs.select("doc_id", F.concat_ws("/", folder, name).alias("path"), "text")
+    return license_scan.scanned(files, key="doc_id").withColumnRenamed("licence_key", "licence_doc_id")
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,27 +75,39 @@ def op10_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secrets(documents(spark, sf_dir)).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
 
 
-WORD = "[a-z0-9][a-z0-9.-]*[a-z0-9]|[a-z0-9]"
+
+def quoted(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+#: Every window of every text is compared here, without the words that let the operator leave most of them out.
 LICENCE_SQL = rf"""
-    WITH f AS (SELECT doc_id, text, CASE WHEN doc_id % 5 = 0 THEN source ELSE source || '/' || doc_id // 500 END AS folder, source FROM documents),
-    l AS (SELECT doc_id, line FROM (SELECT doc_id, unnest(regexp_split_to_array(text, '\r?\n')) AS line FROM f) WHERE contains(lower(line), 'licen')),
-    k AS (SELECT line, count(*) AS lines FROM l GROUP BY 1),
-    t AS (SELECT line, lines, term, count(*) AS tf FROM (SELECT line, lines, unnest(regexp_extract_all(lower(line), '{WORD}')) AS term FROM k) GROUP BY 1, 2, 3),
-    m AS (SELECT licence, term, count(*) AS n FROM (SELECT licence, unnest(regexp_extract_all(lower(notice), '{WORD}')) AS term
-        FROM (VALUES {", ".join(f"('{a}', '{b}')" for a, b in license_scan.TEMPLATES)}) AS v(licence, notice)) GROUP BY 1, 2),
-    tot AS (SELECT coalesce(sum(lines), 0) AS n FROM k),
-    df AS (SELECT term, sum(lines) AS df FROM t GROUP BY 1),
-    idf AS (SELECT v.term, ln((tot.n + 1.0) / (coalesce(df, 0) + 1.0)) + 1 AS idf FROM (SELECT DISTINCT term FROM m) v CROSS JOIN tot LEFT JOIN df ON v.term = df.term),
-    w AS (SELECT line, t.term, tf * coalesce(idf, ln(tot.n + 1.0) + 1) AS w FROM t CROSS JOIN tot LEFT JOIN idf ON t.term = idf.term),
-    x AS (SELECT licence, m.term, n * idf AS x FROM m JOIN idf ON m.term = idf.term),
-    c AS (SELECT w.line, x.licence, round(sum(w * x) / any_value(a.norm) / any_value(b.norm), 6) AS cosine FROM w JOIN x ON w.term = x.term
-        JOIN (SELECT line, sqrt(sum(w * w)) AS norm FROM w GROUP BY 1) a ON a.line = w.line JOIN (SELECT licence, sqrt(sum(x * x)) AS norm FROM x GROUP BY 1) b ON b.licence = x.licence GROUP BY 1, 2),
-    o AS (SELECT doc_id, arg_min(licence, struct_pack(a := -cosine, b := licence)) AS licence, max(cosine) AS cosine FROM l JOIN c ON l.line = c.line WHERE cosine >= {license_scan.SIMILAR} GROUP BY 1),
-    p AS (SELECT f.doc_id, folder || '/' || f.doc_id AS path, folder, source, o.licence, o.cosine, len(regexp_split_to_array(trim(text), '\s+')) <= 60 AS short FROM f LEFT JOIN o ON f.doc_id = o.doc_id),
-    s AS (SELECT folder, arg_min(struct_pack(l := licence, c := cosine, d := doc_id), struct_pack(a := -cosine, b := path)) AS s FROM p WHERE short AND licence IS NOT NULL GROUP BY 1),
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS text, source, CASE WHEN doc_id % 5 = 0 THEN source ELSE source || '/' || doc_id // 500 END AS folder,
+            CASE WHEN doc_id % 5 < 2 THEN 'LICENSE.' ELSE '' END || doc_id AS name, doc_id % 5 < 2 AS speaks FROM documents),
+    line AS (SELECT doc_id, i, list_filter(list_transform(regexp_split_to_array(lower(x), '[^a-z0-9.-]+'), lambda y: trim(y, '.-')), lambda y: y <> '') AS ws
+        FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM d)),
+    unit AS (SELECT doc_id, size, b, flatten(list(ws ORDER BY i)) AS ws FROM (
+            SELECT doc_id, size, i, ws, unnest(range((greatest(i - size + 1, 0) + step - 1) // step, i // step + 1)) * step AS b
+            FROM line, (SELECT w AS size, greatest(1, w // 4) AS step FROM (VALUES {", ".join(f"({w})" for w in license_scan.WINDOWS)}) AS v(w)))
+        GROUP BY ALL HAVING true
+        UNION ALL SELECT doc_id, 0, 0, flatten(list(ws ORDER BY i)) FROM line GROUP BY 1),
+    kind AS (SELECT ws, row_number() OVER () AS k FROM (SELECT DISTINCT ws FROM unit)),
+    tf AS (SELECT k, term, count(*) AS tf FROM (SELECT k, unnest(ws) AS term FROM kind) GROUP BY 1, 2),
+    df AS (SELECT term, count(DISTINCT doc_id) AS df FROM (SELECT doc_id, unnest(ws) AS term FROM line) GROUP BY 1),
+    tot AS (SELECT count(*) AS n FROM d),
+    idf AS (SELECT term, ln((n + 1) / (df + 1)) + 1 AS idf FROM df, tot),
+    m AS (SELECT t, licence, term, count(*) AS n FROM (SELECT t, licence, unnest(list_filter(list_transform(regexp_split_to_array(lower(notice), '[^a-z0-9.-]+'), lambda y: trim(y, '.-')), lambda y: y <> '')) AS term
+        FROM (VALUES {", ".join(f"({k}, {quoted(a)}, {quoted(b)})" for k, (a, b) in enumerate(license_scan.TEMPLATES))}) AS v(t, licence, notice)) GROUP BY 1, 2, 3),
+    mw AS (SELECT t, licence, m.term, m.n * coalesce(idf, ln(tot.n + 1.0) + 1) AS m FROM m CROSS JOIN tot LEFT JOIN idf ON m.term = idf.term),
+    mm AS (SELECT mw.t, licence, term, m / l AS m FROM mw JOIN (SELECT t, sqrt(sum(m * m)) AS l FROM mw GROUP BY 1) x ON x.t = mw.t),
+    w AS (SELECT k, tf.term, tf * idf AS w FROM tf JOIN idf ON tf.term = idf.term),
+    c AS (SELECT w.k, licence, round(sum(w * m) / any_value(norm), 6) AS cosine FROM w JOIN mm ON w.term = mm.term JOIN (SELECT k, sqrt(sum(w * w)) AS norm FROM w GROUP BY 1) x ON x.k = w.k GROUP BY w.k, mm.t, licence),
+    o AS (SELECT doc_id, arg_min(licence, struct_pack(a := -cosine, b := licence)) AS licence, max(cosine) AS cosine FROM unit JOIN kind ON unit.ws = kind.ws JOIN c ON c.k = kind.k WHERE cosine >= {license_scan.SIMILAR} GROUP BY 1),
+    p AS (SELECT d.doc_id, folder || '/' || name AS path, folder, source, speaks, o.licence, o.cosine FROM d LEFT JOIN o ON d.doc_id = o.doc_id),
+    s AS (SELECT folder, arg_min(struct_pack(l := licence, c := cosine, d := doc_id, p := path), struct_pack(a := -cosine, b := path)) AS s FROM p WHERE speaks AND licence IS NOT NULL GROUP BY 1),
     u AS (SELECT p.*, CASE WHEN p.licence IS NULL THEN coalesce(near.s, far.s) END AS up FROM p LEFT JOIN s near ON near.folder = p.folder LEFT JOIN s far ON far.folder = p.source)
     SELECT doc_id, path, coalesce(licence, up.l) AS licence, coalesce(cosine, up.c) AS cosine, CASE WHEN licence IS NOT NULL THEN 'own' WHEN up IS NOT NULL THEN 'inherited' END AS origin,
-        CASE WHEN licence IS NOT NULL THEN doc_id ELSE up.d END AS licence_doc_id FROM u
+        CASE WHEN licence IS NOT NULL THEN path ELSE up.p END AS licence_path, CASE WHEN licence IS NOT NULL THEN doc_id ELSE up.d END AS licence_doc_id FROM u
 """
 
 QUERIES = {f.__name__: f for f in (op1_bpe, op2_packing, op3_exact_dedup, op4_simhash, op5_token_orc, op6_license_scan, op7_quality, op8_language_id, op9_hilbert_shards, op10_secret_links)}
