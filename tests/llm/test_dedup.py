@@ -10,7 +10,6 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tracefold.llm import exact_dedup, simhash
-from tracefold.llm.common import keep
 
 
 def brute_exact(rows):
@@ -50,12 +49,16 @@ def test_directory_doubles_until_no_bucket_is_overfull(spark):
     assert where.count() == 1 << depth or where.count() <= 1 << depth
 
 
-def test_keep_drops_only_what_is_dropped(spark, docs):
-    df = docs([(1, "a"), (2, "b"), (3, "c"), (3, "c"), (None, "d"), (None, "d")])
-    verdicts = spark.createDataFrame([(1, True), (2, False), (3, True), (3, False), (None, True), (None, False)], "doc_id long, kept boolean")
-    out = keep(df, verdicts)
-    assert out.columns == df.columns
-    assert sorted((r["doc_id"] or 0, r["text"]) for r in out.collect()) == [(0, "d"), (1, "a"), (3, "c")]
+def test_owners_compare_their_ranges(spark, docs, texts):
+    out = exact_dedup.exact_groups(docs(list(enumerate(texts * 2))), capacity=4)
+    plan = out._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    rows = spark.range(3000).select(F.xxhash64(F.col("id") % 1000).alias("key"), F.lit(8).alias("length"))
+    written = exact_dedup.index(rows, 50)
+    buckets = written.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("members").alias("m")).collect()
+    assert len(buckets) > 20 and max(r["n"] for r in buckets) <= 50 and sum(r["m"] for r in buckets) == 3000
+    keys = sorted((r["key"] & (2**64 - 1), r["bucket"]) for r in written.collect())
+    assert len([1 for x, y in zip(keys, keys[1:], strict=False) if x[1] != y[1]]) == len(buckets) - 1  # each bucket is one range of keys
 
 
 def slow_fingerprint(t, width=3):

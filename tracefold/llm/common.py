@@ -2,38 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows below which a table whose size has been counted is broadcast; above it the join shuffles.
-BROADCAST_ROWS = 200_000
-
-_own_dir: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; only where that is unset (tests) a temporary one."""
-    if named := spark.sparkContext.getConf().get("spark.checkpoint.dir"):
-        return named.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _own_dir:
-        _own_dir[app] = "file://" + tempfile.mkdtemp(prefix="spark-tracefold-")
-    return _own_dir[app]
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder, deleted when the application ends."""
-    path = f"{shared_dir(spark)}/tracefold/{name}-{uuid.uuid4().hex[:12]}"
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return path
+from ..sources.scratch import scratch_path
 
+#: Rows and bytes (as JSON) below which a table whose size has been measured is broadcast; above either the join shuffles.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 48 << 20
 
 def cut(df: DataFrame, name: str) -> DataFrame:
     """df as a table written in the shared folder and read back: its lineage ends there.
@@ -60,8 +38,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bounded(df: DataFrame) -> DataFrame:
-    """df marked for broadcast if it has no more than BROADCAST_ROWS rows; beyond that the join shuffles."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+    """df, a written table, marked for broadcast if it has no more than BROADCAST_ROWS rows and BROADCAST_BYTES; beyond that the join shuffles."""
+    head = df.limit(BROADCAST_ROWS + 1).select(F.octet_length(F.to_json(F.struct("*"))).alias("bytes"))
+    rows, size = head.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    return F.broadcast(df) if rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES else df
 
 
 def keep_rows(docs: DataFrame, judge: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
@@ -75,21 +55,3 @@ def keep_rows(docs: DataFrame, judge: Callable[[DataFrame, str], DataFrame]) ->
     numbered = cut(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     dropped = cut(judge(numbered, row).where(~F.col("kept")).select(row), "dropped")
     return numbered.join(bounded(dropped), row, "left_anti").select(*docs.columns)
-
-
-def keep(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """The rows of docs that verdicts (doc_id, kept; one row per row of docs) keeps, with docs' own columns.
-
-    Only the doc_ids that are dropped are joined. Where a doc_id occurs more than
-    once, as many of its rows stay as are kept, and the verdicts must not differ
-    among rows that differ.
-    """
-    ids = verdicts.groupBy("doc_id").agg(F.count("*").alias("n"), F.count_if("kept").alias("stay")).where("stay < n")
-    ids = cut(ids.select(F.col("doc_id").alias("__id"), "stay"), "dropped")
-    some = ids.where("stay > 0")
-    out = docs.join(bounded(ids.select("__id")), F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
-    if not some.limit(1).count():
-        return out
-    repeated = docs.join(bounded(some), F.col("doc_id").eqNullSafe(F.col("__id")))
-    place = F.row_number().over(Window.partitionBy("__id").orderBy(F.length("text").desc_nulls_last(), "text"))
-    return out.unionByName(repeated.withColumn("__place", place).where(F.col("__place") <= F.col("stay")).select(*docs.columns))

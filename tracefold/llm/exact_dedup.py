@@ -7,9 +7,12 @@ than `capacity` entries share a bucket, the directory doubles (one more bit)
 until none is overfull. The entries are written bucket by bucket, each range of
 buckets by one task, its owner.
 
-Equal keys form a chain. Only chains of more than one row can hold copies; their
-texts are read again and compared byte by byte, by grouping on the text itself,
-so that two texts with one key stay apart.
+Equal keys form a chain. Only chains of more than one row can hold copies. Their
+texts are read again and dealt to the owners of the buckets by the index, copies
+summed on the way; an owner walks the chains of its range and compares the texts
+byte by byte, so that two texts with one key stay apart. In its chain a text
+goes by its SHA-256; that no two different texts go by the same is checked by
+the comparison of the bytes.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from .common import bounded, cut
 #: The characters that are deleted before texts are compared (fixed values: [\\x20\\x09-\\x0D]).
 DELETED = " \t\n\x0b\x0c\r"
 #: Entries of a bucket before it splits.
-CAPACITY = 100_000
+CAPACITY = 4096
 #: Bits of the directory at most; a bucket that is still overfull then is chained further.
 MAX_DEPTH = 24
 
@@ -53,15 +56,18 @@ def directory(entries: DataFrame, capacity: int = CAPACITY) -> tuple[DataFrame,
         if depth >= MAX_DEPTH or not counts.where(F.col("n") > capacity).limit(1).count():
             break
         depth += 1
-    local = F.lit(depth)
-    levels = counts
-    for d in range(depth - 1, -1, -1):  # the shallowest bucket that isn't overfull
-        up = counts.groupBy(F.expr(f"shiftright(prefix, {depth - d})").alias("above")).agg(F.sum("n").alias(f"n{d}"))
-        levels = levels.withColumn("above", F.expr(f"shiftright(prefix, {depth - d})")).join(up, "above").drop("above")
-        local = F.when(F.col(f"n{d}") <= capacity, d).otherwise(local)
+    own = F.col("prefix")
+    above = [F.struct(F.lit(d).alias("depth"), F.call_function("shiftright", own, F.lit(depth - d)).alias("above"), "n") for d in range(depth)]
+    if above:  # the shallowest bucket that isn't overfull
+        fits = counts.select(F.inline(F.array(*above))).groupBy("depth", "above").agg(F.sum("n").alias("n")).where(F.col("n") <= capacity).select("depth", "above")
+        of = F.explode(F.array(*(F.struct(F.lit(d).alias("depth"), F.call_function("shiftright", own, F.lit(depth - d)).alias("above")) for d in range(depth)))).alias("x")
+        least = counts.select("prefix", of).select("prefix", "x.*").join(fits, ["depth", "above"]).groupBy("prefix").agg(F.min("depth").alias("depth"))
+        counts = counts.join(least, "prefix", "left")
+    else:
+        counts = counts.withColumn("depth", F.lit(0))
+    out = counts.select("prefix", F.coalesce("depth", F.lit(depth)).alias("depth"))
     shift = F.lit(depth) - F.col("depth")
-    out = levels.select("prefix", local.alias("depth"))
-    return out.select("prefix", F.call_function("shiftleft", F.call_function("shiftright", "prefix", shift.cast("int")), shift.cast("int")).alias("bucket"), "depth"), depth
+    return out.select("prefix", F.call_function("shiftleft", F.call_function("shiftright", "prefix", shift), shift).alias("bucket"), "depth"), depth
 
 
 def prefix(key: Column, depth: int) -> Column:
@@ -98,8 +104,11 @@ def exact_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", capac
     chains = index(rows, capacity).where("members > 1").select("bucket", "key", "length")
 
     members = docs.select(plain.alias("plain")).select("plain", hashed("plain").alias("key"), F.octet_length("plain").alias("length"))
-    compared = members.join(bounded(chains), ["key", "length"]).groupBy("bucket", "key", "length", "plain").agg(F.count("*").alias("group_size"))
-    sizes = compared.select("key", "length", F.sha2("plain", 256).alias("text_sha256"), "group_size").where("group_size > 1")
+    texts = members.join(bounded(chains), ["key", "length"]).groupBy("bucket", "key", "length", "plain").agg(F.count("*").alias("group_size"))
+    owned = texts.repartitionByRange("bucket", "key").withColumn("text_sha256", F.sha2("plain", 256)).groupBy("bucket", "key", "length", "text_sha256")
+    compared = owned.agg(F.count("*").alias("texts"), F.sum("group_size").alias("group_size"))
+    one = F.when(F.col("texts") == 1, F.col("group_size")).otherwise(F.raise_error(F.lit("two different texts have one SHA-256")).cast("long"))
+    sizes = compared.select("key", "length", "text_sha256", one.alias("group_size")).where("group_size > 1")
 
     best = F.min(F.struct((-F.col("n")).alias("less"), F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row"))
     same = ["key", "length", "text_sha256"]
