@@ -10,13 +10,23 @@ from pyspark.sql import SparkSession
 _own: dict[str, str] = {}
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder named in spark.checkpoint.dir or set as checkpoint folder; a temporary one only on a local master, as in tests."""
+    sc = spark.sparkContext
+    if named := sc.getConf().get("spark.checkpoint.dir"):
+        return named.rstrip("/")
+    if (given := sc._jsc.sc().getCheckpointDir()).isDefined():
+        return given.get().rstrip("/")
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and the executors share")
+    if sc.applicationId not in _own:
+        _own[sc.applicationId] = "file://" + tempfile.mkdtemp(prefix="spark-tracefold-")
+    return _own[sc.applicationId]
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path under spark.checkpoint.dir, deleted when the application ends; under a temporary folder only where that is unset, as in tests."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        app = spark.sparkContext.applicationId
-        root = _own.setdefault(app, _own.get(app) or "file://" + tempfile.mkdtemp(prefix="spark-tracefold-"))
-    path = f"{root.rstrip('/')}/tracefold/{name}-{uuid.uuid4().hex[:12]}"
+    """A new path in the shared folder, deleted when the application ends."""
+    path = f"{shared_dir(spark)}/tracefold/{name}-{uuid.uuid4().hex[:12]}"
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
     return path
