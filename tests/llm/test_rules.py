@@ -11,7 +11,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tracefold.llm import language_id, license_scan, quality, secret_scan, sharding
+from tracefold.llm import language_id, license_scan, quality, queries, secret_scan, sharding
+from tracefold.llm.common import scratch_path
 
 SPACE = r"[^\x20\x09-\x0D]+"
 
@@ -49,6 +50,22 @@ def test_cascade_puts_cheap_rejections_first(spark, docs):
     assert order[0].name == "few_words" and set(order) == set(quality.RULES)
 
 
+def test_cascade_ranks_on_what_is_left(spark, docs):
+    short = "no word twice in a line of so few words"  # rejected by two rules, the cheap one first
+    rules = (quality.Rule("costly", ("words", "repeat_words"), lambda x: len(x.words) < 60), quality.Rule("cheap", ("words",), lambda x: len(x.words) < 50), quality.Rule("shouting", ("word_chars", "upper_chars"), lambda x: 2 * x.upper_chars > x.word_chars))
+    rows = [(k, short) for k in range(100)] + [(k, " ".join(f"LOUD{j}X" for j in range(100))) for k in range(100, 130)]
+    assert [r.name for r in quality.cascade_order(docs(rows), rules)] == ["cheap", "shouting", "costly"]
+    assert {r.name for r in quality.cascade_order(docs([]), rules)} == {"costly", "cheap", "shouting"}
+
+
+def test_the_sample_reads_a_few_files(spark, docs, texts):
+    path = scratch_path(spark, "many")
+    docs([(k, texts[k % len(texts)]) for k in range(400)], extra=False).repartition(60).write.parquet(path)
+    df = spark.read.parquet(path)
+    assert 0 < len(quality.sampled(df, 1000).inputFiles()) <= 60 and quality.sampled(df, 1000).count() < 200
+    assert quality.sampled(df.where("doc_id >= 0").unionAll(df), 100).count() > 0
+
+
 def test_filtered_keeps_clean_rows_and_columns(spark, docs, texts):
     df = docs(list(enumerate(texts)))
     out = quality.filtered(df)
@@ -72,6 +89,70 @@ def test_language_on_held_out_rows(spark):
     assert language_id.identify(odd.limit(0), models).count() == 0
 
 
+def test_language_without_labels(spark, docs):
+    for rows in ([], [(1, None, None)], [(1, "text", None)], [(1, None, "en")], [(1, "12 !", "en")]):
+        labelled = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+        out = language_id.identify(docs([(1, "some words"), (None, None)]), language_id.learn(labelled)).collect()
+        assert len(out) == 2 and all(r["lang_pred"] == "und" and r["score"] == 0 and r["rejected"] for r in out if r["doc_id"] is None or not rows or rows[0][2] is None)
+
+
+def test_language_sample_is_bounded_in_characters(spark):
+    rows = [(k if k % 2 else None, "lange Wörter und Sätze " * 200 + str(k), "de") for k in range(60)] + [(k, "many short words here", "en") for k in range(60)]
+    models = language_id.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample_chars=40_000)
+    assert models.langs == ["de", "en"]
+
+
+def slow_kneser_ney(text_ngrams, order=4):
+    """P(last | before) by the textbook: counts at the highest order, continuation counts below, one discount for each order."""
+    grams = {order: Counter(text_ngrams)}
+    for n in range(order - 1, 0, -1):
+        grams[n] = Counter(g[1:] for g in grams[n + 1])
+    alphabet = len(grams[1])
+
+    def discount(n):
+        c = Counter(grams[n].values())
+        return c[1] / (c[1] + 2 * c[2]) if c[1] and c[2] else 0.5
+
+    d = {n: discount(n) for n in grams}
+
+    def p(g):
+        n = len(g)
+        if n == 0:
+            return 1 / (alphabet + 1)
+        own = [c for h, c in grams[n].items() if h[:-1] == g[:-1]]
+        if not own:
+            return p(g[1:])
+        return max(grams[n][g] - d[n], 0) / sum(own) + d[n] * len(own) / sum(own) * p(g[1:])
+
+    return p
+
+
+def test_models_are_kneser_ney():
+    def ngrams(t):
+        x = "\0\0\0" + "".join(c if c.isalpha() else "\0" for c in t.lower()) + "\0"
+        x = x[:3] + re.sub("\0+", "\0", x[3:].lstrip("\0") if x[3:].lstrip("\0") else "\0")
+        return [tuple(x[i : i + 4]) for i in range(len(x) - 3)]
+
+    texts = ("abracadabra alakazam abra cadabra", "hokus pokus fidibus hokus")
+    m = language_id.fit(["a", "b"], [np.unique(language_id.sequences([t])[0], return_counts=True) for t in texts])
+    unpack = lambda v: tuple(chr(int(v) >> 16 * k & 0xFFFF) for k in (3, 2, 1, 0))
+    for x, t in enumerate(texts):
+        own = [unpack(v) for v in language_id.sequences([t])[0]]
+        assert own == ngrams(t)
+        p = slow_kneser_ney(own)
+        for other in ("abrakus", "pokuscada", "zzz hok"):
+            packed = language_id.sequences([other])[0]
+            got = np.exp(m.logs(packed)[:, x].astype(float))
+            # letters that neither text has are shared by both models' alphabet
+            alphabet = {g[-1] for y in texts for g in ngrams(y)}
+            if {g[-1] for g in own} == alphabet:
+                assert got == pytest.approx([p(unpack(v)) for v in packed], rel=1e-4)
+        same = language_id.fit(["x"], [np.unique(language_id.sequences([t])[0], return_counts=True)])
+        for other in (t, "abrakus", "pokuscada zzz"):
+            packed = language_id.sequences([other])[0]
+            assert np.exp(same.logs(packed)[:, 0].astype(float)) == pytest.approx([p(unpack(v)) for v in packed], rel=1e-4)
+
+
 def test_models_are_probabilities():
     counts = [np.unique(language_id.sequences([t])[0], return_counts=True) for t in ("abracadabra alakazam", "hokus pokus fidibus")]
     m = language_id.fit(["a", "b"], counts)
@@ -111,6 +192,57 @@ def test_shards(spark, docs, texts):
     assert sharding.shards(docs([(1, "a"), (2, None)]), 7).count() == 2
 
 
+def test_shards_equal_brute_force(spark):
+    rng = np.random.default_rng(1)
+    rows = [(int(k), "x" * int(rng.integers(0, 300)), ["de", "en", None][rng.integers(3)], f"host{rng.integers(9)}.org") for k in rng.permutation(500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+
+    def cells(values, bits=5):
+        own = sorted(v for v in values if v is not None)
+        cuts = [own[math.ceil(len(own) * k / 2**bits) - 1] for k in range(1, 2**bits)]
+        return [0 if v is None else sum(e < v for e in cuts) for v in values]
+
+    dims = np.array([cells([r[2] for r in rows]), cells([r[3] for r in rows]), cells([len(r[1]) + 16 for r in rows])]).T
+    at = sharding.hilbert(dims, 5)
+    order = sorted(range(500), key=lambda k: (at[k], len(rows[k][1]) + 16, rows[k][0]))
+    want = {}
+    for rank, k in enumerate(order):
+        shard = rank * 7 // 500
+        want[rows[k][0]] = (shard, rank - -(-shard * 500 // 7), int(at[k]))
+    assert {r["doc_id"]: (r["shard"], r["slot"], r["hilbert"]) for r in sharding.shards(df, 7).collect()} == want
+
+
+def test_one_outlier_takes_no_dimension_away(spark):
+    hosts = [f"www.host{k:02d}.org" for k in range(50)]
+    for more in ([], ["a.org"]):
+        df = spark.createDataFrame([(h,) for h in hosts * 20 + more], "host string")
+        out, (cell,) = sharding.quantised(df, ["host"])
+        assert out.select(cell).distinct().count() == 32
+
+
+def test_written_shards_let_readers_skip_files(spark, docs):
+    rng = np.random.default_rng(2)
+    rows = [(None if k % 7 == 0 else int(k % 400), " ".join(["w"] * int(rng.integers(1, 200)))) for k in range(2000)]
+    df = docs(rows).withColumn("lang", F.element_at(F.array(*map(F.lit, ("de", "en", "es", "fr"))), (F.abs(F.xxhash64("text")) % 4 + 1).cast("int")))
+    df = df.withColumn("source", F.concat(F.lit("s"), F.abs(F.xxhash64("text", "lang")) % 20))
+    path = scratch_path(spark, "shards")
+    sharding.write_shards(df, path, 20)
+    back = spark.read.parquet(path)
+    assert back.count() == 2000 and back.select(*df.columns).exceptAll(df).count() == 0
+    touched = back.groupBy("shard").agg(F.min("lang").alias("a"), F.max("lang").alias("b"), F.min("source").alias("c"), F.max("source").alias("d")).collect()
+    share = np.mean([r["a"] <= lang <= r["b"] and r["c"] <= source <= r["d"] for r in touched for lang in ("de", "en", "es", "fr") for source in (f"s{k}" for k in range(20))])
+    assert share < 0.25  # of all shards, by their statistics; without the curve a reader opens every one
+    sharding.write_shards(df.limit(0), scratch_path(spark, "none"), 4)
+
+
+@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+def test_query_has_a_row_for_each_document(spark, name):
+    sf = "/root/testdata/sf0.001"
+    out = queries.QUERIES[name](spark, sf)
+    ids = {r["doc_id"] for r in out.select("doc_id").distinct().collect()}
+    assert ids == {r["doc_id"] for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id").collect()}
+
+
 def test_shards_narrow_every_dimension(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     out = sharding.shards(docs, 40).join(docs.select("doc_id", "lang", "source"), "doc_id")

@@ -27,6 +27,8 @@ from .common import cut, slices
 ORDER = 4
 #: Labelled documents of each language that are learned from, about.
 SAMPLE_DOCS = 1500
+#: Characters of each language's sample, about; with very long documents fewer are taken.
+SAMPLE_CHARS = 8_000_000
 #: Of the sample, one part in so many calibrates.
 CALIBRATES = 5
 #: Share of calibration texts whose winning cross-entropy stays below the limit of rejection.
@@ -159,20 +161,31 @@ def fit(langs: list[str], counts: list[tuple[np.ndarray, np.ndarray]]) -> Models
     return out
 
 
+#: What is learned from nothing.
+NO_MODELS = Models([], {}, {}, {}, {}, np.zeros(0))
+
+
 def crc_third(doc_id: Column) -> Column:
     """crc32 of doc_id as text, modulo 3; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 3
 
 
-def learn(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Models:
-    """Models from labelled (doc_id, text, lang), on about sample_docs rows of each language, picked by a hash of the id."""
-    sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+def learn(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> Models:
+    """Models from labelled (doc_id, text, lang), on about sample_docs rows and sample_chars characters of each language at most.
+
+    Rows are picked by a hash of id and text, so rows without an id are as likely
+    as others and repeated rows are picked together. Null and empty texts teach
+    nothing; rows without lang are left out. Without a labelled row that has a
+    letter there is no language, and identify() calls every text `und`.
+    """
+    labelled = labelled.where("lang is not null").select("doc_id", "text", "lang")
+    sizes = {r["lang"]: min(1.0, sample_docs / r["n"], sample_chars / max(1, r["chars"] or 0)) for r in labelled.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars")).collect()}
     if not sizes:
-        raise ValueError("there is no labelled row to learn from")
+        return NO_MODELS
     langs = sorted(sizes)
-    share = functools.reduce(lambda c, x: c.when(F.col("lang") == x, F.lit(min(1.0, sample_docs / sizes[x]))), langs, F.when(F.lit(False), 0.0))
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1_000_000
-    picked = cut(labelled.where(place < share).select("lang", "text", (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(CALIBRATES)) == 0).alias("calibrates")), "language-sample")
+    share = functools.reduce(lambda c, x: c.when(F.col("lang") == x, F.lit(sizes[x])), langs, F.when(F.lit(False), 0.0))
+    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) / 1_000_000
+    picked = cut(labelled.where(place < share).select("lang", "text", (F.pmod(F.xxhash64("doc_id", "text", F.lit(1)), F.lit(CALIBRATES)) == 0).alias("calibrates")), "language-sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -188,6 +201,8 @@ def learn(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Models:
     found = teaches.select("lang", "text").mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
     lang, gram, n = (found.column(k).to_numpy() for k in range(3))
     langs = [x for x in langs if (lang == x).any()]
+    if not langs:
+        return NO_MODELS
     models = fit(langs, [(gram[lang == x].view(np.uint64), n[lang == x]) for x in langs])
     sent = labelled.sparkSession.sparkContext.broadcast(models)
 
@@ -241,8 +256,12 @@ def identify(docs: DataFrame, models: Models) -> DataFrame:
     rest get the language of lowest cross-entropy, ties the first in
     alphabetical order; those above the calibrated limit are marked rejected.
     Only the text is read. A text of any length is read whole, a chunk of texts
-    at a time. An empty table gives no rows. Other columns are ignored.
+    at a time. Repeated rows are judged each by itself. An empty table gives no
+    rows; without models every row is `und`. Other columns are ignored.
     """
+    if not models.langs:
+        unknown = {"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0), "entropy": F.lit(float("inf")), "rejected": F.lit(True)}
+        return docs.select("doc_id", *(v.alias(k) for k, v in unknown.items()))
     sent = docs.sparkSession.sparkContext.broadcast(models)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

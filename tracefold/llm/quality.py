@@ -1,13 +1,17 @@
 """Quality rules as a short-circuit cascade.
 
 A document stays when every rule accepts it. The rules are independent, so their
-order changes the work but not the verdict: on a bounded sample each rule's time
-and the share of documents it rejects are measured, and the rules run in order
-of rejections per second, each only on what the ones before it let pass.
+order changes the work but not the verdict. On a bounded sample the time of each
+feature and the verdict of each rule are measured. The first rule is the one with
+the most rejections per second; each next one is chosen by its rejections among
+the documents that are left, and by the time of those of its features that no
+rule before it has computed. A document meets a rule only if all before it let
+it pass.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import time
 from collections.abc import Callable, Iterator
@@ -16,6 +20,7 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +29,8 @@ from .common import slices
 
 #: Rows of the sample that orders the rules, about; the verdict does not depend on it.
 SAMPLE_ROWS = 1000
+#: Files that the sample is taken from, about, where there are more.
+SAMPLE_FILES = 16
 #: Characters that count as symbols (fixed values).
 SYMBOLS = "#*$%&|<>"
 WHITE = " \t\n\x0b\x0c\r"
@@ -55,6 +62,10 @@ class Text:
     def dup_lines(self) -> int:
         return len(self.lines) - len(set(self.lines))
 
+    @cached_property
+    def upper_chars(self) -> int:
+        return len(UPPER.findall(self.text))
+
     @cached_property
     def repeat_words(self) -> int:
         """Words that lie in a window of three words found twice or more."""
@@ -83,40 +94,68 @@ class Text:
 @dataclass(frozen=True)
 class Rule:
     name: str
+    needs: tuple[str, ...]
     rejects: Callable[[Text], bool] = field(compare=False)
 
 
 #: The two base rules of the contract, then the others. Shares are of words, characters or lines of the whole text.
 RULES = (
-    Rule("few_words", lambda x: len(x.words) < 50),
-    Rule("repeated_windows", lambda x: 100 * x.repeat_words > 50 * len(x.words)),
-    Rule("symbols", lambda x: 10 * x.symbols > len(x.words)),
-    Rule("repeated_lines", lambda x: 2 * x.dup_lines > len(x.lines)),
-    Rule("word_length", lambda x: not 2 * len(x.words) <= x.word_chars <= 15 * len(x.words)),
-    Rule("shouting", lambda x: 2 * len(UPPER.findall(x.text)) > x.word_chars),
+    Rule("few_words", ("words",), lambda x: len(x.words) < 50),
+    Rule("repeated_windows", ("words", "repeat_words"), lambda x: 100 * x.repeat_words > 50 * len(x.words)),
+    Rule("symbols", ("words", "symbols"), lambda x: 10 * x.symbols > len(x.words)),
+    Rule("repeated_lines", ("lines", "dup_lines"), lambda x: 2 * x.dup_lines > len(x.lines)),
+    Rule("word_length", ("words", "word_chars"), lambda x: not 2 * len(x.words) <= x.word_chars <= 15 * len(x.words)),
+    Rule("shouting", ("word_chars", "upper_chars"), lambda x: 2 * x.upper_chars > x.word_chars),
 )
 UPPER = re.compile("[A-Z]")
+#: The features, each after those it is made of.
+ORDER = ("words", "word_chars", "symbols", "lines", "dup_lines", "repeat_words", "upper_chars")
+
+
+def sampled(docs: DataFrame, rows: int) -> DataFrame:
+    """About rows texts of docs: from a few files spread over all of them where docs is read from files, so that the rest isn't read twice."""
+    picked, files = docs.select("text"), docs.inputFiles()
+    if len(files) > SAMPLE_FILES:
+        chosen = sorted(files)[:: math.ceil(len(files) / SAMPLE_FILES)]
+        try:
+            picked = docs.where(F.col("_metadata.file_path").isin(chosen)).select("text")
+        except AnalysisException:  # not a plain read of files
+            picked = docs.select("text")
+    n = picked.count()
+    return picked.sample(False, rows / n, seed=7) if n > rows else picked
 
 
 def cascade_order(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """rules by rejections per second on a sample of about sample_rows documents, highest first; ties in the order given."""
-    n = docs.count()
-    share = min(1.0, sample_rows / max(1, n))
-    picked = docs.select("text").sample(False, share, seed=7) if share < 1 else docs.select("text")
+    """rules in the order of the cascade, from about sample_rows documents; ties in the order given."""
+    kinds = "rejected long, " + ", ".join(f"{x} double" for x in ORDER)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            spent, hits = [0.0] * len(rules), [0] * len(rules)
+            found = []
             for text in batch.column(0).to_pylist():
-                for k, rule in enumerate(rules):
-                    own, began = Text(text), time.perf_counter()
-                    hits[k] += bool(rule.rejects(own))
-                    spent[k] += time.perf_counter() - began
-            yield pa.RecordBatch.from_arrays([pa.array(range(len(rules)), pa.int32()), pa.array(spent), pa.array(hits, pa.int64())], names=["rule", "spent", "hits"])
-
-    found = {r["rule"]: r for r in picked.mapInArrow(measure, "rule int, spent double, hits long").groupBy("rule").agg(F.sum("spent").alias("spent"), F.sum("hits").alias("hits")).collect()}
-    worth = [found[k]["hits"] / max(found[k]["spent"], 1e-9) if k in found else 0.0 for k in range(len(rules))]
-    return [rules[k] for k in sorted(range(len(rules)), key=lambda k: -worth[k])]
+                x, spent = Text(text), []
+                for feature in ORDER:
+                    began = time.perf_counter()
+                    getattr(x, feature)
+                    spent.append(time.perf_counter() - began)
+                found.append((sum(1 << k for k, rule in enumerate(rules) if rule.rejects(x)), *spent))
+            columns = zip(*found, strict=True) if found else [()] * (1 + len(ORDER))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.int64(), *[pa.float64()] * len(ORDER)], strict=True)], names=["rejected", *ORDER])
+
+    seen = sampled(docs, sample_rows).mapInArrow(measure, kinds).toArrow()  # one row for each of the sample
+    rejected = seen.column("rejected").to_numpy().astype(np.int64)
+    cost = {x: np.asarray(seen.column(x).to_numpy(), np.float64) for x in ORDER}
+    left, known, out = np.ones(len(rejected), bool), set(), []
+    while len(out) < len(rules):
+        def worth(k: int) -> float:
+            fresh = sum(cost[x][left].sum() for x in rules[k].needs if x not in known)
+            return float((rejected[left] >> k & 1).sum()) / (fresh + 1e-7 * max(1, left.sum()))
+
+        best = max((k for k in range(len(rules)) if rules[k] not in out), key=worth)
+        out.append(rules[best])
+        known.update(rules[best].needs)
+        left &= (rejected >> best & 1) == 0
+    return out
 
 
 FEATURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean"
@@ -151,7 +190,12 @@ def accepted(x: Text, ordered: list[Rule]) -> bool:
 
 
 def filtered(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """The rows of docs that every rule accepts, all columns as they were; the cascade stops at the first rule that rejects."""
+    """The rows of docs that every rule accepts, all columns as they were; the cascade stops at the first rule that rejects.
+
+    Null, empty and all-white texts are rejected (they have too few words). A
+    text of any length is read whole. Repeated rows are judged each by itself and
+    are kept or dropped alike. An empty table gives no rows.
+    """
     ordered = cascade_order(docs, rules, sample_rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
