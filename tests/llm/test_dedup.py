@@ -233,3 +233,21 @@ def test_groups_in_one_tree_stay_apart(distance):
     group = group[: len(fp)]
     i, j = simhash.links(fp, distance, group=group)
     assert set(zip(i.tolist(), j.tolist(), strict=True)) == {(a, b) for a, b in brute_links(fp, distance) if group[a] == group[b]}
+
+
+def test_spanning_forest_is_of_the_shortest_links():
+    rng = np.random.default_rng(9)
+    n, a, b = 60, rng.integers(0, 60, 300), rng.integers(0, 60, 300)
+    a, b = a[a != b], b[a != b]
+    d = rng.integers(0, 5, len(a))
+    chosen = simhash.spanning(n, a, b, d)
+    root = list(range(n))
+    weight = edges = 0
+    for k in sorted(range(len(a)), key=lambda k: d[k]):
+        x, y = root[a[k]], root[b[k]]
+        if x != y:
+            root = [min(x, y) if r in (x, y) else r for r in root]
+            weight, edges = weight + d[k], edges + 1
+    assert len(chosen) == edges and d[chosen].sum() == weight
+    rest, to = simhash.forest(n, a[chosen], b[chosen])
+    assert len(rest) == edges

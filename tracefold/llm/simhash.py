@@ -7,8 +7,8 @@ neighbours become the nodes of a tree, where a node keeps the bit pattern that
 all below it share, less what its parent has already. Each run of groups is
 joined with itself from the root down: differences add up level by level, and a
 pair of nodes is dropped with all below it as soon as the sum passes the distance
-or the two hold no group in common. Of the links found only a spanning forest
-leaves the task, so a dense group costs as many rows as it has members.
+or the two hold no group in common. Of the links found only a spanning forest of
+the closest leaves the task, so a dense group costs as many rows as it has members.
 
 Two ways of dealing:
 
@@ -23,7 +23,8 @@ Two ways of dealing:
   unlike texts seldom meet, and there are as many bands as bring RECALL of the
   pairs at the similarity itself together, more of those above. The tree drops
   what differs in more than `distance` bits, and the links that it leaves are
-  held against the shingle sets themselves.
+  held against the shingle sets themselves: the closest of each fingerprint
+  first, then those between texts that aren't in one group by then.
 
 Components come from the forests' edges by rounds of hanging each fingerprint on
 its least neighbour and doubling the pointers, written to the shared folder.
@@ -56,6 +57,8 @@ FAN = 16
 RUN = 1 << 12
 #: Pairs of nodes whose children are compared at once.
 PAIRS = 1 << 11
+#: Members of a band's group, at most, of which all links are held against the texts.
+ALL_OF = 8
 #: Shingles that are hashed at once.
 HASHED = 1 << 14
 #: 64-bit words of fingerprint bits that bands are drawn from.
@@ -206,8 +209,26 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return rest, root[rest]
 
 
+def spanning(n: int, a: np.ndarray, b: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """Which of the links (a, b) of lengths d among n members make a forest of the shortest: each component picks its shortest way out until none is left."""
+    root, rest, chosen = np.arange(n), np.arange(len(a)), [np.zeros(0, np.int64)]
+    while True:
+        rest = rest[root[a[rest]] != root[b[rest]]]
+        if not len(rest):
+            return np.concatenate(chosen)
+        key, best = d[rest].astype(np.int64) * len(a) + rest, np.full(n, np.iinfo(np.int64).max)
+        np.minimum.at(best, root[a[rest]], key)
+        np.minimum.at(best, root[b[rest]], key)
+        picked = np.unique(best[best < np.iinfo(np.int64).max]) % len(a)
+        chosen.append(picked)
+        moved, to = forest(n, root[a[picked]], root[b[picked]])
+        new = np.arange(n)
+        new[moved] = to
+        root = new[root]
+
+
 def edges_of(batches: Iterator[pa.RecordBatch], distance: int, all_of: int = 0) -> Iterator[pa.RecordBatch]:
-    """Rows (way, block, fp) that come group by group (way and block), as edges (a, b) of each group's forest; all links of groups of all_of members at most."""
+    """Rows (way, block, fp) that come group by group (way and block), as edges (a, b, d) of each group's forest; all links of groups of all_of members at most."""
     left = tuple(np.zeros(0, np.int64) for _ in range(3))
     for batch in ended(batches):
         own = left if batch is None else tuple(np.concatenate([x, batch.column(c).to_numpy().astype(np.int64)]) for x, c in zip(left, ("way", "block", "fp"), strict=True))
@@ -219,18 +240,20 @@ def edges_of(batches: Iterator[pa.RecordBatch], distance: int, all_of: int = 0)
             left = own
             continue
         left = tuple(x[done:] for x in own)
-        a, b = [], []
-        cuts = starts[np.searchsorted(starts, np.arange(0, done, RUN))].tolist() if done else []
+        out = [(np.zeros(0, np.uint64),) * 2]
+        cuts = np.unique(starts[np.searchsorted(starts, np.arange(0, done, RUN)).clip(max=len(starts) - 1)]).tolist() if done else []
         for s, e in zip(cuts, [*cuts[1:], done], strict=False):
-            if s == e:
+            if s >= e:
                 continue
             keys, group = fp[s:e].view(np.uint64), np.cumsum(changes[s:e])
             x, y = links(keys, distance, group=group)
+            d = np.bitwise_count(keys[x] ^ keys[y])
             small = np.bincount(group)[group[x]] <= all_of
-            p, q = forest(e - s, x[~small], y[~small])
-            a += [keys[x[small]], keys[p]]
-            b += [keys[y[small]], keys[q]]
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*c, np.zeros(0, np.uint64)]).view(np.int64)) for c in (a, b)], names=["a", "b"])
+            more = np.flatnonzero(~small)
+            use = np.concatenate([np.flatnonzero(small), more[spanning(e - s, x[more], y[more], d[more])]])
+            out.append((keys[x[use]], keys[y[use]]))
+        a, b = (np.concatenate(c) for c in zip(*out, strict=True))
+        yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(np.bitwise_count(a ^ b).astype(np.int32))], names=["a", "b", "d"])
 
 
 def ended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
@@ -249,7 +272,7 @@ def signed(x: int) -> int:
 
 
 def near_edges(fps: DataFrame, distance: int = DISTANCE, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """Edges (a, b) that connect the distinct fingerprints fps (fp) exactly as all links within distance do."""
+    """Edges (a, b, d) that connect the distinct fingerprints fps (fp) exactly as all links within distance do."""
     n, free, must, level = distance + 1, [(1 << 64) - 1], [0], 0
     rows, out = fps.select("fp", F.lit(0).alias("path")), []
     while True:
@@ -271,7 +294,7 @@ def near_edges(fps: DataFrame, distance: int = DISTANCE, group_rows: int = GROUP
 def tree_edges(dealt: DataFrame, distance: int, all_of: int = 0) -> DataFrame:
     """Edges of the groups (way, block) of dealt (way, block, fp): ranges of the order by group and Gray rank, a tree over each run."""
     ordered = dealt.select("way", "block", "fp").repartitionByRange("way", "block").sortWithinPartitions("way", "block", gray(F.col("fp")))
-    return cut(ordered.mapInArrow(lambda it: edges_of(it, distance, all_of), "a long, b long"), "simhash-edges")
+    return cut(ordered.mapInArrow(lambda it: edges_of(it, distance, all_of), "a long, b long, d int"), "simhash-edges")
 
 
 def differing(similar: float) -> float:
@@ -286,7 +309,7 @@ def bands_for(rows: int, similar: float) -> tuple[int, int]:
 
 
 def band_edges(dealt: DataFrame, similar: float, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """Edges (a, b) of fingerprints that meet in a band's group: dealt (way, block, fp).
+    """Edges (a, b, d) of fingerprints that meet in a band's group: dealt (way, block, fp).
 
     A group of more than group_rows members is dealt again by eight more bits, in
     as many ways as keep the number of meetings of a pair at the similarity; after
@@ -294,11 +317,10 @@ def band_edges(dealt: DataFrame, similar: float, group_rows: int = GROUP_ROWS) -
     """
     p, out = differing(similar), []
     distance, ways = int(64 * p + SPARE * math.sqrt(64 * p * (1 - p))), math.ceil((1 - p) ** -8)
-    dealt = cut(dealt, "simhash-bands")
     for level in range(9):
         hot = cut(dealt.groupBy("way", "block").agg(F.count("*").alias("n")).where(F.col("n") > group_rows).select("way", "block"), "simhash-hot")
         full = hot.limit(1).count() > 0
-        out.append(tree_edges(dealt.join(bounded(hot), ["way", "block"], "left_anti") if full else dealt, distance, FAN))
+        out.append(tree_edges(dealt.join(bounded(hot), ["way", "block"], "left_anti") if full else dealt, distance, ALL_OF))
         if not full:
             break
         masks = F.array(*(F.lit(signed(sum(1 << int(k) for k in np.random.default_rng(r).permutation(64)[8 * level : 8 * level + 8]))) for r in range(ways)))
@@ -312,7 +334,7 @@ def similar_edges(edges: DataFrame, heads: DataFrame, texts: DataFrame, width: i
 
     Only the texts that some edge ends in are read again.
     """
-    edges = cut(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a != b").distinct(), "simhash-pairs")
+    edges = cut(edges.select("a", "b").distinct(), "simhash-pairs")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -341,7 +363,7 @@ def components(edges: DataFrame) -> DataFrame:
     their ends by doubling, and keeps the edges between different ends; at least
     half of the nodes that still have edges vanish in a round.
     """
-    edges, found = cut(edges.where("a != b").distinct(), "edges"), None
+    edges, found = cut(edges.select("a", "b").where("a != b").distinct(), "edges"), None
     while edges.limit(1).count():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         up = cut(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least")).select("node", F.least("node", "least").alias("root")), "pointers")
@@ -361,6 +383,22 @@ def components(edges: DataFrame) -> DataFrame:
     return found if found is not None else edges.toDF("node", "root")
 
 
+def confirmed(edges: DataFrame, heads: DataFrame, texts: DataFrame, width: int, similar: float) -> DataFrame:
+    """Edges (a, b) that connect fingerprints as all edges (a, b, d) do whose texts are similar enough.
+
+    Of each fingerprint the closest edge is held against the texts first; then
+    all others, but those whose ends are connected by then.
+    """
+    pairs = cut(edges.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.min("d").alias("d")), "simhash-candidates")
+    ways = pairs.select(F.inline(F.array(F.struct(F.col("a").alias("end"), "a", "b", "d"), F.struct(F.col("b").alias("end"), "a", "b", "d"))))
+    closest = cut(ways.groupBy("end").agg(F.min(F.struct("d", "a", "b")).alias("x")).select("x.a", "x.b").distinct(), "simhash-closest")
+    first = similar_edges(closest, heads, texts, width, similar)
+    group = components(first)
+    others = pairs.join(closest, ["a", "b"], "left_anti").join(group.toDF("a", "ra"), "a", "left").join(group.toDF("b", "rb"), "b", "left")
+    others = others.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
+    return first.unionByName(similar_edges(others, heads, texts, width, similar))
+
+
 def near_groups(docs: DataFrame, text: str = "text", width: int = SHINGLE, distance: int = DISTANCE, group_rows: int = GROUP_ROWS, row: str | None = None, similar: float | None = None) -> DataFrame:
     """One row per row of docs: doc_id, fingerprint (16 lowercase hex digits), component_id, kept.
 
@@ -392,11 +430,11 @@ def near_groups(docs: DataFrame, text: str = "text", width: int = SHINGLE, dista
     if similar is not None:
         heads = fps.select("fp", F.col("first.row").alias("row"))
         texts = docs.select(F.col(given).alias("row"), F.col(text).alias("text"))
-        edges = similar_edges(edges, heads, texts, width, similar)
+        edges = confirmed(edges, heads, texts, width, similar)
         inner = components(edges).where("node != root").select(F.col("node").alias("fp"))
         alone = heads.join(bounded(cut(inner, "simhash-inner")), "fp", "left_anti")
         keyed = rows.select("row", "keys").join(alone, "row").select("fp", F.posexplode("keys").alias("way", "block")).withColumn("way", F.col("way").cast("long"))
-        edges = edges.unionByName(similar_edges(band_edges(keyed, similar, group_rows), heads, texts, width, similar))
+        edges = edges.unionByName(confirmed(band_edges(keyed, similar, group_rows), heads, texts, width, similar))
     roots = components(edges).toDF("fp", "root")
     linked = fps.join(roots, "fp")
     linked = linked.join(linked.groupBy("root").agg(F.min("first").alias("least")), "root").select("fp", "least")
