@@ -97,3 +97,21 @@ def test_specs(spark):
     catalog = spark.createDataFrame([("t", "id", "0"), ("t", "name1", "x"), ("t", "name3", "z"), ("u", "id", "9")], "table_name string, column_name string, column_default string")
     d = specs.table_defaults(catalog, spec).first()
     assert d["id"] == 0 and d["name"] == ["x", None, "z"] and d["old"] is None
+
+
+def test_the_text_null_is_a_value(spark):
+    spec = TableSpec("t", (Column("id", T.IntegerType(), key=True), Column("name", T.StringType()), Column("size", T.IntegerType())))
+    ddl = "id int, name string, size int"
+    ref = spark.createDataFrame([(1, "a", 1), (2, "b", 2), (3, None, 3), (4, "NULL", 4)], ddl)
+    obs = spark.createDataFrame([(1, "NULL", 1), (2, None, 2), (3, "NULL", None), (4, None, 4), (5, "NULL", None)], ddl)
+    changes = C.compare(obs, ref, spec)
+    assert {r["pk"]["id"]: r["changes"] for r in changes.collect()} == {1: {"name": "NULL"}, 2: {"name": None}, 3: {"name": "NULL", "size": None}, 4: {"name": None}, 5: {"name": "NULL"}}
+    assert sorted(map(tuple, C.apply_changes(ref, changes, spec).collect())) == sorted(map(tuple, obs.collect()))
+
+
+def test_identical_updates_come_in_batches(spark):
+    spec = TableSpec("t", (Column("id", T.IntegerType(), key=True), Column("build", T.IntegerType())), build="build")
+    ref, obs = (spark.createDataFrame([(k, b) for k in range(25)], "id int, build int") for b in (1, 2))
+    rows = C.group_identical_updates(C.compare(obs, ref, spec), 10).orderBy("batch").collect()
+    assert [(r["n"], [p["id"] for p in r["pks"]]) for r in rows] == [(10, list(range(10))), (10, list(range(10, 20))), (5, list(range(20, 25)))]
+    assert all(r["changes"] == {"build": "2"} for r in rows)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tracefold.operators import aggregates as A
 from tracefold.operators import dedupe as D
 from tracefold.operators import filters as L
+from tracefold.operators import hot
 from tracefold.operators import joins as J
 from tracefold.operators import windows as W
 from tracefold.plans import bindings
@@ -107,6 +108,48 @@ def test_links_equal_a_scan(spark, seed):
     assert {r["number"]: r["selection_number"] for r in J.link_delayed_detail(e).collect()} == {k: v for _, d in all_.values() for k, v in d.items()}
 
 
+@pytest.mark.parametrize("hot_rows", [None, 40])
+def test_a_hot_capture_is_cut_in_parts(spark, hot_rows):
+    rng = random.Random(4)
+    rows = [(1 if k % 10 else (None if k % 20 else 2), rng.randrange(400), at(k), rng.choice(["selection", "response", "reset"]), rng.choice([None, k])) for k in range(900)]
+    e = df(spark, "capture_id int, at int, ts timestamp, kind string, value int", *rows).withColumn("number", F.monotonically_increasing_id())
+    e = e.withColumn("number", F.col("at").cast("long") * 10_000 + F.unix_millis("ts") % 10_000)
+    got = {(r["capture_id"], r["number"]): r["v"] for r in hot.carried(e, ["capture_id"], ["number"], F.col("value"), "v", hot_rows=hot_rows).collect()}
+    linked = {(r["capture_id"], r["number"]): r["selection_number"] for r in J.link_request_response(e, hot_rows=hot_rows).collect()}
+    places = {(r["capture_id"], r["number"]): r["n"] for r in hot.numbered(e, ["capture_id"], ["number"], "n", hot_rows).collect()}
+    facts, states = e.where("value is null"), e.where("value is not null").select("capture_id", "number", F.col("value").alias("state"))
+    state = {(r["capture_id"], r["number"]): r["state"] for r in J.asof(facts, states, ["capture_id"], ["number"], ["number"], ["state"], hot_rows).collect()}
+    if hot_rows:
+        parts, several = hot.parted(e, ["capture_id"], "number", hot_rows)
+        sizes = [r["n"] for r in parts.groupBy("capture_id", hot.PART).agg(F.count("*").alias("n")).collect()]
+        assert several and len(sizes) > 15 and max(sizes) <= 2 * hot_rows
+    for capture in (None, 1, 2):
+        own = sorted((r for r in e.collect() if r["capture_id"] == capture), key=lambda r: r["number"])
+        last = before = None
+        for k, r in enumerate(own):
+            last = r["value"] if r["value"] is not None else last
+            key = capture, r["number"]
+            assert got[key] == last and places[key] == k and (r["value"] is not None or state[key] == last)
+            if r["kind"] == "response":
+                hit = before is not None and before["kind"] == "selection" and abs((r["ts"] - before["ts"]).total_seconds()) <= 2.5
+                assert linked[key] == (before["number"] if hit else None)
+            before = r
+
+
+def test_chains_of_any_length(spark):
+    n = 150
+    maps = df(spark, "id int, parent int, cosmetic_parent int", *[(k, k - 1, -1) for k in range(n)], (500, 777, -1), (501, 500, -1), (502, -1, 999), (503, -1, 500))
+    rows = df(spark, "map int", (n - 1,), (500,), (501,), (502,), (503,), (888,), (None,))
+    assert {r["map"]: r["root"] for r in J.resolve_root(rows, maps).collect()} == {n - 1: 0, 500: 500, 501: 500, 502: 502, 503: 500, 888: 888, None: None}
+    for ring in ([(1, 2), (2, 1)], [(1, 2), (2, 3), (3, 1)], [(1, 2), (2, 3), (3, 4), (4, 1), (5, 1)]):
+        with pytest.raises(ValueError, match="ring"):
+            J.resolve_root(rows, df(spark, "id int, parent int, cosmetic_parent int", *[(a, b, -1) for a, b in ring])).collect()
+    steps = df(spark, "difficulty int, next int", *[(k, k - 1) for k in range(1, n)], (0, None), (900, 901), (901, 900))
+    ref = df(spark, "entry int, difficulty int, value int", (7, 3, 33), (8, 901, 44))
+    want = df(spark, "entry int, difficulty int", (7, n - 1), (7, 2), (8, 900), (9, 5))
+    assert {(r["entry"], r["difficulty"]): (r["value"], r["from_difficulty"]) for r in J.fallback_lookup(want, ref, steps).collect()} == {(7, n - 1): (33, 3), (7, 2): (None, None), (8, 900): (44, 901), (9, 5): (None, None)}
+
+
 def test_asof(spark):
     parties = df(spark, "capture_id int, ts timestamp, player_count int", (1, at(10), 1), (1, at(20), 5), (2, at(0), 5))
     loot = df(spark, "capture_id int, ts timestamp, id int", (1, at(5), 1), (1, at(10), 2), (1, at(19), 3), (1, at(20), 4), (2, at(1), 5), (3, at(1), 6))
@@ -243,7 +286,8 @@ def test_rollups(spark):
     assert {r["item_id"]: r["chance"] for r in A.drop_rates(inst, it).collect()} == {77: 0.5, 78: 0.5}
     assert [tuple(r) for r in A.loot_cooccurrence(it).collect()] == [(77, 78, 1)]
     k = df(spark, "a int, b int", (10, 20), (20, 30), (30, 40), (30, 50))
-    assert {r["value"]: r["others"] for r in A.compact_keys(k, "a", "b").collect()} == {10: [20], 20: [30], 30: [40, 50]}
+    assert {(r["value"], r["batch"]): r["others"] for r in A.compact_keys(k, "a", "b").collect()} == {(10, 0): [20], (20, 0): [30], (30, 0): [40, 50]}
+    assert {(r["value"], r["batch"]): r["others"] for r in A.compact_keys(k, "a", "b", 1).collect()} == {(10, 0): [20], (20, 0): [30], (30, 0): [40], (30, 1): [50]}
     un = A.undefined_flags(df(spark, "enum string, value long", ("e", 9), ("e", -9223372036854775808), ("f", 1)), df(spark, "enum string, mask long", ("e", 1), ("f", 1)))
     assert [tuple(r) for r in un.collect()] == [("e", [3, 63])]
     part = df(spark, "id int, number int, a int, b int", (1, 1, 5, -1), (1, 2, -1, 7), (2, 1, -1, 3))

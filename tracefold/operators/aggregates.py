@@ -6,12 +6,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.scratch import scratch_path
+from .hot import numbered
 from .dedupe import first_of
 from .joins import small
 from .windows import global_number
 
 OUTCOMES = ("success", "with_errors", "not_parsed", "no_structure")
 
+#: Keys that one row of grouped keys holds at most (fixed value: conditions of one statement).
+BATCH = 5000
+
 
 def parse_stats(events: DataFrame, key: list[str] = ("capture_id",)) -> DataFrame:
     """Per capture: counts by outcome and their share of the calculated total in percent (null where that is 0).
@@ -133,17 +137,17 @@ def spawn_point_odds(spawns: DataFrame, cell: float = 0.02) -> DataFrame:
     return rows.withColumn("share", F.col("guids") / F.sum("guids").over(Window.partitionBy("map", "cx", "cy")))
 
 
-def batch_rows(df: DataFrame, n: int, key: list[str], order: list[str]) -> DataFrame:
+def batch_rows(df: DataFrame, n: int, key: list[str], order: list[str], hot_rows: int | None = None) -> DataFrame:
     """df with the number of its batch of n rows within each key."""
-    place = F.row_number().over(Window.partitionBy(*key).orderBy(*order)) - 1
-    return df.withColumn("batch", F.floor(place / n).cast("int"))
+    return numbered(df, list(key), list(order), "__place", hot_rows).withColumn("batch", F.floor(F.col("__place") / n).cast("int")).drop("__place")
 
 
-def compact_keys(df: DataFrame, a: str, b: str) -> DataFrame:
-    """A set of two-column keys grouped under the column with fewer distinct values (a on ties): on, value, others."""
+def compact_keys(df: DataFrame, a: str, b: str, most: int = BATCH) -> DataFrame:
+    """A set of two-column keys grouped under the column with fewer distinct values (a on ties): on, value, batch, others (at most `most`, ascending)."""
     na, nb = df.agg(F.count_distinct(a), F.count_distinct(b)).first()
     one, other = (a, b) if na <= nb else (b, a)
-    return df.groupBy(F.col(one).alias("value")).agg(F.sort_array(F.collect_set(other)).alias("others")).select(F.lit(one).alias("on"), "value", "others")
+    pairs = batch_rows(df.select(F.col(one).alias("value"), F.col(other).alias("other")).distinct(), most, ["value"], ["other"])
+    return pairs.groupBy("value", "batch").agg(F.sort_array(F.collect_list("other")).alias("others")).select(F.lit(one).alias("on"), "value", "batch", "others")
 
 
 def grouped_lists(df: DataFrame, key: str, value: str, out: str = "values") -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions.scalars import values_equal
 from ..functions.specs import TableSpec
+from .aggregates import BATCH, batch_rows
 
 EMPTY_CHANGES = "cast(map() as map<string,string>)"
 
@@ -45,7 +46,7 @@ def compare(obs: DataFrame, ref: DataFrame, spec: TableSpec, force_insert: bool
     """What makes ref agree with obs: one row for each observation that is new or differs.
 
     Columns: op ('insert' or 'update'), pk (struct), changes (column to new
-    value as text; for arrays a JSON list with null in equal slots), n_changed,
+    value as text, null to set null; for arrays a JSON list with null in equal slots), n_changed,
     build_only. A key that ref lacks is an insert with all its values that
     aren't null. Else the columns that differ under tolerant equality are
     updates, each array slot counting as one; nothing where none differs, or
@@ -59,18 +60,18 @@ def compare(obs: DataFrame, ref: DataFrame, spec: TableSpec, force_insert: bool
         if c.key:
             continue
         mine, theirs, name = F.col(f"o.{c.name}"), F.col(f"r.{c.name}"), F.lit(c.name)
-        inserts.append(F.struct(name.alias("key"), text_of(mine, c.type).alias("value")))
+        inserts.append(F.struct(name.alias("key"), text_of(mine, c.type).alias("value"), mine.isNotNull().alias("set")))
         if isinstance(c.type, T.ArrayType):
             slots = compare_array(mine, theirs, c.slots, c.type.elementType)
             n = F.coalesce(F.size(F.filter(slots, lambda x: x.isNotNull())), F.lit(0))
             n = F.when(mine.isNull() | theirs.isNull(), F.lit(0)).otherwise(n)
-            updates.append(F.struct(name.alias("key"), F.when(n > 0, F.to_json(slots, {"ignoreNullFields": "false"})).alias("value")))
+            updates.append(F.struct(name.alias("key"), F.to_json(slots, {"ignoreNullFields": "false"}).alias("value"), (n > 0).alias("set")))
         else:
             differs = ~values_equal(mine, theirs, c.type)
             n = differs.cast("int")
-            updates.append(F.struct(name.alias("key"), F.when(differs, F.coalesce(text_of(mine, c.type), F.lit("NULL"))).alias("value")))
+            updates.append(F.struct(name.alias("key"), text_of(mine, c.type).alias("value"), differs.alias("set")))
         counts.append(n)
-    present = lambda entries: F.map_from_entries(F.filter(F.array(*entries), lambda e: e["value"].isNotNull()))
+    present = lambda entries: F.map_from_entries(F.transform(F.filter(F.array(*entries), lambda e: F.coalesce(e["set"], F.lit(False))), lambda e: F.struct(e["key"], e["value"])))
     changed = functools.reduce(lambda a, b: a + b, counts, F.lit(0))
     rows = joined.select(
         F.when(new, "insert").otherwise("update").alias("op"),
@@ -89,10 +90,12 @@ def skip_build_only_updates(changes: DataFrame) -> DataFrame:
     return changes.where(~F.col("build_only"))
 
 
-def group_identical_updates(changes: DataFrame) -> DataFrame:
-    """Updates that set the same values, as one row over all their keys: changes, pks (sorted), n."""
-    updates = changes.where("op = 'update'").withColumn("set", F.sort_array(F.map_entries("changes")))
-    return updates.groupBy("set").agg(F.sort_array(F.collect_list("pk")).alias("pks"), F.count("*").alias("n")).select(F.map_from_entries("set").alias("changes"), "pks", "n")
+def group_identical_updates(changes: DataFrame, most: int = BATCH) -> DataFrame:
+    """Updates that set the same values, as rows over their keys: changes, batch, pks (at most `most`, sorted), n (rows of the batch)."""
+    keys = [f"__pk{k}" for k in range(len(changes.schema["pk"].dataType.fields))]
+    updates = changes.where("op = 'update'").select("pk", F.sort_array(F.map_entries("changes")).alias("set"), *(F.col(f"pk.{f.name}").alias(k) for f, k in zip(changes.schema["pk"].dataType, keys, strict=True)))
+    rows = batch_rows(updates, most, ["set"], keys).groupBy("set", "batch")
+    return rows.agg(F.sort_array(F.collect_list("pk")).alias("pks"), F.count("*").alias("n")).select(F.map_from_entries("set").alias("changes"), "batch", "pks", "n")
 
 
 def split_insert_update(obs: DataFrame, ref: DataFrame, key: list[str]) -> DataFrame:
@@ -128,7 +131,7 @@ def insert_ignore(rows: DataFrame, table: DataFrame, key: list[str]) -> DataFram
 def apply_changes(ref: DataFrame, changes: DataFrame, spec: TableSpec) -> DataFrame:
     """ref as it is after changes (rows of compare(), and op 'delete' with pk): deletes, then updates, then inserts.
 
-    A text NULL sets null. Array slots that are null in a change keep their value.
+    A change to null sets null. Array slots that are null in a change keep their value.
     """
     flat = changes.select("op", "changes", *(F.col(f"pk.{k}").alias(k) for k in spec.key))
     null_safe = lambda left, right: functools.reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in spec.key])
@@ -145,7 +148,7 @@ def apply_changes(ref: DataFrame, changes: DataFrame, spec: TableSpec) -> DataFr
             parsed = F.from_json(got, c.type)
             value = F.when(got.isNull(), F.col(c.name)).otherwise(F.concat(F.zip_with(F.slice(F.col(c.name), 1, F.size(parsed)), parsed, lambda old, new: F.coalesce(new, old)), F.slice(F.col(c.name), F.size(parsed) + 1, F.greatest(F.size(c.name) - F.size(parsed), F.lit(0)))))
         else:
-            value = F.when(got.isNull(), F.col(c.name)).when(got != "NULL", got.cast(c.type))
+            value = F.when(F.coalesce(F.map_contains_key("__changes", F.lit(c.name)), F.lit(False)), got.cast(c.type)).otherwise(F.col(c.name))
         out.append(value.alias(c.name))
     updated = both.select(*out)
     inserts = flat.where("op = 'insert'")

@@ -7,11 +7,13 @@ import functools
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import scratch_path
 from .dedupe import first_of
+from .hot import carried
 
 #: Rows of a side that is broadcast after being counted; a larger one is shuffled.
 SMALL_ROWS = 100_000
-#: Buckets over which a session's events are never spread: order within a session matters.
+#: Milliseconds within which a response answers a selection.
 LINK_WINDOW_MS = 2500
 
 
@@ -85,27 +87,53 @@ def lookup_text_by_menu(df: DataFrame, by_text: DataFrame, by_menu: DataFrame) -
     return joined.withColumn("npc_text_id", value).drop("__first", "__both", "__menu")
 
 
-def chains(edges: DataFrame, most: int = 64) -> DataFrame:
-    """(start, node, depth) for every node and all that its single parent pointers (child, parent) lead to, itself included.
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df as a table in the shared folder, read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    Walks level by level; ends when no pointer is left to follow, or after most
-    steps where pointers form a ring.
+
+def chains(edges: DataFrame) -> DataFrame:
+    """(start, node, depth) for every node and all that its single parent pointers (child, parent) lead to, itself included, at its least depth.
+
+    Paths double in length with each round, until a round finds no new pair; a
+    ring is walked round once.
     """
-    spark = edges.sparkSession
-    edges.createOrReplaceTempView("__edges")
-    return spark.sql(f"""
-        WITH RECURSIVE walk(start, node, depth) MAX RECURSION LEVEL {most + 2} AS (
-            SELECT DISTINCT child, child, 0 FROM __edges
-            UNION ALL
-            SELECT w.start, e.parent, w.depth + 1 FROM walk w JOIN __edges e ON w.node = e.child WHERE e.parent IS NOT NULL AND w.depth < {most})
-        SELECT start, node, depth FROM walk""")
+    steps = edges.where("child is not null")
+    reach = steps.select(F.col("child").alias("start"), F.col("child").alias("node"), F.lit(0).alias("depth")).unionByName(steps.where("parent is not null").select(F.col("child").alias("start"), F.col("parent").alias("node"), F.lit(1).alias("depth")))
+    reach = written(reach.groupBy("start", "node").agg(F.min("depth").alias("depth")), "chains")
+    n = reach.count()
+    while True:
+        more = reach.select(F.col("start").alias("node"), F.col("node").alias("next"), F.col("depth").alias("further"))
+        longer = reach.join(more, "node").select("start", F.col("next").alias("node"), (F.col("depth") + F.col("further")).alias("depth"))
+        reach = written(reach.unionByName(longer).groupBy("start", "node").agg(F.min("depth").alias("depth")), "chains")
+        before, n = n, reach.count()
+        if n == before:
+            return reach
+
+
+def roots(edges: DataFrame) -> DataFrame:
+    """(start, root) for every child: where its single parent pointers (child, parent; null for none) end. Pointers double with each round; a ring is an error."""
+    edges = written(edges.distinct(), "pointers")
+    up = edges.select(F.col("child").alias("start"), F.coalesce("parent", "child").alias("root"))
+    for _ in range(max(1, edges.count()).bit_length() + 1):
+        above = up.select(F.col("start").alias("root"), F.col("root").alias("next"))
+        jumped = written(up.join(above, "root", "left").select("start", F.coalesce("next", "root").alias("root"), (F.coalesce("next", "root") != F.col("root")).alias("moved")), "pointers")
+        up = jumped.select("start", "root")
+        if not jumped.where("moved").limit(1).count():
+            break
+    ends = edges.where("parent is not null and parent <> child").select(F.col("child").alias("root"))
+    if up.join(ends, "root", "left_semi").limit(1).count():
+        raise ValueError("parent pointers form a ring")
+    return up
 
 
 def fallback_lookup(df: DataFrame, reference: DataFrame, fallback: DataFrame) -> DataFrame:
     """df (entry, difficulty) with the reference value of the difficulty, else of the nearest one along its fallbacks (difficulty, next)."""
     steps = chains(fallback.select(F.col("difficulty").alias("child"), F.col("next").alias("parent")))
     own = df.select("difficulty").distinct().select(F.col("difficulty").alias("start"), F.col("difficulty").alias("node"), F.lit(0).alias("depth"))
-    steps = small(steps.unionByName(own).distinct())
+    steps = small(written(steps.unionByName(own).distinct(), "fallbacks"))
     wanted = df.select("entry", "difficulty").distinct().join(steps, F.col("difficulty") == F.col("start"))
     found = wanted.select("entry", "difficulty", F.col("node").alias("__d"), "depth").join(reference.select(F.col("entry").alias("__e"), F.col("difficulty").alias("__rd"), "value"), (F.col("entry") == F.col("__e")) & (F.col("__d") == F.col("__rd")))
     best = found.groupBy("entry", "difficulty").agg(F.min_by(F.struct("value", F.col("__d").alias("from_difficulty")), "depth").alias("b")).select("entry", "difficulty", "b.*")
@@ -113,11 +141,17 @@ def fallback_lookup(df: DataFrame, reference: DataFrame, fallback: DataFrame) ->
 
 
 def resolve_root(df: DataFrame, maps: DataFrame) -> DataFrame:
-    """df (map) with root: what parents, else cosmetic parents, lead to; the map itself if it has none. maps: (id, parent, cosmetic_parent), -1 for none."""
+    """df (map) with root: what parents, else cosmetic parents, lead to; the map itself if it has none.
+
+    maps: (id, parent, cosmetic_parent), -1 for none. A parent that maps lacks is
+    no parent. Parents in a ring are an error.
+    """
     up = F.when(F.col("parent") >= 0, F.col("parent")).when(F.col("cosmetic_parent") >= 0, F.col("cosmetic_parent"))
-    walked = chains(maps.select(F.col("id").alias("child"), up.alias("parent")))
-    roots = small(walked.groupBy("start").agg(F.max_by("node", "depth").alias("__root")))
-    return df.join(roots, F.col("map") == F.col("start"), "left").withColumn("root", F.coalesce("__root", "map")).drop("start", "__root")
+    named = maps.select(F.col("id").alias("child"), up.alias("__up"))
+    known = maps.select(F.col("id").alias("parent")).distinct()
+    ends = roots(named.join(known, F.col("__up") == F.col("parent"), "left").select("child", "parent"))
+    own = small(ends.withColumnRenamed("root", "__root"))
+    return df.join(own, F.col("map") == F.col("start"), "left").withColumn("root", F.coalesce("__root", "map")).drop("start", "__root")
 
 
 # --- spatial joins (J03-J06) ---
@@ -192,20 +226,19 @@ def match_equipment(df: DataFrame, equipment: DataFrame, fields: list[str]) -> D
 # --- as-of state (J12-J14, J30-J32, T07) ---
 
 
-def asof(facts: DataFrame, states: DataFrame, key: list[str], fact_order: list[str], state_order: list[str], values: list[str]) -> DataFrame:
+def asof(facts: DataFrame, states: DataFrame, key: list[str], fact_order: list[str], state_order: list[str], values: list[str], hot_rows: int | None = None) -> DataFrame:
     """facts with the values of the last state of their key at or before them (null before the first).
 
     Both are laid in one sequence, states before facts of the same place, and
-    the values carried forward. The order columns must compare with each other.
+    the values carried forward, in parts where a key is hot. The order columns
+    must compare with each other.
     """
-    n = len(fact_order)
-    order = [f"__o{k}" for k in range(n)]
-    payload = F.struct(*facts.columns)
-    f = facts.select(*(F.col(k).alias(f"__k{i}") for i, k in enumerate(key)), *(F.col(c).alias(o) for c, o in zip(fact_order, order, strict=True)), F.lit(1).alias("__side"), F.lit(None).cast(states.select(F.struct(*values).alias("s")).schema["s"].dataType).alias("__state"), payload.alias("__fact"))
-    s = states.select(*(F.col(k).alias(f"__k{i}") for i, k in enumerate(key)), *(F.col(c).alias(o) for c, o in zip(state_order, order, strict=True)), F.lit(0).alias("__side"), F.struct(*values).alias("__state"), F.lit(None).cast(f.schema["__fact"].dataType).alias("__fact"))
-    w = Window.partitionBy(*(f"__k{i}" for i in range(len(key)))).orderBy(*order, "__side").rowsBetween(Window.unboundedPreceding, 0)
-    both = f.unionByName(s).withColumn("__state", F.last("__state", ignorenulls=True).over(w)).where("__side = 1")
-    return both.select("__fact.*", *(F.col(f"__state.{v}").alias(v) for v in values))
+    order, on = [f"__o{k}" for k in range(len(fact_order))], [f"__k{i}" for i in range(len(key))]
+    keys = [F.col(k).alias(o) for k, o in zip(key, on, strict=True)]
+    f = facts.select(*keys, *(F.col(c).alias(o) for c, o in zip(fact_order, order, strict=True)), F.lit(1).alias("__side"), F.lit(None).cast(states.select(F.struct(*values).alias("s")).schema["s"].dataType).alias("__state"), F.struct(*facts.columns).alias("__fact"))
+    s = states.select(*keys, *(F.col(c).alias(o) for c, o in zip(state_order, order, strict=True)), F.lit(0).alias("__side"), F.struct(*values).alias("__state"), F.lit(None).cast(f.schema["__fact"].dataType).alias("__fact"))
+    both = carried(f.unionByName(s), on, [*order, "__side"], F.col("__state"), "__last", hot_rows=hot_rows).where("__side = 1")
+    return both.select("__fact.*", *(F.col(f"__last.{v}").alias(v) for v in values))
 
 
 def enrich_owner(loot: DataFrame, entities: DataFrame) -> DataFrame:
@@ -258,7 +291,7 @@ def phase_override(entities: DataFrame, overrides: DataFrame) -> DataFrame:
 SELECTION, RESPONSE, RESET, DETAIL = "selection", "response", "reset", "detail"
 
 
-def link_request_response(events: DataFrame, window_ms: int = LINK_WINDOW_MS, session: list[str] = ("capture_id",)) -> DataFrame:
+def link_request_response(events: DataFrame, window_ms: int = LINK_WINDOW_MS, session: list[str] = ("capture_id",), hot_rows: int | None = None) -> DataFrame:
     """The responses among events (session, number, ts, kind), each with the number of the selection that it answers, or null.
 
     A selection waits for the next response: one within window_ms takes it, a
@@ -267,9 +300,7 @@ def link_request_response(events: DataFrame, window_ms: int = LINK_WINDOW_MS, se
     selection that is near enough.
     """
     relevant = events.where(F.col("kind").isin(SELECTION, RESPONSE, RESET))
-    w = Window.partitionBy(*session).orderBy("number")
-    before = F.lag(F.struct("kind", "number", "ts")).over(w).alias("__before")
-    rows = relevant.select("*", before).where(F.col("kind") == RESPONSE)
+    rows = carried(relevant, list(session), ["number"], F.struct("kind", "number", "ts"), "__before", own=False, hot_rows=hot_rows).where(F.col("kind") == RESPONSE)
     gap = F.abs(F.unix_micros("ts") - F.unix_micros("__before.ts"))
     linked = (F.col("__before.kind") == SELECTION) & (gap <= window_ms * 1000)
     return rows.select(*events.columns, F.when(linked, F.col("__before.number")).alias("selection_number"))
@@ -372,7 +403,7 @@ def resolve_handler(events: DataFrame, registry: DataFrame, fallbacks: DataFrame
     k = kinds.alias("k")
     fits = k.join(r, (F.col("k.build_group") == F.col("r.build_group")) & (F.col("k.opcode") == F.col("r.opcode")) & (F.coalesce("r.added", F.lit(0)) <= F.col("k.build")) & (F.col("r.removed").isNull() | (F.col("k.build") < F.col("r.removed"))))
     best = fits.groupBy("k.build_group", "k.build", "k.opcode").agg(F.min_by("r.handler", F.struct("r.rank", "r.handler")).alias("handler"))
-    return events.join(small(best), ["build_group", "build", "opcode"], "left")
+    return events.join(best, ["build_group", "build", "opcode"], "left")
 
 
 def vehicle_accessories(df: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ import functools
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .hot import numbered
+
 
 def global_number(df: DataFrame, order: list[str], out: str = "n", path: str | None = None) -> DataFrame:
     """df with its place (from 0) in the order of all rows, without one task that holds them all.
@@ -66,8 +68,8 @@ def waypoints(moves: DataFrame, skip_filler: bool = False, key: list[str] = ("ca
     rows = kept.select(*key, "number", "type", F.posexplode(nodes).alias("pos", "n")).select(*key, "number", "type", "pos", "n.*")
     if skip_filler:
         rows = rows.where("not filler")
-    w = Window.partitionBy(*key)
-    return rows.withColumn("node", F.row_number().over(w.orderBy("number", "pos"))).withColumn("last", F.col("node") == F.count("*").over(w)).drop("pos")
+    w = Window.partitionBy(*key).orderBy("number", "pos")
+    return rows.withColumn("node", F.row_number().over(w)).withColumn("last", F.lead("number").over(w).isNull()).drop("pos")
 
 
 def path_flags(moves: DataFrame, key: list[str] = ("capture_id", "guid")) -> DataFrame:
@@ -97,8 +99,9 @@ def relative_time(events: DataFrame, key: list[str] = ("capture_id",), ts: str =
     return events.join(firsts, list(key)).withColumn("rel_ms", F.floor((F.unix_micros(ts) - F.unix_micros("__first")) / 1000)).drop("__first")
 
 
-def loot_ordinal(loot: DataFrame) -> DataFrame:
-    return loot.withColumn("loot_index", F.row_number().over(Window.partitionBy("capture_id").orderBy("ts", "number")) - 1)
+def loot_ordinal(loot: DataFrame, hot_rows: int | None = None) -> DataFrame:
+    """loot with loot_index, its place in its capture by time and number, from 0."""
+    return numbered(loot, ["capture_id"], ["ts", "number"], "loot_index", hot_rows)
 
 
 def drop_after_aggro(segments: DataFrame, aggro: DataFrame) -> DataFrame:

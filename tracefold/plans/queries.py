@@ -95,12 +95,14 @@ def apply_changes_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("p_partkey", X.trimmed(F.col("p_name")).alias("p_name"), "p_size", F.round("p_retailprice", 3).alias("p_retailprice"), "build")
 
 
-@query(PART_SQL + "SELECT n AS n_columns, count(*) AS n_rows, min(k) AS first_key FROM n WHERE NOT fresh AND n > 0 AND NOT older AND NOT c1 AND NOT c2 AND NOT c3 GROUP BY 1")
+@query(PART_SQL + """
+    SELECT n AS n_columns, CAST(b AS INTEGER) AS batch, count(*) AS n_rows, min(k) AS first_key
+    FROM (SELECT *, (row_number() OVER (ORDER BY k) - 1) // 5000 AS b FROM n WHERE NOT fresh AND n > 0 AND NOT older AND NOT c1 AND NOT c2 AND NOT c3) GROUP BY 1, 2""")
 def group_identical_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Updates that set the same values (here those of the build alone), over all their keys."""
     grouped = C.group_identical_updates(C.compare(*part_snapshots(spark, sf_dir), PART))
     alone = grouped.where((F.size("changes") == 1) & F.map_contains_key("changes", F.lit("build")))
-    return alone.select(F.size("changes").alias("n_columns"), F.col("n").alias("n_rows"), F.get("pks", F.lit(0))["p_partkey"].alias("first_key"))
+    return alone.select(F.size("changes").alias("n_columns"), "batch", F.col("n").alias("n_rows"), F.get("pks", F.lit(0))["p_partkey"].alias("first_key"))
 
 
 @query("SELECT s_suppkey, s_suppkey % 3 <> 0 AS in_reference FROM supplier")
@@ -448,11 +450,11 @@ def undefined_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.undefined_flags(v, masks).select("enum", F.array_join(F.transform("bits", lambda b: b.cast("string")), ",").alias("bits"))
 
 
-@query("SELECT l_returnflag AS value, string_agg(CAST(k AS VARCHAR), ',' ORDER BY k) AS others FROM (SELECT DISTINCT l_returnflag, l_suppkey AS k FROM lineitem) GROUP BY 1")
+@query("SELECT l_returnflag AS value, CAST(b AS INTEGER) AS batch, string_agg(CAST(k AS VARCHAR), ',' ORDER BY k) AS others FROM (SELECT l_returnflag, k, (row_number() OVER (PARTITION BY l_returnflag ORDER BY k) - 1) // 5000 AS b FROM (SELECT DISTINCT l_returnflag, l_suppkey AS k FROM lineitem)) GROUP BY 1, 2")
 def compact_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys (supplier, flag), grouped under the flag as it has fewer values."""
     out = A.compact_keys(table(spark, sf_dir, "lineitem").select("l_suppkey", "l_returnflag"), "l_suppkey", "l_returnflag")
-    return out.select("value", F.array_join(F.transform("others", lambda x: x.cast("string")), ",").alias("others"))
+    return out.select("value", "batch", F.array_join(F.transform("others", lambda x: x.cast("string")), ",").alias("others"))
 
 
 @query("""
@@ -541,7 +543,7 @@ def match_text_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    WITH t AS (SELECT o_orderpriority AS text, o_orderkey AS id FROM orders WHERE o_orderkey % 5 <> 0 AND o_orderkey < 2000), m AS (SELECT o_orderstatus AS menu, o_orderkey AS id FROM orders WHERE o_orderstatus <> 'P' AND o_orderkey % 3 = 0),
+    WITH t AS (SELECT o_orderpriority AS text, o_orderkey AS id FROM orders WHERE o_orderkey % 5 <> 0), m AS (SELECT o_orderstatus AS menu, o_orderkey AS id FROM orders WHERE o_orderstatus <> 'P' AND o_orderkey % 3 = 0),
     f AS (SELECT text, min(id) AS first FROM t GROUP BY 1), b AS (SELECT menu, text, min(id) AS least FROM t JOIN m USING (id) GROUP BY 1, 2)
     SELECT o_orderkey, CASE WHEN f.first IS NULL THEN 0 WHEN o_orderstatus = 'P' THEN f.first ELSE coalesce(b.least, 0) END AS npc_text_id
     FROM orders LEFT JOIN f ON f.text = o_orderpriority LEFT JOIN b ON b.menu = o_orderstatus AND b.text = o_orderpriority""")
@@ -549,7 +551,7 @@ def lookup_text_by_menu(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Priorities as texts, statuses as menus (P without a list), orders as text ids."""
     o = table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
-    by_text = o.where((k % 5 != 0) & (k < 2000)).select(F.col("o_orderpriority").alias("text"), k.alias("pos"), k.alias("id"))
+    by_text = o.where(k % 5 != 0).select(F.col("o_orderpriority").alias("text"), k.alias("pos"), k.alias("id"))
     by_menu = o.where((F.col("o_orderstatus") != "P") & (k % 3 == 0)).select(F.col("o_orderstatus").alias("menu"), k.alias("id"))
     rows = o.select(k, F.col("o_orderstatus").alias("menu"), F.col("o_orderpriority").alias("text"))
     return J.lookup_text_by_menu(rows, by_text, by_menu).select("o_orderkey", "npc_text_id")
@@ -557,13 +559,13 @@ def lookup_text_by_menu(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
     WITH RECURSIVE r AS (SELECT p_partkey AS entry, p_partkey % 5 AS difficulty, p_size AS value FROM part),
-    w AS (SELECT l_orderkey, l_linenumber, l_partkey AS entry, l_linenumber % 5 AS d, l_linenumber % 5 AS start, 0 AS depth FROM lineitem WHERE l_orderkey % 4 = 1
+    w AS (SELECT l_orderkey, l_linenumber, l_partkey AS entry, l_linenumber % 5 AS d, l_linenumber % 5 AS start, 0 AS depth FROM lineitem
         UNION ALL SELECT l_orderkey, l_linenumber, entry, d - 1, start, depth + 1 FROM w WHERE d > 0),
     f AS (SELECT w.entry, w.start, arg_min(r.value, depth) AS value, arg_min(w.d, depth) AS d FROM w JOIN r ON r.entry = w.entry AND r.difficulty = w.d GROUP BY 1, 2)
-    SELECT l_orderkey, l_linenumber, f.value, f.d AS from_difficulty FROM lineitem LEFT JOIN f ON f.entry = l_partkey AND f.start = l_linenumber % 5 WHERE l_orderkey % 4 = 1""")
+    SELECT l_orderkey, l_linenumber, f.value, f.d AS from_difficulty FROM lineitem LEFT JOIN f ON f.entry = l_partkey AND f.start = l_linenumber % 5""")
 def fallback_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Part sizes by (part, difficulty), falling back from difficulty 4 to 0 step by step."""
-    li = table(spark, sf_dir, "lineitem").where("l_orderkey % 4 = 1").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("entry"), (F.col("l_linenumber") % 5).alias("difficulty"))
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("entry"), (F.col("l_linenumber") % 5).alias("difficulty"))
     ref = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("entry"), (F.col("p_partkey") % 5).cast("int").alias("difficulty"), F.col("p_size").alias("value"))
     steps = spark.createDataFrame([(4, 3), (3, 2), (2, 1), (1, 0), (0, None)], "difficulty int, next int")
     return J.fallback_lookup(li, ref, steps).select("l_orderkey", "l_linenumber", "value", "from_difficulty")
