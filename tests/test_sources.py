@@ -44,6 +44,44 @@ def test_capture_layouts(spark, tmp_path):
     assert rows[2]["client_locale"] == "deDE" and rows[2]["conn_idx"] == 3 and rows[2]["client_build"] == 12340
 
 
+def test_optional_data_of_frames(spark, tmp_path):
+    def head(sniffer, own, build=1):
+        return b"PKT" + struct.pack("<HBI", 0x301, sniffer, build) + b"enUS" + bytes(40) + struct.pack("<III", 1000, 0, len(own)) + own
+
+    def frame(extra, opcode=7, body=b"b"):
+        return struct.pack("<IiIii", 0x47534D53, 1, 5, len(extra), len(body) + 4) + extra + struct.pack("<i", opcode) + body
+
+    v4, v6 = bytes([10, 0, 0, 7]) + bytes(12) + struct.pack("<i", 8085), bytes.fromhex("20010db8000000000000000000000001") + struct.pack("<i", 3724)
+    (tmp_path / "t.pkt").write_bytes(head(ord("T"), b"") + frame(v4) + frame(v6 + b"more") + frame(b""))
+    when = struct.pack("<d", 1_700_000_000_000.0)
+    over = bytes([0x50]) + struct.pack("<qqi", 5, 6, 169)
+    (tmp_path / "y.pkt").write_bytes(head(0x15, struct.pack("<hi", 0x103, 7200)) + frame(when + bytes([2]) + b"hi" + over + over) + frame(when + bytes([0])) + frame(when + bytes([0]) + b"\x99junk"))
+    (tmp_path / "lost.pkt").write_bytes(head(0x16, struct.pack("<h", 0x102), 0) + frame(when + bytes([0])))
+    (tmp_path / "old.pkt").write_bytes(head(0, b"", 0) + frame(b""))
+    rows = S.read_captures(spark, f"{tmp_path},{tmp_path}/none").cache()
+    by = {(r["capture_id"], r["number"]): r for r in rows.collect()}
+    assert [by["t", k]["endpoint"] for k in range(3)] == ["10.0.0.7:8085", "[2001:db8::1]:3724", None]
+    assert [by["y", k]["comment"] for k in range(3)] == ["hi", None, None] and by["y", 0]["utc_offset_seconds"] == 7200
+    assert all(bytes(r["payload"]) == b"b" and r["opcode"] == 7 for r in by.values()) and by["lost", 0]["client_build"] == 65560
+    assert [tuple(r) for r in S.phase_overrides(rows).collect()] == [("y", 0, "0" * 15 + "6" + "0" * 15 + "5", 169)] * 2
+    builds = df(spark, "since timestamp, build int", (dt.datetime(1970, 1, 1), 11), (dt.datetime(1970, 1, 1, 0, 10), 22), (dt.datetime(1980, 1, 1), 33))
+    assert {r["capture_id"]: r["client_build"] for r in S.with_build(rows, builds).collect()} == {"t": 1, "y": 1, "lost": 65560, "old": 22}
+    assert S.read_many(spark, [str(tmp_path / "nothing")]).count() == 0
+    K.split_by_session(rows, str(tmp_path / "sessions"))
+    assert len([p for p in (tmp_path / "sessions").iterdir() if p.name.startswith("session=")]) == 3
+
+
+def test_idle_sessions_are_forgotten(spark, tmp_path):
+    schema = "capture_id int, number long, ts timestamp, kind string, zone int"
+    for k, rows in enumerate(([(1, 1, at(0), "selection", 5)], [(2, 2, at(10_000_000), "selection", 7)], [(2, 3, at(20_000_000), "response", None)], [(1, 4, at(20_000_100), "response", None)])):
+        df(spark, schema, *rows).coalesce(1).write.parquet(str(tmp_path / "in" / f"part={k}"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in" / "part=*"))
+    linked = drained(R.stream_link(stream, window_ms=10**9, idle="1 hour"), "append", "idle_links", tmp_path / "c1")
+    assert {r["number"]: r["selection_number"] for r in linked} == {3: 2, 4: None}
+    states = drained(R.stream_session_state(stream, "capture_id", "zone", idle="1 hour"), "append", "idle_states", tmp_path / "c2")
+    assert {r["number"]: r["current_zone"] for r in states} == {1: 5, 2: 7, 3: 7, 4: None}
+
+
 def test_captures_round_trip(spark, tmp_path):
     e = df(spark, "ts timestamp, direction string, opcode int, conn_idx int, payload binary", *((at(k * 10), ("ServerToClient", "ClientToServer")[k % 2], k, k % 3, bytearray([k] * k)) for k in range(50)))
     S.write_captures(e.coalesce(2), str(tmp_path / "out"), build=12340)

@@ -1,13 +1,14 @@
-"""Capture files as a Spark data source: one row per frame, one partition per file.
+"""Capture files, one row per frame.
 
-A frame carries its length, so a file is read from its start; files are read in
-parallel. Layouts: version 2.1, 2.2, 3.0 and 3.1 headers, files without a header,
-and .bin files. Filters on file name reach the planning of partitions.
+Files are listed and read by Spark, from any file system that it knows, many at
+a time; a frame carries its length, so each file is decoded from its start by one
+task. Layouts: version 2.1, 2.2, 3.0 and 3.1 headers, files without a header, and
+.bin files. Written files are a Spark data source of their own.
 """
 
 from __future__ import annotations
 
-import glob
+import ipaddress
 import os
 import struct
 from collections.abc import Iterator
@@ -17,10 +18,10 @@ from datetime import datetime, timedelta, timezone
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 from pyspark.sql.types import StructType
 
-SCHEMA = "capture_id string, file_name string, number int, ts timestamp, direction string, opcode int, conn_idx int, length int, payload binary, layout string, sniffer_id int, client_build int, client_locale string, header_start timestamp"
+SCHEMA = "capture_id string, file_name string, number int, ts timestamp, direction string, opcode int, conn_idx int, length int, payload binary, layout string, sniffer_id int, client_build int, client_locale string, header_start timestamp, endpoint string, comment string, overrides array<struct<guid_low:bigint,guid_high:bigint,phase:int>>, utc_offset_seconds int"
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 #: Directions by their mark in a frame (fixed values).
 MARKS = {0x47534D53: "ServerToClient", 0x47534D43: "ClientToServer", 0x4E425F53: "BNServerToClient"}
@@ -29,7 +30,9 @@ OTHER_MARK = "BNClientToServer"
 BY_CODE = ("ClientToServer", "ServerToClient", "BNClientToServer", "BNServerToClient")
 VERSIONS = {0x201: "2.1", 0x202: "2.2", 0x300: "3.0", 0x301: "3.1"}
 #: Recorder ids with their own optional data (fixed values).
-TICKED, STAMPED = 10, (0x15, 0x16)
+TICKED, STAMPED, SOCKETED = 10, (0x15, 0x16), ord("T")
+#: Build of files whose recorder (version 0x0102) lost it, and the mark of a phase override in a frame's optional data (fixed values).
+LOST_BUILD, OVERRIDE = 65560, 0x50
 BATCH = 4096
 
 
@@ -43,6 +46,7 @@ class Header:
     locale: str | None = None
     start: datetime | None = None
     ticks: int = 0
+    utc_offset: int | None = None
 
 
 def header_of(data: bytes, name: str) -> Header:
@@ -77,6 +81,10 @@ def header_of(data: bytes, name: str) -> Header:
             h.start = datetime(1601, 1, 1, tzinfo=timezone.utc) + timedelta(microseconds=struct.unpack_from("<q", own, 3)[0] // 10)
     elif h.sniffer in STAMPED and n >= 2:
         h.sniffer_version = struct.unpack_from("<h", own, 0)[0]
+        if not h.build and h.sniffer_version == 0x102:
+            h.build = LOST_BUILD
+        if h.sniffer_version >= 0x103 and n >= 6:
+            h.utc_offset = struct.unpack_from("<i", own, 2)[0]
     h.at = at + 12 + n
     return h
 
@@ -85,12 +93,32 @@ def text(raw: bytes) -> str | None:
     return raw.rstrip(b"\0").decode("ascii", "replace") or None
 
 
+def endpoint_of(own: bytes) -> str:
+    """address:port of a socket in a frame's optional data: 16 bytes of address (the last twelve zero for IPv4), 4 of port."""
+    address, port = own[:16], struct.unpack_from("<i", own, 16)[0]
+    if any(address[4:]):
+        return f"[{ipaddress.IPv6Address(address)}]:{port}"
+    return f"{ipaddress.IPv4Address(address[:4])}:{port}"
+
+
+def stamped(own: bytes, version: int) -> tuple[datetime, str | None, list[tuple] | None]:
+    """Time, comment and phase overrides in a stamped frame's optional data; what an unknown mark is followed by is left out."""
+    ts, at, comment, overrides = EPOCH + timedelta(milliseconds=struct.unpack_from("<d", own, 0)[0]), 8, None, None
+    if version >= 0x101 and len(own) > at:
+        n = own[at]
+        comment, at = own[at + 1 : at + 1 + n].decode("utf-8", "replace") if n else None, at + 1 + n
+    while version >= 0x102 and at + 21 <= len(own) and own[at] == OVERRIDE:
+        overrides = [*(overrides or []), struct.unpack_from("<qqi", own, at + 1)]
+        at += 21
+    return ts, comment, overrides
+
+
 def frames_of(data: bytes, h: Header) -> Iterator[tuple]:
-    """(ts, direction, opcode, conn_idx, payload) of each whole frame; a cut-off last frame is left out."""
+    """(ts, direction, opcode, conn_idx, payload, endpoint, comment, overrides) of each whole frame; a cut-off last frame is left out."""
     at, end = h.at, len(data)
     try:
         while at < end:
-            conn = 0
+            conn, endpoint, comment, overrides = 0, None, None, None
             if h.layout in ("2.1", "2.2"):
                 mark, sec, _, n = struct.unpack_from("<Biii", data, at)
                 at, direction = at + 13, "ServerToClient" if mark == 0xFF else "ClientToServer"
@@ -103,8 +131,10 @@ def frames_of(data: bytes, h: Header) -> Iterator[tuple]:
                     conn, ts = a, h.start + timedelta(milliseconds=(tick - h.ticks) & 0xFFFFFFFF)
                 else:
                     ts = EPOCH + timedelta(seconds=a) if not h.ticks else h.start + timedelta(milliseconds=(tick - h.ticks) & 0xFFFFFFFF)
-                if h.sniffer in STAMPED and extra >= 8:
-                    ts = EPOCH + timedelta(milliseconds=struct.unpack_from("<d", data, at)[0])
+                if extra >= 20 and h.sniffer == SOCKETED and h.layout == "3.1":
+                    endpoint = endpoint_of(data[at : at + 20])
+                elif h.sniffer in STAMPED and extra >= 8:
+                    ts, comment, overrides = stamped(data[at : at + extra], h.sniffer_version)
                 at += extra
                 opcode, body, at = struct.unpack_from("<i", data, at)[0], data[at + 4 : at + n], at + n
             elif h.layout == "bin":
@@ -115,49 +145,40 @@ def frames_of(data: bytes, h: Header) -> Iterator[tuple]:
                 ts, direction, body, at = EPOCH + timedelta(seconds=sec), BY_CODE[mark & 3], data[at + 15 : at + 15 + n], at + 15 + n
             if at > end:
                 return
-            yield ts, direction, opcode, conn, body
+            yield ts, direction, opcode, conn, body, endpoint, comment, overrides
     except struct.error:
         return
 
 
-class CapturePartition(InputPartition):
-    def __init__(self, path: str):
-        self.path = path
-
-
-class CaptureReader(DataSourceReader):
-    def __init__(self, options: dict):
-        self.paths = [p for x in options["path"].split(",") for p in sorted(glob.glob(os.path.join(x, "*.pkt")) + glob.glob(os.path.join(x, "*.bin")) if os.path.isdir(x) else glob.glob(x))]
-
-    def partitions(self) -> list[InputPartition]:
-        return [CapturePartition(p) for p in self.paths] or [CapturePartition("")]
-
-    def read(self, partition: CapturePartition) -> Iterator[pa.RecordBatch]:
-        if not partition.path:
-            return
-        name = os.path.basename(partition.path)
-        try:
-            with open(partition.path, "rb") as f:
-                data = f.read()
-            h = header_of(data, name)
-        except (OSError, struct.error, IndexError):
-            return  # unreadable files are passed over
-        rows: list[tuple] = []
-        for number, (ts, direction, opcode, conn, body) in enumerate(frames_of(data, h)):
-            rows.append((os.path.splitext(name)[0], name, number, ts, direction, opcode, conn, len(body), body, h.layout, h.sniffer, h.build, h.locale, h.start))
-            if len(rows) == BATCH:
+def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Files (path, content) as frames; those that can't be read are passed over."""
+    for batch in batches:
+        for path, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
+            name, data = path.rsplit("/", 1)[-1], content.as_buffer().to_pybytes()
+            try:
+                h = header_of(data, name)
+            except (struct.error, IndexError):
+                continue
+            rows: list[tuple] = []
+            for number, (ts, direction, opcode, conn, body, endpoint, comment, overrides) in enumerate(frames_of(data, h)):
+                rows.append((name.rsplit(".", 1)[0], name, number, ts, direction, opcode, conn, len(body), body, h.layout, h.sniffer, h.build, h.locale, h.start, endpoint, comment, overrides, h.utc_offset))
+                if len(rows) == BATCH:
+                    yield batch_of(rows)
+                    rows = []
+            if rows:
                 yield batch_of(rows)
-                rows = []
-        if rows:
-            yield batch_of(rows)
 
 
 STAMP = pa.timestamp("us", tz="UTC")
-ARROW = pa.schema([("capture_id", pa.string()), ("file_name", pa.string()), ("number", pa.int32()), ("ts", STAMP), ("direction", pa.string()), ("opcode", pa.int32()), ("conn_idx", pa.int32()), ("length", pa.int32()), ("payload", pa.binary()), ("layout", pa.string()), ("sniffer_id", pa.int32()), ("client_build", pa.int32()), ("client_locale", pa.string()), ("header_start", STAMP)])
+OVERRIDES = pa.list_(pa.struct([("guid_low", pa.int64()), ("guid_high", pa.int64()), ("phase", pa.int32())]))
+ARROW = pa.schema([("capture_id", pa.string()), ("file_name", pa.string()), ("number", pa.int32()), ("ts", STAMP), ("direction", pa.string()), ("opcode", pa.int32()), ("conn_idx", pa.int32()), ("length", pa.int32()), ("payload", pa.binary()), ("layout", pa.string()), ("sniffer_id", pa.int32()), ("client_build", pa.int32()), ("client_locale", pa.string()), ("header_start", STAMP), ("endpoint", pa.string()), ("comment", pa.string()), ("overrides", OVERRIDES), ("utc_offset_seconds", pa.int32())])
 
 
 def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), ARROW, strict=True)], schema=ARROW)
+    columns = [list(c) for c in zip(*rows, strict=True)]
+    at = ARROW.get_field_index("overrides")
+    columns[at] = [own and [dict(zip(("guid_low", "guid_high", "phase"), x, strict=True)) for x in own] for own in columns[at]]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, ARROW, strict=True)], schema=ARROW)
 
 
 @dataclass
@@ -198,7 +219,7 @@ class CaptureWriter(DataSourceArrowWriter):
 
 
 class CaptureSource(DataSource):
-    """format('capture'): option path (files, folders or patterns, comma separated); for writing also build and locale."""
+    """format('capture') for writing: options path (a folder that all executors see), build and locale."""
 
     @classmethod
     def name(cls) -> str:
@@ -207,9 +228,6 @@ class CaptureSource(DataSource):
     def schema(self) -> str:
         return SCHEMA
 
-    def reader(self, schema: StructType) -> DataSourceReader:
-        return CaptureReader(self.options)
-
     def writer(self, schema: StructType, overwrite: bool) -> DataSourceArrowWriter:
         return CaptureWriter(self.options, overwrite)
 
@@ -219,13 +237,40 @@ def register(spark: SparkSession) -> None:
 
 
 def read_captures(spark: SparkSession, path: str) -> DataFrame:
-    """The frames of capture files, with the header's fields on each; folders, patterns and lists of them are allowed, files that are missing or unreadable are passed over."""
-    register(spark)
-    return spark.read.format("capture").option("path", path).load()
+    """The frames of capture files, with the header's fields on each.
+
+    path: files, folders or patterns, comma separated, on any file system; of
+    folders the files that end in .pkt and .bin. What is missing or unreadable is
+    passed over. endpoint, comment and overrides come from a frame's optional
+    data, null where it has none.
+    """
+    return read_many(spark, path.split(","))
 
 
 def read_many(spark: SparkSession, paths: list[str]) -> DataFrame:
-    return read_captures(spark, ",".join(paths))
+    hadoop, jvm, found = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm, []
+    for path in paths:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        for status in where.getFileSystem(hadoop).globStatus(where) or []:
+            found += [f"{status.getPath()}/*.{x}" for x in ("pkt", "bin")] if status.isDirectory() else [status.getPath().toString()]
+    files = [x for x in found if not x.endswith(("*.pkt", "*.bin")) or jvm.org.apache.hadoop.fs.Path(x).getFileSystem(hadoop).globStatus(jvm.org.apache.hadoop.fs.Path(x))]
+    if not files:
+        return spark.createDataFrame([], SCHEMA)
+    return spark.read.format("binaryFile").load(files).select("path", "content").mapInArrow(decoded, SCHEMA)
+
+
+def phase_overrides(frames: DataFrame) -> DataFrame:
+    """The phase overrides in frames: capture_id, number, guid (hexadecimal, high half first), phase."""
+    one = frames.select("capture_id", "number", F.explode("overrides").alias("x"))
+    half = lambda c: F.lpad(F.hex(c), 16, "0")
+    return one.select("capture_id", "number", F.concat(half("x.guid_high"), half("x.guid_low")).alias("guid"), F.col("x.phase").alias("phase"))
+
+
+def with_build(frames: DataFrame, builds: DataFrame) -> DataFrame:
+    """frames with client_build where it is 0: that of the last of builds (since timestamp, build) at the capture's first frame."""
+    first = frames.where("client_build = 0").groupBy("capture_id").agg(F.min_by("ts", "number").alias("first"))
+    fit = first.join(F.broadcast(builds), F.col("since") <= F.col("first")).groupBy("capture_id").agg(F.max_by("build", "since").alias("__build"))  # builds are a short list
+    return frames.join(fit, "capture_id", "left").withColumn("client_build", F.when(F.col("client_build") == 0, F.coalesce("__build", F.lit(0))).otherwise(F.col("client_build"))).drop("__build")
 
 
 def write_captures(df: DataFrame, path: str, build: int = 0, locale: str = "enUS") -> None:

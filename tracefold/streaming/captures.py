@@ -10,29 +10,19 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.joins import DETAIL, LINK_WINDOW_MS, RESET, RESPONSE, SELECTION
-from ..sources.captures import SCHEMA, batch_of, frames_of, header_of
+from ..sources.captures import SCHEMA, decoded
 
 
 def stream_captures(spark: SparkSession, folder: str, files_a_trigger: int = 100) -> DataFrame:
     """The frames of capture files as they land in folder."""
     files = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("pathGlobFilter", "*.{pkt,bin}").option("maxFilesPerTrigger", files_a_trigger).load(folder)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for path, data in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
-                name = path.rsplit("/", 1)[-1]
-                h = header_of(data, name)
-                rows = [(name.rsplit(".", 1)[0], name, k, ts, d, op, conn, len(body), body, h.layout, h.sniffer, h.build, h.locale, h.start) for k, (ts, d, op, conn, body) in enumerate(frames_of(data, h))]
-                for k in range(0, len(rows), 4096):
-                    yield batch_of(rows[k : k + 4096])
-
-    return files.select("path", "content").mapInArrow(run, SCHEMA)
+    return files.select("path", "content").mapInArrow(decoded, SCHEMA)
 
 
 def load_each(stream: DataFrame, load: Callable[[DataFrame, int], None], checkpoint: str, available_now: bool = True):
@@ -52,19 +42,38 @@ def stream_first_seen(events: DataFrame, key: list[str], ts: str = "ts", delay:
     return events.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(key)) if delay else events.dropDuplicates(list(key))
 
 
+def expiry(events: DataFrame, idle: str | None) -> tuple[DataFrame, Callable[[GroupState, pd.DataFrame], None]]:
+    """events with a watermark of idle behind their ts, and what sets a group's timer to idle after its last row; nothing without idle."""
+    if idle is None:
+        return events, lambda state, rows: None
+    span = int(pd.Timedelta(idle).total_seconds() * 1000)
+
+    def set_timer(state: GroupState, rows: pd.DataFrame) -> None:
+        last = int(rows["ts"].max().timestamp() * 1000)
+        state.setTimeoutTimestamp(max(last + span, state.getCurrentWatermarkMs() + 1))
+
+    return events.withWatermark("ts", idle), set_timer
+
+
 LINKED = "number long, kind string, selection_number long"
 PENDING = "pending long, pending_ts double, saved long, saved_ts double"
 
 
-def stream_link(events: DataFrame, session: str = "capture_id", window_ms: int = LINK_WINDOW_MS) -> DataFrame:
+def stream_link(events: DataFrame, session: str = "capture_id", window_ms: int = LINK_WINDOW_MS, idle: str | None = None) -> DataFrame:
     """Responses and details among events (session, number, ts, kind), each with the selection that it belongs to, or null.
 
     State per session: the pending selection, and the one saved for a detail
-    that comes after its response.
+    that comes after its response. With idle (such as '1 hour') a session without
+    events for so long of event time is forgotten: by then nothing that it held
+    is near enough to be linked.
     """
+    timed, expires = expiry(events, idle)
     kind = events.schema[session].dataType.simpleString()
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         pending, pending_ts, saved, saved_ts = state.get if state.exists else (None, None, None, None)
         out = []
         rows = pd.concat(list(batches)).sort_values("number")
@@ -86,19 +95,27 @@ def stream_link(events: DataFrame, session: str = "capture_id", window_ms: int =
                 out.append((key[0], number, what, saved if hit else None))
                 saved = None
         state.update((pending, pending_ts, saved, saved_ts))
+        expires(state, rows)
         frame = pd.DataFrame(out, columns=[session, "number", "kind", "selection_number"])
         frame["selection_number"] = frame["selection_number"].astype("Int64")
         yield frame
 
-    rows = events.select(session, "number", (F.unix_micros("ts") / 1000.0).alias("ms"), "kind")
-    return rows.groupBy(session).applyInPandasWithState(step, f"{session} {kind}, {LINKED}", PENDING, "append", GroupStateTimeout.NoTimeout)
+    rows = timed.select(session, "number", "ts", (F.unix_micros("ts") / 1000.0).alias("ms"), "kind")
+    return rows.groupBy(session).applyInPandasWithState(step, f"{session} {kind}, {LINKED}", PENDING, "append", GroupStateTimeout.EventTimeTimeout if idle else GroupStateTimeout.NoTimeout)
+
 
+def stream_session_state(events: DataFrame, session: str, value: str, idle: str | None = None) -> DataFrame:
+    """Events (session, number, value) with the last value of the session that wasn't null, their own included.
 
-def stream_session_state(events: DataFrame, session: str, value: str) -> DataFrame:
-    """Events (session, number, value) with the last value of the session that wasn't null, their own included."""
+    With idle, events have ts too, and a session without events for so long of event time starts anew.
+    """
+    timed, expires = expiry(events, idle)
     kinds = {c: events.schema[c].dataType.simpleString() for c in (session, value)}
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         rows = pd.concat(list(batches)).sort_values("number")
         current, out = (state.get[0] if state.exists else None), []
         for v in rows[value]:
@@ -106,10 +123,11 @@ def stream_session_state(events: DataFrame, session: str, value: str) -> DataFra
                 current = int(v) if whole else v  # a column with nulls comes as floats
             out.append(current)
         state.update((current,))
+        expires(state, rows)
         yield rows.assign(**{f"current_{value}": pd.Series(out, index=rows.index, dtype="Int64" if whole else object)})[[session, "number", value, f"current_{value}"]]
 
     whole = kinds[value] in ("tinyint", "smallint", "int", "bigint")
-    return events.select(session, "number", value).groupBy(session).applyInPandasWithState(step, f"{session} {kinds[session]}, number long, {value} {kinds[value]}, current_{value} {kinds[value]}", f"last {kinds[value]}", "append", GroupStateTimeout.NoTimeout)
+    return timed.select(session, "number", value, *(["ts"] if idle else [])).groupBy(session).applyInPandasWithState(step, f"{session} {kinds[session]}, number long, {value} {kinds[value]}, current_{value} {kinds[value]}", f"last {kinds[value]}", "append", GroupStateTimeout.EventTimeTimeout if idle else GroupStateTimeout.NoTimeout)
 
 
 def entity_lifecycle(events: DataFrame, fields: list[str], key: list[str] = ("capture_id", "guid")) -> DataFrame:
