@@ -100,6 +100,13 @@ def test_captures_round_trip(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "merged")).count() == 100 and spark.read.parquet(str(tmp_path / "gz")).count() == 50
 
 
+def test_captures_under_an_address(spark, tmp_path):
+    e = df(spark, "ts timestamp, direction string, opcode int, conn_idx int, payload binary", (at(0), "ServerToClient", 5, 0, bytearray(b"x")), (at(1), "ClientToServer", 6, 1, None))
+    S.write_captures(e, f"file://{tmp_path}/out")
+    assert sorted(r["opcode"] for r in S.read_captures(spark, f"file://{tmp_path}/out").collect()) == [5, 6]
+    assert list((tmp_path / "out").glob("*.pkt")) and not list((tmp_path / "out").glob("*.tmp"))
+
+
 def test_packet_table(spark):
     p = df(spark, "id int, opcode int, timestamp timestamp, direction string, data binary", (1, 5, at(10), "s", bytearray(b"x")), (2, 6, at(5), "s", None), (3, 7, at(20), "s", bytearray(b"yz")))
     h = df(spark, "key string, value string", ("other", "1"))

@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
@@ -192,30 +193,37 @@ class CaptureWriter(DataSourceArrowWriter):
     def __init__(self, options: dict, overwrite: bool):
         self.folder, self.build, self.locale = options["path"], int(options.get("build", "0")), options.get("locale", "enUS")
 
+    def target(self) -> tuple[fs.FileSystem, str]:
+        return fs.FileSystem.from_uri(self.folder) if ":/" in self.folder else (fs.LocalFileSystem(), os.path.abspath(self.folder))
+
     def write(self, batches: Iterator[pa.RecordBatch]) -> Written:
         from pyspark import TaskContext
 
-        context = TaskContext.get()
-        os.makedirs(self.folder, exist_ok=True)
-        path = os.path.join(self.folder, f"part-{context.partitionId():05d}-{context.taskAttemptId()}.pkt")
-        with open(path + ".tmp", "wb") as f:
+        context, (system, folder) = TaskContext.get(), self.target()
+        system.create_dir(folder, recursive=True)
+        path = f"{folder}/part-{context.partitionId():05d}-{context.taskAttemptId()}.pkt"
+        with system.open_output_stream(path + ".tmp") as f:
             f.write(b"PKT" + struct.pack("<HBI", 0x301, STAMPED[0], self.build) + self.locale.encode("ascii")[:4].ljust(4, b"\0") + bytes(40) + struct.pack("<III", 0, 0, 2) + struct.pack("<H", 0x100))
             for batch in batches:
+                out = []
                 for row in batch.to_pylist():
                     body = row["payload"] or b""
                     ms = float((row["ts"] - EPOCH) // timedelta(milliseconds=1))
-                    f.write(struct.pack("<IiIIId", MARK_OF[row["direction"]], row["conn_idx"] or 0, 0, 8, len(body) + 4, ms) + struct.pack("<i", row["opcode"]) + body)
+                    out.append(struct.pack("<IiIIId", MARK_OF[row["direction"]], row["conn_idx"] or 0, 0, 8, len(body) + 4, ms) + struct.pack("<i", row["opcode"]) + body)
+                f.write(b"".join(out))
         return Written(path)
 
     def commit(self, messages: list) -> None:
+        system, _ = self.target()
         for m in messages:
             if m is not None:
-                os.replace(m.path + ".tmp", m.path)
+                system.move(m.path + ".tmp", m.path)
 
     def abort(self, messages: list) -> None:
+        system, _ = self.target()
         for m in messages:
-            if m is not None and os.path.exists(m.path + ".tmp"):
-                os.remove(m.path + ".tmp")
+            if m is not None and system.get_file_info(m.path + ".tmp").type == fs.FileType.File:
+                system.delete_file(m.path + ".tmp")
 
 
 class CaptureSource(DataSource):
@@ -281,7 +289,7 @@ def write_captures(df: DataFrame, path: str, build: int = 0, locale: str = "enUS
 
 def read_packet_table(spark: SparkSession, packets: DataFrame, header: DataFrame) -> DataFrame:
     """Events from a table packets(id, opcode, timestamp, direction, data) and a key/value header; null blobs go, the start is the header's, else the first timestamp."""
-    start = header.where("key = 'start_time'").select(F.col("value").cast("timestamp").alias("start"))
+    start = header.where("key = 'start_time'").select(F.col("value").try_cast("timestamp").alias("start"))
     rows = packets.where("data is not null").select(F.col("id").alias("number"), "opcode", F.col("timestamp").alias("ts"), "direction", F.col("data").alias("payload"), F.octet_length("data").alias("length"))
     first = rows.agg(F.min("ts").alias("first")).join(start, F.lit(True), "left").select(F.coalesce("start", "first").alias("header_start"))
     return rows.crossJoin(F.broadcast(first))  # one row

@@ -96,9 +96,9 @@ def stream_link(events: DataFrame, session: str = "capture_id", window_ms: int =
                 saved = None
         state.update((pending, pending_ts, saved, saved_ts))
         expires(state, rows)
-        frame = pd.DataFrame(out, columns=[session, "number", "kind", "selection_number"])
-        frame["selection_number"] = frame["selection_number"].astype("Int64")
-        yield frame
+        if out:
+            frame = pd.DataFrame([x[:3] for x in out], columns=[session, "number", "kind"])
+            yield frame.assign(selection_number=pd.array([x[3] for x in out], dtype="Int64"))
 
     rows = timed.select(session, "number", "ts", (F.unix_micros("ts") / 1000.0).alias("ms"), "kind")
     return rows.groupBy(session).applyInPandasWithState(step, f"{session} {kind}, {LINKED}", PENDING, "append", GroupStateTimeout.EventTimeTimeout if idle else GroupStateTimeout.NoTimeout)
