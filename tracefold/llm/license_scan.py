@@ -4,9 +4,9 @@ A file is compared with templates (titles, one-line notices, tags, headers and
 licence texts) by the cosine of TF-IDF vectors: the whole file, and windows of 1
 to 32 lines, so that a header is found wherever it stands and however it is
 wrapped. How many files hold a word is counted over the whole table, for every
-word. A window can only match a template if it holds one of the template's
-heaviest words (without them the rest of the template is too short for the
-cosine), so only windows around such words are compared; no match is lost.
+word. A window can only match a template if it holds one of a few of the
+template's rarest words (without them the rest of the template is too short for
+the cosine), so only windows around such words are compared; no match is lost.
 
 A file without a licence of its own takes that of the nearest directory above it
 that has a licence file. Each folder is joined, one row for each directory above
@@ -94,7 +94,6 @@ TEMPLATES = (
     ("LGPL-3.0", _GPL.format("Lesser General Public License", 3)),
     ("MIT", "Released under the MIT License."),
     ("MIT", "MIT License"),
-    ("MIT", "The MIT License (MIT)"),
     ("MIT", _MIT),
     ("MPL-2.0", "Licensed under the Mozilla Public License, Version 2.0."),
     ("MPL-2.0", "Mozilla Public License Version 2.0"),
@@ -113,25 +112,24 @@ LICENCE_FILE = r"(?i)^(licen[cs]e|copying|notice)(\..*)?$"
 
 def words(text: Column) -> Column:
     """The words of text in lower case: letters, digits, and dots and hyphens inside. Null has none."""
-    parts = F.split(F.lower(F.coalesce(text, F.lit(""))), "[^a-z0-9.-]+")
-    return F.filter(F.transform(parts, lambda x: F.btrim(x, F.lit(".-"))), lambda x: x != "")
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit("[a-z0-9]+(?:[.-]+[a-z0-9]+)*"), F.lit(0))
 
 
 def anchors(models: list, similar: float) -> list[str]:
-    """Words of which a text holds at least one if its cosine with any template is similar or more. models: rows template, term, m (of length 1).
+    """Words of which a text holds at least one if its cosine with any template is similar or more. models: rows template, term, m (of length 1), idf.
 
-    Without a template's heaviest words, whose squares sum to more than 1 - similar**2,
-    what is left of it is shorter than similar.
+    Without words of a template whose squares sum to more than 1 - similar**2,
+    what is left of it is shorter than similar. The rarest words are taken.
     """
     out, own = set(), {}
     for r in models:
-        own.setdefault(r["template"], []).append((-r["m"], r["term"]))
+        own.setdefault(r["template"], []).append((-r["idf"], r["term"], r["m"]))
     for terms in own.values():
         mass = 0.0
-        for less, term in sorted(terms):
+        for _, term, m in sorted(terms):
             if mass > 1 - similar**2 + 1e-6:
                 break
-            mass += less * less
+            mass += m * m
             out.add(term)
     return sorted(out)
 
@@ -162,9 +160,9 @@ def detected(files: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATE
     known = spark.createDataFrame([(k, a, b) for k, (a, b) in enumerate(templates)], "template int, licence string, notice string")
     known = known.select("template", "licence", F.explode(words(F.col("notice"))).alias("term")).groupBy("template", "licence", "term").agg(F.count("*").alias("n"))
     vocabulary = F.broadcast(known.select("term").distinct())
-    weights = known.join(F.broadcast(idf.join(vocabulary, "term", "left_semi")), "term", "left").withColumn("m", F.col("n") * F.coalesce("idf", F.log(F.lit(n) + 1.0) + 1))
+    weights = known.join(F.broadcast(idf.join(vocabulary, "term", "left_semi")), "term", "left").withColumn("idf", F.coalesce("idf", F.log(F.lit(n) + 1.0) + 1)).withColumn("m", F.col("n") * F.col("idf"))
     lengths = weights.groupBy("template").agg(F.sqrt(F.sum(F.col("m") * F.col("m"))).alias("length"))
-    models = cut(weights.join(lengths, "template").select("template", "licence", "term", (F.col("m") / F.col("length")).alias("m")), "licence-models")  # as many rows as the templates have words
+    models = cut(weights.join(lengths, "template").select("template", "licence", "term", "idf", (F.col("m") / F.col("length")).alias("m")), "licence-models")  # as many rows as the templates have words
     heavy = F.array(*map(F.lit, anchors(models.collect(), similar)))
 
     some = files.where(F.arrays_overlap(words(F.col("text")), heavy)).groupBy("name").agg(F.first("text").alias("text"))
@@ -174,7 +172,7 @@ def detected(files: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATE
     terms = kinds.select("unit", F.explode("words").alias("term")).groupBy("unit", "term").agg(F.count("*").alias("tf"))
     weighted = cut(terms.join(idf, "term").select("unit", "term", (F.col("tf") * F.col("idf")).alias("w")), "licence-weights")
     norms = weighted.groupBy("unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    dots = weighted.join(F.broadcast(models), "term").groupBy("unit", "template", "licence").agg(F.sum(F.col("w") * F.col("m")).alias("dot"))
+    dots = weighted.join(F.broadcast(models.drop("idf")), "term").groupBy("unit", "template", "licence").agg(F.sum(F.col("w") * F.col("m")).alias("dot"))
     cosines = dots.join(norms, "unit").select("unit", "licence", F.round(F.col("dot") / F.col("norm"), 6).alias("cosine")).where(F.col("cosine") >= similar)
     best = F.min_by(F.struct("licence", "cosine"), F.struct(-F.col("cosine"), "licence")).alias("best")
     matches = cut(kinds.select("key", "unit").join(cosines, "unit").groupBy("key").agg(best).select("key", "best.*"), "licence-matches")
