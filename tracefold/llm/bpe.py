@@ -405,24 +405,18 @@ def as_binary(ids: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(ids))]).cast(pa.binary())
 
 
-_loaded: dict[str, ForcedBoundaryBPE] = {}
-
-
 class Tokenizer:
-    """A tokenizer file read on the driver and sent once to each executor; its size is checked."""
+    """A tokenizer file read and its tables built on the driver, sent once to each executor; the file's size is checked."""
 
     def __init__(self, spark: SparkSession, path: str):
         with open(path, encoding="utf-8") as f:
             text = f.read()
         if len(text) > MAX_TOKENIZER_BYTES:
             raise ValueError(f"{path} is too large to be sent to every executor")
-        self.key, self.sent = f"{path}:{hash(text)}", spark.sparkContext.broadcast(text)
+        self.sent = spark.sparkContext.broadcast(ForcedBoundaryBPE(text))
 
     def get(self) -> ForcedBoundaryBPE:
-        if self.key not in _loaded:
-            _loaded.clear()
-            _loaded[self.key] = ForcedBoundaryBPE(self.sent.value)
-        return _loaded[self.key]
+        return self.sent.value
 
 
 def replaced(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:

@@ -30,7 +30,7 @@ from .common import slices
 #: Rows of the sample that orders the rules, about; the verdict does not depend on it.
 SAMPLE_ROWS = 1000
 #: Files that the sample is taken from, about, where there are more.
-SAMPLE_FILES = 16
+SAMPLE_FILES = 4
 #: Characters that count as symbols (fixed values).
 SYMBOLS = "#*$%&|<>"
 WHITE = " \t\n\x0b\x0c\r"
