@@ -113,7 +113,8 @@ def replace_capture_rows(df: DataFrame, processed: DataFrame, path: str) -> None
 
     Partitions that get rows are overwritten, each as a whole. Captures that were
     processed and have no rows lose their partition: overwriting with nothing
-    would leave it. A failed write raises.
+    would leave it. A failed write raises; a load that fails half way is run again,
+    and leaves the same rows as one that did not.
     """
     spark = df.sparkSession
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("capture_id").parquet(path)
