@@ -110,6 +110,45 @@ LICENCE_SQL = rf"""
         CASE WHEN licence IS NOT NULL THEN path ELSE up.p END AS licence_path, CASE WHEN licence IS NOT NULL THEN doc_id ELSE up.d END AS licence_doc_id FROM u
 """
 
+
+def either_case(pattern: str) -> str:
+    """pattern with each letter of its (?i:...) groups as a class of two: ASCII alone, as some engines fold more."""
+    out, depth, at = "", 0, 0
+    while at < len(pattern):
+        if not depth and pattern.startswith("(?i:", at):
+            out, depth, at = out + "(?:", 1, at + 4
+            continue
+        c = pattern[at]
+        depth += depth and (c == "(") - (c == ")")
+        out += f"[{c}{c.upper()}]" if depth and c.isalpha() else c
+        at += 1
+    return out
+
+
+def found_sql(kind: str, pattern: str, group: int, keep: str) -> str:
+    """(r, kind, s, e) of each match of pattern in d (r, t): places from the lengths of the matches and of what lies between them."""
+    p = quoted(either_case(pattern))
+    return f"""
+        SELECT r, '{kind}' AS kind, e - length(m) AS s, e FROM (
+            SELECT r, x[2] AS m, x[3] AS g, CAST(sum(length(x[2]) + length(x[4])) OVER (PARTITION BY r ORDER BY CAST(x[1] AS INTEGER)) AS BIGINT) AS e
+            FROM (SELECT r, unnest(list_transform(range(1, len(ms) + 1), lambda i: [CAST(i AS VARCHAR), ms[i], gs[i], gaps[i]])) AS x
+                FROM (SELECT r, regexp_extract_all(t, {p}) AS ms, regexp_extract_all(t, {p}, {group}) AS gs, regexp_split_to_array(t, {p}) AS gaps FROM d))) WHERE {keep}"""
+
+
+#: Weak candidates are maximal runs here, so no pattern has to look around.
+SECRET_SQL = f"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+    base AS ({found_sql("assign", secret_scan.ASSIGN, 2, "length(g) >= 6")} UNION ALL {found_sql("access", secret_scan.ACCESS, 0, "length(m) >= 20")} UNION ALL {found_sql("hex", "[0-9a-f]+", 0, "length(m) >= 24")}),
+    weak AS ({found_sql("weak", "[A-Za-z0-9+/_-]{16,}", 0, "regexp_matches(m, '[a-z]') AND regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[0-9]')")}),
+    names AS ({found_sql("name", secret_scan.IDENTIFIER, 0, "true")} UNION ALL SELECT * FROM base WHERE kind = 'access'),
+    ends AS ({found_sql("end", secret_scan.ENDPOINT, 0, "true")}),
+    linked AS (SELECT * FROM weak w WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.r = w.r AND b.s < w.e AND w.s < b.e)
+        AND EXISTS (SELECT 1 FROM names n WHERE n.r = w.r AND n.s BETWEEN w.s - {secret_scan.SCOPE} AND w.e + {secret_scan.SCOPE}) AND EXISTS (SELECT 1 FROM ends n WHERE n.r = w.r AND n.s BETWEEN w.s - {secret_scan.SCOPE} AND w.e + {secret_scan.SCOPE})),
+    every AS (SELECT r, kind, s, list_position(['assign', 'access', 'hex', 'weak'], kind) AS k, kind || ':' || s || ':' || e AS x FROM (SELECT * FROM base UNION ALL SELECT * FROM linked)),
+    g AS (SELECT r, string_agg(x, ',' ORDER BY s, k) AS spans, string_agg(x, ',' ORDER BY s, k) FILTER (k < 4) AS base, count(*) FILTER (k = 1) AS a, count(*) FILTER (k = 2) AS b, count(*) FILTER (k = 3) AS c FROM every GROUP BY 1)
+    SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(b, 0) AS n_access, coalesce(c, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN g ON g.r = d.r
+"""
+
 QUERIES = {f.__name__: f for f in (op1_bpe, op2_packing, op3_exact_dedup, op4_simhash, op5_token_orc, op6_license_scan, op7_quality, op8_language_id, op9_hilbert_shards, op10_secret_links)}
 
 ORACLE_SQL = {
@@ -137,4 +176,5 @@ ORACLE_SQL = {
         FROM b
     """,
     "op6_license_scan": LICENCE_SQL,
+    "op10_secret_links": SECRET_SQL,
 }
