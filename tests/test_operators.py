@@ -136,6 +136,19 @@ def test_a_hot_capture_is_cut_in_parts(spark, hot_rows):
             before = r
 
 
+@pytest.mark.parametrize("kind", ["string", "date", "decimal(20,2)", "bigint"])
+def test_parts_by_any_kind_of_order(spark, kind):
+    rng = random.Random(6)
+    e = df(spark, "k int, v int", *((1, rng.randrange(3000) if i else None) for i in range(500)))
+    text = F.concat(F.chr((F.col("v") % 7 + 200).cast("long")), F.format_string("%05d", "v"))
+    e = e.withColumn("o", {"string": text, "date": F.date_add(F.lit("2020-01-01").cast("date"), F.col("v"))}.get(kind, F.col("v").cast(kind))).withColumn("id", F.monotonically_increasing_id())
+    want = {r["id"]: r["n"] for r in hot.numbered(e, ["k"], ["o", "id"], "n").collect()}
+    assert sorted(want.values()) == list(range(500))
+    parts, several = hot.parted(e, ["k"], "o", 60)
+    assert several and parts.select(hot.PART).distinct().count() > 4
+    assert {r["id"]: r["n"] for r in hot.numbered(e, ["k"], ["o", "id"], "n", 60).collect()} == want
+
+
 def test_chains_of_any_length(spark):
     n = 150
     maps = df(spark, "id int, parent int, cosmetic_parent int", *[(k, k - 1, -1) for k in range(n)], (500, 777, -1), (501, 500, -1), (502, -1, 999), (503, -1, 500))

@@ -25,7 +25,7 @@ PART = "__part"
 def parted(df: DataFrame, key: list[str], order: str, hot_rows: int | None = None) -> tuple[DataFrame, bool]:
     """df with PART, the part of its key that each row is in (rows of equal order share one), and whether any key has several.
 
-    order: a column of numbers, dates or timestamps.
+    order: a column of numbers, dates, timestamps or strings (parted by their first bytes).
     """
     most = hot_rows or HOT_ROWS
     hot = df.groupBy(*key).agg(F.count("*").alias("__n")).where(F.col("__n") > most)
@@ -38,7 +38,7 @@ def parted(df: DataFrame, key: list[str], order: str, hot_rows: int | None = Non
     parts = -(-largest // most) + 1
     own = hot.select(*(F.col(k).alias(f"__hot{i}") for i, k in enumerate(key)))
     same = functools.reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__hot{i}")) for i, k in enumerate(key)])
-    number = F.unix_micros(order) if isinstance(df.schema[order].dataType, T.TimestampType) else F.unix_date(order) if isinstance(df.schema[order].dataType, T.DateType) else F.col(order)
+    number = ascending(F.col(order), df.schema[order].dataType)
     rows = df.select(*key, number.alias("__o")).join(F.broadcast(own), same).groupBy(*own.columns)
     cuts = rows.agg(F.percentile_approx("__o", [k / parts for k in range(1, parts)], 100 * parts).alias("__cuts"))
     path = scratch_path(df.sparkSession, "hot-cuts")
@@ -48,6 +48,17 @@ def parted(df: DataFrame, key: list[str], order: str, hot_rows: int | None = Non
     return placed.drop("__cuts", *own.columns), True
 
 
+def ascending(c: Column, kind: T.DataType) -> Column:
+    """A number that never falls where c rises: what rows are parted by."""
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(c.cast("timestamp"))
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c)
+    if isinstance(kind, T.StringType):
+        return F.conv(F.rpad(F.substring(F.hex(F.encode(c, "UTF-8")), 1, 14), 14, "0"), 16, 10).cast("long")
+    return c if isinstance(kind, T.IntegralType) else c.cast("double")
+
+
 def carried(df: DataFrame, key: list[str], order: list[str], value: Column, out: str, own: bool = True, hot_rows: int | None = None) -> DataFrame:
     """df with out: the last value that isn't null among the rows of the key up to each row (before it, if not own)."""
     rows, several = parted(df.withColumn("__v", value), key, order[0], hot_rows)
