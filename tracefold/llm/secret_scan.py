@@ -154,7 +154,13 @@ def secrets(docs: DataFrame, text: str = "text", scope: int = SCOPE) -> DataFram
 
 
 def redacted(docs: DataFrame, text: str = "text", mark: str = "[REDACTED]", scope: int = SCOPE) -> DataFrame:
-    """docs with every finding in text replaced by mark (overlapping ones by one), n_chars counted anew where there is such a column."""
+    """docs with every finding in text replaced by mark (overlapping ones by one), n_chars counted anew where there is such a column.
+
+    No row goes: null and empty texts and texts without findings stay as they
+    are, with their n_chars. Texts of any length are read whole; repeated rows
+    are redacted alike. An empty table gives no rows. All columns of docs pass
+    through, whatever their names.
+    """
     hits = secrets(docs, text, scope).where(F.size("found") > 0).select(F.col("doc_id").alias("__id"), F.col("texthash").alias("__hash"), F.col("found").alias("__found")).dropDuplicates(["__id", "__hash"])
     hits = cut(hits, "secret-hits")
     joined = docs.join(bounded(hits), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col("__hash")), "left")

@@ -99,7 +99,12 @@ def write_tokens(docs: DataFrame, tokenizer: Tokenizer, end_id: int, path: str,
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """Rows doc_id, start (ids of all documents before it), chunk, n_tokens (of its document), ids."""
+    """Rows doc_id, start (ids of all documents before it), chunk, n_tokens (of its document), ids.
+
+    A null or empty text is its end id alone; a long document is several chunks;
+    rows of one doc_id, null too, stand side by side, each with a start of its
+    own; a store of no documents gives no rows.
+    """
     table = spark.read.orc(path)
     bases = prefix_totals(table.where("chunk = 0"), "part", "n_tokens")
     return table.join(F.broadcast(bases), "part").select("doc_id", (F.col("base") + F.col("local")).alias("start"), "chunk", "n_tokens", "ids")
