@@ -133,24 +133,15 @@ def test_models_are_kneser_ney():
         x = x[:3] + re.sub("\0+", "\0", x[3:].lstrip("\0") if x[3:].lstrip("\0") else "\0")
         return [tuple(x[i : i + 4]) for i in range(len(x) - 3)]
 
-    texts = ("abracadabra alakazam abra cadabra", "hokus pokus fidibus hokus")
-    m = language_id.fit(["a", "b"], [np.unique(language_id.sequences([t])[0], return_counts=True) for t in texts])
     unpack = lambda v: tuple(chr(int(v) >> 16 * k & 0xFFFF) for k in (3, 2, 1, 0))
-    for x, t in enumerate(texts):
+    for t in ("abracadabra alakazam abra cadabra", "hokus pokus fidibus hokus"):
         own = [unpack(v) for v in language_id.sequences([t])[0]]
         assert own == ngrams(t)
         p = slow_kneser_ney(own)
-        for other in ("abrakus", "pokuscada", "zzz hok"):
-            packed = language_id.sequences([other])[0]
-            got = np.exp(m.logs(packed)[:, x].astype(float))
-            # letters that neither text has are shared by both models' alphabet
-            alphabet = {g[-1] for y in texts for g in ngrams(y)}
-            if {g[-1] for g in own} == alphabet:
-                assert got == pytest.approx([p(unpack(v)) for v in packed], rel=1e-4)
-        same = language_id.fit(["x"], [np.unique(language_id.sequences([t])[0], return_counts=True)])
+        m = language_id.fit(["x"], [np.unique(language_id.sequences([t])[0], return_counts=True)])
         for other in (t, "abrakus", "pokuscada zzz"):
             packed = language_id.sequences([other])[0]
-            assert np.exp(same.logs(packed)[:, 0].astype(float)) == pytest.approx([p(unpack(v)) for v in packed], rel=1e-4)
+            assert np.exp(m.logs(packed)[:, 0].astype(float)) == pytest.approx([p(unpack(v)) for v in packed], rel=1e-4)
 
 
 def test_models_are_probabilities():
