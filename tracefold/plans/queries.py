@@ -313,13 +313,13 @@ def path_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    WITH n AS (SELECT l_orderkey AS g, (CAST(l_linenumber AS BIGINT) * 100000000 + l_partkey) * 100000 + l_suppkey AS m, unnest([1, 2, 3]) AS p, l_quantity AS x FROM lineitem)
+    WITH n AS (SELECT l_orderkey AS g, ((CAST(l_linenumber AS BIGINT) * 100000000 + l_partkey) * 100000 + l_suppkey) * 100 + CAST(l_quantity AS BIGINT) AS m, unnest([1, 2, 3]) AS p, l_quantity AS x FROM lineitem)
     SELECT g AS l_orderkey, row_number() OVER w AS node, CAST(x + p AS DOUBLE) AS x, p = 1 AS filler, row_number() OVER w = count(*) OVER (PARTITION BY g) AS last FROM n WINDOW w AS (PARTITION BY g ORDER BY m, p)""")
 def waypoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each line of an order as a move with one filler point, one point and a destination."""
     li = table(spark, sf_dir, "lineitem")
     at = lambda k: F.struct((F.col("l_quantity") + k).alias("x"), F.col("l_partkey").cast("double").alias("y"), F.lit(0.0).alias("z"))
-    moves = li.select(F.lit(0).alias("capture_id"), F.col("l_orderkey").alias("guid"), ((F.col("l_linenumber").cast("long") * 100_000_000 + F.col("l_partkey")) * 100_000 + F.col("l_suppkey")).alias("number"), F.array(at(1)).alias("packed"), F.array(at(2)).alias("points"), at(3).alias("dest"), F.lit(None).cast("double").alias("look"), F.lit(1).alias("type"))
+    moves = li.select(F.lit(0).alias("capture_id"), F.col("l_orderkey").alias("guid"), (((F.col("l_linenumber").cast("long") * 100_000_000 + F.col("l_partkey")) * 100_000 + F.col("l_suppkey")) * 100 + F.col("l_quantity").cast("long")).alias("number"), F.array(at(1)).alias("packed"), F.array(at(2)).alias("points"), at(3).alias("dest"), F.lit(None).cast("double").alias("look"), F.lit(1).alias("type"))
     return W.waypoints(moves).select(F.col("guid").alias("l_orderkey"), F.col("node").cast("long").alias("node"), "x", "filler", "last")
 
 
