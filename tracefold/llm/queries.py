@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, language_id, license_scan, packing, quality, secret_scan, sharding, simhash, token_store
+from . import bpe, exact_dedup, language_id, license_scan, packing, quality, secret_scan, sharding, simhash, spelling, token_store
 from .common import documents, scratch_path
 
 #: Vocabulary files of the queries.
@@ -75,6 +75,9 @@ def op10_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secrets(documents(spark, sf_dir)).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.counted(spelling.damaged(spelling.runs(documents(spark, sf_dir)))))
+
 
 def quoted(x: str) -> str:
     return "'" + x.replace("'", "''") + "'"
@@ -149,7 +152,26 @@ SECRET_SQL = f"""
     SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(b, 0) AS n_access, coalesce(c, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN g ON g.r = d.r
 """
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_packing, op3_exact_dedup, op4_simhash, op5_token_orc, op6_license_scan, op7_quality, op8_language_id, op9_hilbert_shards, op10_secret_links)}
+#: CRC-32 byte by byte; near words by the code points that they lose or change, without any bigram. The chain of forms is at most as long as counts can double.
+SPELLING_SQL = r"""
+    WITH RECURSIVE tab AS (SELECT i, i AS c, 0 AS k FROM range(256) AS r(i) UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM tab WHERE k < 8),
+    byte AS (SELECT list(c ORDER BY i) AS t FROM tab WHERE k = 8),
+    run AS (SELECT doc_id, translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]+')) AS x FROM documents)),
+    kind AS (SELECT x, hex(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || x) AS b, count(*) AS n FROM run GROUP BY doc_id, x),
+    summed AS (SELECT x, n, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, length(b), 2), lambda i: CAST(16 * strpos('0123456789ABCDEF', b[i]) + strpos('0123456789ABCDEF', b[i + 1]) - 17 AS BIGINT))),
+        lambda c, y: xor(c >> 8, t[(xor(c, y) & 255) + 1])), 4294967295) AS h FROM kind, byte),
+    word AS (SELECT CASE WHEN h % 97 = 0 THEN substr(x, 1, h % length(x)) || substr(x, h % length(x) + 2) ELSE x END AS word, n FROM summed),
+    w AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM word WHERE length(word) >= 5 GROUP BY 1 HAVING sum(n) >= 3),
+    less AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)),
+    pair AS (SELECT DISTINCT a.word, b.word AS other, b.n AS other_n FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+        UNION SELECT a.word, w.word, w.n FROM less a JOIN w ON a.rest = w.word UNION SELECT w.word, a.word, a.n FROM less a JOIN w ON a.rest = w.word),
+    best AS (SELECT word, count(*) AS n_near, arg_min(struct_pack(form := other, form_n := other_n), struct_pack(a := -other_n, b := other)) AS f FROM pair GROUP BY 1),
+    formed AS (SELECT w.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN f.form_n >= 2 * n THEN f.form END AS form, CASE WHEN f.form_n >= 2 * n THEN f.form_n END AS form_n FROM w LEFT JOIN best ON w.word = best.word),
+    chain AS (SELECT word, word AS reached, 0 AS k FROM formed UNION ALL SELECT chain.word, form, k + 1 FROM chain JOIN formed ON formed.word = chain.reached WHERE form IS NOT NULL)
+    SELECT f.word, n, n_near, form, form_n, root FROM formed f JOIN (SELECT word, arg_max(reached, k) AS root FROM chain GROUP BY 1) c ON c.word = f.word
+"""
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_packing, op3_exact_dedup, op4_simhash, op5_token_orc, op6_license_scan, op7_quality, op8_language_id, op9_hilbert_shards, op10_secret_links, op11_spelling)}
 
 ORACLE_SQL = {
     "op3_exact_dedup": r"""
@@ -177,4 +199,5 @@ ORACLE_SQL = {
     """,
     "op6_license_scan": LICENCE_SQL,
     "op10_secret_links": SECRET_SQL,
+    "op11_spelling": SPELLING_SQL,
 }
