@@ -6,18 +6,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, language_id, license_scan, packing, quality, secret_scan, sharding, simhash, spelling, token_store
+from . import bpe, exact_dedup, language_id, license_scan, merge_replay, packing, quality, secret_scan, sharding, simhash, spelling, token_store
 from .common import documents, scratch_path
 
 #: Vocabulary files of the queries.
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 END_ID = 2
+BYTE_RANKS = "byte_bpe_50k.tiktoken"
 
 
 def tokenizer(spark: SparkSession, name: str) -> bpe.Tokenizer:
     return bpe.Tokenizer(spark, str(public_tokenizers.path(name)))
 
 
+def ranks(spark: SparkSession) -> merge_replay.Ranks:
+    return merge_replay.Ranks(spark, str(public_tokenizers.path(BYTE_RANKS)), public_tokenizers.PATTERN)
+
+
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = tokenizer(spark, BYTE_BPE)
     ids = bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), own).select("doc_id", "ids")
@@ -79,6 +84,13 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spelling.counted(spelling.damaged(spelling.runs(documents(spark, sf_dir)))))
 
 
+def op12_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = ranks(spark)
+    both = merge_replay.decode(merge_replay.encode(documents(spark, sf_dir).select("doc_id", "text"), own).select("doc_id", "ids"), own)
+    decimal = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(decimal, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def quoted(x: str) -> str:
     return "'" + x.replace("'", "''") + "'"
 
@@ -171,7 +183,7 @@ SPELLING_SQL = r"""
     SELECT f.word, n, n_near, form, form_n, root FROM formed f JOIN (SELECT word, arg_max(reached, k) AS root FROM chain GROUP BY 1) c ON c.word = f.word
 """
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_packing, op3_exact_dedup, op4_simhash, op5_token_orc, op6_license_scan, op7_quality, op8_language_id, op9_hilbert_shards, op10_secret_links, op11_spelling)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_packing, op3_exact_dedup, op4_simhash, op5_token_orc, op6_license_scan, op7_quality, op8_language_id, op9_hilbert_shards, op10_secret_links, op11_spelling, op12_merge_replay)}
 
 ORACLE_SQL = {
     "op3_exact_dedup": r"""
