@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections import defaultdict
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +34,8 @@ from .bpe import MAX_TOKENIZER_BYTES, RARE_SPACE, WHITE, WHITE_BYTE, bytes_of, r
 SLICE_BYTES = 24 << 20
 #: Bits of a token id in the key of a pair.
 ID_BITS = 24
+#: Places from which a merge is applied to all of them at once, as arrays.
+MANY = 100
 #: A run of white space and what follows it; only for texts with rare white space.
 FRAGMENT = regex.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 
@@ -49,6 +51,8 @@ class Merges:
         self.base = np.array([self.rank_of[bytes([b])] for b in range(256)], np.int64)
         #: made: the token that a pair of tokens makes, by first id << ID_BITS | second id.
         self.made = {self.rank_of[token[:k]] << ID_BITS | self.rank_of[token[k:]]: rank for token, rank in self.rank_of.items() for k in range(1, len(token)) if token[:k] in self.rank_of and token[k:] in self.rank_of}
+        self.keys = np.array(sorted(self.made), np.int64)
+        self.made_by_key = np.array([self.made[k] for k in self.keys.tolist()], np.int64)
         self.of_bytes = np.array([[self.made.get(a << ID_BITS | b, -1) for b in self.base.tolist()] for a in self.base.tolist()], np.int64)
         self.tokens: list[bytes] = [b""] * (max(self.rank_of.values()) + 1)
         for token, rank in self.rank_of.items():
@@ -83,8 +87,8 @@ class Merges:
         first, last = np.zeros(n, bool), np.zeros(n, bool)
         first[(ends - sizes)[sizes > 0]], last[ends[sizes > 0] - 1] = True, True
         number = np.arange(n)
-        after, before = np.where(last, -1, number + 1).tolist(), np.where(first, -1, number - 1).tolist()
-        symbol = self.base[data].tolist()
+        symbol, after, before = (array("i", x.astype(np.int32).tobytes()) for x in (self.base[data], np.where(last, -1, number + 1), np.where(first, -1, number - 1)))
+        all_of = [np.frombuffer(x, np.int32) for x in (symbol, after, before)] if n else []  # the same memory, for many places at once
 
         rank = np.where(last, -1, self.of_bytes[data, np.append(data[1:], 0)[:n]])
         held = np.flatnonzero(rank >= 0)
@@ -94,29 +98,32 @@ class Merges:
         waiting, late = list(index), []  # ascending, so a heap
         while waiting:
             now = heapq.heappop(waiting)
-            for i in sorted(index.pop(now)):
-                j = after[i]
-                if j < 0 or symbol[i] < 0 or made.get(symbol[i] << ID_BITS | symbol[j]) != now:
-                    continue  # the place has gone with another merge
-                symbol[i], symbol[j] = now, -1
-                k, h = after[j], before[i]
-                after[i] = k
-                touched = []
-                if k >= 0:
-                    before[k] = i
-                    touched.append((made.get(now << ID_BITS | symbol[k]), i))
-                if h >= 0:
-                    touched.append((made.get(symbol[h] << ID_BITS | now), h))
-                for r, place in touched:
-                    if r is None:
-                        continue
-                    if r < now:
-                        late.append(i)
-                    if r in index:
-                        index[r].append(place)
-                    else:
-                        index[r] = [place]
-                        heapq.heappush(waiting, r)
+            places = sorted(index.pop(now))
+            if len(places) >= MANY:
+                found = self._merge_all(now, np.array(places), *all_of)
+            else:
+                found = []
+                for i in places:
+                    j = after[i]
+                    if j < 0 or symbol[i] < 0 or made.get(symbol[i] << ID_BITS | symbol[j]) != now:
+                        continue  # the place has gone with another merge
+                    symbol[i], symbol[j] = now, -1
+                    k, h = after[j], before[i]
+                    after[i] = k
+                    if k >= 0:
+                        before[k] = i
+                        if (r := made.get(now << ID_BITS | symbol[k])) is not None:
+                            found.append((r, (i,)))
+                    if h >= 0 and (r := made.get(symbol[h] << ID_BITS | now)) is not None:
+                        found.append((r, (h,)))
+            for r, more in found:
+                if r < now:
+                    late += more
+                if (own := index.get(r)) is not None:
+                    own += more
+                else:
+                    index[r] = list(more)
+                    heapq.heappush(waiting, r)
         out = np.array(symbol, np.int64)
         stays = out >= 0
         counts = np.diff(np.concatenate([[0], np.cumsum(stays)])[np.concatenate([[0], ends])])
@@ -128,6 +135,37 @@ class Merges:
             ids, counts = np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
         return ids, counts
 
+    def _merge_all(self, now: int, i: np.ndarray, symbol: np.ndarray, after: np.ndarray, before: np.ndarray) -> list[tuple[int, list[int]]]:
+        """The merge that makes now at all of the ascending places i where its pair still stands: the ranks of the pairs that come up, with their places."""
+        i = i[np.concatenate([[True], i[1:] != i[:-1]])]
+        i = i[(symbol[i] >= 0) & (after[i] >= 0)]
+        i = i[self.ranks(symbol[i], symbol[after[i]]) == now]
+        linked = np.concatenate([[False], after[i[:-1]] == i[1:]]) if len(i) else np.zeros(0, bool)
+        if linked.any():  # of places that overlap, every second, the first of them included
+            at = np.arange(len(i))
+            i = i[(at - np.maximum.accumulate(np.where(linked, 0, at))) % 2 == 0]
+        j = after[i]
+        symbol[i], symbol[j] = now, -1
+        k = after[j]
+        after[i] = k
+        before[k[k >= 0]] = i[k >= 0]
+        h = before[i]
+        right, left = i[k >= 0], h[h >= 0]
+        place = np.concatenate([right, left])
+        rank = self.ranks(symbol[place], symbol[after[place]])
+        place, rank = place[rank >= 0], rank[rank >= 0]
+        order = np.argsort(rank, kind="stable")
+        place, rank = place[order], rank[order]
+        cuts = np.flatnonzero(np.concatenate([rank[:1] >= 0, rank[1:] != rank[:-1]]))
+        all_, edges = place.tolist(), [*cuts.tolist(), len(place)]
+        return [(r, all_[a:b]) for r, a, b in zip(rank[cuts].tolist(), edges[:-1], edges[1:], strict=True)]
+
+    def ranks(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """The token that each pair makes, -1 where there is none."""
+        key = first.astype(np.int64) << ID_BITS | second
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.made_by_key[at], -1) if len(self.keys) else np.full(len(key), -1)
+
     def words_encoded(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """replay() of distinct words, but those that are tokens themselves are taken as they are."""
         whole = np.fromiter((self.rank_of.get(w, -1) for w in words), np.int64, len(words))
