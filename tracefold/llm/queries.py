@@ -6,13 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, language_id, license_scan, merge_replay, packing, quality, secret_scan, sharding, simhash, spelling, token_store
+from . import alignment, bpe, exact_dedup, language_id, license_scan, merge_replay, packing, quality, secret_scan, sharding, simhash, spelling, token_store
 from .common import documents, scratch_path
 
 #: Vocabulary files of the queries.
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 END_ID = 2
-BYTE_RANKS = "byte_bpe_50k.tiktoken"
+BYTE_RANKS, PIECES = "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
 
 
 def tokenizer(spark: SparkSession, name: str) -> bpe.Tokenizer:
@@ -23,6 +23,10 @@ def ranks(spark: SparkSession) -> merge_replay.Ranks:
     return merge_replay.Ranks(spark, str(public_tokenizers.path(BYTE_RANKS)), public_tokenizers.PATTERN)
 
 
+def pair(spark: SparkSession) -> alignment.Pair:
+    return alignment.Pair(spark, str(public_tokenizers.path(BYTE_BPE)), str(public_tokenizers.path(PIECES)))
+
+
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = tokenizer(spark, BYTE_BPE)
     ids = bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), own).select("doc_id", "ids")
@@ -91,6 +95,10 @@ def op12_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(decimal, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(documents(spark, sf_dir), pair(spark))
+
+
 def quoted(x: str) -> str:
     return "'" + x.replace("'", "''") + "'"
 
@@ -183,7 +191,7 @@ SPELLING_SQL = r"""
     SELECT f.word, n, n_near, form, form_n, root FROM formed f JOIN (SELECT word, arg_max(reached, k) AS root FROM chain GROUP BY 1) c ON c.word = f.word
 """
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_packing, op3_exact_dedup, op4_simhash, op5_token_orc, op6_license_scan, op7_quality, op8_language_id, op9_hilbert_shards, op10_secret_links, op11_spelling, op12_merge_replay)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_packing, op3_exact_dedup, op4_simhash, op5_token_orc, op6_license_scan, op7_quality, op8_language_id, op9_hilbert_shards, op10_secret_links, op11_spelling, op12_merge_replay, op13_alignment)}
 
 ORACLE_SQL = {
     "op3_exact_dedup": r"""
