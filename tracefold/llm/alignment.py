@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from .bpe import MAX_TOKENIZER_BYTES, RARE_SPACE, ForcedBoundaryBPE, bytes_of
 from .common import cut, slices
-from .merge_replay import gathered, summed
+from .merge_replay import summed
 
 #: Pairs whose counts are sent to every task, at most: 17 bytes each.
 HOT_PAIRS = 1_000_000
@@ -61,14 +61,14 @@ def piece_bytes(piece: str) -> bytes:
 
 
 class Tiles:
-    """The byte strings of a vocabulary, and the texts of its ids, as arrays."""
+    """The byte strings of a vocabulary, or the texts of its ids."""
 
     def __init__(self, tokens: list[bytes]):
-        self.sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
-        self.data = np.frombuffer(b"".join(tokens), np.uint8)
+        self.sizes, self.tokens = np.fromiter(map(len, tokens), np.int64, len(tokens)), pa.array(tokens, pa.binary())
 
-    def joined(self, ids: np.ndarray) -> np.ndarray:
-        return gathered(self.data, self.sizes, ids)
+    def joined(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The byte strings of ids one after the other, and where each begins and the last one ends."""
+        return bytes_of(self.tokens.take(pa.array(ids)))
 
 
 @functools.cache
@@ -114,7 +114,8 @@ def encoded(texts: pa.StringArray, pair: Pair) -> tuple[np.ndarray, np.ndarray,
     data, bounds = bytes_of(spaced)
     good = np.diff(bounds) > 0
     for tiles, ids, n in ((of_a, ids_a, n_a), (of_b, ids_b, n_b)):
-        own, ends = tiles.joined(ids), np.concatenate([[0], np.cumsum(summed(tiles.sizes[ids], n))])
+        own, at = tiles.joined(ids)
+        ends = at[np.concatenate([[0], np.cumsum(n)])]
         good &= np.diff(ends) == np.diff(bounds)
         if len(own) != len(data) or not np.array_equal(own, data):
             for k in np.flatnonzero(good).tolist():
@@ -160,8 +161,8 @@ class Aligned:
         use = np.empty(len(self.a) + len(self.b), np.int64)
         of_a = np.repeat(np.tile([True, False], len(self.a_in)), both)
         use[of_a], use[~of_a] = self.a + most * mark_a, self.b + most * mark_b
-        out = memoryview(marked.joined(use).tobytes())
-        ends = np.cumsum(summed(marked.sizes[use], self.n_a + self.n_b)).tolist()
+        data, at = marked.joined(use)
+        out, ends = memoryview(data), at[np.cumsum(self.n_a + self.n_b)].tolist()
         return [hashlib.sha256(out[i : j - 1]).hexdigest() if j > i else "" for i, j in zip([0, *ends], ends, strict=False)]
 
     def links(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
