@@ -80,17 +80,22 @@ def pivots(prefix: Column) -> Column:
     return F.aggregate(by_place, start, step, lambda s: F.array(s["both"]["first"], s["both"]["second"]))
 
 
+def letters(word: Column) -> Column:
+    """A bit for each code point of word, modulo 64; one edit changes two at most."""
+    return F.aggregate(F.split(word, ""), F.lit(0).cast("long"), lambda m, x: m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.ascii(x) % 64)))
+
+
 def signatures(words: DataFrame) -> DataFrame:
-    """(word, size, prefix, last, pivots) of words (word) with four code points or more; last is the place in the order where the prefix ends."""
+    """(word, size, letters, prefix, last, pivots) of words (word) with four code points or more; last is the place in the order where the prefix ends."""
     grams = words.select("word", F.length("word").alias("size"), F.posexplode(F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda i: F.substring("word", i, F.lit(2)))).alias("at", "gram"))
     freq = cut(grams.groupBy("gram").agg(F.count("*").alias("freq")), "gram-freq")
     placed = grams.join(bounded(freq), "gram").groupBy("word", "size").agg(F.sort_array(F.collect_list(F.struct("freq", "gram", "at"))).alias("grams"))
     last = order_of(F.col("grams")[PREFIX - 1])
     ended = placed.withColumn("last", last).withColumn("prefix", F.filter("grams", lambda x: order_of(x) <= F.col("last")))
-    return ended.select("word", "size", "last", "prefix", pivots(F.col("prefix")).alias("pivots"))
+    return ended.select("word", "size", letters(F.col("word")).alias("letters"), "last", "prefix", pivots(F.col("prefix")).alias("pivots"))
 
 
-def sides(x: Column, size: Column | int = 0) -> Column:
+def sides(x: Column) -> Column:
     """For a bigram x of word: its two entries (gram, side, rest), by the text before it and after it."""
     before, after = F.substring("word", F.lit(1), x["at"]), F.substring("word", x["at"] + 3, F.length("word"))
     return F.array(*(F.struct(x["gram"].alias("gram"), F.lit(k).alias("side"), rest.alias("rest")) for k, rest in enumerate((before, after))))
@@ -98,10 +103,11 @@ def sides(x: Column, size: Column | int = 0) -> Column:
 
 def candidates(signed: DataFrame) -> DataFrame:
     """(word, other): pairs of words of which one has a pivot in the other's prefix at a place that one edit allows; a pair comes up to a few times."""
-    index = signed.select(F.col("word").alias("other"), F.col("last").alias("other_last"), F.col("size").alias("other_size"), F.inline(F.flatten(F.transform("prefix", sides))))
-    asked = signed.select("word", "last", "size", F.inline(F.flatten(F.transform("pivots", sides))))
+    index = signed.select(F.col("word").alias("other"), F.col("last").alias("other_last"), F.col("size").alias("other_size"), F.col("letters").alias("other_letters"), F.inline(F.flatten(F.transform("prefix", sides))))
+    asked = signed.select("word", "last", "size", "letters", F.inline(F.flatten(F.transform("pivots", sides))))
     asked = asked.withColumn("other_size", F.explode(F.array(F.col("size") - 1, F.col("size"), F.col("size") + 1)))
-    met = asked.join(index, ["gram", "side", "rest", "other_size"]).where((F.col("last") <= F.col("other_last")) & (F.col("word") != F.col("other")))
+    alike = F.bit_count(F.col("letters").bitwiseXOR(F.col("other_letters"))) <= 2  # before the words themselves are looked at
+    met = asked.join(index, ["gram", "side", "rest", "other_size"]).where(alike & (F.col("last") <= F.col("other_last")) & (F.col("word") != F.col("other")))
     return met.select("word", "other")
 
 
