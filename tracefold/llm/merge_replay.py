@@ -20,6 +20,7 @@ import base64
 import heapq
 from array import array
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -31,15 +32,34 @@ from pyspark.sql import types as T
 from .bpe import MAX_TOKENIZER_BYTES, RARE_SPACE, WHITE, WHITE_BYTE, bytes_of, replaced
 
 #: Bytes of text whose words are replayed together.
-SLICE_BYTES = 24 << 20
+SLICE_BYTES = 12 << 20
 #: Bits of a token id in the key of a pair.
 ID_BITS = 24
+#: Rows that are given on together.
+ROWS = 300
+NONE = np.zeros(0, np.int32)
 #: Places from which a merge is applied to all of them at once, as arrays.
 MANY = 100
 #: A run of white space and what follows it; only for texts with rare white space.
 FRAGMENT = regex.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 
 
+@dataclass
+class Replayed:
+    """The ids of distinct fragments one after the other, how many each has, the fragments of all texts by number, and where those of each text begin."""
+
+    ids: np.ndarray
+    sizes: np.ndarray
+    number: np.ndarray
+    bounds: np.ndarray
+
+    def of_texts(self, first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the texts from first up to last one after the other, and how many each has."""
+        bounds = self.bounds[first : last + 1]
+        number = self.number[bounds[0] : bounds[-1]]
+        return gathered(self.ids, self.sizes, number), summed(self.sizes[number], np.diff(bounds))
+
+
 class Merges:
     """The tokens of a rank file: lines of a token in base64 and its rank, which is its id."""
 
@@ -94,16 +114,18 @@ class Merges:
         held = np.flatnonzero(rank >= 0)
         held = held[np.argsort(rank[held], kind="stable")]
         cuts = np.flatnonzero(np.diff(rank[held], prepend=-1))
-        index = {int(r): p.tolist() for r, p in zip(rank[held][cuts], np.split(held, cuts[1:]), strict=True)} if len(held) else {}
+        at_first = {int(r): p.astype(np.int32) for r, p in zip(rank[held][cuts], np.split(held, cuts[1:]), strict=True)} if len(held) else {}
+        index: dict[int, list[int]] = {r: [] for r in at_first}
         waiting, late = list(index), []  # ascending, so a heap
+        del number, first, last, rank, held, cuts
         while waiting:
             now = heapq.heappop(waiting)
-            places = sorted(index.pop(now))
-            if len(places) >= MANY:
-                found = self._merge_all(now, np.array(places), *all_of)
+            places, before_any = index.pop(now), at_first.pop(now, NONE)
+            if len(places) + len(before_any) >= MANY:
+                found = self._merge_all(now, np.sort(np.concatenate([before_any, np.array(places, np.int32)])), *all_of)
             else:
                 found = []
-                for i in places:
+                for i in sorted(places + before_any.tolist()):
                     j = after[i]
                     if j < 0 or symbol[i] < 0 or made.get(symbol[i] << ID_BITS | symbol[j]) != now:
                         continue  # the place has gone with another merge
@@ -177,19 +199,23 @@ class Merges:
         out[own], out[~own] = whole[whole >= 0], ids
         return out, sizes
 
-    def encode_array(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts one after the other (32-bit), and how many each text has; null counts as empty."""
-        texts = texts.cast(pa.string()).fill_null("")
+    def replayed(self, texts: pa.StringArray) -> Replayed:
+        """The ids of the distinct fragments of all texts (without nulls), and which fragments each text has."""
         fragments, counts = cut_up(texts)
-        distinct, number = fragments.dictionary, fragments.indices.to_numpy(zero_copy_only=False)
-        split = list(map(self.pattern.findall, distinct.to_pylist()))
+        split = list(map(self.pattern.findall, fragments.dictionary.to_pylist()))
         words: dict[str, int] = {}
-        of_fragment = np.array([words.setdefault(w, len(words)) for own in split for w in own], np.int64)
+        of_fragment = np.array([words.setdefault(w, len(words)) for own in split for w in own], np.int32)
         per_fragment = np.fromiter(map(len, split), np.int64, len(split))
         del split
-        ids, sizes = self.words_encoded([w.encode() for w in words])
-        ids, sizes_of_fragment = gathered(ids.astype(np.int32), sizes, of_fragment), summed(sizes[of_fragment], per_fragment)
-        return gathered(ids, sizes_of_fragment, number), summed(sizes_of_fragment[number], counts)
+        encoded = [w.encode() for w in words]
+        del words
+        ids, sizes = self.words_encoded(encoded)
+        number = fragments.indices.to_numpy(zero_copy_only=False)
+        return Replayed(gathered(ids.astype(np.int32), sizes, of_fragment), summed(sizes[of_fragment], per_fragment), number, np.concatenate([[0], np.cumsum(counts)]))
+
+    def encode_array(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other (32-bit), and how many each text has; null counts as empty."""
+        return self.replayed(texts.cast(pa.string()).fill_null("")).of_texts(0, len(texts))
 
     def decode_array(self, ids: np.ndarray, counts: np.ndarray) -> pa.Array:
         """The bytes of each part of ids."""
@@ -278,13 +304,12 @@ def encode(df: DataFrame, ranks: Ranks, text: str = "text", ids: str = "ids") ->
         merges = ranks.get()
         for table in in_slices(batches, text, SLICE_BYTES):
             batch = table.combine_chunks().to_batches()[0]
-            own, counts = merges.encode_array(batch.column(text))
-            offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-            whole = replaced(batch, ids, pa.ListArray.from_arrays(pa.array(offsets), pa.array(own)))
-            del own, table, batch
-            for k in range(0, whole.num_rows, 500):
-                yield whole.slice(k, 500)
-            del whole
+            slice_ = merges.replayed(batch.column(text).cast(pa.string()).fill_null(""))
+            for k in range(0, batch.num_rows, ROWS):
+                part = batch.slice(k, ROWS)
+                own, counts = slice_.of_texts(k, k + part.num_rows)
+                yield replaced(part, ids, pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(own)))
+            del table, batch, slice_, part, own
             pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
@@ -297,8 +322,8 @@ def decode(df: DataFrame, ranks: Ranks, ids: str = "ids", decoded: str = "decode
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merges = ranks.get()
         for batch in batches:
-            for k in range(0, batch.num_rows, 500):
-                part = batch.slice(k, 500)
+            for k in range(0, batch.num_rows, ROWS):
+                part = batch.slice(k, ROWS)
                 own = part.column(ids)
                 counts = pc.list_value_length(own).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
                 yield replaced(part, decoded, merges.decode_array(own.flatten().to_numpy(zero_copy_only=False), counts))
