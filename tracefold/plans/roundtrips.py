@@ -18,6 +18,7 @@ from ..operators import filters as L
 from ..operators import joins as J
 from ..operators import windows as W
 from ..sources import captures as S
+from ..sources import ranges
 from ..sources import tables as K
 from ..sources.scratch import scratch_path
 from ..streaming import captures as R
@@ -87,6 +88,25 @@ def stream_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(spark.read.schema(stream.schema).parquet(out))
 
 
+@query(f"SELECT {FRAMES_SQL}, CAST(octet_length(encode(props)) AS INTEGER) AS length, 9 AS client_build, '3.1' AS layout FROM events")
+def read_captures_in_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captures indexed by where their frames begin and read by several tasks a file."""
+    path, index = scratch_path(spark, "captures"), scratch_path(spark, "frame-index")
+    S.write_captures(frames(spark, sf_dir).coalesce(2), path, build=9)
+    ranges.write_index(spark, [path], index, range_bytes=1 << 18)
+    return shown(ranges.read_ranges(spark, index))
+
+
+@query(f"SELECT {FRAMES_SQL}, CAST(octet_length(encode(props)) AS INTEGER) AS length, 8 AS client_build, '3.1' AS layout FROM events")
+def stream_growing_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captures read as a stream by file and frame, in triggers of a few ranges."""
+    path, out = scratch_path(spark, "captures"), scratch_path(spark, "loaded")
+    S.write_captures(frames(spark, sf_dir), path, build=8)
+    stream = ranges.stream_frames(spark, path, range_bytes=1 << 18)
+    stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch_path(spark, "state")).trigger(availableNow=True).start().awaitTermination()
+    return shown(spark.read.schema(stream.schema).parquet(out))
+
+
 # --- tables (S05, S06, S08, S09) ---
 
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceStreamReader, WriterCommitMessage
 from pyspark.sql.types import StructType
 
 SCHEMA = "capture_id string, file_name string, number int, ts timestamp, direction string, opcode int, conn_idx int, length int, payload binary, layout string, sniffer_id int, client_build int, client_locale string, header_start timestamp, endpoint string, comment string, overrides array<struct<guid_low:bigint,guid_high:bigint,phase:int>>, utc_offset_seconds int"
@@ -119,7 +119,7 @@ def frames_of(data: bytes, h: Header) -> Iterator[tuple]:
     at, end = h.at, len(data)
     try:
         while at < end:
-            conn, endpoint, comment, overrides = 0, None, None, None
+            begin, conn, endpoint, comment, overrides = at, 0, None, None, None
             if h.layout in ("2.1", "2.2"):
                 mark, sec, _, n = struct.unpack_from("<Biii", data, at)
                 at, direction = at + 13, "ServerToClient" if mark == 0xFF else "ClientToServer"
@@ -144,7 +144,7 @@ def frames_of(data: bytes, h: Header) -> Iterator[tuple]:
             else:
                 opcode, n, mark, sec = struct.unpack_from("<HiBq", data, at)
                 ts, direction, body, at = EPOCH + timedelta(seconds=sec), BY_CODE[mark & 3], data[at + 15 : at + 15 + n], at + 15 + n
-            if at > end:
+            if at > end or at <= begin:
                 return
             yield ts, direction, opcode, conn, body, endpoint, comment, overrides
     except struct.error:
@@ -227,7 +227,10 @@ class CaptureWriter(DataSourceArrowWriter):
 
 
 class CaptureSource(DataSource):
-    """format('capture') for writing: options path (a folder that all executors see), build and locale."""
+    """format('capture'). For writing: options path (a folder that all executors see), build and locale.
+
+    For reading: index (a folder that ranges.write_index() wrote). As a stream: path (a folder), range_bytes, trigger_bytes.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -239,6 +242,16 @@ class CaptureSource(DataSource):
     def writer(self, schema: StructType, overwrite: bool) -> DataSourceArrowWriter:
         return CaptureWriter(self.options, overwrite)
 
+    def reader(self, schema: StructType) -> DataSourceReader:
+        from .ranges import RangeReader
+
+        return RangeReader(self.options)
+
+    def streamReader(self, schema: StructType) -> DataSourceStreamReader:
+        from .ranges import GrowingReader
+
+        return GrowingReader(self.options)
+
 
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(CaptureSource)
@@ -255,13 +268,19 @@ def read_captures(spark: SparkSession, path: str) -> DataFrame:
     return read_many(spark, path.split(","))
 
 
-def read_many(spark: SparkSession, paths: list[str]) -> DataFrame:
+def listed(spark: SparkSession, paths: list[str]) -> list[str]:
+    """The files that files, folders and patterns name, as Spark's readers take them; of folders those that end in .pkt and .bin."""
     hadoop, jvm, found = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm, []
     for path in paths:
         where = jvm.org.apache.hadoop.fs.Path(path)
         for status in where.getFileSystem(hadoop).globStatus(where) or []:
             found += [f"{status.getPath()}/*.{x}" for x in ("pkt", "bin")] if status.isDirectory() else [status.getPath().toString()]
-    files = [x for x in found if not x.endswith(("*.pkt", "*.bin")) or jvm.org.apache.hadoop.fs.Path(x).getFileSystem(hadoop).globStatus(jvm.org.apache.hadoop.fs.Path(x))]
+    return [x for x in found if not x.endswith(("*.pkt", "*.bin")) or jvm.org.apache.hadoop.fs.Path(x).getFileSystem(hadoop).globStatus(jvm.org.apache.hadoop.fs.Path(x))]
+
+
+def read_many(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """read_captures() of several paths. A file is one task's; ranges.read_ranges() reads large ones by several."""
+    files = listed(spark, paths)
     if not files:
         return spark.createDataFrame([], SCHEMA)
     return spark.read.format("binaryFile").load(files).select("path", "content").mapInArrow(decoded, SCHEMA)
