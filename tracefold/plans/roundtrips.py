@@ -22,6 +22,7 @@ from ..sources import ranges
 from ..sources import tables as K
 from ..sources.scratch import scratch_path
 from ..streaming import captures as R
+from ..streaming import first_seen
 from .queries import HALF_DAY_MS, ORACLE_SQL, PART, PART_SQL, events, part_snapshots, query, sessions, table
 from .registry import Registry, on_records
 
@@ -257,6 +258,18 @@ def stream_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drained(spark, R.stream_first_seen(as_stream(spark, rows, "seen"), ["capture_id", "kind"])).select(F.col("capture_id").alias("user_id"), F.col("kind").alias("event_type"))
 
 
+@query("SELECT user_id, event_type, arg_min(event_id, struct_pack(a := ts, b := event_id)) AS event_id, arg_max(event_id % 8, struct_pack(a := ts, b := event_id)) FILTER (event_id % 3 <> 0) AS phase FROM events GROUP BY 1, 2")
+def stream_first_seen_with_phase(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first event of each user and kind; its phase follows the later ones that have one. Rows come in no order."""
+    phase = F.when(F.col("number") % 3 != 0, F.col("number") % 8)
+    rows = events(spark, sf_dir).select("capture_id", "kind", "ts", F.col("number").cast("long").alias("number"), phase.cast("long").alias("phase")).repartition(6, "number")
+    stream, out = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(written(spark, rows, "sightings")), scratch_path(spark, "seen")
+    updates = first_seen.stream_first_seen_with_phase(stream, ["capture_id", "kind"])
+    updates.writeStream.outputMode("update").foreachBatch(lambda df, _: df.write.mode("append").parquet(out)).option("checkpointLocation", scratch_path(spark, "state")).trigger(availableNow=True).start().awaitTermination()
+    last = first_seen.newest(spark.read.schema(updates.schema).parquet(out), ["capture_id", "kind"])
+    return last.select(F.col("capture_id").alias("user_id"), F.col("kind").alias("event_type"), F.col("number").alias("event_id"), "phase")
+
+
 @query(ORACLE_SQL["link_request_response"])
 def stream_link(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The links of link_request_response, by state."""
