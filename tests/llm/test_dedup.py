@@ -216,6 +216,38 @@ def test_similar_texts_are_found_whatever_their_fingerprints(spark, docs):
     assert all(component[i] == component[c] for i, c in by_id.items() if i is not None)  # nothing else is linked
 
 
+def test_filler_links_nothing(spark, docs):
+    """Unlike texts that share a filler: it decided all bits of their fingerprints when repeats counted."""
+    rng = random.Random(11)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(1000)) + " " + "= " * n for n in (150, 150, 150, 250, 250, 400)]
+    texts += [texts[0].replace(" ", "  "), texts[3] + " end"]
+    got = {r.doc_id: r.component_id for r in simhash.near_groups(docs(list(enumerate(texts))), width=5, similar=0.8).collect()}
+    assert got == {0: 0, 1: 1, 2: 2, 3: 3, 4: 4, 5: 5, 6: 0, 7: 3}
+    assert len({r.fingerprint for r in simhash.near_groups(docs(list(enumerate(texts[:3])))).collect()}) == 1  # with repeats, as op4 is asked to
+
+
+def test_texts_of_one_fingerprint_are_told_apart(spark):
+    rng = random.Random(12)
+    kinds = [[f"k{c}w{rng.randrange(10**5)}" for _ in range(80)] for c in range(4)]
+    texts = [" ".join(edited(kinds[k % 4], 0.004 * (k // 4), rng)) for k in range(40)]
+    texts[5] = texts[1]
+    sets = [simhash.shingle_set(t, 5) for t in texts]
+    digest = [int(np.uint64(simhash.xxhash.xxh64_intdigest(x.tobytes(), 42)).view(np.int64)) for x in sets]
+    rows = spark.createDataFrame([(100 + k, 7, k, digest[k]) for k in range(40)], "doc_id long, fp long, row long, digest long")
+    other = spark.createDataFrame([(900, 8, 90, 5)], rows.schema)
+    df = spark.createDataFrame(list(enumerate(texts)), "row long, text string")
+    out = simhash.told_apart(rows.unionByName(other), df, 5, 0.8).collect()
+    node = {r.digest: r.node for r in out}
+    assert len(out) == len(set(digest)) + 1 and node[5] == 8 and node[digest[0]] == 7
+    heads: dict = {}
+    for k in range(40):  # the first of each node, and what is near enough to it
+        heads.setdefault(node[digest[k]], k)
+        h = heads[node[digest[k]]]
+        both = len(np.intersect1d(sets[h], sets[k]))
+        assert both >= 0.8 * (len(sets[h]) + len(sets[k]) - both)
+    assert len(heads) >= 4 and all(k % 4 == heads[node[digest[k]]] % 4 for k in range(40))
+
+
 def test_hot_bands_are_dealt_again(spark):
     rng = np.random.default_rng(3)
     fp = np.unique(rng.integers(0, 2**62, dtype=np.uint64) ^ (np.uint64(1) << rng.integers(0, 64, 900, dtype=np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, 900, dtype=np.uint64)))

@@ -34,7 +34,7 @@ from __future__ import annotations
 
 import functools
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -90,10 +90,20 @@ def counted(h: np.ndarray) -> np.ndarray:
     return sum(np.add.reduce(bits[k : k + 255], axis=0).view(np.uint8).astype(np.int64) for k in range(0, len(h), 255))  # eight counts side by side in a word
 
 
+def shingle_set(text: str | None, width: int) -> np.ndarray:
+    """The distinct shingles of a text, by their hashes, ascending."""
+    return np.unique(np.concatenate([*shingles(text, width), np.zeros(0, np.uint64)]))
+
+
 def sketch(text: str | None, width: int = SHINGLE, words: int = 1) -> np.ndarray:
-    """64 * words SimHash bits of a text, as words; the first is made of the hashes themselves. Without a word all are zero."""
+    """64 * words SimHash bits of a text, repeats included, as words; the first is made of the hashes themselves. Without a word all are zero."""
+    return sketch_of(shingles(text, width), words)
+
+
+def sketch_of(hashes: Iterable[np.ndarray], words: int) -> np.ndarray:
+    """64 * words SimHash bits of all hashes, as words."""
     count, n = 0, 0
-    for h in shingles(text, width):
+    for h in hashes:
         own = [h]
         for k in range(1, words):
             x = (h ^ np.uint64(k)) * FACTORS[0]
@@ -120,18 +130,32 @@ def band_bits(bits: int, bands: int, words: int) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, text: str = "text", width: int = SHINGLE, row: str | None = None, bits: int = 0, bands: int = 0) -> DataFrame:
-    """doc_id and fp (the fingerprint as a signed long) of each row of docs, `row` from the column of that name given, and with bands their keys (array)."""
+    """doc_id and fp (the fingerprint as a signed long) of each row of docs, `row` from the column of that name given.
+
+    With bands, bits are made of the set of shingles, without repeats, as it is
+    sets that are compared: a word that fills a text would decide all bits. Then
+    there are a digest of the set and the bands' keys (array) too.
+    """
     more = [] if row is None else [T.StructField("row", T.LongType())]
-    keyed = [T.StructField("keys", T.ArrayType(T.LongType()))] if bands else []
+    keyed = [T.StructField("digest", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType()))] if bands else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         where, weigh = (band_bits(bits, bands, WORDS), np.uint64(1) << np.arange(bits, dtype=np.uint64)) if bands else (None, None)
         for batch in slices(batches):
-            own = np.array([sketch(x, width, WORDS if bands else 1) for x in batch.column(1).to_pylist()], np.uint64).reshape(batch.num_rows, -1)
+            texts, digests = batch.column(1).to_pylist(), []
+            if bands:
+                own = np.zeros((batch.num_rows, WORDS), np.uint64)
+                for k, text_ in enumerate(texts):
+                    h = shingle_set(text_, width)
+                    own[k] = sketch_of((h[i : i + HASHED] for i in range(0, len(h), HASHED)), WORDS)
+                    digests.append(xxhash.xxh64_intdigest(h.tobytes(), 42))
+            else:
+                own = np.array([sketch(x, width) for x in texts], np.uint64).reshape(batch.num_rows, -1)
             columns = [batch.column(0), pa.array(own[:, 0].view(np.int64)), *batch.columns[2:]]
             if bands:
                 flat = np.unpackbits(own.astype(">u8").view(np.uint8).reshape(len(own), -1), axis=1)
                 key = (flat[:, where].astype(np.uint64) * weigh).sum(axis=2, dtype=np.uint64) | np.arange(bands, dtype=np.uint64) << np.uint64(bits)
+                columns.append(pa.array(np.array(digests, np.uint64).view(np.int64)))
                 columns.append(pa.ListArray.from_arrays(pa.array(np.arange(len(own) + 1, dtype=np.int32) * bands), pa.array(key.ravel().view(np.int64))))
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fp", *(f.name for f in more + keyed)])
 
@@ -228,11 +252,11 @@ def spanning(n: int, a: np.ndarray, b: np.ndarray, d: np.ndarray) -> np.ndarray:
 
 
 def edges_of(batches: Iterator[pa.RecordBatch], distance: int, all_of: int = 0) -> Iterator[pa.RecordBatch]:
-    """Rows (way, block, fp) that come group by group (way and block), as edges (a, b, d) of each group's forest; all links of groups of all_of members at most."""
-    left = tuple(np.zeros(0, np.int64) for _ in range(3))
+    """Rows (way, block, fp, node) that come group by group (way and block), as edges (a, b, d) between nodes of each group's forest; all links of groups of all_of members at most."""
+    left = tuple(np.zeros(0, np.int64) for _ in range(4))
     for batch in ended(batches):
-        own = left if batch is None else tuple(np.concatenate([x, batch.column(c).to_numpy().astype(np.int64)]) for x, c in zip(left, ("way", "block", "fp"), strict=True))
-        way, block, fp = own
+        own = left if batch is None else tuple(np.concatenate([x, batch.column(c).to_numpy().astype(np.int64)]) for x, c in zip(left, ("way", "block", "fp", "node" if batch.num_columns > 3 else "fp"), strict=True))
+        way, block, fp, node = own
         changes = np.concatenate([way[:1] == way[:1], (way[1:] != way[:-1]) | (block[1:] != block[:-1])])
         starts = np.flatnonzero(changes)
         done = len(fp) if batch is None else int(starts[-1]) if len(starts) else 0  # the last group may go on
@@ -240,7 +264,7 @@ def edges_of(batches: Iterator[pa.RecordBatch], distance: int, all_of: int = 0)
             left = own
             continue
         left = tuple(x[done:] for x in own)
-        out = [(np.zeros(0, np.uint64),) * 2]
+        out = [(np.zeros(0, np.int64),) * 3]
         cuts = np.unique(starts[np.searchsorted(starts, np.arange(0, done, RUN)).clip(max=len(starts) - 1)]).tolist() if done else []
         for s, e in zip(cuts, [*cuts[1:], done], strict=False):
             if s >= e:
@@ -251,9 +275,9 @@ def edges_of(batches: Iterator[pa.RecordBatch], distance: int, all_of: int = 0)
             small = np.bincount(group)[group[x]] <= all_of
             more = np.flatnonzero(~small)
             use = np.concatenate([np.flatnonzero(small), more[spanning(e - s, x[more], y[more], d[more])]])
-            out.append((keys[x[use]], keys[y[use]]))
-        a, b = (np.concatenate(c) for c in zip(*out, strict=True))
-        yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(np.bitwise_count(a ^ b).astype(np.int32))], names=["a", "b", "d"])
+            out.append((node[s:e][x[use]], node[s:e][y[use]], d[use].astype(np.int64)))
+        a, b, d = (np.concatenate(c) for c in zip(*out, strict=True))
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(d.astype(np.int32))], names=["a", "b", "d"])
 
 
 def ended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
@@ -272,15 +296,16 @@ def signed(x: int) -> int:
 
 
 def near_edges(fps: DataFrame, distance: int = DISTANCE, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """Edges (a, b, d) that connect the distinct fingerprints fps (fp) exactly as all links within distance do."""
+    """Edges (a, b, d) that connect the distinct fingerprints fps (fp) exactly as all links within distance do; with a column node, those of the nodes that have them."""
+    more = [c for c in fps.columns if c == "node"]
     n, free, must, level = distance + 1, [(1 << 64) - 1], [0], 0
-    rows, out = fps.select("fp", F.lit(0).alias("path")), []
+    rows, out = fps.select("fp", *more, F.lit(0).alias("path")), []
     while True:
         must = [m | b for m, f in zip(must, free, strict=True) for b in blocks_of(f, n)]
         free = [f & ~b for f in free for b in blocks_of(f, n)]
         agree = F.array(*(F.lit(signed(m)) for m in must))
         ways = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda k: F.col("path") * n + k)
-        dealt = rows.select("fp", F.explode(ways).alias("way")).withColumn("block", gray(F.col("fp").bitwiseAND(F.get(agree, "way"))))
+        dealt = rows.select("fp", *more, F.explode(ways).alias("way")).withColumn("block", gray(F.col("fp").bitwiseAND(F.get(agree, "way"))))
         last = max(f.bit_count() for f in free) <= LAST_BITS
         hot = None if last else cut(dealt.groupBy("way", "block").agg(F.count("*").alias("n")).where(F.col("n") > group_rows).select("way", "block"), "simhash-hot")
         full = hot is not None and hot.limit(1).count() > 0
@@ -288,12 +313,12 @@ def near_edges(fps: DataFrame, distance: int = DISTANCE, group_rows: int = GROUP
         out.append(tree_edges(cold, distance))
         if not full:
             return functools.reduce(DataFrame.unionAll, out)
-        rows, level = cut(dealt.join(bounded(hot), ["way", "block"], "left_semi").select("fp", F.col("way").alias("path")), "simhash-again"), level + 1
+        rows, level = cut(dealt.join(bounded(hot), ["way", "block"], "left_semi").select("fp", *more, F.col("way").alias("path")), "simhash-again"), level + 1
 
 
 def tree_edges(dealt: DataFrame, distance: int, all_of: int = 0) -> DataFrame:
-    """Edges of the groups (way, block) of dealt (way, block, fp): ranges of the order by group and Gray rank, a tree over each run."""
-    ordered = dealt.select("way", "block", "fp").repartitionByRange("way", "block").sortWithinPartitions("way", "block", gray(F.col("fp")))
+    """Edges of the groups (way, block) of dealt (way, block, fp, perhaps node): ranges of the order by group and Gray rank, a tree over each run."""
+    ordered = dealt.select("way", "block", "fp", *(c for c in dealt.columns if c == "node")).repartitionByRange("way", "block").sortWithinPartitions("way", "block", gray(F.col("fp")))
     return cut(ordered.mapInArrow(lambda it: edges_of(it, distance, all_of), "a long, b long, d int"), "simhash-edges")
 
 
@@ -309,13 +334,13 @@ def bands_for(rows: int, similar: float) -> tuple[int, int]:
 
 
 def band_edges(dealt: DataFrame, similar: float, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """Edges (a, b, d) of fingerprints that meet in a band's group: dealt (way, block, fp).
+    """Edges (a, b, d) of nodes that meet in a band's group: dealt (way, block, fp, perhaps node).
 
     A group of more than group_rows members is dealt again by eight more bits, in
     as many ways as keep the number of meetings of a pair at the similarity; after
     all 64 bits a group has one member.
     """
-    p, out = differing(similar), []
+    p, out, more = differing(similar), [], [c for c in dealt.columns if c == "node"]
     distance, ways = int(64 * p + SPARE * math.sqrt(64 * p * (1 - p))), math.ceil((1 - p) ** -8)
     for level in range(9):
         hot = cut(dealt.groupBy("way", "block").agg(F.count("*").alias("n")).where(F.col("n") > group_rows).select("way", "block"), "simhash-hot")
@@ -324,13 +349,13 @@ def band_edges(dealt: DataFrame, similar: float, group_rows: int = GROUP_ROWS) -
         if not full:
             break
         masks = F.array(*(F.lit(signed(sum(1 << int(k) for k in np.random.default_rng(r).permutation(64)[8 * level : 8 * level + 8]))) for r in range(ways)))
-        again = dealt.join(bounded(hot), ["way", "block"], "left_semi").select("way", "block", "fp", F.posexplode(masks).alias("k", "mask"))
-        dealt = cut(again.select((F.col("way") * ways + F.col("k")).alias("way"), F.xxhash64("block", F.col("fp").bitwiseAND(F.col("mask"))).alias("block"), "fp"), "simhash-again")
+        again = dealt.join(bounded(hot), ["way", "block"], "left_semi").select("way", "block", "fp", *more, F.posexplode(masks).alias("k", "mask"))
+        dealt = cut(again.select((F.col("way") * ways + F.col("k")).alias("way"), F.xxhash64("block", F.col("fp").bitwiseAND(F.col("mask"))).alias("block"), "fp", *more), "simhash-again")
     return functools.reduce(DataFrame.unionAll, out)
 
 
 def similar_edges(edges: DataFrame, heads: DataFrame, texts: DataFrame, width: int, similar: float) -> DataFrame:
-    """The edges (a, b) whose shingle sets have a Jaccard similarity of similar or more. heads: (fp, row), one for each fp; texts: (row, text).
+    """The edges (a, b) whose shingle sets have a Jaccard similarity of similar or more. heads: (node, row), one for each node; texts: (row, text).
 
     Only the texts that some edge ends in are read again.
     """
@@ -338,8 +363,8 @@ def similar_edges(edges: DataFrame, heads: DataFrame, texts: DataFrame, width: i
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            own = [np.unique(np.concatenate([*shingles(x, width), np.zeros(0, np.uint64)])).tobytes() for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.binary())], names=["fp", "shingles"])
+            own = [shingle_set(x, width).tobytes() for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.binary())], names=["node", "shingles"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -350,8 +375,8 @@ def similar_edges(edges: DataFrame, heads: DataFrame, texts: DataFrame, width: i
                 ok.append(both >= similar * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    ends = cut(edges.select(F.explode(F.array("a", "b")).alias("fp")).distinct().join(heads, "fp"), "simhash-ends")
-    own = cut(texts.join(bounded(ends), "row").select("fp", "text").mapInArrow(sets, "fp long, shingles binary"), "simhash-sets")
+    ends = cut(edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(heads, "node"), "simhash-ends")
+    own = cut(texts.join(bounded(ends), "row").select("node", "text").mapInArrow(sets, "node long, shingles binary"), "simhash-sets")
     joined = edges.join(own.toDF("a", "x"), "a").join(own.toDF("b", "y"), "b").select("a", "b", "x", "y")
     return cut(joined.mapInArrow(compare, "a long, b long"), "simhash-similar")
 
@@ -384,9 +409,9 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def confirmed(edges: DataFrame, heads: DataFrame, texts: DataFrame, width: int, similar: float) -> DataFrame:
-    """Edges (a, b) that connect fingerprints as all edges (a, b, d) do whose texts are similar enough.
+    """Edges (a, b) that connect nodes as all edges (a, b, d) do whose texts are similar enough.
 
-    Of each fingerprint the closest edge is held against the texts first; then
+    Of each node the closest edge is held against the texts first; then
     all others, but those whose ends are connected by then.
     """
     pairs = cut(edges.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.min("d").alias("d")), "simhash-candidates")
@@ -399,6 +424,27 @@ def confirmed(edges: DataFrame, heads: DataFrame, texts: DataFrame, width: int,
     return first.unionByName(similar_edges(others, heads, texts, width, similar))
 
 
+def told_apart(rows: DataFrame, texts: DataFrame, width: int, similar: float) -> DataFrame:
+    """(fp, digest, node, first) for each distinct set of shingles of rows (doc_id, fp, row, digest): texts of one fingerprint share a node only if they are similar.
+
+    The first set of a fingerprint is its node; the others are held against it.
+    Those that aren't similar choose a first one among themselves, round by round.
+    """
+    first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
+    units = cut(rows.groupBy("fp", "digest").agg(F.min(first).alias("first")), "simhash-units")
+    several = cut(units.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp"), "simhash-several")
+    single = units.join(bounded(several), "fp", "left_anti").select("fp", "digest", F.col("fp").alias("node"), "first")
+    open_, out, named = cut(units.join(bounded(several), "fp", "left_semi").withColumn("unit", F.xxhash64("fp", "digest")), "simhash-open"), [single], F.col("fp")
+    while open_.limit(1).count():
+        heads = open_.groupBy("fp").agg(F.min_by(F.struct("unit", "first"), "first").alias("head")).select("fp", F.col("head.unit").alias("head"))
+        paired = cut(open_.join(heads, "fp"), "simhash-paired")
+        alike = similar_edges(paired.where("unit <> head").select(F.col("unit").alias("a"), F.col("head").alias("b")), paired.select(F.col("unit").alias("node"), F.col("first.row").alias("row")), texts, width, similar)
+        judged = cut(paired.join(alike.select(F.col("a").alias("unit"), F.lit(True).alias("same")), "unit", "left").withColumn("same", F.col("same").isNotNull() | (F.col("unit") == F.col("head"))), "simhash-judged")
+        out.append(judged.where("same").select("fp", "digest", (named if named is not None else F.col("head")).alias("node"), "first"))
+        open_, named = judged.where("not same").select(*open_.columns), None
+    return cut(functools.reduce(DataFrame.unionAll, out), "simhash-nodes")
+
+
 def near_groups(docs: DataFrame, text: str = "text", width: int = SHINGLE, distance: int = DISTANCE, group_rows: int = GROUP_ROWS, row: str | None = None, similar: float | None = None) -> DataFrame:
     """One row per row of docs: doc_id, fingerprint (16 lowercase hex digits), component_id, kept.
 
@@ -413,7 +459,8 @@ def near_groups(docs: DataFrame, text: str = "text", width: int = SHINGLE, dista
     With it, texts link whose sets of shingles have at least that Jaccard
     similarity, held against the texts themselves: first those within distance
     bits, then, between one text of each group so far, those that meet in a band
-    (at least RECALL of them). Texts of one fingerprint are linked unseen.
+    (at least RECALL of them). Texts of one fingerprint are held against the
+    first of them, too, unless their sets are the same.
 
     row: a column of docs with an id (long) for each row, in the order of the
     files; the verdicts have it as well.
@@ -425,21 +472,28 @@ def near_groups(docs: DataFrame, text: str = "text", width: int = SHINGLE, dista
     rows = fingerprints(docs, text, width, given, bits, bands)
     rows = cut(rows if given is not None else rows.withColumn("row", F.monotonically_increasing_id()), "simhash-rows")
     first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
-    fps = cut(rows.groupBy("fp").agg(F.min(first).alias("first")), "simhash-fps")
-    edges = near_edges(fps, distance, group_rows)
-    if similar is not None:
-        heads = fps.select("fp", F.col("first.row").alias("row"))
+    if similar is None:
+        key, nodes = ["fp"], cut(rows.groupBy("fp").agg(F.min(first).alias("first")), "simhash-fps")
+        edges = near_edges(nodes, distance, group_rows)
+        nodes = nodes.withColumn("node", F.col("fp"))
+    else:
         texts = docs.select(F.col(given).alias("row"), F.col(text).alias("text"))
-        edges = confirmed(edges, heads, texts, width, similar)
-        inner = components(edges).where("node != root").select(F.col("node").alias("fp"))
-        alone = heads.join(bounded(cut(inner, "simhash-inner")), "fp", "left_anti")
-        keyed = rows.select("row", "keys").join(alone, "row").select("fp", F.posexplode("keys").alias("way", "block")).withColumn("way", F.col("way").cast("long"))
+        key, nodes = ["fp", "digest"], told_apart(rows, texts, width, similar)
+        firsts = cut(nodes.groupBy("node", "fp").agg(F.min("first").alias("first")), "simhash-fps")
+        heads = firsts.select("node", F.col("first.row").alias("row"))
+        edges = confirmed(near_edges(firsts.select("fp", "node"), distance, group_rows), heads, texts, width, similar)
+        inner = components(edges).where("node != root").select("node")
+        alone = firsts.select("node", "fp", F.col("first.row").alias("row")).join(bounded(cut(inner, "simhash-inner")), "node", "left_anti")
+        keyed = rows.select("row", "keys").join(alone, "row").select("fp", "node", F.posexplode("keys").alias("way", "block")).withColumn("way", F.col("way").cast("long"))
         edges = edges.unionByName(confirmed(band_edges(keyed, similar, group_rows), heads, texts, width, similar))
-    roots = components(edges).toDF("fp", "root")
-    linked = fps.join(roots, "fp")
-    linked = linked.join(linked.groupBy("root").agg(F.min("first").alias("least")), "root").select("fp", "least")
-    heads = cut(fps.join(bounded(cut(linked, "simhash-linked")), "fp", "left").select("fp", F.coalesce("least", "first").alias("head")), "simhash-heads")
-    return rows.join(heads, "fp").select(
+    roots = cut(components(edges), "simhash-roots")
+    if similar is None:
+        grouped = nodes.join(roots, "node")
+    else:  # sets of one node are one group, linked further or not
+        grouped = nodes.join(bounded(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    linked = grouped.join(grouped.groupBy("root").agg(F.min("first").alias("least")), "root").select(*key, "least")
+    heads = cut(nodes.join(bounded(cut(linked, "simhash-linked")), key, "left").select(*key, F.coalesce("least", "first").alias("head")), "simhash-heads")
+    return rows.join(heads, key).select(
         "doc_id",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.col("head.doc_id").alias("component_id"),
