@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.scratch import scratch_path
-from .hot import numbered
+from .hot import HOT_ROWS, numbered
 from .dedupe import first_of
-from .joins import small
-from .windows import global_number
+from .joins import written
 
 OUTCOMES = ("success", "with_errors", "not_parsed", "no_structure")
 
+#: Buckets that values are counted in at a time, and rounds after which narrowing gives up.
+BUCKETS, MAX_ROUNDS = 4096, 400
 #: Keys that one row of grouped keys holds at most (fixed value: conditions of one statement).
 BATCH = 5000
 
@@ -35,24 +38,53 @@ def stats_line(stats: DataFrame) -> DataFrame:
     return stats.withColumn("line", F.concat(F.format_string("%d packets: ", F.col("calculated_total")), F.concat_ws(", ", *parts)))
 
 
-def exact_percentiles(df: DataFrame, key: list[str], p: float, values: dict[str, str]) -> DataFrame:
+def exact_percentiles(df: DataFrame, key: list[str], p: float, values: dict[str, str], hot_rows: int | None = None) -> DataFrame:
     """Per key: the interpolated percentile p of each column of values (column: name of its result), nulls left out.
 
-    The values of all keys are numbered in one order dealt by ranges, so a hot
-    key is spread over tasks; the two middle places of each key are picked by a
-    join. A key without values has no row. Results are those of F.percentile.
+    Keys of up to hot_rows rows are aggregated as they are. Of larger ones the two
+    middle values are found by narrowing: values are counted in BUCKETS buckets
+    between the smallest and the largest, the bucket that holds the wanted place
+    is cut in buckets again, until its values are one. Counts alone are shuffled,
+    nothing is sorted, and no task holds a key. Results are those of F.percentile;
+    a key without values has no row.
     """
-    key = list(key)
+    key, most = list(key), hot_rows or HOT_ROWS
+    results = list(values.values())
+    hot = written(df.groupBy(*key).agg(F.count("*").alias("__rows")).where(F.col("__rows") > most).withColumn("__id", F.monotonically_increasing_id()), "hot-percentiles")
+    whole = lambda rows: rows.groupBy(*key).agg(*(F.percentile(F.col(c).cast("double"), p).alias(out) for c, out in values.items())).where(F.coalesce(*results).isNotNull())
+    if not hot.limit(1).count():
+        return whole(df)
+    own = F.broadcast(hot.select("__id", *(F.col(k).alias(f"__hot{i}") for i, k in enumerate(key))))  # fewer rows than a total over `most`
+    same = functools.reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__hot{i}")) for i, k in enumerate(key)])
     each = F.array(*(F.struct(F.lit(out).alias("__of"), F.col(c).cast("double").alias("__v")) for c, out in values.items()))
-    rows = df.select(*key, F.inline(each)).where("__v is not null").withColumn("__tie", F.monotonically_increasing_id())  # equal values need not stay together
-    numbered = global_number(rows, [*key, "__of", "__v", "__tie"], "__n", scratch_path(df.sparkSession, "percentiles"))
-    place = (F.count("*") - 1) * F.lit(float(p))
-    places = numbered.groupBy(*key, "__of").agg(F.min("__n").alias("__first"), place.alias("__at"))
-    wanted = places.select("*", F.explode(F.array_distinct(F.array(F.col("__first") + F.floor("__at"), F.col("__first") + F.ceil("__at")))).alias("__n"))
-    picked = numbered.select("__n", "__v").join(small(wanted), "__n").groupBy(*key, "__of", "__at").agg(F.min("__v").alias("__low"), F.max("__v").alias("__high"))
+    rows = written(df.join(own, same).select("__id", F.inline(each)).where("__v is not null"), "hot-values")
+    found = narrowed(rows, ["__id", "__of"], p)
     between = (F.ceil("__at") - F.col("__at")) * F.col("__low") + (F.col("__at") - F.floor("__at")) * F.col("__high")
     result = F.when(F.col("__low") == F.col("__high"), F.col("__low")).otherwise(between)
-    return picked.groupBy(*key).agg(*(F.max(F.when(F.col("__of") == out, result)).alias(out) for out in values.values()))
+    large = found.groupBy("__id").agg(*(F.max(F.when(F.col("__of") == out, result)).alias(out) for out in results))
+    return whole(df.join(own, same, "left_anti")).unionByName(hot.join(large, "__id").select(*key, *results))
+
+
+def narrowed(rows: DataFrame, group: list[str], p: float, buckets: int = BUCKETS) -> DataFrame:
+    """(group, __at, __low, __high) of rows (group, __v): the place of the percentile p and the values around it, by counts in ever smaller buckets.
+
+    There are few groups. A round keeps the smallest and largest value of the
+    bucket that holds a place, so a far outlier costs one round.
+    """
+    first = rows.groupBy(*group).agg(((F.count("*") - 1) * F.lit(float(p))).alias("__at"), F.min("__v").alias("__from"), F.max("__v").alias("__to"))
+    places = F.explode(F.array_distinct(F.array(F.floor("__at"), F.ceil("__at")))).alias("__place")
+    state = written(first.select(*group, "__at", places, "__from", "__to", F.lit(0).cast("long").alias("__below")), "percentile-state")
+    for _ in range(MAX_ROUNDS):
+        open_ = state.where(F.col("__from") < F.col("__to"))
+        if not open_.limit(1).count():
+            return state.groupBy(*group, "__at").agg(F.min("__from").alias("__low"), F.max("__from").alias("__high"))
+        inside = rows.join(F.broadcast(open_), group).where((F.col("__v") >= F.col("__from")) & (F.col("__v") <= F.col("__to")))
+        share = (F.col("__v") / 2 - F.col("__from") / 2) / (F.col("__to") / 2 - F.col("__from") / 2)  # halves can't overflow
+        counts = inside.groupBy(*group, "__at", "__place", "__below", F.least(F.floor(share * buckets), F.lit(buckets - 1)).alias("__bucket")).agg(F.count("*").alias("__n"), F.min("__v").alias("__from"), F.max("__v").alias("__to"))
+        upto = F.col("__below") + F.sum("__n").over(Window.partitionBy(*group, "__place").orderBy("__bucket"))  # at most `buckets` rows
+        held = counts.withColumn("__upto", upto).where((F.col("__place") < F.col("__upto")) & (F.col("__place") >= F.col("__upto") - F.col("__n")))
+        state = written(state.where(F.col("__from") >= F.col("__to")).unionByName(held.select(*group, "__at", "__place", "__from", "__to", (F.col("__upto") - F.col("__n")).alias("__below"))), "percentile-state")
+    raise ValueError("values that can't be told apart by halving, such as NaN")
 
 
 def movement_summary(points: DataFrame, key: list[str] = ("capture_id", "guid")) -> DataFrame:

@@ -3,8 +3,9 @@
 A key of more than HOT_ROWS rows is cut into parts at quantiles of its order, so
 that no task sorts it whole. A window runs in each part; what it needs from the
 parts before (their last value, their number of rows) is one row for each part,
-brought together by key and joined back. Other keys have one part. The results
-are the same whatever the cuts.
+brought together by key and joined back: a scan in segments for last values,
+numbers, dense ranks and neighbours. Other keys have one part. The results are the
+same whatever the cuts.
 """
 
 from __future__ import annotations
@@ -72,17 +73,47 @@ def carried(df: DataFrame, key: list[str], order: list[str], value: Column, out:
     return rows.drop("__v", PART)
 
 
-def numbered(df: DataFrame, key: list[str], order: list[str], out: str, hot_rows: int | None = None) -> DataFrame:
-    """df with out: the place of each row in its key, from 0."""
+def numbered(df: DataFrame, key: list[str], order: list[str], out: str, hot_rows: int | None = None, last: str | None = None) -> DataFrame:
+    """df with out: the place of each row in its key, from 0; and last, where a name is given: whether it is the key's last row."""
     rows, several = parted(df, key, order[0], hot_rows)
-    rows = rows.withColumn(out, (F.row_number().over(Window.partitionBy(*key, PART).orderBy(*order)) - 1).cast("long"))
+    w = Window.partitionBy(*key, PART).orderBy(*order)
+    rows = rows.withColumn(out, (F.row_number().over(w) - 1).cast("long"))
+    rows = rows.withColumn(last, F.lead(F.lit(True)).over(w).isNull()) if last else rows
+    if several:
+        parts = Window.partitionBy(*key).orderBy(PART)
+        before = parts.rowsBetween(Window.unboundedPreceding, -1)
+        sizes = rows.groupBy(*key, PART).agg(F.count("*").alias("__n")).select(*key, PART, F.sum("__n").over(before).alias("__earlier"), F.lead(F.lit(True)).over(parts).isNull().alias("__final"))
+        rows = joined(rows, sizes.where("__earlier is not null or not __final"), key).withColumn(out, F.col(out) + F.coalesce("__earlier", F.lit(0)))
+        rows = (rows.withColumn(last, F.col(last) & F.coalesce("__final", F.lit(True))) if last else rows).drop("__earlier", "__final")
+    return rows.drop(PART)
+
+
+def ranked(df: DataFrame, key: list[str], order: str, out: str, hot_rows: int | None = None) -> DataFrame:
+    """df with out: how many smaller values of order the key has (its dense rank, from 0). Rows of one value lie in one part, so parts add up."""
+    rows, several = parted(df, key, order, hot_rows)
+    rows = rows.withColumn(out, F.dense_rank().over(Window.partitionBy(*key, PART).orderBy(order)) - 1)
     if several:
         before = Window.partitionBy(*key).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
-        sizes = rows.groupBy(*key, PART).agg(F.count("*").alias("__n")).withColumn("__earlier", F.sum("__n").over(before)).drop("__n").where("__earlier is not null")
-        rows = joined(rows, sizes, key).withColumn(out, F.col(out) + F.coalesce("__earlier", F.lit(0))).drop("__earlier")
+        sizes = rows.groupBy(*key, PART).agg((F.max(out) + 1).alias("__n")).withColumn("__earlier", F.sum("__n").over(before)).drop("__n").where("__earlier is not null")
+        rows = joined(rows, sizes, key).withColumn(out, (F.col(out) + F.coalesce("__earlier", F.lit(0))).cast("int")).drop("__earlier")
     return rows.drop(PART)
 
 
+def beside(df: DataFrame, key: list[str], order: list[str], values: dict[str, Column], ahead: bool = False, hot_rows: int | None = None) -> DataFrame:
+    """df with values of the row before each in its key's order (after it, if ahead), by the names given; null where there is none. order tells all rows of a key apart."""
+    rows, several = parted(df, key, order[0], hot_rows)
+    move, w = (F.lead if ahead else F.lag), Window.partitionBy(*key, PART).orderBy(*order)
+    if not several:
+        return rows.withColumns({out: move(c).over(w) for out, c in values.items()}).drop(PART)
+    rows = rows.withColumn("__own", F.struct(*(c.alias(out) for out, c in values.items())))
+    rows = rows.withColumn("__near", move("__own").over(w))
+    edge = (F.min_by if ahead else F.max_by)("__own", F.struct(*order))  # what the neighbouring part ends or begins with
+    ends = rows.groupBy(*key, PART).agg(edge.alias("__edge"))
+    ends = ends.withColumn("__across", move("__edge").over(Window.partitionBy(*key).orderBy(PART))).drop("__edge").where("__across is not null")
+    rows = joined(rows, ends, key).withColumn("__near", F.coalesce("__near", "__across"))
+    return rows.withColumns({out: F.col("__near")[out] for out in values}).drop("__own", "__near", "__across", PART)
+
+
 def joined(rows: DataFrame, parts: DataFrame, key: list[str]) -> DataFrame:
     """rows with the columns of parts, one row for each key and part but the first: none for keys in one part."""
     names = [*key, PART]

@@ -311,26 +311,24 @@ def default_response(linked: DataFrame, key: str = "entity") -> DataFrame:
     return first_of(linked.where("selection_number is null"), [key], ["ts", "number"])
 
 
-def link_delayed_detail(events: DataFrame, window_ms: int = LINK_WINDOW_MS, session: list[str] = ("capture_id",)) -> DataFrame:
+def link_delayed_detail(events: DataFrame, window_ms: int = LINK_WINDOW_MS, session: list[str] = ("capture_id",), hot_rows: int | None = None) -> DataFrame:
     """The details among events with the number of the selection they still belong to, or null.
 
     A linked response keeps its selection for a detail that comes after it; a
     detail near enough (to the selection) takes and clears it, a late one or a
     reset clears it, another linked response replaces it.
     """
-    links = link_request_response(events, window_ms, session).select(*session, "number", "selection_number")
+    links = link_request_response(events, window_ms, session, hot_rows).select(*session, "number", "selection_number")
     times = events.where(F.col("kind") == SELECTION).select(*session, F.col("number").alias("selection_number"), F.col("ts").alias("selection_ts"))
     responses = events.where(F.col("kind") == RESPONSE).join(links, [*session, "number"]).join(times, [*session, "selection_number"], "left")
     saved = F.when(F.col("selection_number").isNotNull(), "saved").otherwise("cleared")
     # A response without a pending selection leaves what is saved; a late one clears it.
-    w0 = Window.partitionBy(*session).orderBy("number")
-    three = events.where(F.col("kind").isin(SELECTION, RESPONSE, RESET)).select(*session, "number", "kind", F.lag("kind").over(w0).alias("before"))
+    three = carried(events.where(F.col("kind").isin(SELECTION, RESPONSE, RESET)).select(*session, "number", "kind"), list(session), ["number"], F.col("kind"), "before", own=False, hot_rows=hot_rows)
     responses = responses.join(three.where(F.col("kind") == RESPONSE).select(*session, "number", "before"), [*session, "number"])
     steps = responses.where((F.col("selection_number").isNotNull()) | (F.col("before") == SELECTION)).select(*session, "number", saved.alias("step"), "selection_number", "selection_ts", F.lit(None).cast("timestamp").alias("ts"))
     resets = events.where(F.col("kind") == RESET).select(*session, "number", F.lit("cleared").alias("step"), F.lit(None).cast("long").alias("selection_number"), F.lit(None).cast("timestamp").alias("selection_ts"), F.lit(None).cast("timestamp").alias("ts"))
     details = events.where(F.col("kind") == DETAIL).select(*session, "number", F.lit("detail").alias("step"), F.lit(None).cast("long").alias("selection_number"), F.lit(None).cast("timestamp").alias("selection_ts"), "ts")
-    w = Window.partitionBy(*session).orderBy("number")
-    rows = steps.unionByName(resets).unionByName(details).select("*", F.lag(F.struct("step", "selection_number", "selection_ts")).over(w).alias("b")).where("step = 'detail'")
+    rows = carried(steps.unionByName(resets).unionByName(details), list(session), ["number"], F.struct("step", "selection_number", "selection_ts"), "b", own=False, hot_rows=hot_rows).where("step = 'detail'")
     near_enough = (F.col("b.step") == "saved") & (F.abs(F.unix_micros("ts") - F.unix_micros("b.selection_ts")) <= window_ms * 1000)
     return rows.select(*session, "number", "ts", F.when(near_enough, F.col("b.selection_number")).alias("selection_number"))
 

@@ -7,21 +7,22 @@ import functools
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .hot import numbered
+from ..sources.scratch import scratch_path
+from .hot import beside, numbered, ranked
 
 
 def global_number(df: DataFrame, order: list[str], out: str = "n", path: str | None = None) -> DataFrame:
     """df with its place (from 0) in the order of all rows, without one task that holds them all.
 
     Rows are dealt by ranges of order, numbered in their part, and the sizes of
-    the parts are summed. The dealt rows are written to path and read back where
-    one is given (on a cluster, so that both passes see the same parts).
+    the parts are summed. The dealt rows are written (to path, or a new one in the
+    shared folder) and read back, so that both passes see the same parts.
     """
     dealt = df.repartitionByRange(*order).sortWithinPartitions(*order)
     marked = dealt.withColumn("__id", F.monotonically_increasing_id())
-    if path:
-        marked.write.mode("overwrite").parquet(path)
-        marked = df.sparkSession.read.schema(marked.schema).parquet(path)
+    path = path or scratch_path(df.sparkSession, "global-order")
+    marked.write.mode("overwrite").parquet(path)
+    marked = df.sparkSession.read.schema(marked.schema).parquet(path)
     marked = marked.withColumn("__part", F.shiftright("__id", 33)).withColumn("__at", F.col("__id").bitwiseAND((1 << 33) - 1))
     sizes = marked.groupBy("__part").agg(F.count("*").alias("__n"))  # one row for each part
     bases = sizes.withColumn("__base", F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__n")
@@ -33,10 +34,10 @@ def number_spawns(spawns: DataFrame, prefix: str, path: str | None = None) -> Da
     return global_number(spawns, ["ts", "number", "guid"], "n", path).withColumn("spawn_id", F.concat(F.lit(f"@{prefix}+"), F.col("n").cast("string")))
 
 
-def order_index(df: DataFrame, key: list[str], position: list[str], order: list[str]) -> DataFrame:
+def order_index(df: DataFrame, key: list[str], position: list[str], order: list[str], hot_rows: int | None = None) -> DataFrame:
     """One row for each distinct position of a key with its index, in the order first seen."""
-    firsts = df.groupBy(*key, *position).agg(F.min(F.struct(*order)).alias("__o"))
-    return firsts.withColumn("order_index", F.row_number().over(Window.partitionBy(*key).orderBy("__o", *position)) - 1).drop("__o")
+    firsts = df.groupBy(*key, *position).agg(F.min(F.struct(*order)).alias("__o")).withColumn("__first", F.col("__o")[order[0]])
+    return numbered(firsts, list(key), ["__first", "__o", *position], "order_index", hot_rows).withColumn("order_index", F.col("order_index").cast("int")).drop("__o", "__first")
 
 
 #: Bits of a path's flags (fixed values of this schema) and types of paths.
@@ -50,7 +51,7 @@ def path_type(flags: Column, has_look_target: Column, jump_start: Column) -> Col
     return F.when(has(ENTER_CYCLE | CYCLIC), EXACT_CYCLIC).when(has(FLYING), EXACT_FLYING).when(has(UNCOMPRESSED), EXACT).when(has_look_target, INVALID).when(F.coalesce(jump_start, F.lit(0)) > 0, EXACT_JUMP).otherwise(PATH_NONE)
 
 
-def waypoints(moves: DataFrame, skip_filler: bool = False, key: list[str] = ("capture_id", "guid")) -> DataFrame:
+def waypoints(moves: DataFrame, skip_filler: bool = False, key: list[str] = ("capture_id", "guid"), hot_rows: int | None = None) -> DataFrame:
     """The points of move events as numbered nodes of each mover: key, number, node, x, y, z, o, filler, last, type.
 
     moves: key, number, packed (filler points), points, dest (null or all zero:
@@ -68,8 +69,8 @@ def waypoints(moves: DataFrame, skip_filler: bool = False, key: list[str] = ("ca
     rows = kept.select(*key, "number", "type", F.posexplode(nodes).alias("pos", "n")).select(*key, "number", "type", "pos", "n.*")
     if skip_filler:
         rows = rows.where("not filler")
-    w = Window.partitionBy(*key).orderBy("number", "pos")
-    return rows.withColumn("node", F.row_number().over(w)).withColumn("last", F.lead("number").over(w).isNull()).drop("pos")
+    placed = numbered(rows, key, ["number", "pos"], "node", hot_rows, last="last")
+    return placed.withColumn("node", (F.col("node") + 1).cast("int")).drop("pos")
 
 
 def path_flags(moves: DataFrame, key: list[str] = ("capture_id", "guid")) -> DataFrame:
@@ -78,18 +79,16 @@ def path_flags(moves: DataFrame, key: list[str] = ("capture_id", "guid")) -> Dat
     return moves.groupBy(*key).agg(F.when(one, 2).otherwise(0).alias("flags"))
 
 
-def segment_ids(points: DataFrame, key: list[str] = ("capture_id", "guid"), order: tuple[str, str] = ("number", "pos")) -> DataFrame:
-    """points with segment_id (per mover), point_index (in the segment) and segment_points on every row."""
-    w = Window.partitionBy(*key)
+def segment_ids(points: DataFrame, key: list[str] = ("capture_id", "guid"), order: tuple[str, str] = ("number", "pos"), hot_rows: int | None = None) -> DataFrame:
+    """points with segment_id (per mover), point_index (in the segment) and segment_points on every row. A task holds a segment, not a mover."""
     seg = Window.partitionBy(*key, order[0])
-    return points.withColumns({"segment_id": F.dense_rank().over(w.orderBy(order[0])) - 1, "point_index": F.row_number().over(seg.orderBy(order[1])) - 1, "segment_points": F.count("*").over(seg)})
+    return ranked(points, list(key), order[0], "segment_id", hot_rows).withColumns({"point_index": F.row_number().over(seg.orderBy(order[1])) - 1, "segment_points": F.count("*").over(seg)})
 
 
-def pauses(segments: DataFrame, key: list[str] = ("capture_id", "guid")) -> DataFrame:
+def pauses(segments: DataFrame, key: list[str] = ("capture_id", "guid"), hot_rows: int | None = None) -> DataFrame:
     """Per mover: transitions between segments, and pauses: those where the earlier move had ended before the next began. segments: key, number, ts, move_time_ms."""
-    w = Window.partitionBy(*key).orderBy("ts", "number")
-    before, took = F.lag("ts").over(w), F.lag("move_time_ms").over(w)
-    rows = segments.select(*key, before.isNotNull().alias("follows"), (F.unix_micros("ts") > F.unix_micros(before) + took * 1000).alias("paused"))
+    rows = beside(segments, list(key), ["ts", "number"], {"__before": F.col("ts"), "__took": F.col("move_time_ms")}, hot_rows=hot_rows)
+    rows = rows.select(*key, F.col("__before").isNotNull().alias("follows"), (F.unix_micros("ts") > F.unix_micros("__before") + F.col("__took") * 1000).alias("paused"))
     return rows.groupBy(*key).agg(F.count_if("follows").alias("transitions"), F.count_if("paused").alias("pauses"))
 
 
@@ -109,15 +108,15 @@ def drop_after_aggro(segments: DataFrame, aggro: DataFrame) -> DataFrame:
     return segments.join(aggro.select("capture_id", "guid").distinct(), ["capture_id", "guid"], "left_anti")
 
 
-def line_durations(lines: DataFrame, known: DataFrame, key: list[str], order: str, start: str, text: str, end: str, extra: str | None = None) -> DataFrame:
+def line_durations(lines: DataFrame, known: DataFrame, key: list[str], order: str, start: str, text: str, end: str, extra: str | None = None, hot_rows: int | None = None) -> DataFrame:
     """Durations of lines whose text has none yet: next start less own start less extra; the last line runs to end.
 
     Lines of known texts (text) are left out before the next line is looked for,
     so the line before them is measured to the one after.
     """
     rows = lines.join(known.select(text).distinct(), text, "left_anti")
-    after = F.coalesce(F.lead(start).over(Window.partitionBy(*key).orderBy(order)), F.col(end))
-    return rows.withColumn("duration", after - F.col(start) - (F.coalesce(extra, F.lit(0)) if extra else F.lit(0)))
+    rows = beside(rows, list(key), [order], {"__after": F.col(start)}, ahead=True, hot_rows=hot_rows)
+    return rows.withColumn("duration", F.coalesce("__after", end) - F.col(start) - (F.coalesce(extra, F.lit(0)) if extra else F.lit(0))).drop("__after")
 
 
 def order_by_key(df: DataFrame, key: list[str]) -> DataFrame:
