@@ -18,7 +18,7 @@ from ..operators import filters as L
 from ..operators import joins as J
 from ..operators import windows as W
 from ..sources import captures as S
-from ..sources import ranges
+from ..sources import ranges, versioned
 from ..sources import tables as K
 from ..sources.scratch import scratch_path
 from ..streaming import captures as R
@@ -223,6 +223,21 @@ def write_loot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.join(counts, ["capture_id", "loot_index"]).withColumn("capture_id", F.col("capture_id").cast("long"))
 
 
+@query("SELECT l_suppkey % 5 AS capture_id, l_orderkey AS loot_index, l_partkey AS item_id, CAST(l_linenumber AS INTEGER) AS line, count(*) OVER (PARTITION BY l_suppkey % 5, l_orderkey) AS item_count FROM lineitem WHERE l_suppkey % 5 <> 3 OR l_orderkey % 2 = 0")
+def write_loot_at_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders of each fifth of the suppliers as loot; then one capture is replaced by half of its own, both tables at once."""
+    li = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_orderkey", "l_partkey", "l_linenumber")
+    item = F.struct(F.col("l_linenumber").alias("line"), F.col("l_partkey").alias("item_id"))
+    loot = li.groupBy((F.col("l_suppkey") % 5).alias("capture_id"), F.col("l_orderkey").alias("loot_index")).agg(F.collect_list(item).alias("items"))
+    path = scratch_path(spark, "loot")
+    versioned.write_loot_at_once(loot, loot.select("capture_id"), path)
+    third = loot.where("capture_id = 3")
+    versioned.write_loot_at_once(third.where("loot_index % 2 = 0"), third.select("capture_id"), path)
+    items, instances = (versioned.read_rows(spark, path, t) for t in ("items", "instances"))
+    both = items.join(instances, ["capture_id", "loot_index"])
+    return both.select(F.col("capture_id").cast("long").alias("capture_id"), "loot_index", "item_id", F.col("line").cast("int").alias("line"), F.col("item_count").cast("long").alias("item_count"))
+
+
 @query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
 def seed_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The customers to add to those that have ordered."""
