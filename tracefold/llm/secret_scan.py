@@ -106,11 +106,14 @@ def findings(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def linked(found: DataFrame, scope: int = SCOPE) -> DataFrame:
     """(row, weak): the weak candidates with an identifier and an endpoint within scope characters, apart from base findings."""
-    base = F.concat("assign", "access", "hex")
-    free = F.filter("weak", lambda w: ~F.exists(base, lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])))
     names = F.concat("identifier", "access")
     rich = found.where((F.size("weak") > 0) & (F.size(names) > 0) & (F.size("endpoint") > 0))
-    left = rich.select("row", F.inline(free))
+    every = F.explode(F.sequence(F.floor(F.col("start") / scope), F.floor((F.col("end") - 1) / scope))).alias("bin")
+    weak = rich.select("row", F.inline("weak"))
+    base = rich.select(F.col("row").alias("of"), F.inline(F.concat("assign", "access", "hex"))).select("of", F.col("start").alias("from"), F.col("end").alias("to"), every.alias("in"))
+    cut_up = weak.select("row", "start", "end", every)
+    taken = cut_up.join(base, (cut_up["row"] == base["of"]) & (cut_up["bin"] == base["in"]) & (base["from"] < cut_up["end"]) & (cut_up["start"] < base["to"]), "left_semi")
+    left = weak.join(taken.select("row", "start", "end").distinct(), ["row", "start", "end"], "left_anti")
     for parts in (names, F.col("endpoint")):
         near = rich.select(F.col("row").alias("of"), F.inline(parts)).select("of", F.col("start").alias("at"), F.floor(F.col("start") / scope).alias("in"))
         bins = F.explode(F.sequence(F.floor((F.col("start") - scope) / scope), F.floor((F.col("end") + scope) / scope))).alias("bin")
