@@ -3,7 +3,9 @@
 import hashlib
 import itertools
 import math
+import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -409,6 +411,26 @@ def test_headers_texts_and_tags_of_common_licences(spark):
         assert want is None or got[k]["cosine"] == pytest.approx(want[1], abs=2e-6)
 
 
+def test_a_notice_file_of_many_lines_ends_soon(spark):
+    """A megabyte of short lines, a licence among them: lines are split once, not for each window."""
+    rng = random.Random(15)
+    lines = [" ".join(rng.choice(["license", "notice", "copyright", "software", "part", "of", "the"]) + str(rng.randrange(3) or "") for _ in range(7)) for _ in range(20_000)]
+    lines[11_000] = "Released under the MIT License."
+    files = spark.createDataFrame([("a/NOTICE", "\n".join(lines)), ("a/b.c", "x")], "path string, text string")
+    began = time.time()
+    got = {r.path: (r.licence, r.origin) for r in license_scan.scanned(files).collect()}
+    assert got == {"a/NOTICE": ("MIT", "own"), "a/b.c": ("MIT", "inherited")} and time.time() - began < 120
+
+
+def test_a_text_of_many_candidates_ends_soon(spark, docs):
+    """Weak candidates meet base findings by their places, not all with all."""
+    one = "user: someone1 host: db.example.com Ab3dEf6hIj9kLm2n0pQ password: secret{} "
+    text = "".join(one.format(k) for k in range(6_000))
+    began = time.time()
+    got = secret_scan.secrets(docs([(1, text)])).select("n_assign", F.size(F.split("spans", ",")).alias("n")).first()
+    assert tuple(got) == (6_000, 12_000) and time.time() - began < 120
+
+
 def test_a_line_of_megabytes_and_a_hot_text(spark):
     line = "var a=1;license=" + "".join(f"function f{k}(){{return {k}}};" for k in range(150_000))
     assert len(line) > 4_000_000

@@ -134,9 +134,12 @@ def anchors(models: list, similar: float) -> list[str]:
     return sorted(out)
 
 
-def windows(text: Column, heavy: Column) -> Column:
-    """The words of each window of lines that holds a word of heavy, and of the whole text."""
-    lines = F.transform(F.split(text, "\\n"), words)
+def windows(lines: Column, whole: Column, heavy: Column) -> Column:
+    """The words of each window of lines that holds a word of heavy, and of the whole text.
+
+    lines and whole are columns with the words of each line and of the text: an
+    expression would be computed anew for each window.
+    """
     marked = F.filter(F.transform(lines, lambda x, i: F.when(F.arrays_overlap(x, heavy), i)), lambda i: i.isNotNull())
 
     def of_size(w: int) -> Column:
@@ -144,7 +147,7 @@ def windows(text: Column, heavy: Column) -> Column:
         begins = F.transform(marked, lambda p: F.transform(F.sequence(F.ceil(F.greatest(p - w + 1, F.lit(0)) / step), F.floor(p / step)), lambda k: (k * step).cast("int")))
         return F.transform(F.array_distinct(F.flatten(begins)), lambda i: F.flatten(F.slice(lines, i + 1, F.lit(w))))
 
-    return F.concat(*(of_size(w) for w in WINDOWS), F.array(words(text)))
+    return F.concat(*(of_size(w) for w in WINDOWS), F.array(whole))
 
 
 def detected(files: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, similar: float = SIMILAR) -> DataFrame:
@@ -166,7 +169,8 @@ def detected(files: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATE
     heavy = F.array(*map(F.lit, anchors(models.collect(), similar)))
 
     some = files.where(F.arrays_overlap(words(F.col("text")), heavy)).groupBy("name").agg(F.first("text").alias("text"))
-    units = some.select("name", F.explode(windows(F.col("text"), heavy)).alias("words")).where(F.arrays_overlap("words", heavy))
+    lined = some.select("name", F.transform(F.split("text", "\\n"), words).alias("lines"), words(F.col("text")).alias("whole"))
+    units = lined.select("name", F.explode(windows(F.col("lines"), F.col("whole"), heavy)).alias("words")).where(F.arrays_overlap("words", heavy))
     units = cut(units.withColumn("key", F.sha2(F.array_join("words", " "), 256)), "licence-windows")
     kinds = cut(units.groupBy("key").agg(F.first("words").alias("words")).withColumn("unit", F.monotonically_increasing_id()), "licence-kinds")
     terms = kinds.select("unit", F.explode("words").alias("term")).groupBy("unit", "term").agg(F.count("*").alias("tf"))
