@@ -9,6 +9,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .folds import Fold, folded
+
 log = logging.getLogger(__name__)
 Tables = dict[str, DataFrame]
 
@@ -28,6 +30,7 @@ class Registry:
 
     producers: dict[str, Producer] = field(default_factory=dict)
     processors: dict[str, list[Callable[[DataFrame], DataFrame]]] = field(default_factory=dict)
+    folds: dict[str, Fold] = field(default_factory=dict)
 
     def producer(self, target: str, inputs: tuple[str, ...], versions: int = -1):
         """Marks a function of the input tables as the producer of the table of its name."""
@@ -47,6 +50,15 @@ class Registry:
 
         return mark
 
+    def fold(self, fold: Fold) -> Fold:
+        """Adds a processor that folds its events into one result for each capture."""
+        self.folds[fold.name] = fold
+        return fold
+
+    def fold_all(self, events: DataFrame, key: tuple[str, ...] = ("capture_id",)) -> dict[str, DataFrame]:
+        """The results of all folds, in one pass over the events."""
+        return folded(events, list(self.folds.values()), key)
+
     def produce(self, tables: Tables, target: str | None = None, version: int = -1) -> tuple[Tables, dict[str, Exception]]:
         """The tables whose inputs are there and whose target and version fit; a producer that fails is logged and reported, and the rest go on."""
         out, failed = {}, {}

@@ -5,6 +5,7 @@ Everything is written to new folders in the shared folder.
 
 from __future__ import annotations
 
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,12 +19,14 @@ from ..operators import filters as L
 from ..operators import joins as J
 from ..operators import windows as W
 from ..sources import captures as S
+from ..sources import frames as frames_source
 from ..sources import ranges, versioned
 from ..sources import tables as K
 from ..sources.scratch import scratch_path
 from ..streaming import captures as R
 from ..streaming import first_seen
 from .queries import HALF_DAY_MS, ORACLE_SQL, PART, PART_SQL, events, part_snapshots, query, sessions, table
+from .folds import Fold
 from .registry import Registry, on_records
 
 
@@ -348,6 +351,36 @@ def processors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return W.union_all([df for own in r.process(events(spark, sf_dir)).values() for df in own])
 
 
+def count_and_most(kind: str) -> Fold:
+    """The number of events of a kind and the largest of their numbers."""
+
+    def larger(a: list, b: list) -> list:
+        return [a[0] + b[0], max(a[1], b[1])]
+
+    return Fold(kind, (kind,), ("number",), "n long, most long", lambda: [0, -1], lambda s, x: larger(s, [x.num_rows, pc.max(x.column("number")).as_py()]), larger, lambda s: {"n": s[0], "most": s[1]})
+
+
+@query("SELECT event_type AS processor, user_id, count(*) AS n, max(event_id) AS most FROM events WHERE event_type IN ('click', 'view', 'error') GROUP BY 1, 2")
+def processors_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three folding processors in one pass over the events."""
+    r = Registry()
+    for kind in ("click", "view", "error"):
+        r.fold(count_and_most(kind))
+    return W.union_all([df.select(F.lit(name).alias("processor"), F.col("capture_id").alias("user_id"), "n", "most") for name, df in r.fold_all(events(spark, sf_dir)).items()])
+
+
+@query("SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_returnflag) - 1 AS sub, l_suppkey % 65536 AS opcode, l_returnflag || l_partkey AS body FROM lineitem")
+def frames_in_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as containers of their lines' frames in bytes, taken apart by the table function."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.concat("l_returnflag", F.col("l_partkey").cast("string")).alias("body"))
+    low = lambda n: F.unhex(F.concat(F.lpad(F.hex(n % 256), 2, "0"), F.lpad(F.hex(F.floor(n / 256)), 2, "0")))
+    frame = F.concat(low(F.length("body").cast("long")), low((F.col("l_suppkey") % 65536).cast("long")), F.encode("body", "UTF-8"))
+    one = F.struct("l_linenumber", "l_partkey", "l_suppkey", "body", F.hex(frame).alias("hex"))
+    orders = li.groupBy("l_orderkey").agg(F.array_join(F.transform(F.sort_array(F.collect_list(one)), lambda x: x["hex"]), "").alias("hex")).select("l_orderkey", F.unhex("hex").alias("payload"))
+    out = frames_source.with_frames(orders)
+    return out.select("l_orderkey", F.col("sub").cast("long").alias("sub"), F.col("opcode").cast("long").alias("opcode"), F.decode("payload", "UTF-8").alias("body"))
+
+
 # --- the operators that no other query calls ---
 
 
