@@ -4,7 +4,9 @@ import datetime as dt
 import struct
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tracefold.functions import specs
 from tracefold.plans import queries, registry
 from tracefold.sources import captures as S
 from tracefold.sources import tables as K
@@ -241,3 +243,31 @@ def test_stream_stats_are_a_table_in_the_shared_folder(spark, tmp_path):
     out = queries.stream_parse_stats(spark, str(tmp_path))
     assert sorted(tuple(r) for r in out.collect()) == [(1, "success", 2), (2, "not_parsed", 1)]
     assert all("/tracefold/stats-" in f for f in out.inputFiles()) and out.inputFiles()
+
+
+def test_reference_keys_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "ref")
+    spark.range(200_000).select("id", (F.col("id") * 2).alias("v")).coalesce(1).write.option("parquet.block.size", 64 << 10).parquet(path)
+    spec = specs.TableSpec("ref", (specs.Column("id", T.LongType(), key=True), specs.Column("v", T.LongType())))
+    for ids in ([5, 7, None, 190_000], list(range(1000, 3000))):
+        out = K.read_reference(spark.read.parquet(path), spec, df(spark, "id long", *((i,) for i in ids)))
+        rows = sorted(tuple(r) for r in out.collect())
+        assert rows == [(i, 2 * i) for i in sorted(i for i in ids if i is not None)]
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert ("In(id" if len(ids) < 1000 else "GreaterThanOrEqual(id,1000)") in plan
+    assert K.read_reference(spark.read.parquet(path), spec, df(spark, "id long")).count() == 0
+    read = spark.read.parquet(path).where(F.col("id").between(1000, 2999))
+    read.collect()
+    scanned = K.read_reference(spark.read.parquet(path), spec, df(spark, "id long", *((i,) for i in range(1000, 3000))))
+    scanned.collect()
+    node = scanned._jdf.queryExecution().executedPlan()
+    node = node.finalPhysicalPlan() if hasattr(node, "finalPhysicalPlan") else node
+    leaves, found = node.collectLeaves(), []
+    for k in range(leaves.size()):
+        leaf = leaves.apply(k)
+        leaf = leaf.plan() if "QueryStage" in leaf.getClass().getName() else leaf
+        for j in range(leaf.collectLeaves().size()):
+            scan = leaf.collectLeaves().apply(j)
+            if "ref" in scan.toString() and "FileScan" in scan.toString() and scan.metrics().contains("numOutputRows"):
+                found.append(scan.metrics().apply("numOutputRows").value())
+    assert found and max(found) < 100_000  # row groups without the keys were left out

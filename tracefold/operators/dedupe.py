@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import functools
-import itertools
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,9 +38,17 @@ def dedupe_pk(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
 
 
 def dedupe_exact_fields(df: DataFrame, known: DataFrame, fields: list[str]) -> DataFrame:
-    """The rows of df that known does not contain: a known row matches if it equals all fields that df's row has values in."""
-    given = itertools.product((True, False), repeat=len(fields))  # each known row as it looks with the fields of such a row only
-    seen = F.array(*(F.struct(*((F.col(f) if own else F.lit(None).cast(known.schema[f].dataType)).alias(f"__{f}") for f, own in zip(fields, row, strict=True))) for row in given))
+    """The rows of df that known does not contain: a known row matches if it equals all fields that df's row has values in.
+
+    A known row is looked up as it looks with the fields of a row of df only, once
+    for each set of fields that some row has values in (as many as occur, at most
+    2 ** fields).
+    """
+    mask = functools.reduce(lambda a, b: a + b, [F.col(f).isNotNull().cast("int") * (1 << k) for k, f in enumerate(fields)])
+    given = [r[0] for r in df.select(mask.alias("m")).distinct().collect()]  # small numbers, no rows
+    if not given:
+        return df
+    seen = F.array(*(F.struct(*(F.when(F.lit(bool(m >> k & 1)), F.col(f)).alias(f"__{f}") for k, f in enumerate(fields))) for m in sorted(given)))
     looks = known.select(F.inline(seen)).distinct()
     return df.join(looks, functools.reduce(lambda a, b: a & b, [F.col(f).eqNullSafe(F.col(f"__{f}")) for f in fields]), "left_anti")
 

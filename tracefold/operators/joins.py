@@ -11,15 +11,17 @@ from ..sources.scratch import scratch_path
 from .dedupe import first_of
 from .hot import carried
 
-#: Rows of a side that is broadcast after being counted; a larger one is shuffled.
-SMALL_ROWS = 100_000
+#: Rows and bytes of a side that is broadcast after being measured; a larger one is shuffled.
+SMALL_ROWS, SMALL_BYTES = 100_000, 48 << 20
 #: Milliseconds within which a response answers a selection.
 LINK_WINDOW_MS = 2500
 
 
-def small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
-    """df marked for broadcast if it has no more than rows rows."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def small(df: DataFrame, rows: int = SMALL_ROWS, most_bytes: int = SMALL_BYTES) -> DataFrame:
+    """df marked for broadcast if it has no more than rows rows and most_bytes bytes (as JSON)."""
+    head = df.limit(rows + 1).select(F.octet_length(F.to_json(F.struct("*"))).alias("bytes"))
+    n, size = head.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    return F.broadcast(df) if n <= rows and size <= most_bytes else df
 
 
 # --- names and texts (J01, J07-J11) ---

@@ -9,16 +9,35 @@ from pyspark.sql import functions as F
 
 from ..functions.specs import TableSpec, visible
 from ..operators.changes import VALID, latest_records
-from ..operators.joins import small
+from ..operators.joins import small, written
 from ..operators.windows import global_number
 from .scratch import scratch_path
 
 
+#: Keys up to which a scan is given the keys themselves; above, their smallest and largest.
+LISTED_KEYS = 1000
+
+
 def read_reference(table: DataFrame, spec: TableSpec, keys: DataFrame | None = None, version: int = 1, locale: str | None = None) -> DataFrame:
-    """The visible columns of a reference table; only rows with one of keys, where keys are given."""
+    """The visible columns of a reference table; only rows with one of keys, where keys are given.
+
+    What the scan can test reaches it: for each key column its values if they are
+    few, else their range, so row groups without any are not read. The keys
+    themselves are joined after that. A null key matches nothing.
+    """
     names = [c.name for c in visible(spec, version, locale)]
     out = table.select(*names)
-    return out if keys is None else out.join(small(keys.select(*spec.key).distinct()), spec.key, "left_semi")
+    if keys is None:
+        return out
+    wanted = written(keys.select(*spec.key).distinct(), "reference-keys")
+    few = [tuple(r) for r in wanted.limit(LISTED_KEYS + 1).collect()]
+    bounds = wanted.agg(*(f(k).alias(f"{f.__name__}_{k}") for k in spec.key for f in (F.min, F.max))).first()
+    for at, k in enumerate(spec.key):
+        if len(few) <= LISTED_KEYS:
+            out = out.where(F.col(k).isin(*{r[at] for r in few if r[at] is not None}))
+        elif bounds[2 * at] is not None:
+            out = out.where(F.col(k).between(bounds[2 * at], bounds[2 * at + 1]))
+    return out.join(small(wanted), spec.key, "left_semi")
 
 
 def read_reference_spawns(table: DataFrame, kind: str) -> DataFrame:

@@ -143,14 +143,23 @@ def entity_lifecycle(events: DataFrame, fields: list[str], key: list[str] = ("ca
     return out.agg(*(F.max_by(f, F.when(F.col(f).isNotNull(), F.col("number"))).alias(f) for f in fields))
 
 
-def stream_lifecycle(events: DataFrame, entity: str, fields: list[str]) -> DataFrame:
-    """The same as a stream, in update mode: the state of each entity (one key column) that a trigger touched; a destroyed one is reported once, not alive, and forgotten."""
+def stream_lifecycle(events: DataFrame, entity: str, fields: list[str], idle: str | None = None) -> DataFrame:
+    """The same as a stream, in update mode: the state of each entity (one key column) that a trigger touched; a destroyed one is reported once, not alive, and forgotten.
+
+    With idle (such as '1 hour') events have ts too, and an entity without events
+    for so long of event time is forgotten without a row: what is never destroyed
+    doesn't stay for ever.
+    """
+    timed, expires = expiry(events, idle)
     kinds = {c: events.schema[c].dataType.simpleString() for c in (entity, *fields)}
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         own = list(state.get) if state.exists else [None] * len(fields)
-        alive, number = True, 0
-        for row in pd.concat(list(batches)).sort_values("number").itertuples(index=False):
+        alive, number, rows = True, 0, pd.concat(list(batches)).sort_values("number")
+        for row in rows.itertuples(index=False):
             if row.kind == "create":
                 own = [None] * len(fields)
             for k, f in enumerate(fields):
@@ -159,10 +168,12 @@ def stream_lifecycle(events: DataFrame, entity: str, fields: list[str]) -> DataF
                     own[k] = v
             alive, number = row.kind not in ("destroy", "out_of_range"), row.number
         state.update(tuple(own))
-        if not alive:
+        if alive:
+            expires(state, rows)
+        else:
             state.remove()
         yield pd.DataFrame({entity: [key[0]], "last_number": [number], "alive": [alive]} | {f: [v] for f, v in zip(fields, own, strict=True)})
 
     schema = f"{entity} {kinds[entity]}, last_number long, alive boolean, " + ", ".join(f"{f} {kinds[f]}" for f in fields)
-    rows = events.select(entity, "number", "kind", *fields)
-    return rows.groupBy(entity).applyInPandasWithState(step, schema, ", ".join(f"{f} {kinds[f]}" for f in fields), "update", GroupStateTimeout.NoTimeout)
+    rows = timed.select(entity, "number", "kind", *fields, *(["ts"] if idle else []))
+    return rows.groupBy(entity).applyInPandasWithState(step, schema, ", ".join(f"{f} {kinds[f]}" for f in fields), "update", GroupStateTimeout.EventTimeTimeout if idle else GroupStateTimeout.NoTimeout)
