@@ -115,3 +115,25 @@ def test_identical_updates_come_in_batches(spark):
     rows = C.group_identical_updates(C.compare(obs, ref, spec), 10).orderBy("batch").collect()
     assert [(r["n"], [p["id"] for p in r["pks"]]) for r in rows] == [(10, list(range(10))), (10, list(range(10, 20))), (5, list(range(20, 25)))]
     assert all(r["changes"] == {"build": "2"} for r in rows)
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_compare_by_hash_gives_the_same_changes(spark, monkeypatch, small):
+    monkeypatch.setattr(C, "measured", lambda df: small)
+    ref = [(k, None if k % 4 == 0 else k % 3, k / 7, f"s{k % 6}", [k, None], k % 5) for k in range(60)]
+    obs = [(k, None if k % 4 == 1 else k % 3, k / 7 + (0.0004 if k % 2 else 0.0), f"s{k % 7}" if k % 3 else f"s{k % 6}", [k, None] if k % 5 else [None, k], k % 5 if k % 6 else 9) for k in range(20, 80)]
+    obs += [obs[3], (None, 1, 1.0, "null key", None, 1)]
+    ref += [(None, 2, 1.0, "null key", None, 1), (90, None, 1.0, "a", [1, 2], 1), (91, 1, None, "a", [1, 2], 1)]
+    obs += [(90, 1, None, "a", [1, 2], 1), (91, 1, None, "a", [1, 2], 1)]
+    o, r = rows(spark, *obs), rows(spark, *ref)
+    assert sorted(map(repr, C.compare_by_hash(o, r, SPEC).collect())) == sorted(map(repr, C.compare(o, r, SPEC).collect()))
+    assert C.compare_by_hash(r, r, SPEC).count() == 0
+
+
+def test_unchanged_rows_move_two_numbers_only(spark):
+    a = rows(spark, *((k, 1, 1.0, "x" * 50, [k], 1) for k in range(3000)))
+    b = rows(spark, *((k, 1 + (k == 7), 1.0, "x" * 50, [k], 1) for k in range(3000)))
+    out = C.compare_by_hash(b, a, SPEC)
+    assert [r["changes"] for r in out.collect()] == [{"a": "2"}]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan.split("Initial Plan")[0]  # whole rows are filtered where they are

@@ -17,11 +17,16 @@ SMALL_ROWS, SMALL_BYTES = 100_000, 48 << 20
 LINK_WINDOW_MS = 2500
 
 
-def small(df: DataFrame, rows: int = SMALL_ROWS, most_bytes: int = SMALL_BYTES) -> DataFrame:
-    """df marked for broadcast if it has no more than rows rows and most_bytes bytes (as JSON)."""
+def measured(df: DataFrame, rows: int = SMALL_ROWS, most_bytes: int = SMALL_BYTES) -> bool:
+    """Whether df has no more than rows rows and most_bytes bytes (as JSON)."""
     head = df.limit(rows + 1).select(F.octet_length(F.to_json(F.struct("*"))).alias("bytes"))
     n, size = head.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
-    return F.broadcast(df) if n <= rows and size <= most_bytes else df
+    return n <= rows and size <= most_bytes
+
+
+def small(df: DataFrame, rows: int = SMALL_ROWS, most_bytes: int = SMALL_BYTES) -> DataFrame:
+    """df marked for broadcast if it is small enough."""
+    return F.broadcast(df) if measured(df, rows, most_bytes) else df
 
 
 # --- names and texts (J01, J07-J11) ---

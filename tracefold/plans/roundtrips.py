@@ -254,6 +254,12 @@ def write_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).select("op", k.alias("p_partkey"), "target_db")
 
 
+@query(ORACLE_SQL["compare_part"])
+def compare_part_by_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changes of compare_part; whole rows are moved for changed and new keys only."""
+    return C.compare_by_hash(*part_snapshots(spark, sf_dir), PART).select("op", F.col("pk.p_partkey").alias("p_partkey"), "n_changed")
+
+
 # --- streams (T02, T03, T05, P04) ---
 
 
