@@ -8,11 +8,11 @@ until none is overfull. The entries are written bucket by bucket, each range of
 buckets by one task, its owner.
 
 Equal keys form a chain. Only chains of more than one row can hold copies. Their
-texts are read again and dealt to the owners of the buckets by the index, copies
-summed on the way; an owner walks the chains of its range and compares the texts
-byte by byte, so that two texts with one key stay apart. In its chain a text
-goes by its SHA-256; that no two different texts go by the same is checked by
-the comparison of the bytes.
+texts are read again and placed by the index; equal ones are summed on the way, by
+bucket, key, length and the text itself, so that two texts with one key stay
+apart. What is left, one row for each distinct text, goes to the owners of the
+bucket ranges, who name each text of a chain by its SHA-256 and check that no two
+different ones go by the same.
 """
 
 from __future__ import annotations
