@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracefold.functions import scalars as X
+from tracefold.plans import expressions, queries
 
 
 def one(spark, *columns):
@@ -75,6 +76,19 @@ def test_guid_parts(spark):
     assert text == f"Full: 0x{hi:016X}{lo:016X} Creature/5 R77/S9 Map: North Entry: 4321 (Wolf) Low: 123456"
 
 
+def test_guid_text_of_large_keys_is_its_sql(spark, tmp_path):
+    """Suppliers beyond the 13 bits of a realm: the text shows the bits that the id has."""
+    duckdb = pytest.importorskip("duckdb")
+    keys = [(1, 8191), (2, 8192), (7, 60_000), (7, 360_000)]
+    rows = [(5_999_999 * n + k, n, 123_456, s, float(n), flag) for n, s in keys for k, flag in enumerate("ARN")]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_returnflag string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = sorted(map(tuple, expressions.guid_text(spark, str(tmp_path)).collect()))
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW lineitem AS SELECT * FROM read_parquet('{tmp_path}/lineitem.parquet/*.parquet')")
+    assert got == sorted(db.execute(queries.ORACLE_SQL["guid_text"]).fetchall())
+    assert " R0/S2 " in got[3][3] and len(got) == 12
+
+
 def test_flags(spark):
     assert one(spark, X.has_any_flag(F.lit(0x30), 0x10), X.has_any_flag(F.lit(0x20), 0x10), X.has_flag_bit(F.lit(5), F.lit(2)), X.has_flag_bit(F.lit(5), F.lit(1))) == (True, False, True, False)
     assert one(spark, X.lfg_parts(F.lit(6 << 24 | 285)))["instance"] == 285

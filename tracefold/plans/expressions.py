@@ -86,10 +86,10 @@ def guid_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
     WITH g AS (SELECT l_orderkey, l_linenumber, l_partkey, (l_linenumber + 3) * 288230376151711744 + l_suppkey * 4398046511104 + l_quantity::BIGINT * 536870912 + l_partkey * 64 + l_linenumber AS hi, l_linenumber * 1099511627776 + l_orderkey AS lo, l_quantity::BIGINT AS map, l_suppkey, l_returnflag FROM lineitem)
-    SELECT l_orderkey, l_linenumber, l_partkey, 'Full: 0x' || upper(printf('%016x', hi)) || upper(printf('%016x', lo)) || CASE WHEN l_returnflag = 'A' THEN ' Creature/' ELSE ' Player/' END || l_linenumber || ' R' || l_suppkey || '/S' || l_linenumber || ' Map: m' || map
-        || CASE WHEN l_returnflag = 'A' THEN ' Entry: e' || l_partkey || ' Low: ' || l_orderkey WHEN l_returnflag = 'R' THEN ' Low: ' || l_orderkey || ' Name: e' || l_partkey ELSE ' Low: ' || l_orderkey END AS text, l_orderkey & 8388607 AS spawn_time FROM g""")
+    SELECT l_orderkey, l_linenumber, l_partkey, 'Full: 0x' || upper(printf('%016x', hi)) || upper(printf('%016x', lo)) || CASE WHEN l_returnflag = 'A' THEN ' Creature/' ELSE ' Player/' END || (hi & 63) || ' R' || (hi >> 42 & 8191) || '/S' || (lo >> 40 & 16777215) || ' Map: m' || map
+        || CASE WHEN l_returnflag = 'A' THEN ' Entry: e' || l_partkey || ' Low: ' || (lo & 1099511627775) WHEN l_returnflag = 'R' THEN ' Low: ' || (lo & 1099511627775) || ' Name: e' || l_partkey ELSE ' Low: ' || (lo & 1099511627775) END AS text, lo & 8388607 AS spawn_time FROM g""")
 def guid_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines as 128-bit ids: suppliers as realms, quantities as maps, parts as entries, orders as counters."""
+    """Lines as 128-bit ids: suppliers as realms, quantities as maps, parts as entries, orders as counters. A realm has 13 bits, so the text shows its supplier's lowest ones."""
     li = table(spark, sf_dir, "lineitem")
     n, map_ = F.col("l_linenumber").cast("long"), F.col("l_quantity").cast("long")
     hi = (n + 3) * (1 << 58) + F.col("l_suppkey") * (1 << 42) + map_ * (1 << 29) + F.col("l_partkey") * 64 + n
