@@ -205,6 +205,17 @@ def test_shards_equal_brute_force(spark):
     assert {r["doc_id"]: (r["shard"], r["slot"], r["hilbert"]) for r in sharding.shards(df, 7).collect()} == want
 
 
+def test_quantiles_are_of_all_rows(spark):
+    """More rows than a sample would hold: each quantile is the one of the whole column, numbers and strings."""
+    df = spark.range(50_000).select(F.concat(F.lit("s"), F.lpad((F.col("id") * 7919 % 49_999).cast("string"), 5, "0")).alias("name"), (F.col("id") * F.col("id") % 30_011).alias("size"))
+    rows = df.collect()
+    for name, got in zip(("name", "size"), sharding.edges(df, ["name", "size"], 5), strict=True):
+        own = sorted(r[name] for r in rows)
+        assert got == [own[math.ceil(len(own) * k / 32) - 1] for k in range(1, 32)]
+    few = spark.createDataFrame([(None, 1.0), ("a", None)], "name string, size double")
+    assert sharding.edges(few, ["name", "size"], 1) == [["a"], [1.0]] and sharding.edges(few.limit(0), ["name"], 2) == [[]]
+
+
 def test_one_outlier_takes_no_dimension_away(spark):
     hosts = [f"www.host{k:02d}.org" for k in range(50)]
     for more in ([], ["a.org"]):

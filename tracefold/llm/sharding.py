@@ -29,8 +29,6 @@ from .packing import prefix_totals
 SHARDS = 40
 #: Bits of each dimension.
 BITS = 5
-#: Rows from which the quantiles of strings are taken, about. Every row gets its cell.
-SAMPLE_ROWS = 20_000
 #: Bytes that count for each row besides its text.
 ROW_BYTES = 16
 
@@ -59,21 +57,35 @@ def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
 
 
 def edges(df: DataFrame, names: list[str], bits: int) -> list[list]:
-    """For each column its 2**bits - 1 quantiles in the column's own order: of numbers over all rows, of strings from SAMPLE_ROWS rows, about."""
-    shares = [k / (1 << bits) for k in range(1, 1 << bits)]
-    texts = [c for c in names if isinstance(df.schema[c].dataType, T.StringType)]
-    numbers = [c for c in names if c not in texts]
-    out: dict[str, list] = {}
-    if numbers:
-        row = df.agg(*(F.percentile_approx(F.col(c).cast("double"), shares, 1000).alias(c) for c in numbers)).first()
-        out |= {c: row[c] or [] for c in numbers}
-    if texts:
-        n = df.count()
-        some = (df.sample(False, SAMPLE_ROWS / n, seed=7) if n > SAMPLE_ROWS else df).select(*texts).toArrow()
-        for c in texts:
-            own = sorted(x for x in some.column(c).to_pylist() if x is not None)
-            out[c] = [own[max(0, -(-len(own) * k // (1 << bits)) - 1)] for k in range(1, 1 << bits)] if own else []
-    return [out[c] for c in names]
+    """For each column its 2**bits - 1 quantiles in the column's own order, exact ones over all rows: value k is the one at place ceil(rows * k / 2**bits).
+
+    Equal values are counted, and the counts summed up in ranges of the order; only the quantiles go to the driver.
+    """
+    return [quantiles(df.select((F.col(c) if isinstance(df.schema[c].dataType, T.StringType) else F.col(c).cast("double")).alias("value")), 1 << bits) for c in names]
+
+
+def quantiles(values: DataFrame, n: int) -> list:
+    """The n - 1 exact quantiles of values (value) that aren't null, none of an empty table."""
+    counts = values.where("value is not null").groupBy("value").agg(F.count("*").alias("rows"))
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, upto = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            own = upto + np.cumsum(batch.column(1).to_numpy())
+            upto = int(own[-1]) if len(own) else upto
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([part] * len(own), pa.int32()), pa.array(own)], names=["value", "rows", "part", "upto"])
+
+    kinds = T.StructType([*counts.schema, *T._parse_datatype_string("part int, upto long")])
+    ordered = cut(counts.repartitionByRange("value").sortWithinPartitions("value").mapInArrow(summed, kinds), "shard-quantiles")
+    bases = prefix_totals(ordered, "part", "rows")
+    total = ordered.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    if not total:
+        return []
+    end = F.col("base") + F.col("upto")
+    reached = lambda place: F.least(F.lit(n - 1), F.expr(f"({place}) * {n} div {total}"))  # noqa: E731  quantiles at that place or before
+    times = (reached("base + upto") - reached("base + upto - rows")).alias("times")
+    held = ordered.join(F.broadcast(bases), "part").select("value", end.alias("end"), times).where("times > 0").collect()  # n - 1 rows at most
+    return [row["value"] for row in sorted(held, key=lambda row: row["end"]) for _ in range(row["times"])]
 
 
 def quantised(df: DataFrame, dims: list[str], bits: int = BITS) -> tuple[DataFrame, list[str]]:
