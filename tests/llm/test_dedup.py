@@ -216,6 +216,26 @@ def test_similar_texts_are_found_whatever_their_fingerprints(spark, docs):
     assert all(component[i] == component[c] for i, c in by_id.items() if i is not None)  # nothing else is linked
 
 
+def test_no_similar_pair_is_left_out(spark, docs):
+    """Dense families at the threshold itself, chains of copies of copies, passages shared by unlike texts: all links, as brute force has them."""
+    rng = random.Random(21)
+    passage = [f"common{k}" for k in range(60)]
+    rows = []
+    for _ in range(60):
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.randrange(30, 250))]
+        family = [words]
+        for _ in range(14):
+            family.append(edited(rng.choice(family), rng.choice((0.004, 0.015, 0.021, 0.024)), rng))
+        rows += [(len(rows) + k, " ".join(w + passage * (k % 5 == 0))) for k, w in enumerate(family)]
+    for n in (5, 6, 9, 10, 14, 35):  # sets whose share is 0.8 to the last shingle
+        words = [f"x{n}y{k}" for k in range(n + 4)]
+        rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(words[: n + 4 - n // 5]))]
+    want = jaccard_components(rows)
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_groups(docs(rows), width=5, similar=0.8).collect()}
+    assert sum(w != k for k, w in enumerate(want)) > 300
+    assert got == {rows[k][0]: rows[w][0] for k, w in enumerate(want)}
+
+
 def test_filler_links_nothing(spark, docs):
     """Unlike texts that share a filler: it decided all bits of their fingerprints when repeats counted."""
     rng = random.Random(11)

@@ -16,15 +16,16 @@ Two ways of dealing:
   on at least one of distance + 1 blocks, so no link is lost. A group is the Gray
   rank of a block's bits. Groups of more than `group_rows` members are dealt
   again by the blocks of their remaining bits, which loses nothing either.
-- by bands, for a similarity of shingle sets (`similar`): at a Jaccard similarity
-  of 0.8 about 15 % of the bits differ, which no few blocks survive. So more
-  independent fingerprint bits are made, and pairs meet that agree on all of one
-  band of them. A band has about as many bits as the number of rows has, so that
-  unlike texts seldom meet, and there are as many bands as bring RECALL of the
-  pairs at the similarity itself together, more of those above. The tree drops
-  what differs in more than `distance` bits, and the links that it leaves are
-  held against the shingle sets themselves: the closest of each fingerprint
-  first, then those between texts that aren't in one group by then.
+- by bands (`band_edges`), for a share of differing bits: pairs meet that agree on
+  all of one band of bits, which most of the near ones do, but not all.
+
+For a similarity of shingle sets (`similar`) the links within `distance` bits are
+held against the sets themselves: the closest of each fingerprint first, then
+those between texts that aren't in one group by then. At a Jaccard similarity of
+0.8 about 15 % of the bits differ, which no few blocks and not all bands survive.
+So all pairs of sets that aren't connected so far and share one of their first
+shingles, in an order that is the same for all, are held against each other too:
+a set of n has so many first ones that any similar set must have one of them.
 
 Components come from the forests' edges by rounds of hanging each fingerprint on
 its least neighbour and doubling the pointers, written to the shared folder.
@@ -39,7 +40,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,6 +60,8 @@ RUN = 1 << 12
 PAIRS = 1 << 11
 #: Members of a band's group, at most, of which all links are held against the texts.
 ALL_OF = 8
+#: Texts of a slice that a frequent shingle is in, the most such shingles, and the digests that a task remembers.
+FREQUENT_IN, MOST_FREQUENT, SEEN = 4, 500_000, 200_000
 #: Shingles that are hashed at once.
 HASHED = 1 << 14
 #: 64-bit words of fingerprint bits that bands are drawn from.
@@ -129,33 +132,36 @@ def band_bits(bits: int, bands: int, words: int) -> np.ndarray:
     return np.array(out)
 
 
-def fingerprints(docs: DataFrame, text: str = "text", width: int = SHINGLE, row: str | None = None, bits: int = 0, bands: int = 0) -> DataFrame:
+def fingerprints(docs: DataFrame, text: str = "text", width: int = SHINGLE, row: str | None = None, bits: int = 0, bands: int = 0, sets: bool = False) -> DataFrame:
     """doc_id and fp (the fingerprint as a signed long) of each row of docs, `row` from the column of that name given.
 
-    With bands, bits are made of the set of shingles, without repeats, as it is
-    sets that are compared: a word that fills a text would decide all bits. Then
-    there are a digest of the set and the bands' keys (array) too.
+    With sets, or bands, bits are made of the set of shingles, without repeats, as
+    it is sets that are compared: a word that fills a text would decide all bits.
+    Then there is a digest of the set too, and with bands their keys (array).
     """
+    sets = sets or bands > 0
     more = [] if row is None else [T.StructField("row", T.LongType())]
-    keyed = [T.StructField("digest", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType()))] if bands else []
+    keyed = [T.StructField("digest", T.LongType())] * sets + [T.StructField("keys", T.ArrayType(T.LongType()))] * (bands > 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         where, weigh = (band_bits(bits, bands, WORDS), np.uint64(1) << np.arange(bits, dtype=np.uint64)) if bands else (None, None)
         for batch in slices(batches):
             texts, digests = batch.column(1).to_pylist(), []
-            if bands:
-                own = np.zeros((batch.num_rows, WORDS), np.uint64)
+            if sets:
+                words = WORDS if bands else 1
+                own = np.zeros((batch.num_rows, words), np.uint64)
                 for k, text_ in enumerate(texts):
                     h = shingle_set(text_, width)
-                    own[k] = sketch_of((h[i : i + HASHED] for i in range(0, len(h), HASHED)), WORDS)
+                    own[k] = sketch_of((h[i : i + HASHED] for i in range(0, len(h), HASHED)), words)
                     digests.append(xxhash.xxh64_intdigest(h.tobytes(), 42))
             else:
                 own = np.array([sketch(x, width) for x in texts], np.uint64).reshape(batch.num_rows, -1)
-            columns = [batch.column(0), pa.array(own[:, 0].view(np.int64)), *batch.columns[2:]]
+            columns = [batch.column(0), pa.array(np.ascontiguousarray(own[:, 0]).view(np.int64)), *batch.columns[2:]]
+            if sets:
+                columns.append(pa.array(np.array(digests, np.uint64).view(np.int64)))
             if bands:
                 flat = np.unpackbits(own.astype(">u8").view(np.uint8).reshape(len(own), -1), axis=1)
                 key = (flat[:, where].astype(np.uint64) * weigh).sum(axis=2, dtype=np.uint64) | np.arange(bands, dtype=np.uint64) << np.uint64(bits)
-                columns.append(pa.array(np.array(digests, np.uint64).view(np.int64)))
                 columns.append(pa.ListArray.from_arrays(pa.array(np.arange(len(own) + 1, dtype=np.int32) * bands), pa.array(key.ravel().view(np.int64))))
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fp", *(f.name for f in more + keyed)])
 
@@ -445,6 +451,97 @@ def told_apart(rows: DataFrame, texts: DataFrame, width: int, similar: float) ->
     return cut(functools.reduce(DataFrame.unionAll, out), "simhash-nodes")
 
 
+def frequent(texts: DataFrame, width: int) -> list[int]:
+    """Shingles that are in FREQUENT_IN texts or more of some slice of 500, rarest first, at most MOST_FREQUENT of them.
+
+    They only decide which shingles a text is looked up by, so what it costs: prefixes() loses no pair in any order.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            own = np.concatenate([np.zeros(0, np.uint64), *(shingle_set(x, width) for x in batch.column(0).to_pylist())])
+            h, n = np.unique(own, return_counts=True)
+            keep = n >= FREQUENT_IN
+            yield pa.RecordBatch.from_arrays([pa.array(h[keep].view(np.int64)), pa.array(n[keep].astype(np.int64))], names=["token", "n"])
+
+    found = texts.select("text").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    return [row.token for row in reversed(found.orderBy(F.desc("n"), "token").limit(MOST_FREQUENT).collect())]
+
+
+def least_shared(n: int, similar: float) -> int:
+    """How many shingles of a set of n any set of that similarity to it has, at least."""
+    return math.ceil(similar * n - 1e-9)
+
+
+def prefixes(texts: DataFrame, width: int, similar: float) -> DataFrame:
+    """Rows (token, unit, n): of each distinct set of shingles (unit: its digest, n: its size) as many as two similar sets can't differ in, so they share one of these.
+
+    All sets take the first ones of one order, frequent shingles last. Tokens of a single set are left out.
+    """
+    last = texts.sparkSession.sparkContext.broadcast(np.array(frequent(texts, width), np.int64).view(np.uint64))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by_value, seen = np.argsort(last.value), set()
+        ordered = last.value[by_value]
+        for batch in slices(batches):
+            tokens, units, sizes, counts = [np.zeros(0, np.uint64)], [], [], []
+            for text in batch.column(0).to_pylist():
+                h = shingle_set(text, width)
+                unit = xxhash.xxh64_intdigest(h.tobytes(), 42)
+                if unit in seen or not len(h):
+                    continue
+                seen.add(unit)
+                if len(ordered):
+                    at = np.searchsorted(ordered, h).clip(max=len(ordered) - 1)
+                    place = np.where(ordered[at] == h, by_value[at], -1)
+                    h = h[np.argsort(place, kind="stable")]
+                own = h[: len(h) - least_shared(len(h), similar) + 1]
+                tokens.append(own)
+                units.append(unit)
+                sizes.append(len(h))
+                counts.append(len(own))
+            if len(seen) > SEEN:
+                seen.clear()
+            columns = [np.concatenate(tokens).view(np.int64), np.repeat(np.array(units, np.uint64), counts).view(np.int64), np.repeat(np.array(sizes, np.int64), counts).astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "unit", "n"])
+
+    dealt = texts.select("text").mapInArrow(run, "token long, unit long, n int").repartition("token").dropDuplicates(["token", "unit"])
+    several = dealt.withColumn("units", F.count("*").over(Window.partitionBy("token"))).where("units > 1")
+    return cut(several.select("token", "unit", "n"), "simhash-prefixes")
+
+
+def missing_edges(shared: DataFrame, units: DataFrame, edges: DataFrame, texts: DataFrame, width: int, similar: float) -> DataFrame:
+    """Edges (a, b) of nodes for all pairs of sets of the similarity or more that edges don't connect. shared: of prefixes(); units: (unit, node, row).
+
+    Sets are first held against one set of each token, so that of a large group of
+    copies few pairs are left; then all pairs that share enough tokens and aren't
+    connected by then, however large a token's group. The first round may count too
+    few tokens of a pair, and leave it to the second.
+    """
+    out = []
+    for one in (True, False):
+        roots = components(functools.reduce(DataFrame.unionAll, [edges.select("a", "b"), *out]))
+        own = units.join(bounded(roots), "node", "left").select("unit", F.coalesce("root", "node").alias("root"))
+        rooted = shared.join(own, "unit")
+        mixed = cut(rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("token"), "simhash-mixed")
+        rooted = cut(rooted.join(bounded(mixed), "token", "left_semi"), "simhash-rooted")
+        if one:
+            other = rooted.groupBy("token").agg(F.min(F.struct(F.xxhash64("unit").alias("h"), "unit", "n", "root")).alias("x")).select("token", "x.unit", "x.n", "x.root")
+        else:
+            other = rooted
+        a, b = rooted.toDF(*(c if c == "token" else f"{c}_a" for c in rooted.columns)), other.toDF(*(c if c == "token" else f"{c}_b" for c in other.columns))
+        once = F.lit(True) if one else F.col("unit_a") < F.col("unit_b")
+        sized = (F.least("n_a", "n_b") + 1e-9 >= F.greatest("n_a", "n_b") * similar) & once & (F.col("root_a") != F.col("root_b"))
+        met = a.join(b, "token").where(sized).select(F.least("unit_a", "unit_b").alias("a"), F.greatest("unit_a", "unit_b").alias("b"), F.greatest("n_a", "n_b").alias("n"), F.least("n_a", "n_b").alias("m"))
+        counted_ = met.groupBy("a", "b").agg(F.count("*").alias("c"), F.max("n").alias("n"), F.max("m").alias("m"))
+        # what lies behind the prefix of the larger set is all that they can share besides
+        enough = F.col("c") + F.ceil(F.col("n") * similar - 1e-9) - 1 + 1e-6 >= (F.col("n") + F.col("m")) * similar / (1 + similar)
+        alike = similar_edges(counted_.where(enough).select("a", "b"), units.select(F.col("unit").alias("node"), "row"), texts, width, similar)
+        x, y = units.select(F.col("unit").alias("a"), F.col("node").alias("na")), units.select(F.col("unit").alias("b"), F.col("node").alias("nb"))
+        out.append(cut(alike.join(x, "a").join(y, "b").select(F.col("na").alias("a"), F.col("nb").alias("b")), "simhash-missing"))
+    return functools.reduce(DataFrame.unionAll, out)
+
+
 def near_groups(docs: DataFrame, text: str = "text", width: int = SHINGLE, distance: int = DISTANCE, group_rows: int = GROUP_ROWS, row: str | None = None, similar: float | None = None) -> DataFrame:
     """One row per row of docs: doc_id, fingerprint (16 lowercase hex digits), component_id, kept.
 
@@ -457,10 +554,11 @@ def near_groups(docs: DataFrame, text: str = "text", width: int = SHINGLE, dista
 
     Without similar, fingerprints link at distance bits or fewer, all such links.
     With it, texts link whose sets of shingles have at least that Jaccard
-    similarity, held against the texts themselves: first those within distance
-    bits, then, between one text of each group so far, those that meet in a band
-    (at least RECALL of them). Texts of one fingerprint are held against the
-    first of them, too, unless their sets are the same.
+    similarity, all such links, held against the texts themselves: first those
+    within distance bits, then all pairs of sets not connected so far that share
+    one of as many shingles as similar sets can't differ in. Texts of one
+    fingerprint are held against the first of them, too, unless their sets are
+    the same.
 
     row: a column of docs with an id (long) for each row, in the order of the
     files; the verdicts have it as well.
@@ -468,8 +566,7 @@ def near_groups(docs: DataFrame, text: str = "text", width: int = SHINGLE, dista
     if similar is not None and row is None:
         docs = cut(docs.select("doc_id", F.col(text).alias(text), F.monotonically_increasing_id().alias("__row")), "simhash-docs")
     given = row or ("__row" if similar is not None else None)
-    bits, bands = (0, 0) if similar is None else bands_for(docs.count(), similar)
-    rows = fingerprints(docs, text, width, given, bits, bands)
+    rows = fingerprints(docs, text, width, given, sets=similar is not None)
     rows = cut(rows if given is not None else rows.withColumn("row", F.monotonically_increasing_id()), "simhash-rows")
     first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
     if similar is None:
@@ -482,10 +579,8 @@ def near_groups(docs: DataFrame, text: str = "text", width: int = SHINGLE, dista
         firsts = cut(nodes.groupBy("node", "fp").agg(F.min("first").alias("first")), "simhash-fps")
         heads = firsts.select("node", F.col("first.row").alias("row"))
         edges = confirmed(near_edges(firsts.select("fp", "node"), distance, group_rows), heads, texts, width, similar)
-        inner = components(edges).where("node != root").select("node")
-        alone = firsts.select("node", "fp", F.col("first.row").alias("row")).join(bounded(cut(inner, "simhash-inner")), "node", "left_anti")
-        keyed = rows.select("row", "keys").join(alone, "row").select("fp", "node", F.posexplode("keys").alias("way", "block")).withColumn("way", F.col("way").cast("long"))
-        edges = edges.unionByName(confirmed(band_edges(keyed, similar, group_rows), heads, texts, width, similar))
+        units = nodes.select(F.col("digest").alias("unit"), "node", F.col("first.row").alias("row"))
+        edges = edges.unionByName(missing_edges(prefixes(texts, width, similar), units, edges, texts, width, similar))
     roots = cut(components(edges), "simhash-roots")
     if similar is None:
         grouped = nodes.join(roots, "node")
