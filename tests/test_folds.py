@@ -3,6 +3,7 @@
 import random
 import struct
 
+import pyarrow as pa
 import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
@@ -53,3 +54,16 @@ def test_table_function_gives_the_frames_of_the_expression(spark):
     assert [tuple(r) for r in frames.with_frames(wide, layout="long").collect()] == [(1, 0, 1 << 31, bytearray(b"hi"), 2)]
     with pytest.raises(Exception, match="layout must be"):
         frames.with_frames(events, layout="odd").collect()
+
+
+def test_frames_are_taken_apart_many_containers_at_once(spark, monkeypatch):
+    """No call for each container, copies in small pieces, sliced arrays, one container much longer than the rest."""
+    rng = random.Random(7)
+    frame = lambda n: struct.pack("<HH", n, rng.randrange(1 << 16)) + rng.randbytes(n)
+    payloads = [None, b"", frame(0) * 300, *(b"".join(frame(rng.randrange(9)) for _ in range(rng.randrange(5))) + b"\x09\x00\x01" * (k % 3) for k in range(50))]
+    want = [(k, *x) for k, p in enumerate(payloads) for x in frames.FramesIn.func().eval(p)] if hasattr(frames.FramesIn, "func") else None
+    monkeypatch.setattr(frames, "COPIED", 16)
+    got = [tuple(r.values()) for b in frames.taken_apart(pa.array([b"no", *payloads], pa.binary())[1:], "short") for r in b.to_pylist()]
+    assert [x[:2] for x in got] == sorted(x[:2] for x in got) and len(got) > 300
+    assert want is None or got == want
+    assert "LateralJoin" not in frames.with_frames(df(spark, "number int, payload binary", (1, bytearray(b""))))._jdf.queryExecution().optimizedPlan().toString()
