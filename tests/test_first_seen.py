@@ -64,3 +64,12 @@ def test_state_that_is_kept_for_a_time(spark, tmp_path, rows):
         time.sleep(0.5)
     query.stop()
     assert sorted(map(tuple, FS.newest(spark.read.parquet(out), ["capture_id", "guid"]).collect())) == folded(rows)
+
+
+def test_stream_without_expiry_calls_no_python(spark, tmp_path, rows):
+    """A key costs no call of its own; rows of a key are summed before the shuffle."""
+    folder = str(tmp_path / "in")
+    df(spark, SCHEMA, *rows).write.parquet(folder)
+    updates = FS.stream_first_seen_with_phase(spark.readStream.schema(SCHEMA).parquet(folder), ["capture_id", "guid"])
+    plan = updates._jdf.queryExecution().analyzed().toString()
+    assert "TransformWithState" not in plan and "Aggregate" in plan

@@ -64,13 +64,21 @@ class FirstSeen(StatefulProcessor):
 
 
 def stream_first_seen_with_phase(events: DataFrame, key: list[str], phase: str = "phase", ts: str = "ts", number: str = "number", ttl_ms: int | None = None) -> DataFrame:
-    """first_seen_with_phase() as a stream in update mode: a key's row each time it changes, with `revision` (1, 2, ...), whose largest is the row so far.
+    """first_seen_with_phase() as a stream in update mode: a key's row, with `revision`, whose largest is the row so far.
 
-    With ttl_ms a key is forgotten that long of processing time after its last
+    Without ttl_ms it is an aggregation: a key's rows are summed before the
+    shuffle, a trigger gives the rows of all keys that it has, and the revision is
+    the number of events so far. With ttl_ms a key's row is given each time it
+    changes (revision 1, 2, ...); the key is forgotten that long of processing time after its last
     change, and the query runs on for that until it is stopped. State is kept by RocksDB, which holds more keys than fit in memory; the session is set to it.
     """
     spark = events.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    if ttl_ms is None:
+        at = F.struct(ts, number)
+        last = F.max_by(phase, F.when(F.col(phase).isNotNull(), at)).alias("__phase")
+        seen = events.groupBy(*(F.col(k).alias(f"__{k}") for k in key)).agg(F.min_by(F.struct(*events.columns), at).alias("__first"), last, F.count("*").alias("revision"))
+        return seen.select(*(F.col("__phase").alias(phase) if c == phase else F.col(f"__first.{c}").alias(c) for c in events.columns), "revision")
     times = [f.name for f in events.schema if isinstance(f.dataType, T.TimestampType)]
     rows = events.withColumns({c: F.unix_micros(c) for c in times})  # whole numbers have no time zone to lose in the state
     own = [T.StructField(f.name, f.dataType, True) for f in rows.schema]
