@@ -318,11 +318,12 @@ def stream_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = events(spark, sf_dir).select(F.col("capture_id").alias("guid"), F.col("number").cast("long").alias("number"), "ts", kinds.alias("kind"), F.when(F.col("kind") != "view", F.col("value")).alias("value"))
     path, out = scratch_path(spark, "entities"), scratch_path(spark, "states")
     cuts = rows.agg(F.percentile_approx("number", [0.3, 0.7])).first()[0]
-    for low, high in zip([None, *cuts], [*cuts, None], strict=True):
+    state = scratch_path(spark, "state")
+    for low, high in zip([None, *cuts], [*cuts, None], strict=True):  # a part, in as many files as it has, is a trigger
         part = rows.where((F.lit(low).isNull() | (F.col("number") > F.lit(low))) & (F.lit(high).isNull() | (F.col("number") <= F.lit(high))))
-        part.coalesce(1).write.mode("append").parquet(path)
-    stream = R.stream_lifecycle(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path), "guid", ["value"], idle="3650 days")
-    stream.writeStream.outputMode("update").foreachBatch(lambda df, _: df.write.mode("append").parquet(out)).option("checkpointLocation", scratch_path(spark, "state")).trigger(availableNow=True).start().awaitTermination()
+        part.write.mode("append").parquet(path)
+        stream = R.stream_lifecycle(spark.readStream.schema(rows.schema).parquet(path), "guid", ["value"], idle="3650 days")
+        stream.writeStream.outputMode("update").foreachBatch(lambda df, _: df.write.mode("append").parquet(out)).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
     last = spark.read.schema(stream.schema).parquet(out).groupBy("guid").agg(F.max_by(F.struct("last_number", "alive", "value"), "last_number").alias("s"))
     return last.select(F.col("guid").alias("user_id"), "s.*")
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -158,15 +159,21 @@ def stream_lifecycle(events: DataFrame, entity: str, fields: list[str], idle: st
             state.remove()
             return
         own = list(state.get) if state.exists else [None] * len(fields)
-        alive, number, rows = True, 0, pd.concat(list(batches)).sort_values("number")
-        for row in rows.itertuples(index=False):
-            if row.kind == "create":
-                own = [None] * len(fields)
-            for k, f in enumerate(fields):
-                v = getattr(row, f)
-                if not pd.isna(v):
-                    own[k] = v
-            alive, number = row.kind not in ("destroy", "out_of_range"), row.number
+        parts = list(batches)
+        rows = parts[0] if len(parts) == 1 else pd.concat(parts)
+        order = np.argsort(rows["number"].to_numpy(), kind="stable")
+        kind = rows["kind"].to_numpy()[order]
+        starts = np.flatnonzero(kind == "create")
+        since = order
+        if len(starts):  # what came before the last create doesn't count
+            own, since = [None] * len(fields), order[starts[-1] :]
+        for k, f in enumerate(fields):
+            v = rows[f].to_numpy()[since]
+            sent = np.flatnonzero(~pd.isna(v))
+            if len(sent):
+                v = v[sent[-1]]
+                own[k] = v.item() if isinstance(v, np.number | np.bool_) else v if not isinstance(v, np.datetime64) else rows[f].iloc[since[sent[-1]]]
+        alive, number = kind[-1] not in ("destroy", "out_of_range"), int(rows["number"].to_numpy()[order[-1]])
         state.update(tuple(own))
         if alive:
             expires(state, rows)
