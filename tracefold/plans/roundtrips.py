@@ -218,6 +218,7 @@ def write_loot(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     item = F.struct(F.col("l_linenumber").alias("line"), F.col("l_partkey").alias("item_id"))
     loot = li.groupBy((F.col("l_suppkey") % 5).alias("capture_id"), F.col("l_orderkey").alias("loot_index")).agg(F.collect_list(item).alias("items"))
+    loot = spark.read.parquet(written(spark, loot, "loot-lists"))  # each load reads it four times
     items, instances = scratch_path(spark, "items"), scratch_path(spark, "instances")
     for _ in range(2):
         K.write_loot(loot, loot.select("capture_id"), items, instances)
