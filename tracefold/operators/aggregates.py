@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.scratch import scratch_path
-from .hot import HOT_ROWS, numbered
+from .hot import DEALT, HOT_ROWS, numbered, spread
 from .dedupe import first_of
 from .joins import written
 
@@ -156,9 +156,9 @@ def drop_rates(instances: DataFrame, items: DataFrame, key: list[str] = ("captur
     return hits.join(total, owner).withColumn("chance", F.col("dropped") / F.col("instances"))
 
 
-def loot_cooccurrence(items: DataFrame, key: list[str] = ("capture_id", "loot_index"), item: str = "item_id") -> DataFrame:
+def loot_cooccurrence(items: DataFrame, key: list[str] = ("capture_id", "loot_index"), item: str = "item_id", task_rows: int | None = None) -> DataFrame:
     """Pairs of different items in the same instance, and in how many. An instance holds a few slots, so its pairs are few."""
-    own = items.groupBy(*key).agg(F.sort_array(F.collect_set(item)).alias("s"))
+    own = spread(items.select(*key, item), list(key), items, task_rows).groupBy(DEALT, *key).agg(F.sort_array(F.collect_set(item)).alias("s"))
     pairs = F.flatten(F.transform("s", lambda a, i: F.transform(F.slice("s", i + 2, F.greatest(F.size("s") - i - 1, F.lit(0))), lambda b: F.struct(a.alias("item_a"), b.alias("item_b")))))
     return own.select(F.inline(pairs)).groupBy("item_a", "item_b").agg(F.count("*").alias("instances"))
 

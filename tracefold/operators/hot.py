@@ -20,7 +20,20 @@ from ..sources.scratch import scratch_path
 
 #: Rows of a key that one task sorts at most, about.
 HOT_ROWS = 5_000_000
-PART = "__part"
+#: Rows that a task gets of what is grouped by keys, about.
+TASK_ROWS = 250_000
+PART, DEALT = "__part", "__dealt"
+
+
+def spread(df: DataFrame, key: list[str], counted: DataFrame | None = None, task_rows: int | None = None) -> DataFrame:
+    """df with DEALT, a number made of key, dealt by it to one partition for every TASK_ROWS rows: what is grouped by DEALT and key needs no other shuffle, and a task holds no more however large the input is.
+
+    The rows of counted (df, where none is given) are counted while the plan is
+    built. What fits one task is left as it is. DEALT and not key, as Spark drops
+    constants from the keys of a grouping but not from those rows are dealt by.
+    """
+    parts = -(-(df if counted is None else counted).count() // (task_rows or TASK_ROWS))
+    return df.withColumn(DEALT, F.xxhash64(*key)).repartition(parts, DEALT) if parts > 1 else df.withColumn(DEALT, F.lit(0))
 
 
 def parted(df: DataFrame, key: list[str], order: str, hot_rows: int | None = None) -> tuple[DataFrame, bool]:
