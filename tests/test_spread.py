@@ -26,6 +26,15 @@ def test_groupings_are_dealt_by_the_rows_counted(spark, monkeypatch, name, other
     assert sorted(map(tuple, many.collect())) == sorted(map(tuple, few.collect()))
 
 
+def test_a_line_is_grouped_once(spark, monkeypatch):
+    few = __spark_entry__.queries()["match_equipment"](spark, SF)
+    monkeypatch.setattr(hot, "TASK_ROWS", 500)
+    many = __spark_entry__.queries()["match_equipment"](spark, SF)
+    assert dealt(many) == (1, 1)  # lines by their key; sets by theirs
+    key = lambda r: tuple((x is None, x) for x in r)
+    assert sorted(map(tuple, many.collect()), key=key) == sorted(map(tuple, few.collect()), key=key)
+
+
 def test_spread_rows_give_the_same_groups(spark):
     rng = random.Random(7)
     items = [(rng.choice([1, 2, None]), rng.choice([0, 1, 2, None]), rng.choice([5, 6, 7, None])) for _ in range(300)]

@@ -19,6 +19,7 @@ from ..operators import dedupe as D
 from ..operators import filters as L
 from ..operators import joins as J
 from ..operators import windows as W
+from ..operators.hot import DEALT, spread
 from ..sources import tables as K
 from .queries import events, query, sessions, table
 
@@ -172,9 +173,11 @@ def dedupe_exact_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT l_orderkey, l_linenumber, l_partkey, min(p_size) AS equipment_id FROM lineitem LEFT JOIN part ON p_partkey = l_partkey AND p_size = l_quantity GROUP BY ALL")
 def match_equipment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("entry"), F.col("l_quantity").cast("int").alias("i1")).distinct()
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("entry"), F.col("l_quantity").cast("int").alias("i1"))
     eq = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("entry"), F.col("p_size").alias("i1"), F.col("p_size").alias("id"), F.col("p_partkey").alias("pos"))
-    return J.match_equipment(li, eq, ["i1"]).groupBy("l_orderkey", "l_linenumber", F.col("entry").alias("l_partkey")).agg(F.min("equipment_id").alias("equipment_id"))
+    line = ["l_orderkey", "l_linenumber", "entry"]
+    matched = spread(J.match_equipment(li, eq, ["i1"]), line, li)  # a row for each line: sets are grouped before they are joined
+    return matched.groupBy(DEALT, *line).agg(F.min("equipment_id").alias("equipment_id")).select("l_orderkey", "l_linenumber", F.col("entry").alias("l_partkey"), "equipment_id")
 
 
 @query("SELECT o_orderkey, CASE WHEN c_custkey % 4 <> 0 THEN c_nationkey END AS owner_entry, CASE WHEN c_custkey % 4 <> 0 THEN c_mktsegment END AS owner_type FROM orders LEFT JOIN customer ON o_custkey = c_custkey")
