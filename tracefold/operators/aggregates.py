@@ -163,9 +163,11 @@ def loot_cooccurrence(items: DataFrame, key: list[str] = ("capture_id", "loot_in
     return own.select(F.inline(pairs)).groupBy("item_a", "item_b").agg(F.count("*").alias("instances"))
 
 
-def spawn_point_odds(spawns: DataFrame, cell: float = 0.02) -> DataFrame:
+def spawn_point_odds(spawns: DataFrame, cell: float = 0.02, task_rows: int | None = None) -> DataFrame:
     """Per map, cell and entry: distinct guids (not sightings) and their share of the cell's."""
-    rows = spawns.groupBy("map", F.floor(F.col("x") / cell).alias("cx"), F.floor(F.col("y") / cell).alias("cy"), "entry").agg(F.count_distinct("guid").alias("guids"))
+    place = ["map", "cx", "cy", "entry"]
+    seen = spawns.select("map", F.floor(F.col("x") / cell).alias("cx"), F.floor(F.col("y") / cell).alias("cy"), "entry", "guid")
+    rows = spread(seen, [*place, "guid"], spawns, task_rows).distinct().groupBy(*place).agg(F.count("guid").alias("guids"))
     return rows.withColumn("share", F.col("guids") / F.sum("guids").over(Window.partitionBy("map", "cx", "cy")))
 
 
