@@ -50,7 +50,7 @@ LATIN, LATIN_LETTER = 0xC3, np.isin(np.arange(256), [x for x in range(0x80, 0xC0
 #: Fragments after which a task starts a new memo.
 MEMO_FRAGMENTS = 100_000
 #: Bytes of text that are cut together, and whose new fragments are encoded side by side.
-GROUP_BYTES = 1 << 20
+GROUP_BYTES = 1 << 18
 #: Bytes of a run above which it is merged by itself.
 LONG_RUN = 256
 #: An odd factor that spreads pairs over the slots of the table (2**64 over the golden ratio).
