@@ -35,6 +35,7 @@ from __future__ import annotations
 
 import functools
 import math
+import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -62,6 +63,10 @@ PAIRS = 1 << 11
 ALL_OF = 8
 #: Texts of a slice that a frequent shingle is in, the most such shingles, and the digests that a task remembers.
 FREQUENT_IN, MOST_FREQUENT, SEEN = 4, 500_000, 200_000
+#: Sets of a token of which all pairs are made where the token's rows lie; sets of a larger token that its others are held against first.
+FEW, HEADS = 8, 8
+#: Shingles of sets that a task keeps while it compares pairs.
+REMEMBERED = 1 << 20
 #: Shingles that are hashed at once.
 HASHED = 1 << 14
 #: 64-bit words of fingerprint bits that bands are drawn from.
@@ -363,26 +368,40 @@ def band_edges(dealt: DataFrame, similar: float, group_rows: int = GROUP_ROWS) -
 def similar_edges(edges: DataFrame, heads: DataFrame, texts: DataFrame, width: int, similar: float) -> DataFrame:
     """The edges (a, b) whose shingle sets have a Jaccard similarity of similar or more. heads: (node, row), one for each node; texts: (row, text).
 
-    Only the texts that some edge ends in are read again.
+    Only the texts that some edge ends in are read again. They meet deflated, in a third of
+    the bytes that the hashes of their shingles have, which are made where a pair is compared.
     """
     edges = cut(edges.select("a", "b").distinct(), "simhash-pairs")
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def deflated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            own = [shingle_set(x, width).tobytes() for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.binary())], names=["node", "shingles"])
+            own = [zlib.compress((x or "").encode(), 6) for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.binary())], names=["node", "packed"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets: dict[int, np.ndarray] = {}
+        size = 0
+
+        def of(node: int, packed: bytes) -> np.ndarray:
+            nonlocal size
+            if node not in sets:
+                own = shingle_set(zlib.decompress(packed).decode(), width)
+                if size + len(own) > REMEMBERED:
+                    sets.clear()
+                    size = 0
+                sets[node], size = own, size + len(own)
+            return sets[node]
+
         for batch in slices(batches):
             ok = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = (np.frombuffer(z.as_buffer(), np.uint64) for z in (x, y))
+            for a, b, x, y in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+                x, y = of(a, x), of(b, y)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 ok.append(both >= similar * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     ends = cut(edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(heads, "node"), "simhash-ends")
-    own = cut(texts.join(bounded(ends), "row").select("node", "text").mapInArrow(sets, "node long, shingles binary"), "simhash-sets")
+    own = cut(texts.join(bounded(ends), "row").select("node", "text").mapInArrow(deflated, "node long, packed binary"), "simhash-texts")
     joined = edges.join(own.toDF("a", "x"), "a").join(own.toDF("b", "y"), "b").select("a", "b", "x", "y")
     return cut(joined.mapInArrow(compare, "a long, b long"), "simhash-similar")
 
@@ -474,9 +493,10 @@ def least_shared(n: int, similar: float) -> int:
 
 
 def prefixes(texts: DataFrame, width: int, similar: float) -> DataFrame:
-    """Rows (token, unit, n): of each distinct set of shingles (unit: its digest, n: its size) as many as two similar sets can't differ in, so they share one of these.
+    """Rows (token, unit, n, units, before): of each distinct set of shingles (unit: its digest, n: its size) as many as two similar sets can't differ in, so they share one of these.
 
-    All sets take the first ones of one order, frequent shingles last. Tokens of a single set are left out.
+    All sets take the first ones of one order, frequent shingles last. Tokens of a single set are left out. units: sets
+    of the token; before: those (unit, n) that come before the row's own, of tokens of FEW sets at most.
     """
     last = texts.sparkSession.sparkContext.broadcast(np.array(frequent(texts, width), np.int64).view(np.uint64))
 
@@ -507,36 +527,53 @@ def prefixes(texts: DataFrame, width: int, similar: float) -> DataFrame:
 
     dealt = texts.select("text").mapInArrow(run, "token long, unit long, n int").repartition("token").dropDuplicates(["token", "unit"])
     several = dealt.withColumn("units", F.count("*").over(Window.partitionBy("token"))).where("units > 1")
-    return cut(several.select("token", "unit", "n"), "simhash-prefixes")
+    last_few = F.collect_list(F.struct("unit", "n")).over(Window.partitionBy("token").orderBy("unit").rowsBetween(1 - FEW, -1))
+    return cut(several.withColumn("before", F.when(F.col("units") <= FEW, last_few)).select("token", "unit", "n", "units", "before"), "simhash-prefixes")
+
+
+def candidates(met: DataFrame, similar: float) -> DataFrame:
+    """(a, b) of the pairs met (unit_a, n_a, unit_b, n_b, c: how often) that share enough tokens to be similar."""
+    sized = F.least("n_a", "n_b") + 1e-9 >= F.greatest("n_a", "n_b") * similar
+    pairs = met.where(sized).select(F.least("unit_a", "unit_b").alias("a"), F.greatest("unit_a", "unit_b").alias("b"), F.greatest("n_a", "n_b").alias("n"), F.least("n_a", "n_b").alias("m"), "c")
+    counted_ = pairs.groupBy("a", "b").agg(F.sum("c").alias("c"), F.max("n").alias("n"), F.max("m").alias("m"))
+    # what lies behind the prefix of the larger set is all that they can share besides
+    enough = F.col("c") + F.ceil(F.col("n") * similar - 1e-9) - 1 + 1e-6 >= (F.col("n") + F.col("m")) * similar / (1 + similar)
+    return counted_.where(enough).select("a", "b")
 
 
 def missing_edges(shared: DataFrame, units: DataFrame, edges: DataFrame, texts: DataFrame, width: int, similar: float) -> DataFrame:
     """Edges (a, b) of nodes for all pairs of sets of the similarity or more that edges don't connect. shared: of prefixes(); units: (unit, node, row).
 
-    Sets are first held against one set of each token, so that of a large group of
-    copies few pairs are left; then all pairs that share enough tokens and aren't
-    connected by then, however large a token's group. The first round may count too
-    few tokens of a pair, and leave it to the second.
+    Of a token of few sets all pairs are made where its rows lie. The sets of larger
+    tokens are first held against HEADS of them each, so that of a large group of copies
+    few pairs are left; then all pairs that share enough tokens and aren't connected by
+    then, however large a token's group. The first round may count too few tokens of a
+    pair, and leave it to the second.
     """
-    out = []
+    few = shared.where("before is not null").select(F.col("unit").alias("unit_a"), F.col("n").alias("n_a"), F.explode("before").alias("x")).select("unit_a", "n_a", F.col("x.unit").alias("unit_b"), F.col("x.n").alias("n_b"))
+    few = cut(few.groupBy("unit_a", "n_a", "unit_b", "n_b").agg(F.count("*").cast("int").alias("c")), "simhash-few")
+    many = shared.where("before is null").select("token", "unit", "n")
+    out, done = [], None
     for one in (True, False):
         roots = components(functools.reduce(DataFrame.unionAll, [edges.select("a", "b"), *out]))
-        own = units.join(bounded(roots), "node", "left").select("unit", F.coalesce("root", "node").alias("root"))
-        rooted = shared.join(own, "unit")
-        mixed = cut(rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("token"), "simhash-mixed")
-        rooted = cut(rooted.join(bounded(mixed), "token", "left_semi"), "simhash-rooted")
+        own = cut(units.join(bounded(roots), "node", "left").select("unit", F.coalesce("root", "node").alias("root")), "simhash-rooted-units")
         if one:
-            other = rooted.groupBy("token").agg(F.min(F.struct(F.xxhash64("unit").alias("h"), "unit", "n", "root")).alias("x")).select("token", "x.unit", "x.n", "x.root")
+            heads = many.groupBy("token").agg(F.array(*(F.min(F.struct(F.xxhash64("unit", F.lit(k)).alias("h"), "unit", "n")) for k in range(HEADS))).alias("heads"))
+            met = many.join(heads, "token").select(F.col("unit").alias("unit_a"), F.col("n").alias("n_a"), F.array_contains("heads.unit", F.col("unit")).alias("head"), F.explode(F.array_distinct(F.transform("heads", lambda x: F.struct(x["unit"].alias("unit"), x["n"].alias("n"))))).alias("x"))
+            met = met.select("unit_a", "n_a", F.col("x.unit").alias("unit_b"), F.col("x.n").alias("n_b"), "head").where((F.col("unit_a") < F.col("unit_b")) | ~F.col("head") & (F.col("unit_a") != F.col("unit_b")))
         else:
-            other = rooted
-        a, b = rooted.toDF(*(c if c == "token" else f"{c}_a" for c in rooted.columns)), other.toDF(*(c if c == "token" else f"{c}_b" for c in other.columns))
-        once = F.lit(True) if one else F.col("unit_a") < F.col("unit_b")
-        sized = (F.least("n_a", "n_b") + 1e-9 >= F.greatest("n_a", "n_b") * similar) & once & (F.col("root_a") != F.col("root_b"))
-        met = a.join(b, "token").where(sized).select(F.least("unit_a", "unit_b").alias("a"), F.greatest("unit_a", "unit_b").alias("b"), F.greatest("n_a", "n_b").alias("n"), F.least("n_a", "n_b").alias("m"))
-        counted_ = met.groupBy("a", "b").agg(F.count("*").alias("c"), F.max("n").alias("n"), F.max("m").alias("m"))
-        # what lies behind the prefix of the larger set is all that they can share besides
-        enough = F.col("c") + F.ceil(F.col("n") * similar - 1e-9) - 1 + 1e-6 >= (F.col("n") + F.col("m")) * similar / (1 + similar)
-        alike = similar_edges(counted_.where(enough).select("a", "b"), units.select(F.col("unit").alias("node"), "row"), texts, width, similar)
+            rooted = cut(many.join(own, "unit"), "simhash-rooted")
+            mixed = cut(rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("token"), "simhash-mixed")
+            rooted = cut(rooted.join(bounded(mixed), "token", "left_semi"), "simhash-rooted")
+            a, b = rooted.toDF(*(c if c == "token" else f"{c}_a" for c in rooted.columns)), rooted.toDF(*(c if c == "token" else f"{c}_b" for c in rooted.columns))
+            met = a.join(b, "token").where((F.col("unit_a") < F.col("unit_b")) & (F.col("root_a") != F.col("root_b")))
+        met = met.select("unit_a", "n_a", "unit_b", "n_b", F.lit(1).alias("c"))
+        pairs = candidates(few.select(*met.columns).unionAll(met), similar)
+        if done is not None:
+            pairs = pairs.join(done, ["a", "b"], "left_anti")
+        ra, rb = own.toDF("a", "ra"), own.toDF("b", "rb")
+        done = cut(pairs.join(ra, "a").join(rb, "b").where("ra <> rb").select("a", "b"), "simhash-open")
+        alike = similar_edges(done, units.select(F.col("unit").alias("node"), "row"), texts, width, similar)
         x, y = units.select(F.col("unit").alias("a"), F.col("node").alias("na")), units.select(F.col("unit").alias("b"), F.col("node").alias("nb"))
         out.append(cut(alike.join(x, "a").join(y, "b").select(F.col("na").alias("a"), F.col("nb").alias("b")), "simhash-missing"))
     return functools.reduce(DataFrame.unionAll, out)

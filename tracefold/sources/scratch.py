@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
 _own: dict[str, str] = {}
+#: For each passing() that is open in this context, the paths made in it.
+_passing: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("passing", default=())
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -29,4 +34,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     path = f"{shared_dir(spark)}/tracefold/{name}-{uuid.uuid4().hex[:12]}"
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    for made in _passing.get()[-1:]:
+        made.append(path)
     return path
+
+
+@contextlib.contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Scratch paths made inside are deleted at its end: what is read later must be written elsewhere by then."""
+    made: list[str] = []
+    token = _passing.set((*_passing.get(), made))
+    try:
+        yield
+    finally:
+        _passing.reset(token)
+        for path in made:
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
