@@ -51,3 +51,37 @@ def test_compared_texts_are_sent_deflated(spark, docs, monkeypatch):
     got = {r.doc_id: r.component_id for r in simhash.near_groups(docs(rows), width=5, similar=0.8).collect()}
     assert got == {k: 0 for k in range(0, 240, 8)} | {999: 999}
     assert 0 < max(sent) < 30 * 296 * 8 / 2
+
+
+def test_a_group_of_near_copies_is_compared_a_few_times_a_text(spark, docs, monkeypatch):
+    rng, asked = random.Random(11), []
+    similar_edges = simhash.similar_edges
+
+    def watched(edges, *rest):
+        edges = cut(edges, "asked")
+        asked.append(edges.count())
+        return similar_edges(edges, *rest)
+
+    monkeypatch.setattr(simhash, "similar_edges", watched)
+    base = [f"w{rng.randrange(3000)}" for _ in range(150)]
+    rows = [(0, " ".join(base))]
+    for k in range(1, 300):
+        words = list(base)
+        for at in rng.sample(range(150), rng.choice([1, 2, 3, 5, 6])):
+            words[at] = f"own{rng.randrange(10**9)}"
+        rows.append((k, " ".join(words)))
+    sets = [set(simhash.shingle_set(t, 5).tolist()) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def first(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets[:i]):
+            if len(x & y) >= 0.8 * len(x | y):
+                root[max(first(i), first(j))] = min(first(i), first(j))
+    got = {r.doc_id: r.component_id for r in simhash.near_groups(docs(rows), width=5, similar=0.8).collect()}
+    assert got == {k: first(k) for k in range(len(rows))} and 50 < len(set(got.values())) < 200
+    assert sum(asked) < 5 * len(rows)

@@ -64,7 +64,9 @@ ALL_OF = 8
 #: Texts of a slice that a frequent shingle is in, the most such shingles, and the digests that a task remembers.
 FREQUENT_IN, MOST_FREQUENT, SEEN = 4, 500_000, 200_000
 #: Sets of a token of which all pairs are made where the token's rows lie; sets of a larger token that its others are held against first.
-FEW, HEADS = 8, 8
+FEW, HEADS = 8, 4
+#: Sets of a larger token meet by steps of their sizes; each is so many times the one before.
+SIZE_STEP = 1.08
 #: Shingles of sets that a task keeps while it compares pairs.
 REMEMBERED = 1 << 20
 #: Shingles that are hashed at once.
@@ -531,51 +533,107 @@ def prefixes(texts: DataFrame, width: int, similar: float) -> DataFrame:
     return cut(several.withColumn("before", F.when(F.col("units") <= FEW, last_few)).select("token", "unit", "n", "units", "before"), "simhash-prefixes")
 
 
-def candidates(met: DataFrame, similar: float) -> DataFrame:
-    """(a, b) of the pairs met (unit_a, n_a, unit_b, n_b, c: how often) that share enough tokens to be similar."""
-    sized = F.least("n_a", "n_b") + 1e-9 >= F.greatest("n_a", "n_b") * similar
-    pairs = met.where(sized).select(F.least("unit_a", "unit_b").alias("a"), F.greatest("unit_a", "unit_b").alias("b"), F.greatest("n_a", "n_b").alias("n"), F.least("n_a", "n_b").alias("m"), "c")
-    counted_ = pairs.groupBy("a", "b").agg(F.sum("c").alias("c"), F.max("n").alias("n"), F.max("m").alias("m"))
-    # what lies behind the prefix of the larger set is all that they can share besides
-    enough = F.col("c") + F.ceil(F.col("n") * similar - 1e-9) - 1 + 1e-6 >= (F.col("n") + F.col("m")) * similar / (1 + similar)
-    return counted_.where(enough).select("a", "b")
+def enough(shared: Column, n: Column, m: Column, similar: float) -> Column:
+    """Whether sets of n and m shingles may be similar if they share so many tokens of prefixes(): what lies behind the prefix of the larger set is all that they can share besides."""
+    larger, smaller = F.greatest(n, m), F.least(n, m)
+    return (smaller + 1e-9 >= larger * similar) & (shared + F.ceil(larger * similar - 1e-9) - 1 + 1e-6 >= (n + m) * (similar / (1 + similar)))
+
+
+def many_left(shared: DataFrame) -> DataFrame:
+    """Rows (token, unit, n, left, many) of prefixes() for the tokens of more than FEW sets. many: so many of them the unit has; left: those from the row's on, rarest first."""
+    by_unit = Window.partitionBy("unit")
+    placed = shared.where("before is null").withColumn("many", F.count("*").over(by_unit).cast("int"))
+    left = F.col("many") - F.row_number().over(by_unit.orderBy("units", "token")) + 1
+    return cut(placed.select("token", "unit", "n", left.cast("int").alias("left"), "many"), "simhash-many")
+
+
+def met_few(shared: DataFrame, many: DataFrame, similar: float) -> DataFrame:
+    """(a, b, score) of all pairs of sets that share a token of FEW sets at most and may be similar, if they share all of those in more sets that one of them has."""
+    sets = bounded(cut(many.groupBy("unit").agg(F.first("many").alias("many")), "simhash-crowd"))
+    pairs = shared.select(F.col("unit").alias("unit_a"), F.col("n").alias("n_a"), F.explode("before").alias("x")).select("unit_a", "n_a", F.col("x.unit").alias("unit_b"), F.col("x.n").alias("n_b"))
+    pairs = pairs.groupBy("unit_a", "n_a", "unit_b", "n_b").agg(F.count("*").cast("int").alias("c"))
+    pairs = pairs.join(sets.toDF("unit_a", "many_a"), "unit_a", "left").join(sets.toDF("unit_b", "many_b"), "unit_b", "left")
+    most = F.col("c") + F.least(F.coalesce("many_a", F.lit(0)), F.coalesce("many_b", F.lit(0)))
+    pairs = pairs.where(enough(most, F.col("n_a"), F.col("n_b"), similar))
+    return pairs.select(F.least("unit_a", "unit_b").alias("a"), F.greatest("unit_a", "unit_b").alias("b"), (F.col("c") / F.greatest("n_a", "n_b")).alias("score"))
+
+
+def met_heads(many: DataFrame, similar: float) -> DataFrame:
+    """(a, b, score) of the sets of many (many_left()) and HEADS sets of each of their tokens: of each share of the sets the one with the fewest shingles of its own."""
+    room = F.struct((-F.col("many") / F.col("n")).alias("room"), "unit", "n", "left")
+    heads = many.groupBy("token").agg(F.array_compact(F.array(*(F.min(F.when(F.pmod(F.xxhash64("unit"), F.lit(HEADS)) == k, room)) for k in range(HEADS)))).alias("heads"))
+    fits = F.filter("heads", lambda x: (x["unit"] != F.col("unit")) & enough(F.least("left", x["left"]), F.col("n"), x["n"], similar))
+    met = many.join(heads, "token").select("unit", "n", F.explode(fits).alias("x"))
+    met = met.select(F.least("unit", "x.unit").alias("a"), F.greatest("unit", "x.unit").alias("b"), F.greatest("n", "x.n").alias("n"))
+    return met.groupBy("a", "b").agg((F.count("*") / F.max("n")).alias("score"))
+
+
+def met_apart(many: DataFrame, own: DataFrame, similar: float) -> DataFrame:
+    """(a, b) of all pairs of sets of many (many_left()) that may be similar, share no token of FEW sets at most and have different roots in own (unit, root).
+
+    The first token that such a pair shares leaves each set with `left` tokens to share. So the sets meet by
+    token and by steps of both sizes, that of the smaller and that of the larger set, between which that
+    is enough: a set with many shingles of its own, which only much larger or smaller
+    ones could be similar to, doesn't meet the many sets that are as large as it is.
+    Of the pairs that meet all shared tokens are counted.
+    """
+    rooted = cut(many.join(bounded(own), "unit"), "simhash-rooted")
+    mixed = cut(rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("token"), "simhash-mixed")
+    rooted = cut(rooted.join(bounded(mixed), "token", "left_semi"), "simhash-rooted")
+    n, left, part = F.col("n"), F.col("left"), similar / (1 + similar)
+
+    def step(size: Column) -> Column:
+        return F.floor(F.log(size) / math.log(SIZE_STEP)).cast("int")
+
+    largest, smallest = F.floor(n / similar + 1e-6), F.ceil(n * similar - 1e-6)
+    from_ = F.greatest(n, F.ceil((n * part - left) / (similar - part) - 1e-6))  # of the larger set, if the row's is the smaller
+    to = F.least(n, F.floor((left + F.ceil(n * similar - 1e-9) - 1) / part - n + 1e-3))  # of the smaller set, if the row's is the larger
+    smaller = rooted.where(from_ <= largest).select("token", step(n).alias("small"), F.explode(F.sequence(step(from_), step(largest))).alias("large"), *(F.col(c).alias(f"{c}_a") for c in ("unit", "n", "left", "root")))
+    larger = rooted.where(to >= smallest).select("token", F.explode(F.sequence(step(smallest), step(to))).alias("small"), step(n).alias("large"), *(F.col(c).alias(f"{c}_b") for c in ("unit", "n", "left", "root")))
+    ordered = (F.col("n_a") < F.col("n_b")) | (F.col("n_a") == F.col("n_b")) & (F.col("unit_a") < F.col("unit_b"))
+    met = smaller.join(larger, ["token", "small", "large"]).where(ordered & (F.col("root_a") != F.col("root_b")) & enough(F.least("left_a", "left_b"), F.col("n_a"), F.col("n_b"), similar))
+    met = cut(met.select("unit_a", "n_a", "unit_b", "n_b").distinct(), "simhash-met-apart")
+    tokens = bounded(cut(many.groupBy("unit").agg(F.collect_list("token").alias("tokens")), "simhash-tokens"))
+    met = met.join(tokens.toDF("unit_a", "tokens_a"), "unit_a").join(tokens.toDF("unit_b", "tokens_b"), "unit_b")
+    met = met.where(enough(F.size(F.array_intersect("tokens_a", "tokens_b")), F.col("n_a"), F.col("n_b"), similar))
+    return met.select(F.least("unit_a", "unit_b").alias("a"), F.greatest("unit_a", "unit_b").alias("b"))
 
 
 def missing_edges(shared: DataFrame, units: DataFrame, edges: DataFrame, texts: DataFrame, width: int, similar: float) -> DataFrame:
     """Edges (a, b) of nodes for all pairs of sets of the similarity or more that edges don't connect. shared: of prefixes(); units: (unit, node, row).
 
-    Of a token of few sets all pairs are made where its rows lie. The sets of larger
-    tokens are first held against HEADS of them each, so that of a large group of copies
-    few pairs are left; then all pairs that share enough tokens and aren't connected by
-    then, however large a token's group. The first round may count too few tokens of a
-    pair, and leave it to the second.
+    Of a token of few sets all pairs are made where its rows lie. First each group of connected sets is held
+    against the set that it shares most with, of these pairs and of HEADS sets of each larger token; then all
+    others of these that aren't connected by then; then all pairs that share larger tokens only, enough
+    of them to be similar, and aren't connected by then, however large a token's group.
     """
-    few = shared.where("before is not null").select(F.col("unit").alias("unit_a"), F.col("n").alias("n_a"), F.explode("before").alias("x")).select("unit_a", "n_a", F.col("x.unit").alias("unit_b"), F.col("x.n").alias("n_b"))
-    few = cut(few.groupBy("unit_a", "n_a", "unit_b", "n_b").agg(F.count("*").cast("int").alias("c")), "simhash-few")
-    many = shared.where("before is null").select("token", "unit", "n")
-    out, done = [], None
-    for one in (True, False):
+    many = many_left(shared)
+    pairs = cut(met_few(shared, many, similar).unionByName(met_heads(many, similar)).groupBy("a", "b").agg(F.max("score").alias("score")), "simhash-met")
+    out, tried = [], []
+
+    def own() -> DataFrame:
         roots = components(functools.reduce(DataFrame.unionAll, [edges.select("a", "b"), *out]))
-        own = cut(units.join(bounded(roots), "node", "left").select("unit", F.coalesce("root", "node").alias("root")), "simhash-rooted-units")
-        if one:
-            heads = many.groupBy("token").agg(F.array(*(F.min(F.struct(F.xxhash64("unit", F.lit(k)).alias("h"), "unit", "n")) for k in range(HEADS))).alias("heads"))
-            met = many.join(heads, "token").select(F.col("unit").alias("unit_a"), F.col("n").alias("n_a"), F.array_contains("heads.unit", F.col("unit")).alias("head"), F.explode(F.array_distinct(F.transform("heads", lambda x: F.struct(x["unit"].alias("unit"), x["n"].alias("n"))))).alias("x"))
-            met = met.select("unit_a", "n_a", F.col("x.unit").alias("unit_b"), F.col("x.n").alias("n_b"), "head").where((F.col("unit_a") < F.col("unit_b")) | ~F.col("head") & (F.col("unit_a") != F.col("unit_b")))
-        else:
-            rooted = cut(many.join(own, "unit"), "simhash-rooted")
-            mixed = cut(rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("token"), "simhash-mixed")
-            rooted = cut(rooted.join(bounded(mixed), "token", "left_semi"), "simhash-rooted")
-            a, b = rooted.toDF(*(c if c == "token" else f"{c}_a" for c in rooted.columns)), rooted.toDF(*(c if c == "token" else f"{c}_b" for c in rooted.columns))
-            met = a.join(b, "token").where((F.col("unit_a") < F.col("unit_b")) & (F.col("root_a") != F.col("root_b")))
-        met = met.select("unit_a", "n_a", "unit_b", "n_b", F.lit(1).alias("c"))
-        pairs = candidates(few.select(*met.columns).unionAll(met), similar)
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        ra, rb = own.toDF("a", "ra"), own.toDF("b", "rb")
-        done = cut(pairs.join(ra, "a").join(rb, "b").where("ra <> rb").select("a", "b"), "simhash-open")
-        alike = similar_edges(done, units.select(F.col("unit").alias("node"), "row"), texts, width, similar)
-        x, y = units.select(F.col("unit").alias("a"), F.col("node").alias("na")), units.select(F.col("unit").alias("b"), F.col("node").alias("nb"))
-        out.append(cut(alike.join(x, "a").join(y, "b").select(F.col("na").alias("a"), F.col("nb").alias("b")), "simhash-missing"))
+        return cut(units.join(bounded(roots), "node", "left").select("unit", "node", F.coalesce("root", "node").alias("root")), "simhash-rooted-units")
+
+    def compare(now: DataFrame) -> None:
+        now = cut(now.select("a", "b"), "simhash-tried")
+        tried.append(now)
+        alike = similar_edges(now, units.select(F.col("unit").alias("node"), "row"), texts, width, similar)
+        nodes = bounded(cut(units.select("unit", "node"), "simhash-unit-nodes"))
+        out.append(cut(alike.join(nodes.toDF("a", "na"), "a").join(nodes.toDF("b", "nb"), "b").select(F.col("na").alias("a"), F.col("nb").alias("b")), "simhash-missing"))
+
+    def apart() -> DataFrame:
+        rooted = bounded(own().select("unit", "root"))
+        return cut(pairs.join(rooted.toDF("a", "ra"), "a").join(rooted.toDF("b", "rb"), "b").where("ra <> rb"), "simhash-apart")
+
+    pairs = apart()
+    best = F.struct("score", "a", "b")
+    ways = pairs.select(F.explode(F.array("ra", "rb")).alias("root"), best.alias("x"))
+    compare(ways.groupBy("root").agg(F.max("x").alias("x")).select("x.a", "x.b").distinct())
+    pairs = pairs.select("a", "b", "score").join(tried[0], ["a", "b"], "left_anti")
+    compare(apart())
+    now = met_apart(many, own().select("unit", "root"), similar)
+    compare(now.join(functools.reduce(DataFrame.unionAll, tried), ["a", "b"], "left_anti"))
     return functools.reduce(DataFrame.unionAll, out)
 
 
